@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.operators.schema_drift import FIELDS, schema_changes, schema_fields, struct_fields, union_fields
 from trajlake.operators.spikes import find_spikes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,3 +34,27 @@ def p1_report(spark: SparkSession, folder: str) -> DataFrame:
     found = find_spikes(table(spark, folder, "frames"))
     bit = lambda n, name: F.count_if(F.col("kinds").bitwiseAND(n) > 0).alias(name)
     return found.groupBy("dataset_uid", "feature", "dimension").agg(F.count(F.lit(1)).alias("cases"), bit(1, "not_finite"), bit(2, "beyond_fences"), bit(4, "excursions"), bit(8, "stuck"))
+
+
+def all_scans(spark: SparkSession, folder: str) -> DataFrame:
+    """The scans of the three tables with schemas, under one layout."""
+    kinds = (("datasets", "uid", lambda: schema_fields("schema_json")), ("roboomni_partitions", "name", lambda: struct_fields(F.col("fields"), "source_key")), ("dexcap_partitions", "name", lambda: struct_fields(F.col("source_schema"), "path")))
+    parts = [table(spark, folder, t).select(F.lit(t).alias("table_name"), F.col(entity).alias("entity"), "snapshot_id", F.col("scanned_at").alias("at"), fields().cast(FIELDS).alias("fields")) for t, entity, fields in kinds]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return schema_changes(all_scans(spark, folder)).select("table_name", "entity", "snapshot_id", "field_name", "change")
+
+
+@query
+def p2_changes(spark: SparkSession, folder: str) -> DataFrame:
+    """The changes with new names and types."""
+    return schema_changes(all_scans(spark, folder))
+
+
+@query
+def p2_fields(spark: SparkSession, folder: str) -> DataFrame:
+    """One consistent list of fields for each dataset and partition."""
+    return union_fields(all_scans(spark, folder))
