@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from trajlake.operators.dense_totals import dense_totals
 from trajlake.operators.schema_drift import FIELDS, schema_changes, schema_fields, struct_fields, union_fields
 from trajlake.operators.spikes import find_spikes
 
@@ -58,3 +59,37 @@ def p2_changes(spark: SparkSession, folder: str) -> DataFrame:
 def p2_fields(spark: SparkSession, folder: str) -> DataFrame:
     """One consistent list of fields for each dataset and partition."""
     return union_fields(all_scans(spark, folder))
+
+
+def latest_episodes(spark: SparkSession, folder: str) -> DataFrame:
+    """One row for each episode: its latest delivery, and when it was first indexed.
+
+    Of rows with the same time the one with the larger frames, task and deletion holds, so that ties have one outcome.
+    """
+    e = table(spark, folder, "episodes").filter("dataset_uid is not null and episode_index is not null")
+    row = F.struct("frames", "task_index", "deleted_at")
+    out = e.groupBy("dataset_uid", "episode_index").agg(F.max_by(row, F.struct("indexed_at", "frames", "task_index", "deleted_at")).alias("r"), F.min("indexed_at").alias("first_indexed"))
+    return out.select("dataset_uid", "episode_index", "r.*", "first_indexed")
+
+
+@query
+def p4_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Episodes, total and median frames of each dataset."""
+    return dense_totals(latest_episodes(spark, folder), "dataset_uid", "frames").select("dataset_uid", F.col("rows").alias("episodes"), F.col("total").alias("total_frames"), F.col("median").alias("median_frames"))
+
+
+LATEST = """select * from (select *, min(indexed_at) over (partition by dataset_uid, episode_index) as first_indexed,
+    row_number() over (partition by dataset_uid, episode_index order by indexed_at desc nulls last, frames desc nulls last, task_index desc nulls last, deleted_at desc nulls last) as n
+    from episodes where dataset_uid is not null and episode_index is not null) where n = 1"""
+SQL["p4_totals"] = f"""select dataset_uid, count(*) as episodes, cast(sum(frames) as bigint) as total_frames, median(frames) as median_frames
+    from ({LATEST}) group by dataset_uid"""
+
+
+@query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    """Datasets with more than 3 percent of all episodes."""
+    totals = p4_totals(spark, folder)
+    return totals.join(F.broadcast(totals.agg(F.sum("episodes").alias("every"))), F.col("episodes") > 0.03 * F.col("every")).select("dataset_uid")
+
+
+SQL["p4_found"] = f"""with e as ({LATEST}) select dataset_uid from e group by dataset_uid having count(*) > 0.03 * (select count(*) from e)"""
