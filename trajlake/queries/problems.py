@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trajlake.operators.dense_totals import dense_totals
+from trajlake.operators.intervals import periods_and_gaps
+from trajlake.operators.references import Reference, Table, find_orphans
 from trajlake.operators.schema_drift import FIELDS, schema_changes, schema_fields, struct_fields, union_fields
 from trajlake.operators.spikes import find_spikes
 
@@ -93,3 +95,58 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["p4_found"] = f"""with e as ({LATEST}) select dataset_uid from e group by dataset_uid having count(*) > 0.03 * (select count(*) from e)"""
+
+
+@query
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return periods_and_gaps(table(spark, folder, "annotations"), ["dataset_uid", "episode_index"], "frame_start", "frame_end")
+
+
+SQL["p5_found"] = """with a as (select dataset_uid, episode_index, frame_start, frame_end,
+        max(frame_end) over (partition by dataset_uid, episode_index order by frame_start, frame_end rows between unbounded preceding and 1 preceding) as before
+    from annotations where frame_start <= frame_end),
+  n as (select *, sum(case when before is null or frame_start > before + 1 then 1 else 0 end)
+        over (partition by dataset_uid, episode_index order by frame_start, frame_end rows unbounded preceding) as island from a),
+  p as (select dataset_uid, episode_index, island, min(frame_start) as frame_start, max(frame_end) as frame_end from n group by all),
+  g as (select dataset_uid, episode_index, lag(frame_end) over (partition by dataset_uid, episode_index order by island) + 1 as frame_start, frame_start - 1 as frame_end from p)
+select dataset_uid, episode_index, 'period' as kind, frame_start, frame_end from p
+union all select dataset_uid, episode_index, 'gap', frame_start, frame_end from g where frame_start is not null"""
+
+
+def orphans(spark: SparkSession, folder: str) -> DataFrame:
+    month = lambda c: F.date_format(F.timestamp_seconds(F.col(c)), "yyyy-MM")
+    episodes = latest_episodes(spark, folder).withColumn("record_key", F.concat_ws("/", "dataset_uid", "episode_index")).withColumn("period", month("first_indexed"))
+    annotations = table(spark, folder, "annotations").select("annotation_id", "dataset_uid", "episode_index", "created_at", month("created_at").alias("period"))
+    tables = {
+        "datasets": Table(table(spark, folder, "datasets").filter("uid is not null").select("uid", F.lit("").alias("period")).distinct(), "uid", "period"),
+        "tasks": Table(table(spark, folder, "tasks").select("dataset_uid", "task_index", F.concat_ws("/", "dataset_uid", "task_index").alias("record_key"), F.lit("").alias("period")).dropna().distinct(), "record_key", "period"),
+        "episodes": Table(episodes, "record_key", "period"),
+        "annotations": Table(annotations, "annotation_id", "period"),
+    }
+    there = F.col("parent__deleted_at").isNull() & ~F.coalesce(F.col("parent__first_indexed") > F.col("created_at"), F.lit(False))
+    references = [
+        Reference("annotations", "dataset_uid", ("dataset_uid",), "datasets", ("uid",)),
+        Reference("annotations", "episode_index", ("dataset_uid", "episode_index"), "episodes", ("dataset_uid", "episode_index"), carry=("deleted_at", "first_indexed"), holds=there, unless="dataset_uid"),
+        Reference("episodes", "task_index", ("dataset_uid", "task_index"), "tasks", ("dataset_uid", "task_index")),
+    ]
+    return find_orphans(tables, references)
+
+
+@query
+def p6_found(spark: SparkSession, folder: str) -> DataFrame:
+    return orphans(spark, folder).filter("kind = 'direct'").select("table_name", "record_key", "field_name")
+
+
+SQL["p6_found"] = f"""with e as ({LATEST}), a as (select distinct annotation_id, dataset_uid, episode_index, created_at from annotations where annotation_id is not null)
+select distinct 'annotations' as table_name, annotation_id as record_key, 'dataset_uid' as field_name from a
+    where dataset_uid is not null and dataset_uid not in (select uid from datasets where uid is not null)
+union all select distinct 'annotations', a.annotation_id, 'episode_index' from a left join e using (dataset_uid, episode_index)
+    where a.dataset_uid in (select uid from datasets) and a.episode_index is not null and (e.first_indexed is null or e.deleted_at is not null or e.first_indexed > a.created_at)
+union all select 'episodes', concat(dataset_uid, '/', episode_index), 'task_index' from e
+    where task_index is not null and not exists (select 1 from tasks t where t.dataset_uid = e.dataset_uid and t.task_index = e.task_index)"""
+
+
+@query
+def p6_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Direct and inherited orphans of each table, field and month."""
+    return orphans(spark, folder).groupBy("table_name", "field_name", "period").agg(F.count_if(F.col("kind") == "direct").alias("direct"), F.count_if(F.col("kind") == "inherited").alias("inherited"))
