@@ -327,7 +327,9 @@ def find_spikes(
     sizes = rows.agg(F.count_distinct("src", "ctx").alias("keys"), *(F.max(F.size(f"v{n}")).alias(f"w{n}") for n in range(len(names)))).first()
     packed = sizes["keys"] * (200 + _ROW * sum(max(0, sizes[f"w{n}"] or 0) for n in range(len(names))))
 
-    blocks = F.sequence(F.floor((F.col("fr") - HALO) / BLOCK), F.floor((F.col("fr") + HALO) / BLOCK))
+    low = F.floor((F.col("fr") - HALO) / BLOCK)
+    low = F.when(F.col("fr") >= 0, F.greatest(low, F.lit(0))).otherwise(low)  # no block before an episode's begin
+    blocks = F.sequence(low, F.floor((F.col("fr") + HALO) / BLOCK))
     order = ["src", "ctx", "ep", "blk", "fr"]
     placed = rows.select("*", F.explode(blocks).alias("blk")).repartition("src", "ctx", "ep", "blk")
     measured = placed.sortWithinPartitions(*order).mapInArrow(_measure(len(names), gripper), "src string, ctx string, f int, d int, vals binary, steps binary, still bigint")
