@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from trajlake.llm.copies import collapse_copies
 from trajlake.llm.leaks import find_leaks
 from trajlake.llm.mix import mix_sources
+from trajlake.llm.subjects import fit_subjects, score_subjects
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -91,3 +92,24 @@ def p8_mix(spark: SparkSession, folder: str) -> DataFrame:
 def p8_shares(spark: SparkSession, folder: str) -> DataFrame:
     """Shares asked for and reached."""
     return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))[1]
+
+
+#: Part of a document's sentences with a subject from which it is about that subject.
+QUARTER = 0.25
+
+
+def document_subjects(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = fit_subjects(documents, table(spark, folder, "subject_examples"))
+    return score_subjects(documents, model)
+
+
+@query
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return document_subjects(spark, folder).filter(F.col("share") >= QUARTER).select("doc_id", "subject")
+
+
+@query
+def p9_composition(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and sentences of the corpus by subject."""
+    return document_subjects(spark, folder).groupBy("subject").agg(F.count_if(F.col("share") >= QUARTER).alias("documents"), F.sum("sentences").alias("sentences"))
