@@ -49,13 +49,13 @@ def local_polynomial(x: np.ndarray, window: int, order: int) -> np.ndarray:
     return np.concatenate([w[:h] @ x[:window], inner, w[h + 1 :] @ x[-window:]])
 
 
-def smooth(x: np.ndarray, medians: Sequence[int] = (5, 5), window: int = 11, order: int = 3) -> np.ndarray:
+def smooth(x: np.ndarray, medians: Sequence[int] = (5, 5), window: int = 11, degree: int = 3) -> np.ndarray:
     out = fill(x)
     for k in medians:
         if n := odd_window(k, len(out)):
             out = running_median(out, n)
-    n = odd_window(window, len(out), order + 2)
-    return local_polynomial(out, n, order) if n else out
+    n = odd_window(window, len(out), degree + 2)
+    return local_polynomial(out, n, degree) if n else out
 
 
 def unwrap(x: np.ndarray, places: Sequence[int]) -> np.ndarray:

@@ -90,7 +90,7 @@ def change_metrics(frames: DataFrame, keys: Sequence[str], order: Sequence[str],
     """For each vector `name`: name_residual, name_acceleration, name_jerk and name_bad (not finite), as arrays.
 
     Smoothing windows are shorter in short episodes and need the whole episode, so this is a numpy kernel over one
-    shuffle. `how` holds the smoothing's parameters (medians, window, order).
+    shuffle. `how` holds the smoothing's parameters (medians, window, degree).
     """
     angular, quaternions = angular or {}, quaternions or {}
     names = list(dict.fromkeys([*keys, *order, *carry]))
