@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from trajlake.plans.prefix import cumulative
+from trajlake.plans.storage import cut
 
 
 def periods_and_gaps(rows: DataFrame, keys: Sequence[str], start: str, end: str, levels: int = 2) -> DataFrame:
@@ -27,7 +28,7 @@ def periods_and_gaps(rows: DataFrame, keys: Sequence[str], start: str, end: str,
 
     def ranked(side: str) -> DataFrame:
         """Each distinct position with the rank of its last copy."""
-        n = fine.groupBy(*names, F.col(side).alias("pos")).agg(F.count(F.lit(1)).alias("n"))
+        n = cut(fine.groupBy(*names, F.col(side).alias("pos")).agg(F.count(F.lit(1)).alias("n")))  # read for each level of the tree
         return cumulative(n, names, "pos", "n", "rank", levels=levels)
 
     # a position's first copy follows rank `rank - n`; only the last copy of an end can be followed by a gap
@@ -37,6 +38,7 @@ def periods_and_gaps(rows: DataFrame, keys: Sequence[str], start: str, end: str,
     behind = fine.groupBy(*names).agg(F.count(F.lit(1)).alias("rank")).select(*names, F.lit(None).cast("bigint").alias("next_start"), "rank")
     edges = starts.unionByName(behind).join(ends, [*names, "rank"], "left")
     edges = edges.filter("rank = 0 or last_end is not null and (next_start is null or next_start > last_end + 1)")
+    edges = cut(edges)
     numbered = cumulative(edges.withColumn("one", F.lit(1)), names, "rank", "one", "nth", levels=levels)
     begins = numbered.filter("next_start is not null").select(*names, "nth", F.col("next_start").alias("s"))
     stops = numbered.filter("last_end is not null").select(*names, (F.col("nth") - 1).alias("nth"), F.col("last_end").alias("e"))
