@@ -31,8 +31,8 @@ def fill(x: np.ndarray) -> np.ndarray:
 def running_median(x: np.ndarray, window: int) -> np.ndarray:
     """Median of the window around each frame; beyond the ends the end values go on."""
     h = window // 2
-    around = np.clip(np.arange(len(x))[:, None] + np.arange(-h, h + 1), 0, len(x) - 1)
-    return np.median(x[around], axis=1)
+    longer = np.concatenate([np.repeat(x[:1], h, axis=0), x, np.repeat(x[-1:], h, axis=0)])
+    return np.partition(np.lib.stride_tricks.sliding_window_view(longer, window, axis=0), h, axis=-1)[..., h]
 
 
 @lru_cache(maxsize=64)

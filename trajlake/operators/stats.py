@@ -9,27 +9,35 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import above, finite, only_finite
 from trajlake.plans.prefix import cumulative
+from trajlake.plans.storage import cut
 
 #: Frames of one group that a calibration looks at, spread evenly over its frames; so an exact quantile stays bounded.
 SAMPLES = 200_000
 
 
+def _places(name: str, column: str) -> Column:
+    def place(x: Column, i: Column) -> Column:
+        return F.struct(F.lit(name).alias("feature"), i.cast("int").alias("dimension"), x.alias("value"))
+
+    return F.coalesce(F.transform(F.col(column).cast("array<double>"), place), F.array().cast("array<struct<feature:string,dimension:int,value:double>>"))
+
+
 def explode_places(frames: DataFrame, keep: Sequence[str], features: dict[str, str]) -> DataFrame:
-    """Long form: feature, dimension (0-based) and value, for each place of the named vectors; null vectors have none."""
-    parts = None
-    for name, column in features.items():
-        part = frames.select(*keep, F.lit(name).alias("feature"), F.posexplode(F.col(column).cast("array<double>")).alias("dimension", "value"))
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    """Long form: feature, dimension (0-based) and value, for each place of the named vectors; null vectors have none.
+
+    All vectors of a row are exploded at once, so the input is read once.
+    """
+    every = [_places(n, c) for n, c in features.items()]
+    return frames.select(*keep, F.inline(F.concat(*every) if len(every) > 1 else every[0]))
 
 
-def stride_sample(frames: DataFrame, group: str, episode: str, order: Sequence[str], capacity: int = SAMPLES) -> DataFrame:
+def stride_sample(frames: DataFrame, group: str, episode: str, order: Sequence[str], capacity: int = SAMPLES, counted: DataFrame | None = None) -> DataFrame:
     """Every n-th frame of a group in the order of episodes and frames, with n the least that keeps `capacity` at most.
 
     Positions come from running sums over the counts of episodes, never from one ordering of all frames. A group of up
-    to `capacity` frames is kept whole.
+    to `capacity` frames is kept whole. `counted` is a cheaper table with the same rows to count.
     """
-    counts = frames.groupBy(group, episode).agg(F.count(F.lit(1)).alias("__n"))
+    counts = cut((frames if counted is None else counted).groupBy(group, episode).agg(F.count(F.lit(1)).alias("__n")))
     upto = cumulative(counts, [group], episode, "__n", "__upto")
     total = counts.groupBy(group).agg(F.sum("__n").alias("__total"))
     place = upto.join(total, group).select(group, episode, (F.col("__upto") - F.col("__n")).alias("__off"), F.greatest(F.lit(1), F.ceil(F.col("__total") / capacity)).alias("__stride"))

@@ -79,11 +79,11 @@ def stage1(frames: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
     frames: dataset_uid, episode_index, frame_index, index, state, action. Frames without either vector are kept out of
     the metrics and are invalid. Thresholds come from at most `samples` evenly spread frames of each dataset.
     """
-    metrics = signals.change_metrics(frames.filter("state is not null and action is not null"), KEYS, ORDER, {v: v for v in VECTORS}, carry=["index"], angular=cfg.angular, quaternions=cfg.quaternions, medians=cfg.medians, window=cfg.window, degree=cfg.degree)
+    both = frames.filter("state is not null and action is not null")
+    metrics = signals.change_metrics(both, KEYS, ORDER, {v: v for v in VECTORS}, carry=["index"], angular=cfg.angular, quaternions=cfg.quaternions, medians=cfg.medians, window=cfg.window, degree=cfg.degree)
     names = [f"{v}_{m}" for v in VECTORS for m in ("residual", "acceleration", "jerk")]
-    sample = stats.stride_sample(metrics, "dataset_uid", "episode_index", ORDER, cfg.samples)
-    long = stats.explode_places(sample, ["dataset_uid"], {n: n for n in names})
-    thresholds = cut(stats.robust_thresholds(long, ["dataset_uid", "feature", "dimension"], "value", cfg.mad_scale, cfg.quantile_floor))
+    sample = stats.stride_sample(metrics, "dataset_uid", "episode_index", ORDER, cfg.samples, counted=both).select("dataset_uid", *names)
+    thresholds = cut(signals.robust_limits(sample, "dataset_uid", names, cfg.mad_scale, cfg.quantile_floor))
     limits = _limits(thresholds, "dataset_uid", ["threshold"], names).select("dataset_uid", *(F.col(n).alias(f"{n}_limit") for n in names))
     flags = signals.sudden_changes(metrics, limits, "dataset_uid", VECTORS)
     flagged = flags.withColumn("flagged_frame", any_of(F.col("state_flags")) | any_of(F.col("action_flags")))
