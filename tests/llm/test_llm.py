@@ -206,12 +206,12 @@ def test_subjects_of_held_out_documents(spark):
 def test_gradients_are_right():
     m = Model(["a", "b"], buckets=64, size=3)
     rows = [(np.array([1, 5, 9]), np.array([0.5, 0.25, 0.25]), np.array([1.0, 0.0]), 1.0), (np.array([5]), np.array([1.0]), np.array([0.0, 1.0]), 2.0)]
-    own, g, out, bias, loss, _ = subjects.gradients(m, rows)
+    own, g, out, bias, loss, _ = subjects.gradients(m, *subjects.packed(rows))
     for k, place in enumerate(own):
         m.embed[place, 1] += 1e-2
-        up = subjects.gradients(m, rows)[4]
+        up = subjects.gradients(m, *subjects.packed(rows))[4]
         m.embed[place, 1] -= 2e-2
-        down = subjects.gradients(m, rows)[4]
+        down = subjects.gradients(m, *subjects.packed(rows))[4]
         m.embed[place, 1] += 1e-2
         assert (up - down) / 2e-2 == pytest.approx(g[k, 1], abs=2e-3)
 

@@ -81,20 +81,25 @@ class Model:
         return [self.embed, self.out, self.bias]
 
 
-def gradients(model: Model, rows: Sequence[tuple[np.ndarray, np.ndarray, np.ndarray, float]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float, float]:
-    """(touched places, their gradients, of the outputs, of the bias, loss, weight) of rows of features, weights, labels, weight."""
-    at = np.concatenate([r[0] for r in rows])
-    share = np.concatenate([r[1] for r in rows]).astype(np.float32)
+Row = tuple[Sequence[int], Sequence[float], Sequence[float], float]
+
+
+def packed(rows: Sequence[Row]) -> tuple[np.ndarray, ...]:
+    """Rows of features, weights, labels and weight as flat arrays: places, weights, row of each place, labels, weights."""
     owner = np.repeat(np.arange(len(rows)), [len(r[0]) for r in rows])
-    hidden = np.zeros((len(rows), model.size), np.float32)
-    np.add.at(hidden, owner, model.embed[at] * share[:, None])
+    flat = lambda k, kind: np.concatenate([np.asarray(r[k], kind) for r in rows])
+    return flat(0, np.int64), flat(1, np.float32), owner, np.stack([np.asarray(r[2], np.float32) for r in rows]), np.array([r[3] for r in rows], np.float32)
+
+
+def gradients(model: Model, at: np.ndarray, share: np.ndarray, owner: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, float, float]:
+    """(touched places, their gradients, of the outputs, of the bias, loss, weight) of packed rows."""
+    part = lambda index, values, n: np.stack([np.bincount(index, values[:, k], n) for k in range(values.shape[1])], axis=1).astype(np.float32)
+    hidden = part(owner, model.embed[at] * share[:, None], len(y))
     p = 1 / (1 + np.exp(-(hidden @ model.out + model.bias)))
-    y, w = np.stack([r[2] for r in rows]), np.array([r[3] for r in rows], np.float32)
     error = (p - y) * w[:, None]
     back = error @ model.out.T
     own, inverse = np.unique(at, return_inverse=True)
-    g = np.zeros((len(own), model.size), np.float32)
-    np.add.at(g, inverse, back[owner] * share[:, None])
+    g = part(inverse, back[owner] * share[:, None], len(own))
     loss = -(w[:, None] * (y * np.log(p + 1e-9) + (1 - y) * np.log(1 - p + 1e-9))).sum()
     return own, g, hidden.T @ error, error.sum(0), float(loss), float(w.sum())
 
@@ -205,14 +210,18 @@ def _word_context(shared, least: float, mass: float):
     return run
 
 
+_PACKED = ("at", "share", "owner", "labels", "weight")
+_KINDS = ("<i8", "<f4", "<i8", "<f4", "<f4")
+
+
 def _gradient(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = []
+        model = shared.value
         for b in batches:
-            rows += [(np.array(i, np.int64), np.array(w, np.float32), np.array(y, np.float32), x) for i, w, y, x in zip(*(b.column(c).to_pylist() for c in ("ids", "weights", "labels", "weight"))) if i]
-        if rows:
-            own, g, out, bias, loss, weight = gradients(shared.value, rows)
-            yield pa.RecordBatch.from_arrays([pa.array([own.astype("<i8").tobytes()], pa.binary()), pa.array([g.astype("<f4").tobytes()], pa.binary()), pa.array([out.astype("<f4").tobytes()], pa.binary()), pa.array([bias.astype("<f4").tobytes()], pa.binary()), pa.array([loss]), pa.array([weight])], ["own", "g", "out", "bias", "loss", "weight"])
+            for i in range(b.num_rows):
+                at, share, owner, y, w = (np.frombuffer(b.column(c)[i].as_py(), k) for c, k in zip(_PACKED, _KINDS))
+                own, g, out, bias, loss, weight = gradients(model, at, share, owner, y.reshape(len(w), -1), w)
+                yield pa.RecordBatch.from_arrays([pa.array([own.astype("<i8").tobytes()], pa.binary()), pa.array([g.astype("<f4").tobytes()], pa.binary()), pa.array([out.astype("<f4").tobytes()], pa.binary()), pa.array([bias.astype("<f4").tobytes()], pa.binary()), pa.array([loss]), pa.array([weight])], ["own", "g", "out", "bias", "loss", "weight"])
 
     return run
 
@@ -220,7 +229,7 @@ def _gradient(shared):
 def train(model: Model, rows: DataFrame, steps: int, rate: float) -> Model:
     """Fit by Adam: each step adds up the partitions' gradients at one set of parameters and sends the next set out.
 
-    rows: ids, weights, labels, weight; a bounded number of them. A partition returns at most the model's size.
+    rows: a row of packed arrays for each partition. A partition returns at most the model's size.
     """
     spark, best = rows.sparkSession, Adam(model.parameters(), rate)
     for _ in range(steps):
@@ -260,10 +269,16 @@ class Settings:
     rounds: int = 2
 
 
-def _rows(spark, model: Model, items: Sequence[tuple[Sequence[str], Sequence[float], float]]) -> DataFrame:
-    data = [(*(list(map(x, y)) for x, y in zip((int, float), model.row(words))), list(map(float, labels)), float(weight)) for words, labels, weight in items]
-    schema = "ids array<bigint>, weights array<double>, labels array<double>, weight double"
-    return cut(spark.createDataFrame([r for r in data if r[0]], schema).repartition(PARTITIONS))
+def _row(model: Model, words: Sequence[str], labels: Sequence[float], weight: float) -> Row:
+    return (*model.row(words), labels, weight)
+
+
+def _rows(spark, rows: Sequence[Row]) -> DataFrame:
+    """A bounded number of labelled rows, packed for PARTITIONS partitions."""
+    some = [r for r in rows if len(r[0])]
+    parts = [packed(some[k::PARTITIONS]) for k in range(PARTITIONS) if some[k::PARTITIONS]]
+    data = [tuple(bytearray(x.astype(k).tobytes()) for x, k in zip(p, _KINDS)) for p in parts]
+    return cut(spark.createDataFrame(data, ", ".join(f"{c} binary" for c in _PACKED)).repartition(max(1, len(data))))
 
 
 def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings = Settings(), *, text: str = "text", subject: str = "subject") -> Model:
@@ -284,7 +299,7 @@ def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings =
     hot = np.eye(len(names))
     label = {n: hot[i] for i, n in enumerate(names)}
     told = [(w, label[r["s"]], 1.0) for r in some for w in sentences(r["t"])]
-    train(model, _rows(spark, model, told), settings.steps, settings.rate)
+    train(model, _rows(spark, [_row(model, *x) for x in told]), settings.steps, settings.rate)
     corpus = documents.filter(F.col(text).isNotNull()).select(F.col(text).alias("t"))
     cols = [f"s{j}" for j in range(len(names))]
     for r in range(settings.rounds):
@@ -299,7 +314,7 @@ def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings =
         often = sorted(share, key=lambda w: (-share[w][1], w))[:LEXICON_ROWS]
         plain = Model(names)  # words are learned without their attention
         lexicon = [([w], hot[int(share[w][0].argmax())] if attention[w] > 0.5 else np.zeros(len(names)), 3.0 if attention[w] > 0.5 else 1.0) for w in often if attention[w] == 0 or attention[w] > 0.5]
-        rows = _rows(spark, plain, lexicon).unionByName(_rows(spark, model, [x for x in told if any(attention.get(w, 0) > 0.5 for w in x[0])]))
+        rows = _rows(spark, [_row(plain, *x) for x in lexicon] + [_row(model, *x) for x in told if any(attention.get(w, 0) > 0.5 for w in x[0])])
         train(model, rows, settings.steps, settings.rate)
         shared.destroy()
     return model
