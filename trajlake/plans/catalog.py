@@ -235,11 +235,11 @@ def tombstones(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame
     return old.select(*keys).distinct().join(new.select(*keys).distinct(), [*keys], "left_anti")
 
 
-def shard_fingerprints(payloads: DataFrame, size: int) -> DataFrame:
+def shard_fingerprints(payloads: DataFrame, size: int, keys: Sequence[str] = ()) -> DataFrame:
     """(shard, rows, least and largest episode, SHA-256 of its payloads in the order of episodes) for shards of `size` episodes."""
     shard = F.floor(F.col("episode_index") / size).cast("bigint")
     lines = F.array_sort(F.collect_list(F.struct("episode_index", "payload_json")))
-    return payloads.groupBy(shard.alias("shard")).agg(F.count(F.lit(1)).alias("rows"), F.min("episode_index").alias("min_episode"), F.max("episode_index").alias("max_episode"), lines.alias("__l")).withColumn("fingerprint", F.sha2(F.array_join(F.transform("__l", lambda x: x["payload_json"]), "\n"), 256)).drop("__l")
+    return payloads.groupBy(*keys, shard.alias("shard")).agg(F.count(F.lit(1)).alias("rows"), F.min("episode_index").alias("min_episode"), F.max("episode_index").alias("max_episode"), lines.alias("__l")).withColumn("fingerprint", F.sha2(F.array_join(F.transform("__l", lambda x: x["payload_json"]), "\n"), 256)).drop("__l")
 
 
 def changed_shards(old: DataFrame, new: DataFrame) -> DataFrame:

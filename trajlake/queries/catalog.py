@@ -171,10 +171,10 @@ def merge_duplicate_roots(spark: SparkSession, folder: str) -> DataFrame:
     return C.merge_duplicate_roots(table(spark, folder, "datasets"))
 
 
-@R.add("""with m as (select distinct uid, concat('new/', uid) as kept_uid from datasets where uid < 'h') select coalesce(kept_uid, dataset_uid) as dataset_uid, count(*) as episodes from episodes left join m on uid = dataset_uid group by all""")
+@R.add("""with m as (select distinct uid, concat('new/', uid) as kept_uid from datasets) select coalesce(kept_uid, dataset_uid) as dataset_uid, count(*) as episodes from episodes left join m on uid = dataset_uid group by all""")
 def rekeyed_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Episodes under new names of some datasets."""
-    m = table(spark, folder, "datasets").select("uid", F.concat(F.lit("new/"), "uid").alias("kept_uid")).distinct().filter("uid < 'h'")
+    """Episodes under new names of their datasets."""
+    m = table(spark, folder, "datasets").select("uid", F.concat(F.lit("new/"), "uid").alias("kept_uid")).distinct()
     return C.rekey(table(spark, folder, "episodes"), m).groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("episodes"))
 
 
@@ -209,15 +209,15 @@ def validity_chain_and(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def repairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Two layers of repairs: the first replaces forces of even frames, the second those of every third."""
+    """Two layers of repairs: the first replaces forces that push down, the second, above it, those that push back."""
     f = frame_rows(spark, folder).filter("force is not null")
-    one = f.filter("frame_index % 2 = 0").withColumn("force", F.transform("force", lambda x: F.when(finite(x), x).otherwise(0.0)))
-    two = f.filter("frame_index % 3 = 0").withColumn("force", F.transform("force", lambda x: F.when(finite(x), x * 2).otherwise(1.0)))
+    one = f.filter("force[2] < 0").withColumn("force", F.transform("force", lambda x: F.when(finite(x), x).otherwise(0.0)))
+    two = f.filter("force[1] < 0").withColumn("force", F.transform("force", lambda x: F.when(finite(x), x * 2).otherwise(1.0)))
     return curation.overlay_repairs([one, two], ["force"])
 
 
-_REPAIRS = f"""{FRAMES}, o as (select dataset_uid, episode_index, frame_index, force, case when frame_index % 3 = 0 then list_transform(force, lambda x: case when isfinite(x) then x * 2 else 1 end)
-  when frame_index % 2 = 0 then list_transform(force, lambda x: case when isfinite(x) then x else 0 end) end as fixed from f where force is not null)"""
+_REPAIRS = f"""{FRAMES}, o as (select dataset_uid, episode_index, frame_index, force, case when force[2] < 0 then list_transform(force, lambda x: case when isfinite(x) then x * 2 else 1 end)
+  when force[3] < 0 then list_transform(force, lambda x: case when isfinite(x) then x else 0 end) end as fixed from f where force is not null)"""
 
 
 @R.add(f"with {_REPAIRS} select dataset_uid, count(*) as frames, round(sum(fixed[1]) filter (abs(fixed[1]) < 1000), 3) as total from o where fixed is not null group by all")
@@ -272,30 +272,30 @@ def tombstone_diff(spark: SparkSession, folder: str) -> DataFrame:
     return C.tombstones(e, e.filter("indexed_at > 1750000000"), KEYS)
 
 
-@R.add("""with p as (select distinct episode_index, concat('{"frames":', frames, '}') as payload_json from episodes where dataset_uid = 'norrin/tabletop_pick_013')
-  select cast(floor(episode_index / 100) as bigint) as shard, count(*) as rows, min(episode_index) as min_episode, max(episode_index) as max_episode, sha256(string_agg(payload_json, chr(10) order by episode_index, payload_json)) as fingerprint from p group by all""")
+@R.add("""with p as (select distinct dataset_uid, episode_index, concat('{"frames":', frames, '}') as payload_json from episodes)
+  select dataset_uid, cast(floor(episode_index / 100) as bigint) as shard, count(*) as rows, min(episode_index) as min_episode, max(episode_index) as max_episode, sha256(string_agg(payload_json, chr(10) order by episode_index, payload_json)) as fingerprint from p group by all""")
 def shard_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    """Shards of one dataset's stage snapshot."""
-    p = table(spark, folder, "episodes").filter("dataset_uid = 'norrin/tabletop_pick_013'").select("episode_index", F.concat(F.lit('{"frames":'), "frames", F.lit("}")).alias("payload_json")).distinct()
-    return C.shard_fingerprints(p, 100)
+    """Shards of each dataset's stage snapshot."""
+    p = table(spark, folder, "episodes").select("dataset_uid", "episode_index", F.concat(F.lit('{"frames":'), "frames", F.lit("}")).alias("payload_json")).distinct()
+    return C.shard_fingerprints(p, 100, ["dataset_uid"])
 
 
 @R.add("""with o as (select distinct dataset_uid, episode_index, frames from episodes qualify row_number() over (partition by dataset_uid, episode_index order by indexed_at, frames) = 1),
-  n as (select distinct dataset_uid, episode_index, frames + 1 as frames from o where episode_index % 7 = 0)
-  select * from n union all select * from o where episode_index % 7 <> 0""")
+  n as (select distinct dataset_uid, episode_index, frames + 1 as frames from o where frames > 100)
+  select * from n union all select * from o where frames <= 100 or frames is null""")
 def upsert_latest(spark: SparkSession, folder: str) -> DataFrame:
-    """First deliveries, those of every seventh episode replaced."""
+    """First deliveries, those of long episodes replaced."""
     o = table(spark, folder, "episodes").groupBy(*KEYS).agg(F.min_by("frames", F.struct("indexed_at", "frames")).alias("frames"))
-    return C.upsert(o, o.filter("episode_index % 7 = 0").withColumn("frames", F.col("frames") + 1), KEYS)
+    return C.upsert(o, o.filter("frames > 100").withColumn("frames", F.col("frames") + 1), KEYS)
 
 
-@R.add("""with a as (select uid, max(frames) as v from datasets where snapshot_id % 3 <> 0 group by all), b as (select uid, max(frames) as v from datasets where snapshot_id % 3 <> 1 group by all)
+@R.add("""with a as (select uid, max(frames) as v from datasets where scanned_at < 1748000000 group by all), b as (select uid, max(frames) as v from datasets where scanned_at > 1740000000 group by all)
   select uid, case when b.uid is null then 'missing' when a.uid is null then 'extra' else 'changed' end as difference from a full join b using (uid) where a.v is distinct from b.v""")
 def key_differences(spark: SparkSession, folder: str) -> DataFrame:
-    """Datasets that two sets of scans list differently."""
+    """Datasets that earlier and later scans list differently."""
     d = table(spark, folder, "datasets")
-    part = lambda n: d.filter(f"snapshot_id % 3 <> {n}").groupBy("uid").agg(F.max("frames").alias("v"))
-    return C.key_differences(part(0), part(1), "uid", "v")
+    part = lambda when: d.filter(when).groupBy("uid").agg(F.max("frames").alias("v"))
+    return C.key_differences(part("scanned_at < 1748000000"), part("scanned_at > 1740000000"), "uid", "v")
 
 
 @R.add("""select dataset_uid, episode_index, 'left' as side from (select dataset_uid, episode_index from episodes except all select distinct dataset_uid, episode_index from episodes)""")

@@ -201,10 +201,10 @@ def gradient_flags(spark: SparkSession, folder: str) -> DataFrame:
 
 @R.add(f"""with {FRAMES}, s as (select *, x - lag(x) over w as d from (select dataset_uid, episode_index, frame_index, state[1] as x from f where isfinite(state[1])) window w as {W}),
   c as (select *, case when abs(d) >= pi() then (case when m = -pi() and d > 0 then pi() else m end) - d else 0 end as fix from (select *, (d + pi()) - 2 * pi() * floor((d + pi()) / (2 * pi())) - pi() as m from s))
-  select dataset_uid, episode_index, frame_index, round(x + sum(coalesce(fix, 0)) over (partition by dataset_uid, episode_index order by frame_index rows unbounded preceding), 4) as angle from c where dataset_uid like 'b%'""")
+  select dataset_uid, episode_index, frame_index, round(x + sum(coalesce(fix, 0)) over (partition by dataset_uid, episode_index order by frame_index rows unbounded preceding), 4) as angle from c""")
 def unwrap_angle(spark: SparkSession, folder: str) -> DataFrame:
-    """The first joint as an angle in radians, for the datasets of one family."""
-    f = frame_rows(spark, folder).select(*KEYS, *ORDER, place("state", 0).alias("x")).filter(finite(F.col("x")) & F.col("dataset_uid").startswith("b"))
+    """The first joint as an angle in radians."""
+    f = frame_rows(spark, folder).select(*KEYS, *ORDER, place("state", 0).alias("x")).filter(finite(F.col("x")))
     return signals.unwrapped(f, KEYS, ORDER, "x", "angle").select(*KEYS, *ORDER, F.round("angle", 4).alias("angle"))
 
 
@@ -326,7 +326,7 @@ def survivor_rank(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- trends
 
-_LAGS = f"""with {FRAMES}, s as (select dataset_uid, episode_index, row_number() over {W} as p, state[2] as s, action[2] as a from f where dataset_uid like 'b%'),
+_LAGS = f"""with {FRAMES}, s as (select dataset_uid, episode_index, row_number() over {W} as p, state[2] as s, action[2] as a from f),
   k as (select unnest(range(-3, 4)) as lag),
   j as (select x.dataset_uid, x.episode_index, lag, x.a, y.s from s x, k, s y where y.dataset_uid = x.dataset_uid and y.episode_index = x.episode_index and y.p = x.p + lag),
   c as (select dataset_uid, episode_index, lag, count(*) filter (isfinite(a) and isfinite(s)) as n, corr(a, s) filter (isfinite(a) and isfinite(s)) as r,
@@ -334,10 +334,10 @@ _LAGS = f"""with {FRAMES}, s as (select dataset_uid, episode_index, row_number()
 
 
 @R.add(_LAGS + """, v as (select *, round(case when n >= 3 and size > 1e-15 then r else '-inf'::double end, 6) as v from c)
-  select dataset_uid, episode_index, cast(arg_max(lag, v * 1000000 * 10 + lag) as int) as best_lag, case when max(v) > '-inf'::double then max(v) end as best_correlation from v where v > '-inf'::double group by all""")
+  select dataset_uid, episode_index, cast(arg_max(lag, (v, lag)) as int) as best_lag, case when max(v) > '-inf'::double then max(v) end as best_correlation from v group by all""")
 def best_lag_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    """The lag at which the second joint follows its action best, for the datasets of one family."""
-    f = frame_rows(spark, folder).filter(F.col("dataset_uid").startswith("b")).withColumn("p", F.row_number().over(runs.ordered(KEYS, ORDER)))
+    """The lag at which the second joint follows its action best."""
+    f = frame_rows(spark, folder).withColumn("p", F.row_number().over(runs.ordered(KEYS, ORDER)))
     p = trend.lag_products(f, KEYS, "p", place("action", 1), place("state", 1), 3).withColumn("correlation", F.round("correlation", 6))
     return trend.best_lag(p, KEYS)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -75,7 +76,7 @@ def read_drifting(spark: SparkSession, folder: str, pattern: str = "*.parquet")
     headers = read_headers(spark, folder, pattern)
     kinds = headers.filter("schema is not null").groupBy("schema").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy(F.col("paths")[0]).collect()
     union: dict[str, T.DataType] = {}
-    parsed = [(T.StructType.fromJson(__import__("json").loads(k["schema"])), k["paths"]) for k in kinds]
+    parsed = [(T.StructType.fromJson(json.loads(k["schema"])), k["paths"]) for k in kinds]
     for schema, _ in parsed:
         for f in schema:
             union[f.name] = promote_types(union.get(f.name, T.NullType()), f.dataType)
