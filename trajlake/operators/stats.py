@@ -56,7 +56,7 @@ def robust_thresholds(values: DataFrame, keys: Sequence[str], value: str, scale:
     # medians ignore NaN only; an infinite value is bad input here and left out as well
     mid = rows.groupBy(*keys).agg(F.percentile("v", F.lit(0.5)).alias("mid"), F.percentile("v", F.lit(floor)).alias("top"), F.percentile(F.abs("v"), F.lit(0.99)).alias("size"))
     spread = rows.join(mid.select(*keys, "mid"), [*keys]).groupBy(*keys).agg(F.percentile(F.abs(F.col("v") - F.col("mid")), F.lit(0.5)).alias("mad"))
-    return mid.join(spread, [*keys], "left").select(*keys, F.greatest(F.col("mid") + scale * 1.4826 * F.col("mad"), "top", F.greatest(F.col("size"), F.lit(1.0)) * 1e-10).alias("threshold"))
+    return mid.join(spread, [*keys], "left").select(*keys, F.when(F.col("mid").isNotNull(), F.greatest(F.col("mid") + scale * 1.4826 * F.col("mad"), "top", F.greatest(F.col("size"), F.lit(1.0)) * 1e-10)).alias("threshold"))
 
 
 def quantile_bounds(values: DataFrame, keys: Sequence[str], value: str, low: float = 0.01, high: float = 0.99, alpha: float = 0.0) -> DataFrame:

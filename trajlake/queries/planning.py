@@ -161,4 +161,4 @@ def legacy_bounds(spark: SparkSession, folder: str) -> DataFrame:
 def legacy_pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Outcomes of the older pipeline by stage and reason (whole episodes in numpy; tested by cases)."""
     f = frame_rows(spark, folder).filter("state is not null and action is not null")
-    return catalog.outcome_counts(legacy.run(f, legacy.Config(residual=100.0, acceleration=1000.0, jerk=1000.0, agreement=0.5, most_lag=20))[1])
+    return catalog.outcome_counts(legacy.run(f, legacy.Config(residual=20.0, acceleration=200.0, jerk=200.0, agreement=0.85))[1])
