@@ -112,7 +112,7 @@ def read_tasks(spark: SparkSession, path: str | Path) -> DataFrame:
     """task_index and task, whatever the name's column is called; empty without the file or a name."""
     file = Path(path) / "meta/tasks.parquet"
     empty = spark.createDataFrame([], "task_index bigint, task string")
-    if not file.is_file():
+    if not file.exists():
         return empty
     df = spark.read.parquet(str(file))
     have = [F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")) for c in TASK_NAMES if c in df.columns]

@@ -89,7 +89,7 @@ def write_dataset(frames: DataFrame, out: str, fps: float, version: str = "v3.0"
     rows = rows.select("episode_index", "frame_index", (F.col("first") + F.row_number().over(_frame_order()) - 1).alias("index"), F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "task_index")
     rows.repartitionByRange("episode_index").sortWithinPartitions("episode_index", "frame_index").write.option("compression", "zstd").parquet(f"{staged}/data/chunk-000")
     n.select("episode_index", "length", F.array("task").alias("tasks")).coalesce(1).write.parquet(f"{staged}/meta/episodes")
-    tasks.select("task_index", "task").coalesce(1).write.parquet(f"{staged}/meta/tasks")
+    tasks.select("task_index", "task").coalesce(1).write.parquet(f"{staged}/meta/tasks.parquet")
     total = n.agg(F.count(F.lit(1)).alias("e"), F.coalesce(F.sum("length"), F.lit(0)).alias("f")).first()
     feature = lambda c: {"dtype": "float32", "shape": [widths[f"most_{c}"]], "names": None}
     write_json(f"{staged}/meta/info.json", {"codebase_version": version, "fps": fps, "total_episodes": total["e"], "total_frames": total["f"], "features": {"observation.state": feature("state"), "action": feature("action")}})
