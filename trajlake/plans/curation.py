@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from trajlake.functions.scalars import canonical_json_text, merge_layers
 from trajlake.functions.vectors import any_of, beyond, failed_places, masked
 from trajlake.operators import signals, stats, trend
-from trajlake.operators.references import Table  # noqa: F401
 from trajlake.plans.storage import cut
 
 VECTORS = ("state", "action")
@@ -119,12 +118,11 @@ def stage3(frames: DataFrame, embodiments: DataFrame | None = None, cfg: Config
     They come from valid frames only; a gripper's places only count when not finite. No episode is rejected.
     """
     e = frames.withColumn("embodiment", F.col("dataset_uid")) if embodiments is None else frames.join(embodiments, "dataset_uid", "left").withColumn("embodiment", F.coalesce("embodiment", "dataset_uid"))
-    # positions for the sample run over an embodiment's datasets and episodes
-    good = e.filter("valid").withColumn("__e", F.struct("dataset_uid", "episode_index"))
-    total = good.groupBy("embodiment").agg(F.max(F.size("state")).alias("w"), F.count(F.lit(1)).alias("n"))
+    good = e.filter("valid")
+    total = good.groupBy("embodiment").agg(F.count(F.lit(1)).alias("n"))
     stride = F.greatest(F.lit(1), F.ceil(F.col("n") / cfg.samples))
     # the hash of a frame stands in for its place in an embodiment's order, which spans datasets
-    sample = good.join(F.broadcast(total), "embodiment").filter((F.col("n") <= cfg.samples) | (F.pmod(F.xxhash64(*STEP), stride) == 0))
+    sample = good.join(total, "embodiment").filter((F.col("n") <= cfg.samples) | (F.pmod(F.xxhash64(*STEP), stride) == 0))
     long = stats.explode_places(sample, ["embodiment"], {v: v for v in VECTORS})
     bounds = cut(stats.quantile_bounds(long, ["embodiment", "feature", "dimension"], "value", alpha=cfg.alpha))
     limits = _limits(bounds, "embodiment", ["lower", "upper"], VECTORS)
@@ -244,8 +242,6 @@ def run(spark: SparkSession, frames: DataFrame, out: str, stages: Sequence[int]
     for n in sorted(stages):
         view = view_of(spark, frames, parent)
         labels = stage1(view.drop("valid"), cfg) if n == 1 else stage2(view, cfg) if n == 2 else stage3(view, embodiments, cfg)
-        if n == 1 and parent:
-            labels["step_validity"] = labels["step_validity"].withColumn("valid", F.col("valid"))
         base = f"{out}/stage{n}"
         for name, df in labels.items():
             df.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").parquet(f"{base}/labels/{name}")

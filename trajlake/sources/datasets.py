@@ -135,7 +135,7 @@ def read_episodes(spark: SparkSession, path: str | Path) -> DataFrame:
     tasks = read_tasks(spark, path).groupBy("task").agg(F.min("task_index").alias("task_index"))
     out = df.select(F.col("episode_index").cast("bigint").alias("episode_index"), count.alias("frames"), instruction.alias("instruction"), shown.alias("cameras"))
     fps = F.lit(float(info.get("fps") or 0))
-    return out.join(F.broadcast(tasks), out["instruction"] == tasks["task"], "left").select("episode_index", "frames", F.try_divide("frames", fps).alias("duration"), "instruction", "task_index", "cameras", fps.alias("fps"))
+    return out.join(tasks, out["instruction"] == tasks["task"], "left").select("episode_index", "frames", F.try_divide("frames", fps).alias("duration"), "instruction", "task_index", "cameras", fps.alias("fps"))
 
 
 def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -85,7 +85,7 @@ def write_dataset(frames: DataFrame, out: str, fps: float, version: str = "v3.0"
     from trajlake.plans.prefix import cumulative
 
     offset = cumulative(n.withColumn("k", F.lit(0)), ["k"], "episode_index", "length", "upto").select("episode_index", (F.col("upto") - F.col("length")).alias("first"))
-    rows = frames.join(offset, "episode_index").join(F.broadcast(tasks.select("task", "task_index")), "task", "left")
+    rows = frames.join(offset, "episode_index").join(tasks.select("task", "task_index"), "task", "left")
     rows = rows.select("episode_index", "frame_index", (F.col("first") + F.row_number().over(_frame_order()) - 1).alias("index"), F.col("state").cast("array<float>").alias("observation.state"), F.col("action").cast("array<float>").alias("action"), "task_index")
     rows.repartitionByRange("episode_index").sortWithinPartitions("episode_index", "frame_index").write.option("compression", "zstd").parquet(f"{staged}/data/chunk-000")
     n.select("episode_index", "length", F.array("task").alias("tasks")).coalesce(1).write.parquet(f"{staged}/meta/episodes")
