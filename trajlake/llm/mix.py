@@ -16,6 +16,8 @@ from trajlake.plans.storage import cut
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Hash ranges of a source; only the one range in which a cut lies is ever sorted.
 RANGE_BITS = 12
+#: Sources that a mix may have; their targets and the sums of their ranges are sent to every task.
+SOURCES = 1024
 
 
 def load_tokenizer(path: str, pattern: str | None = None):
@@ -61,10 +63,13 @@ def mix_sources(documents: DataFrame, targets: DataFrame, *, doc: str = "doc_id"
     order of keys as far as they fit: prefix sums over 2**12 hash ranges find the range in which the budget ends, and
     only that range is sorted. So a source may hold any part of all rows. Each source ends less than one document below
     its budget. Null and unnamed sources, those without a target, and documents without id are not in the mix; empty
-    texts have no tokens and count nowhere; repeated rows of a document are further documents.
+    texts have no tokens and count nowhere; repeated rows of a document are further documents. More than SOURCES targets
+    are an error.
     """
     goal = targets.select(source_name(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("target_share"), F.greatest(F.col("max_repeats"), F.lit(0)).cast("bigint").alias("max_repeats"))
     goal = goal.filter("source is not null and target_share > 0 and max_repeats is not null").groupBy("source").agg(F.sum("target_share").alias("target_share"), F.max("max_repeats").alias("max_repeats"))
+    if goal.limit(SOURCES + 1).count() > SOURCES:
+        raise ValueError(f"a mix has at most {SOURCES} sources")
     named = documents.filter(F.col(f"`{doc}`").isNotNull()).select(F.col(f"`{doc}`").alias("doc"), source_name(F.col(f"`{source}`")).alias("source"), F.xxhash64(F.lit(seed), F.col(f"`{doc}`")).alias("key"), F.col(f"`{text}`").alias("text"))
     named = named.join(F.broadcast(goal.select("source")), "source", "left_semi").select("doc", "source", "key", "text")
     kind = documents.schema[doc].dataType.simpleString()
