@@ -250,8 +250,8 @@ def train(model: Model, rows: DataFrame, steps: int, rate: float) -> Model:
 
 #: Labelled rows that a fit uses at most: examples (taken in hash order) and words of the corpus (most frequent first).
 EXAMPLES, LEXICON_ROWS = 20_000, 20_000
-#: A word is in the lexicon if it makes up at least this part of all words (so there are at most 500,000), and occurs so often.
-PART, LEAST_N = 2e-6, 10
+#: A word is in the lexicon if it makes up at least this part of all words (so there are at most 200,000), and occurs so often.
+PART, LEAST_N = 5e-6, 10
 PARTITIONS = 4
 
 
@@ -307,8 +307,10 @@ def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings =
         seen = corpus.mapInArrow(_word_context(shared, settings.least, settings.mass if r else 0.0), "word string, " + ", ".join(f"{c} double" for c in [*cols, "n"])).groupBy("word").agg(*(F.sum(c).alias(c) for c in [*cols, "n"]))
         seen = cut(seen.filter(F.col("n") >= 2))
         every = seen.agg(F.sum("n")).first()[0] or 0
-        words = seen.filter(F.col("n") >= max(LEAST_N, PART * every)).collect()  # at most 1 / PART
-        share = {w["word"]: (np.array([w[c] for c in cols]) / w["n"], w["n"]) for w in words}
+        words = seen.filter(F.col("n") >= max(LEAST_N, PART * every)).toArrow()  # at most 1 / PART rows
+        n = np.asarray(words["n"])
+        part = np.stack([np.asarray(words[c]) for c in cols], axis=1) / n[:, None]
+        share = dict(zip(words["word"].to_pylist(), zip(part, n.tolist())))
         attention = {w: float(np.clip((v.max() - settings.low) / (settings.high - settings.low), 0, 1)) for w, (v, _) in share.items()}
         model = Model(names, attention=attention, unknown=0.2, seed=r + 1)
         often = sorted(share, key=lambda w: (-share[w][1], w))[:LEXICON_ROWS]
