@@ -114,7 +114,8 @@ union all select dataset_uid, episode_index, 'gap', frame_start, frame_end from
 
 
 def orphans(spark: SparkSession, folder: str) -> DataFrame:
-    month = lambda c: F.date_format(F.timestamp_seconds(F.col(c)), "yyyy-MM")
+    # the month in UTC, whatever the session's zone
+    month = lambda c: F.date_format(F.to_utc_timestamp(F.timestamp_seconds(F.col(c)), F.current_timezone()), "yyyy-MM")
     episodes = latest_episodes(spark, folder).withColumn("record_key", F.concat_ws("/", "dataset_uid", "episode_index")).withColumn("period", month("first_indexed"))
     annotations = table(spark, folder, "annotations").select("annotation_id", "dataset_uid", "episode_index", "created_at", month("created_at").alias("period"))
     tables = {
@@ -150,3 +151,13 @@ union all select 'episodes', concat(dataset_uid, '/', episode_index), 'task_inde
 def p6_report(spark: SparkSession, folder: str) -> DataFrame:
     """Direct and inherited orphans of each table, field and month."""
     return orphans(spark, folder).groupBy("table_name", "field_name", "period").agg(F.count_if(F.col("kind") == "direct").alias("direct"), F.count_if(F.col("kind") == "inherited").alias("inherited"))
+
+
+SQL["p6_report"] = f"""with e as ({LATEST}), d as ({SQL["p6_found"]}),
+  m as (select 'annotations' as table_name, annotation_id as record_key, min(strftime(make_timestamp(cast(created_at * 1000000 as bigint)), '%Y-%m')) as period from annotations group by all
+    union all select 'episodes', concat(dataset_uid, '/', episode_index), strftime(make_timestamp(cast(first_indexed * 1000000 as bigint)), '%Y-%m') from e),
+  i as (select distinct 'annotations' as table_name, annotation_id as record_key, 'episode_index' as field_name from annotations a
+    where concat(dataset_uid, '/', episode_index) in (select record_key from d where table_name = 'episodes')
+      and not exists (select 1 from d where d.table_name = 'annotations' and d.record_key = a.annotation_id and d.field_name = 'episode_index')),
+  x as (select *, 1 as direct from d union all select *, 0 from i)
+select table_name, field_name, period, cast(sum(direct) as bigint) as direct, cast(sum(1 - direct) as bigint) as inherited from x join m using (table_name, record_key) group by all"""
