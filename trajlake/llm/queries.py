@@ -49,6 +49,11 @@ _COPIES = rf"""with r as (select 'roboomni_records' as table_name, component as
 SQL["p3_found"] = f"{_COPIES} select table_name, group_key, keep_id, id as copy_id from k where id <> keep_id"
 
 
+_EVERY = _COPIES.split(",\n  a as")[0]
+SQL["p3_kept"] = f"""{_EVERY}, a as (select distinct table_name, group_key, id, more, coalesce(w, '') as w, coalesce(form, chr(1)) as form from (from r union all from e))
+select table_name, group_key, min(id) as keep_id, count(*) as copies from a group by table_name, group_key, more, w, form, case when w = '' then id end"""
+
+
 @query
 def p3_kept(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each record that is kept, with the number of its copies."""
