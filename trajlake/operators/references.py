@@ -63,7 +63,8 @@ def find_orphans(tables: dict[str, Table], references: Sequence[Reference]) -> D
     for name, t in tables.items():
         rows = t.rows.filter(F.col(f"`{t.key}`").isNotNull())
         bad: dict[str, Column] = {}
-        for n, ref in enumerate(r for r in references if r.child == name):
+        own = [r for r in references if r.child == name]
+        for n, ref in enumerate(own):
             rows = _attach(rows, ref, tables[ref.parent].rows, [])
             given = F.lit(True)
             for c in ref.columns:
@@ -76,6 +77,8 @@ def find_orphans(tables: dict[str, Table], references: Sequence[Reference]) -> D
                 wrong = wrong & ~F.col(f"__bad_{ref.unless}")
             rows = rows.withColumn(f"__bad_{ref.name}", wrong).drop("parent__found", *(f"parent__{c}" for c in ref.carry))
             bad[ref.name] = F.col(f"__bad_{ref.name}")
+            if n + 1 < len(own):
+                rows = cut(rows)  # the next join reads them for hot, other and null keys apart
         if bad:
             names = F.filter(F.array(*(F.when(c, F.lit(k)) for k, c in bad.items())), lambda x: x.isNotNull())
             part = rows.select(F.lit(name).alias("table_name"), F.col(f"`{t.key}`").cast("string").alias("record_key"), F.explode(names).alias("field_name"), F.col(f"`{t.period}`").alias("period"))

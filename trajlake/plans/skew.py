@@ -21,7 +21,8 @@ def skew_join(rows: DataFrame, side: DataFrame, keys: list[str], part: float = H
 
     Rows of hot keys meet a broadcast copy of the few side rows of these keys (at most 1/part of them); all other
     rows are shuffled by key, so no task holds more than about `part` of the rows by a single key. Null keys match
-    nothing and are spread at random instead of meeting in one task.
+    nothing and stay where they are instead of meeting in one task. `rows` is read once for the counts and once for each
+    of the three parts, so it should be cheap to read.
     """
     cols = [c for c in side.columns if c not in keys]
     hot = hot_keys(rows.dropna(subset=keys), keys, part).withColumn("__hot", F.lit(True))
