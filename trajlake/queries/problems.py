@@ -12,6 +12,7 @@ from trajlake.operators.intervals import periods_and_gaps
 from trajlake.operators.references import Reference, Table, find_orphans
 from trajlake.operators.schema_drift import FIELDS, schema_changes, schema_fields, struct_fields, union_fields
 from trajlake.operators.spikes import find_spikes
+from trajlake.plans.storage import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,6 +118,7 @@ def orphans(spark: SparkSession, folder: str) -> DataFrame:
     # the month in UTC, whatever the session's zone
     month = lambda c: F.date_format(F.to_utc_timestamp(F.timestamp_seconds(F.col(c)), F.current_timezone()), "yyyy-MM")
     episodes = latest_episodes(spark, folder).withColumn("record_key", F.concat_ws("/", "dataset_uid", "episode_index")).withColumn("period", month("first_indexed"))
+    episodes = cut(episodes.drop("frames"))  # read as a parent and as a child
     annotations = table(spark, folder, "annotations").select("annotation_id", "dataset_uid", "episode_index", "created_at", month("created_at").alias("period"))
     tables = {
         "datasets": Table(table(spark, folder, "datasets").filter("uid is not null").select("uid", F.lit("").alias("period")).distinct(), "uid", "period"),
