@@ -252,3 +252,15 @@ def test_instruction_client(spark):
         raise OSError
 
     assert legacy.retrying(fails, wait=0)(df.toPandas())["reason"].tolist() == ["vlm_call_failed"] * 3
+
+
+def test_packing_of_both_widths(spark, tmp_path):
+    from trajlake.queries import planning
+
+    rows = [("a", 0, t, t, [float(x) for x in range(1, n + 1)], [2.0 * x for x in range(1, n + 1)], None) for t, n in enumerate((7, 8))]
+    spark.createDataFrame(rows, "dataset_uid string, episode_index bigint, frame_index bigint, index bigint, `observation.state` array<double>, action array<double>, `observation.tcp_force` array<double>").write.parquet(str(tmp_path / "frames.parquet"))
+    got = {r["frame_index"]: r[3:] for r in planning.canonical_pack_all(spark, str(tmp_path)).collect()}
+    assert got == {0: (1.0, 6.0, 0.0, 7.0, 128), 1: (1.0, 6.0, 7.0, 8.0, 128)}
+    got = {r["frame_index"]: r[3:] for r in planning.canonical_action_all(spark, str(tmp_path)).collect()}
+    assert got == {0: (1.0, 0.0, 0.0, 14.0), 1: (1.0, 7.0, 0.0, 16.0)}
+    assert planning.canonical_pack(spark, str(tmp_path)).count() == planning.canonical_action(spark, str(tmp_path)).count() == 1

@@ -19,27 +19,47 @@ _ROTATION = geometry.rotation_matrix([[0.36, 0.48, -0.8], [-0.8, 0.6, 0.0], [0.4
 _SHIFT = (0.5, -1.0, 2.0)
 
 
-@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, state[1]::float as joint_0, state[6]::float as joint_5, 0::float as joint_6, state[7]::float as gripper, 128 as places from f where len(state) = 7""")
-def canonical_pack(spark: SparkSession, folder: str) -> DataFrame:
-    """States of six joints and a gripper in the fixed layout of 128 places."""
-    f = frame_rows(spark, folder).filter("size(state) = 7")
-    packed, mask = geometry.pack_state(F.col("state"), 7, 6, gripper="parallel_jaw")
-    assert sum(mask) == 7
+def packed_states(f: DataFrame) -> DataFrame:
+    """Some places of packed states; a state of 7 places has six joints, one of 8 has seven, then the gripper."""
+    packed = {n: geometry.pack_state(F.col("state"), n, n - 1, gripper="parallel_jaw") for n in (7, 8)}
+    assert all(sum(mask) == n for n, (_, mask) in packed.items())
+    f = f.withColumn("c", F.when(F.size("state") == 7, packed[7][0]).when(F.size("state") == 8, packed[8][0]))
     b = geometry.bands(F.col("c"))
-    f = f.withColumn("c", packed)
     at = lambda v, i: F.get(v, F.lit(i)).cast("float")
     return f.select(*KEYS, *ORDER, at(b["arm1_joint"], 0).alias("joint_0"), at(b["arm1_joint"], 5).alias("joint_5"), at(b["arm1_joint"], 6).alias("joint_6"), at(b["arm1_gripper"], 0).alias("gripper"), F.size("c").alias("places"))
 
 
+def packed_actions(f: DataFrame) -> DataFrame:
+    """Some places of packed absolute actions; state and action have the same width."""
+    packed = {n: geometry.pack_action(F.col("action"), F.col("state"), n, n, n - 1, gripper="parallel_jaw", frame="absolute")[0] for n in (7, 8)}
+    f = f.withColumn("c", F.when(F.size("action") == 7, packed[7]).when(F.size("action") == 8, packed[8]))
+    b = geometry.bands(F.col("c"), action=True)
+    at = lambda k, i=0: F.get(b[k], F.lit(i)).cast("float")
+    return f.select(*KEYS, *ORDER, at("arm1_joint").alias("joint_0"), at("arm1_joint", 6).alias("joint_6"), at("arm1_position").alias("position_0"), at("arm1_gripper").alias("gripper"))
+
+
+@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, state[1]::float as joint_0, state[6]::float as joint_5, 0::float as joint_6, state[7]::float as gripper, 128 as places from f where len(state) = 7""")
+def canonical_pack(spark: SparkSession, folder: str) -> DataFrame:
+    """States of six joints and a gripper in the fixed layout of 128 places."""
+    return packed_states(frame_rows(spark, folder).filter("size(state) = 7"))
+
+
+@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, state[1]::float as joint_0, state[6]::float as joint_5, (case when len(state) = 8 then state[7] else 0 end)::float as joint_6, state[len(state)]::float as gripper, 128 as places from f where len(state) in (7, 8)""")
+def canonical_pack_all(spark: SparkSession, folder: str) -> DataFrame:
+    """States of six or seven joints and a gripper in the fixed layout of 128 places."""
+    return packed_states(frame_rows(spark, folder).filter("size(state) in (7, 8)"))
+
+
 @R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, (action[1] - state[1])::float as joint_0, 0::float as position_0, action[7]::float as gripper from f where len(state) = 7 and len(action) = 7""")
 def canonical_action(spark: SparkSession, folder: str) -> DataFrame:
     """Absolute joint actions as differences to the state."""
-    f = frame_rows(spark, folder).filter("size(state) = 7 and size(action) = 7")
-    packed, _, _ = geometry.pack_action(F.col("action"), F.col("state"), 7, 7, 6, gripper="parallel_jaw", frame="absolute")
-    f = f.withColumn("c", packed)
-    b = geometry.bands(F.col("c"), action=True)
-    at = lambda k: F.get(b[k], F.lit(0)).cast("float")
-    return f.select(*KEYS, *ORDER, at("arm1_joint").alias("joint_0"), at("arm1_position").alias("position_0"), at("arm1_gripper").alias("gripper"))
+    return packed_actions(frame_rows(spark, folder).filter("size(state) = 7 and size(action) = 7")).drop("joint_6")
+
+
+@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, (action[1] - state[1])::float as joint_0, (case when len(action) = 8 then action[7] - state[7] else 0 end)::float as joint_6, 0::float as position_0, action[len(action)]::float as gripper from f where len(state) in (7, 8) and len(action) = len(state)""")
+def canonical_action_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Absolute joint actions of six or seven joints as differences to the state."""
+    return packed_actions(frame_rows(spark, folder).filter("size(state) in (7, 8) and size(action) = size(state)"))
 
 
 @R.add(f"select vec_id, {', '.join('round(' + ' + '.join(f'embedding[{j + 1}]::double * ({float(_ROTATION[i][j])})' for j in range(3)) + f' + ({_SHIFT[i]}), 6) as p{i}' for i in range(3))} from embeddings")
