@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from trajlake.functions import geometry, smoothing
-from trajlake.operators import runs, signals, stats, trend
+from trajlake.operators import quantiles, runs, signals, stats, trend
 from trajlake.plans import curation, legacy
 
 KEYS, ORDER = ["dataset_uid", "episode_index"], ["frame_index"]
@@ -264,3 +264,29 @@ def test_packing_of_both_widths(spark, tmp_path):
     got = {r["frame_index"]: r[3:] for r in planning.canonical_action_all(spark, str(tmp_path)).collect()}
     assert got == {0: (1.0, 0.0, 0.0, 14.0), 1: (1.0, 7.0, 0.0, 16.0)}
     assert planning.canonical_pack(spark, str(tmp_path)).count() == planning.canonical_action(spark, str(tmp_path)).count() == 1
+
+
+def test_calibration_counts_all_frames(spark):
+    rng = np.random.default_rng(5)
+    x = np.column_stack([2246 + rng.normal(size=200_200), rng.choice([-1.5, -0.0, 0.0, 3.0], 200_200), np.where(rng.random(200_200) < 0.1, np.nan, rng.normal(size=200_200) * 1e-3)])
+    x[:3, 0], x[1::2, 0] = [np.inf, -np.inf, 1e9], x[1::2, 0] + 5  # every second frame differs
+    f = spark.createDataFrame(__import__("pandas").DataFrame({"g": "a", "t": range(len(x)), "v": x.tolist()}), "g string, t bigint, v array<double>").unionByName(spark.createDataFrame([(None, 0, [1.0, None]), ("b", 1, None)], "g string, t bigint, v array<double>"))
+    got = {(r["g"], r["dimension"]): r for r in quantiles.quantile_bounds(f, "g", ["v"], alpha=0.1).collect()}
+    limits = {(r["g"], r["dimension"]): r["threshold"] for r in quantiles.robust_limits(f, "g", ["v"]).collect()}
+    assert set(got) == set(limits) == {("a", 0), ("a", 1), ("a", 2), (None, 0), (None, 1)}
+    for d in range(3):
+        v = x[np.isfinite(x[:, d]), d]
+        low, high, mid, top = np.quantile(v, [0.01, 0.99, 0.5, 0.999])
+        assert [got["a", d][c] for c in ("q_low", "q_high", "lower", "upper")] == pytest.approx([low, high, low - 0.1 * (high - low), high + 0.1 * (high - low)], rel=1e-12)
+        assert limits["a", d] == pytest.approx(max(mid + 8 * 1.4826 * np.median(np.abs(v - mid)), top, max(np.quantile(np.abs(v), 0.99), 1) * 1e-10), rel=1e-12)
+    assert got[None, 0]["q_low"] == 1.0 and got[None, 1]["q_low"] is None and limits[None, 1] is None
+
+
+def test_stages_take_all_frames(spark):
+    x = np.tile([[0.0], [1.0], [2.0], [100.0]], (10, 1))
+    f = make(spark, x).withColumn("valid", F.lit(True))
+    (r,) = curation.stage3(f, cfg=curation.Config(samples=10))["thresholds"].filter("feature = 'state'").collect()
+    assert (r["q_low"], r["q_high"]) == (0.0, 100.0)
+    y = np.random.default_rng(1).normal(size=(80, 1))
+    every, few = (curation.stage1(make(spark, y), curation.Config(samples=n))["thresholds"].orderBy("feature").collect() for n in (1000, 10))
+    assert every == few

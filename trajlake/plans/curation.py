@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from trajlake.functions.scalars import canonical_json_text, merge_layers
 from trajlake.functions.vectors import any_of, beyond, failed_places, masked
-from trajlake.operators import signals, stats, trend
+from trajlake.operators import quantiles, signals, stats, trend
 from trajlake.plans.storage import cut
 
 VECTORS = ("state", "action")
@@ -25,7 +25,10 @@ REASONS = {1: "stage1_sudden_change", 2: "state_action_trend_mismatch", 3: "stag
 
 @dataclass(frozen=True)
 class Config:
-    """Parameters of the three stages; `exempt` are 0-based places of grippers by vector, None for the last place."""
+    """Parameters of the three stages; `exempt` are 0-based places of grippers by vector, None for the last place.
+
+    `samples` has no effect: thresholds come from all frames.
+    """
 
     exclusion: str = "frame"
     medians: tuple[int, ...] = (5, 5)
@@ -76,13 +79,13 @@ def stage1(frames: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
     """Sudden changes: thresholds, frame_flags, episode_summary, episode_filter, step_validity.
 
     frames: dataset_uid, episode_index, frame_index, index, state, action. Frames without either vector are kept out of
-    the metrics and are invalid. Thresholds come from at most `samples` evenly spread frames of each dataset.
+    the metrics and are invalid. Thresholds come from all other frames of each dataset.
     """
     both = frames.filter("state is not null and action is not null")
     metrics = signals.change_metrics(both, KEYS, ORDER, {v: v for v in VECTORS}, carry=["index"], angular=cfg.angular, quaternions=cfg.quaternions, medians=cfg.medians, window=cfg.window, degree=cfg.degree)
     names = [f"{v}_{m}" for v in VECTORS for m in ("residual", "acceleration", "jerk")]
-    sample = stats.stride_sample(metrics, "dataset_uid", "episode_index", ORDER, cfg.samples, counted=both).select("dataset_uid", *names)
-    thresholds = cut(signals.robust_limits(sample, "dataset_uid", names, cfg.mad_scale, cfg.quantile_floor))
+    metrics = cut(metrics)
+    thresholds = quantiles.robust_limits(metrics, "dataset_uid", names, cfg.mad_scale, cfg.quantile_floor)
     limits = _limits(thresholds, "dataset_uid", ["threshold"], names).select("dataset_uid", *(F.col(n).alias(f"{n}_limit") for n in names))
     flags = signals.sudden_changes(metrics, limits, "dataset_uid", VECTORS)
     flagged = flags.withColumn("flagged_frame", any_of(F.col("state_flags")) | any_of(F.col("action_flags")))
@@ -119,12 +122,7 @@ def stage3(frames: DataFrame, embodiments: DataFrame | None = None, cfg: Config
     """
     e = frames.withColumn("embodiment", F.col("dataset_uid")) if embodiments is None else frames.join(embodiments, "dataset_uid", "left").withColumn("embodiment", F.coalesce("embodiment", "dataset_uid"))
     good = e.filter("valid")
-    total = good.groupBy("embodiment").agg(F.count(F.lit(1)).alias("n"))
-    stride = F.greatest(F.lit(1), F.ceil(F.col("n") / cfg.samples))
-    # the hash of a frame stands in for its place in an embodiment's order, which spans datasets
-    sample = good.join(total, "embodiment").filter((F.col("n") <= cfg.samples) | (F.pmod(F.xxhash64(*STEP), stride) == 0))
-    long = stats.explode_places(sample, ["embodiment"], {v: v for v in VECTORS})
-    bounds = cut(stats.quantile_bounds(long, ["embodiment", "feature", "dimension"], "value", alpha=cfg.alpha))
+    bounds = quantiles.quantile_bounds(good, "embodiment", VECTORS, alpha=cfg.alpha)
     limits = _limits(bounds, "embodiment", ["lower", "upper"], VECTORS)
     flags = e.join(limits, "embodiment", "left")
     for v in VECTORS:

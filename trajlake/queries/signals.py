@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import any_of, beyond, failed_places, finite, masked
-from trajlake.operators import runs, signals, stats, trend
+from trajlake.operators import quantiles, runs, signals, stats, trend
 from trajlake.queries.registry import FRAMES, KEYS, ORDER, PLACES, Registry, frame_rows, table
 
 R = Registry()
@@ -30,14 +30,13 @@ _BOUNDS = f"select dataset_uid, feature, dimension, quantile_cont(value, 0.01) a
 
 
 def bounds(spark: SparkSession, folder: str) -> DataFrame:
-    sample = stats.stride_sample(frame_rows(spark, folder), "dataset_uid", "episode_index", ORDER)
-    return stats.quantile_bounds(stats.explode_places(sample, [*KEYS, *ORDER], FEATURES), ["dataset_uid", "feature", "dimension"], "value", alpha=0.1)
+    return quantiles.quantile_bounds(frame_rows(spark, folder), "dataset_uid", list(FEATURES), alpha=0.1)
 
 
 @R.add(f"""with {PLACES}, b as ({_BOUNDS}) select dataset_uid, feature, dimension, q_low::float as q_low, q_high::float as q_high,
   (q_low - 0.1 * (q_high - q_low))::float as lower, (q_high + 0.1 * (q_high - q_low))::float as upper from b""")
 def stage3_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    """Quantile bounds of each dataset's places, widened by a tenth; over at most 200,000 evenly spread frames."""
+    """Quantile bounds of each dataset's places, widened by a tenth; over all frames."""
     return bounds(spark, folder).select("dataset_uid", "feature", "dimension", *(F.col(c).cast("float").alias(c) for c in ("q_low", "q_high", "lower", "upper")))
 
 
@@ -88,8 +87,7 @@ def stride_sample(spark: SparkSession, folder: str) -> DataFrame:
   d as (select x.dataset_uid, x.feature, x.dimension, quantile_cont(abs(value - mid), 0.5) as mad from x join m using (dataset_uid, feature, dimension) group by all)
   select dataset_uid, feature, dimension, greatest(mid + 8 * 1.4826 * mad, top, greatest(size, 1) * 1e-10) as threshold from m join d using (dataset_uid, feature, dimension)""")
 def robust_threshold(spark: SparkSession, folder: str) -> DataFrame:
-    sample = stats.stride_sample(frame_rows(spark, folder), "dataset_uid", "episode_index", ORDER)
-    return stats.robust_thresholds(stats.explode_places(sample, KEYS, FEATURES), ["dataset_uid", "feature", "dimension"], "value")
+    return quantiles.robust_limits(frame_rows(spark, folder), "dataset_uid", list(FEATURES))
 
 
 _COMPONENTS = """min(case when isfinite(value) then value end) as least, max(case when isfinite(value) then value end) as most, count(*) as values,
