@@ -219,3 +219,12 @@ def test_gradients_are_right():
 def test_pieces_need_room():
     with pytest.raises(ValueError):
         Pieces([], 3, 9)
+
+
+def test_one_wrong_word_is_found_wherever_it_is():
+    item = [f"w{i}" for i in range(40)]
+    pieces = Pieces([(1, " ".join(item))], 12, 1)
+    for start in range(4, 8):  # every alignment to the pieces of four words
+        for wrong in range(12):
+            text = [*item[start : start + wrong], "other", *item[start + wrong + 1 : start + 12]]
+            assert [x[:2] for x in pieces.find(" ".join(text))] == [(1, 1)], (start, wrong)

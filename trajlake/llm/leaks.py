@@ -91,7 +91,7 @@ class Pieces:
                     hi += 1
                 done[n, j - i] = j + hi - self.size
                 run = lo + hi
-                edits = 0 if run >= self.passage else self._edits(p, w, i, j) if self.edits and run * (self.edits + 1) >= self.passage - self.edits else None
+                edits = 0 if run >= self.passage else self._edits(p, w, i, j) if self.edits else None
                 if edits is not None:
                     best[item] = min(best.get(item, (99, 0, 0)), (edits, -run, j - lo))
         return [(item, e, -r, at) for item, (e, r, at) in best.items()]
