@@ -290,3 +290,19 @@ def test_stages_take_all_frames(spark):
     y = np.random.default_rng(1).normal(size=(80, 1))
     every, few = (curation.stage1(make(spark, y), curation.Config(samples=n))["thresholds"].orderBy("feature").collect() for n in (1000, 10))
     assert every == few
+
+
+FRAMES_SCHEMA = "dataset_uid string, episode_index bigint, frame_index bigint, index bigint, `observation.state` array<double>, action array<double>, `observation.tcp_force` array<double>"
+
+
+def test_large_readings_count(spark, tmp_path):
+    from trajlake.queries import catalog, planning
+    from trajlake.queries import signals as queries
+
+    rows = [("a", t // 2, t, t, [1e6 + t], [1e6], [-2000.0 - t, 5.0, -1.0]) for t in range(4)] + [("a", 2, 9, 9, [NAN], [1e6], [NAN, 0.0, 0.0])]
+    spark.createDataFrame(rows, FRAMES_SCHEMA).write.parquet(str(tmp_path / "frames.parquet"))
+    assert queries.offset_stats_all(spark, str(tmp_path)).first()["m0"] == -2001.5
+    p = queries.pooled_stats_all(spark, str(tmp_path)).filter("feature = 'state'").first()
+    assert (p["n"], p["mean"]) == (4, 1000001.5) and p["std"] == pytest.approx(1.25**0.5)
+    assert planning.psnr_all(spark, str(tmp_path)).first()["psnr"] == pytest.approx(20 * np.log10(255 / np.sqrt(14 / 4)), abs=1e-6)
+    assert catalog.overlay_repairs_all(spark, str(tmp_path)).first()["total"] == pytest.approx(-(2000 + 2001 + 2002 + 2003))

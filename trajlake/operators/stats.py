@@ -91,8 +91,11 @@ def episode_statistics(values: DataFrame, keys: Sequence[str], value: str) -> Da
 def pool_statistics(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Count, bounds, mean and deviation of the union of parts (n, least, most, mean, std); empty parts count nothing."""
     some = parts.filter("n > 0")
-    total = some.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"), (F.sum(F.col("n") * (F.pow("std", 2) + F.pow("mean", 2))) / F.sum("n")).alias("square"))
-    return total.withColumn("std", F.sqrt(F.greatest(F.lit(0.0), F.col("square") - F.pow("mean", 2)))).drop("square")
+    total = some.groupBy(*keys).agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.max("most").alias("most"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("mean"))
+    # about the mean of all, as squares of large readings would cancel
+    apart = some.select(*keys, F.col("n").alias("__n"), F.col("mean").alias("__mean"), F.col("std").alias("__std")).join(total.select(*keys, "mean"), [*keys])
+    std = apart.groupBy(*keys).agg(F.sqrt(F.sum(F.col("__n") * (F.pow("__std", F.lit(2)) + F.pow(F.col("__mean") - F.col("mean"), F.lit(2)))) / F.sum("__n")).alias("std"))
+    return total.join(std, [*keys])
 
 
 def guarded_correlation(pairs: DataFrame, keys: Sequence[str], a: str, b: str) -> DataFrame:

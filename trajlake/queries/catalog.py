@@ -226,6 +226,13 @@ def overlay_repairs(spark: SparkSession, folder: str) -> DataFrame:
     return repairs(spark, folder).groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.round(F.sum(F.when(F.abs(x) < 1000, x)), 3).alias("total"))
 
 
+@R.add(f"with {_REPAIRS} select dataset_uid, count(*) as frames, (sum(fixed[1]) filter (isfinite(fixed[1])))::float as total from o where fixed is not null group by all")
+def overlay_repairs_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with all finite forces in the sum."""
+    x = F.get("force", F.lit(0))
+    return repairs(spark, folder).groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.sum(F.when(finite(x), x)).cast("float").alias("total"))
+
+
 @R.add(f"with {_REPAIRS} select dataset_uid, episode_index, frame_index, coalesce(fixed, force)[1] - force[1] as difference from o where isfinite(force[1]) and coalesce(fixed, force)[1] - force[1] <> 0")
 def series_diff_view(spark: SparkSession, folder: str) -> DataFrame:
     """What the repairs change in the first place of the force."""

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions import geometry, scalars
+from trajlake.functions.vectors import finite
 from trajlake.plans import catalog, legacy, units
 from trajlake.queries.problems import latest_episodes
 from trajlake.queries.registry import FRAMES, KEYS, ORDER, Registry, frame_rows, table
@@ -77,6 +78,14 @@ def psnr(spark: SparkSession, folder: str) -> DataFrame:
     return f.groupBy("dataset_uid").agg(F.avg(F.pow(F.col("s") - F.col("a"), 2)).alias("m")).select("dataset_uid", F.round(scalars.psnr(F.col("m")), 6).alias("psnr"))
 
 
+@R.add(f"""with {FRAMES}, m as (select dataset_uid, avg((state[1] - action[1]) * (state[1] - action[1])) as mse from f where isfinite(state[1]) and isfinite(action[1]) group by all)
+  select dataset_uid, round(case when mse = 0 then 100 else 20 * log10(255 / sqrt(mse)) end, 6) as psnr from m""")
+def psnr_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The same over all finite readings."""
+    f = frame_rows(spark, folder).select("dataset_uid", F.get("state", F.lit(0)).alias("s"), F.get("action", F.lit(0)).alias("a")).filter(finite(F.col("s")) & finite(F.col("a")))
+    return f.groupBy("dataset_uid").agg(F.avg(F.pow(F.col("s") - F.col("a"), 2)).alias("m")).select("dataset_uid", F.round(scalars.psnr(F.col("m")), 6).alias("psnr"))
+
+
 _COVER = "(select distinct dataset_uid, episode_index, unnest(range(frame_start, frame_end + 1)) as t from annotations where frame_start <= frame_end and label_type = '{}')"
 
 

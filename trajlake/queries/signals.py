@@ -120,6 +120,14 @@ def pooled_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats.pool_statistics(each, ["dataset_uid", "feature", "dimension"])
 
 
+@R.add(f"""with {PLACES} select dataset_uid, feature, dimension, cast(count(value) as bigint) as n, min(value) as least, max(value) as most, avg(value)::float as mean, stddev_pop(value)::float as std
+  from v where {_FINITE} group by all""")
+def pooled_stats_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Mean and deviation of datasets pooled from those of their episodes, over all finite readings."""
+    each = stats.episode_statistics(places(spark, folder).filter(finite(F.col("value"))), [*KEYS, "feature", "dimension"], "value")
+    return stats.pool_statistics(each, ["dataset_uid", "feature", "dimension"]).withColumns({c: F.col(c).cast("float") for c in ("mean", "std")})
+
+
 @R.add(f"""with {FRAMES}, p as (select dataset_uid, episode_index, state[1] as a, action[1] as b from f),
   k as (select dataset_uid, episode_index, count(*) filter (isfinite(a) and isfinite(b)) as pairs from p group by all),
   c as (select dataset_uid, episode_index, stddev_pop(a) * stddev_pop(b) * count(*) as size, corr(a, b) as r from p where isfinite(a) and isfinite(b) group by all)
@@ -160,6 +168,17 @@ def offset_stats(spark: SparkSession, folder: str) -> DataFrame:
     return stats.offset_statistics(f, ["dataset_uid"])
 
 
+@R.add(f"""with {FRAMES}, o as (select dataset_uid, force[1] as x, force[2] as y, force[3] as z from f where isfinite(force[1]) and isfinite(force[2]) and isfinite(force[3])),
+  m as (select dataset_uid, quantile_cont(x, 0.5) as m0, quantile_cont(y, 0.5) as m1, quantile_cont(z, 0.5) as m2, var_pop(x) + var_pop(y) + var_pop(z) as variance from o group by all)
+  select dataset_uid, m0, m1, m2, sqrt(m0 * m0 + m1 * m1 + m2 * m2) as length, variance::float as variance from m""")
+def offset_stats_all(spark: SparkSession, folder: str) -> DataFrame:
+    """Median forces over all finite readings, whatever a dataset's units."""
+    f = frame_rows(spark, folder).select("dataset_uid", *(place("force", d).alias(n) for d, n in enumerate("xyz")))
+    for n in "xyz":
+        f = f.filter(finite(F.col(n)))
+    return stats.offset_statistics(f, ["dataset_uid"]).withColumn("variance", F.col("variance").cast("float"))
+
+
 @R.add("""select 'l_discount' as field, count(*) as violations, min(l_orderkey) as first, arg_min(l_discount, l_orderkey) as value from (select * from lineitem where l_discount > 0.05 qualify row_number() over (partition by l_orderkey order by l_discount) = 1) having count(*) > 0""")
 def range_violations(spark: SparkSession, folder: str) -> DataFrame:
     """Whether the least discount above 0.05 of an order breaks a bound, and where first."""
