@@ -306,3 +306,12 @@ def test_large_readings_count(spark, tmp_path):
     assert (p["n"], p["mean"]) == (4, 1000001.5) and p["std"] == pytest.approx(1.25**0.5)
     assert planning.psnr_all(spark, str(tmp_path)).first()["psnr"] == pytest.approx(20 * np.log10(255 / np.sqrt(14 / 4)), abs=1e-6)
     assert catalog.overlay_repairs_all(spark, str(tmp_path)).first()["total"] == pytest.approx(-(2000 + 2001 + 2002 + 2003))
+
+
+def test_gradients_of_any_place(spark, tmp_path):
+    from trajlake.queries import signals as queries
+
+    rows = [("a", 0, t, t, [0.0, 3.0 * (t == 3)], None, None) for t in range(7)]
+    spark.createDataFrame(rows, FRAMES_SCHEMA).write.parquet(str(tmp_path / "frames.parquet"))
+    assert queries.gradient_flags_all(spark, str(tmp_path)).first()["flagged_frames"] == 2
+    assert queries.gradient_flags(spark, str(tmp_path)).first()["flagged_frames"] == 0

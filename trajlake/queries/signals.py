@@ -216,6 +216,19 @@ def gradient_flags(spark: SparkSession, folder: str) -> DataFrame:
     return g.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.coalesce(big("gradient", 0.5) | big("gradient2", 5), F.lit(False))).alias("flagged_frames"))
 
 
+@R.add(f"""with {PLACES}, g as (select *, case when b is not null and a is not null then (a - b) / 2 when a is not null then a - value when b is not null then value - b end as gradient from
+    (select *, lag(value) over w as b, lead(value) over w as a from v where feature = 'state' window w as (partition by dataset_uid, episode_index, dimension order by frame_index))),
+  h as (select *, case when b is not null and a is not null then (a - b) / 2 when a is not null then a - gradient when b is not null then gradient - b end as gradient2 from
+    (select * exclude (a, b), lag(gradient) over w as b, lead(gradient) over w as a from g window w as (partition by dataset_uid, episode_index, dimension order by frame_index))),
+  k as (select dataset_uid, episode_index, frame_index, bool_or(coalesce((isfinite(gradient) and abs(gradient) > 0.5) or (isfinite(gradient2) and abs(gradient2) > 5), false)) as flagged from h group by all)
+  select dataset_uid, episode_index, count(*) as frames, count(*) filter (flagged) as flagged_frames from k group by all""")
+def gradient_flags_all(spark: SparkSession, folder: str) -> DataFrame:
+    """The older rule for sudden changes: large central differences in any place of the state."""
+    g = signals.gradients(small_state(spark, folder), KEYS, ORDER, "state")
+    big = lambda c, k: any_of(F.transform(c, lambda x: finite(x) & (F.abs(x) > k)))
+    return g.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.count_if(big("gradient", 0.5) | big("gradient2", 5)).alias("flagged_frames"))
+
+
 @R.add(f"""with {FRAMES}, s as (select *, x - lag(x) over w as d from (select dataset_uid, episode_index, frame_index, state[1] as x from f where isfinite(state[1])) window w as {W}),
   c as (select *, case when abs(d) >= pi() then (case when m = -pi() and d > 0 then pi() else m end) - d else 0 end as fix from (select *, (d + pi()) - 2 * pi() * floor((d + pi()) / (2 * pi())) - pi() as m from s))
   select dataset_uid, episode_index, frame_index, round(x + sum(coalesce(fix, 0)) over (partition by dataset_uid, episode_index order by frame_index rows unbounded preceding), 4) as angle from c""")
