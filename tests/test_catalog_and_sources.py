@@ -79,7 +79,7 @@ def test_upkeep(spark):
 
 def test_scalars(spark):
     one = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
-    names = {"observation.state.Shoulder_Pan.pos": "shoulderpanpos", "state_3": None, "joint_4": None, "left-arm joint 2 position": "leftarm2", "": None}
+    names = {"observation.state.Shoulder_Pan.pos": "shoulderpan", "state_3": None, "action.7": None, "joint_4": "joint4", "joint_4.pos": "joint4", "left-arm joint 2 position": "leftarmjoint2", "target 12": None, "": None}
     for n, want in names.items():
         assert one(scalars.joint_name(F.lit(n))) == want, n
     assert one(scalars.uid_part(F.lit(" a b//c "))) == "a-b-c" and one(scalars.uid_part(F.lit("--"))) == "dataset"
@@ -89,7 +89,10 @@ def test_scalars(spark):
     assert one(scalars.video_path(F.lit("cam"), F.lit(1), F.lit(20))) == "videos/cam/chunk-001/file-020.mp4"
     assert one(scalars.close(F.lit(float("nan")), F.lit(float("nan")))) and not one(scalars.close(F.lit(1.0), F.lit(float("nan"))))
     assert one(scalars.primary_camera(F.array(*map(F.lit, ["observation.images.wrist", "rgb_side", "cam_high"])))) == "cam_high"
-    assert one(scalars.primary_camera(F.array(F.lit("wrist_depth")))) == "wrist_depth"
+    shown = lambda *c: one(scalars.primary_camera(F.array(*map(F.lit, c))))
+    assert shown("wrist_depth") == "wrist_depth" and shown("observation.images.top", "Cam_High") == "Cam_High"
+    assert shown("wrist_front", "side") == "wrist_front" and shown("depth.image", "wrist.rgb", "top.rgb") == "top.rgb" and shown("wrist", "depth") == "depth"
+    assert shown("cam_high", "front", "observation.images.front") == "observation.images.front"
     assert scalars.fingerprint({"b": 1, "a": [2]}) == scalars.fingerprint({"a": [2], "b": 1}) and scalars.resume_fingerprint({"a": 1, "w": {"path": 3}}, ["path"]) == scalars.resume_fingerprint({"a": 1, "w": {"path": 4}}, ["path"])
     with pytest.raises(ValueError):
         scalars.fingerprint(float("nan"))

@@ -128,20 +128,64 @@ def test_delta_actions_are_added_up_before_the_mask():
     assert runs_ == [[1, 2, 3], [5, 6, 7]]
 
 
+def one_run(spark, s, a, longest, least_active=10):
+    f = make(spark, np.c_[s], np.c_[a])
+    r = trend.smoothed_runs(f, KEYS, ORDER, "state", "action", medians=(), window=1).withColumn("pairs", trend.fixed_pairs([(0, 0)]))
+    return trend.pool_runs(trend.run_scores(trend.lag_tables(r, KEYS, longest), KEYS, longest), KEYS, least_active).first()
+
+
 def test_trend_finds_lag_and_rejects(spark):
     rng = np.random.default_rng(2)
     a = np.cumsum(rng.normal(size=300))
     s = np.r_[np.zeros(4), a[:-4]]
-    m = trend.trend(s, a, 10, 10)
-    assert m["lag"] == 4 and m["agreement"] == 1.0
-    assert trend.trend(np.zeros(20), np.zeros(20), 3, 10) == {"lag": 3, "correlation": None, "free_lag": 3, "active": 0, "agreement": None}
-    assert trend.correlation(np.array([1.0, NAN, 2.0]), np.array([1.0, 1.0, 2.0])) == -np.inf
-    pooled = trend.pool_runs([{"lag": 1, "free_lag": 1, "correlation": 0.5, "active": 5, "agreement": 0.2}, {"lag": 2, "free_lag": 2, "correlation": None, "active": 5, "agreement": 0.4}], 10)
-    assert pooled == {"lag": 2, "free_lag": 2, "correlation": 0.5, "active": 10, "agreement": pytest.approx(0.3)}  # 1.5 goes to the even 2
+    m = one_run(spark, s, a, 10)
+    assert m["lag"] == 4 and m["agreement"] == 1.0 and m["correlation"] == pytest.approx(1)
+    still = one_run(spark, np.zeros(20), np.zeros(20), 3)  # nothing is active, so no run counts
+    assert (still["lag"], still["correlation"], still["active"], still["agreement"]) == (0, None, 0, None)
+    runs_ = [("a", 0, 0, 0, 0, 1, 0.5, 1, 5, 1), ("a", 0, 0, 0, 0, 2, None, 2, 5, 2)]
+    pooled = trend.pool_runs(spark.createDataFrame(runs_, "dataset_uid string, episode_index int, pair int, state_dimension int, action_dimension int, lag int, correlation double, free_lag int, active bigint, alike bigint"), KEYS, 10).first()
+    assert (pooled["lag"], pooled["free_lag"], pooled["correlation"], pooled["active"], pooled["agreement"]) == (2, 2, 0.5, 10, pytest.approx(0.3))  # 1.5 goes to the even 2
     noise = np.stack([s, np.zeros(300)], axis=1), np.stack([-s, np.zeros(300)], axis=1)
     f = make(spark, *noise).withColumn("valid", F.lit(True))
-    out = curation.stage2(f)
+    out = curation.stage2(f, curation.Config(positional=True))
     assert [(r["accepted"], r["reason_code"]) for r in out["episode_filter"].collect()] == [(False, "state_action_trend_mismatch")]
+    assert out["episode_flags"].first()["failed_dimensions"] == [0]
+
+
+def test_pairs_of_places_must_be_known(spark):
+    x = np.cumsum(np.random.default_rng(3).normal(size=(60, 3)), axis=0)
+    f = make(spark, x, x[:, ::-1]).withColumn("valid", F.lit(True))
+    with pytest.raises(ValueError, match="no comparable places"):
+        curation.stage2(f)
+    with pytest.raises(ValueError, match="outside"):
+        curation.stage2(f, curation.Config(pairs=((0, 3),)))
+    with pytest.raises(ValueError, match="one-to-one"):
+        curation.stage2(f, curation.Config(pairs=((0, 1), (1, 1))))
+    named = spark.createDataFrame([("a", 0, 2), ("a", 1, 1), ("a", 9, 0)], "dataset_uid string, state_dimension int, action_dimension int")
+    got = curation.stage2(f, curation.Config(exempt={"state": (1,)}), named)["dimension_metrics"].collect()
+    assert [(r["state_dimension"], r["action_dimension"], r["lag_frames"], r["directional_agreement"]) for r in got] == [(0, 2, 0, 1.0)]
+    with pytest.raises(ValueError):
+        curation.stage2(f.withColumn("dataset_uid", F.lit("other")), mapping=named)
+    assert curation.stage2(f.limit(0), curation.Config(positional=True))["episode_filter"].count() == 0
+    short = make(spark, x[:2]).withColumn("valid", F.lit(True))  # no run: listed without a score
+    assert [(r["lag_frames"], r["directional_agreement"], r["failed"]) for r in curation.stage2(short, curation.Config(positional=True))["dimension_metrics"].collect()] == [(0, None, False)] * 2
+
+
+def test_older_alignment_against_direct_sums(spark):
+    rng = np.random.default_rng(8)
+    s, a = np.cumsum(rng.normal(size=(2, 40, 3)), axis=1)
+    a[:, 1] = np.r_[s[3:, 1], np.zeros(3)]
+    f = make(spark, s, a).unionByName(make(spark, s[:1], episode=1)).unionByName(make(spark, np.zeros((5, 0)), episode=2))
+    got = {r["episode_index"]: r for r in trend.legacy_alignment(f, KEYS, ORDER, "state", "action").collect()}
+    lags, signs = [], []
+    for d in range(3):
+        ds, da = (np.r_[0.0, x[1:, d] - x[:-1, d]] for x in (s, a))
+        sums = {k: sum((ds[t] - ds.mean()) * (da[t - k] - da.mean()) for t in range(40) if 0 <= t - k < 40) for k in range(-39, 40)}
+        lags.append(max(sums, key=lambda k: (sums[k], -k)))
+        signs.append(np.mean([np.sign(da[(t - lags[-1]) % 40]) == np.sign(ds[t]) for t in range(40)]))
+    assert lags[1] == 3 and got[0]["lag"] == int(np.median(lags)) and got[0]["directional_agreement"] == pytest.approx(np.mean(signs))
+    assert got[1]["skip_reason"] == "insufficient_frames_for_trend_alignment" and not got[1]["rejected"]
+    assert got[2]["skip_reason"] == "no_common_state_action_dims" and got[2]["kept_frames"] == 5
 
 
 def test_statistics(spark):
@@ -228,7 +272,78 @@ def test_legacy_pipeline(spark):
     assert got[2, "stage2_trend_alignment"][0] == "insufficient_frames_for_trend_alignment" and (3, "stage2_trend_alignment") not in got
     one = {r["frame_index"]: r for r in out.filter("episode_index = 1").collect()}
     assert abs(one[60]["state"][0] - s[60, 0]) < 0.2 and len(one[60]["canonical_state"]) == 128
-    assert legacy.warnings(legacy.Config()) == [] and len(legacy.warnings(legacy.Config(has_instruction=True, sam_model="m"))) == 3
+    assert got[0, "stage4_fk_consistency"][0] == "fk_check_not_feasible" and got[0, "check3_video_quality"][0] == "no_video_frames"
+    assert got[0, "stage5_orientation_alignment"][0] == "no_base_to_world_transform_configured" and got[0, "check2_video_state_consistency"][0] == "urdf_not_available"
+    assert got[0, "check1_instruction_consistency"][0] == "no_language_instruction" and got[0, "unify_representation_action"] == (None, False)
+    status = {r["episode_index"]: r["status"] for r in legacy.episode_status(log).collect()}
+    assert status[3] == "rejected: stage1_sudden_change" and status[0] == "kept"
+    assert legacy.run_totals(f, out).first()["input_episodes"] == 4
+
+
+def test_contradicting_settings():
+    count = lambda **how: len(legacy.warnings(legacy.Config(**how)))
+    assert count() == 0 and count(urdf="u") == 2 and count(urdf="u", chain_feasible=True, chain_for_pictures=True) == 0
+    assert count(chain_feasible=True) == count(chain_for_pictures=True) == count(has_instruction=True) == 1
+    assert count(urdf="u", chain_feasible=True, chain_for_pictures=True, has_calibration=True) == 1
+
+
+SLIDE = """<robot name="r"><link name="base"/><link name="arm"/><link name="tip"/>
+<joint name="j" type="prismatic"><parent link="base"/><child link="arm"/><axis xyz="1 0 0"/></joint>
+<joint name="e" type="fixed"><parent link="arm"/><child link="tip"/><origin xyz="0 0 1"/></joint></robot>"""
+
+
+def test_chain_stages(spark):
+    x = np.linspace(0, 1, 20)
+    pose = np.stack([x, x, 0 * x, 0 * x + 1, 0 * x, 0 * x, 0 * x, 0 * x + 1], axis=1)  # joint, position, quaternion
+    off = pose.copy()
+    off[:, 2] += 0.5
+    rough = pose.copy()
+    rough[::2, 3] += 0.2
+    rough[1::2, 3] -= 0.2
+    f = make(spark, pose).unionByName(make(spark, off, episode=1)).unionByName(make(spark, rough, episode=2)).unionByName(make(spark, x[:, None], episode=3))
+    cfg = legacy.Config(dof=1, urdf=SLIDE, chain_feasible=True)
+    out, log = legacy.correct_tips(f, cfg)
+    got = {r["episode_index"]: r for r in log.collect()}
+    assert [got[n]["reason"] for n in range(4)] == [None, None, None, "fk_check_not_feasible"] and [got[n]["manual_review"] for n in range(4)] == [False, False, True, False]
+    assert np.allclose(by_frame(out.filter("episode_index = 1"), "state"), pose)
+    assert legacy.correct_tips(f, legacy.Config(dof=2, urdf=SLIDE, chain_feasible=True))[1].filter("reason is null").count() == 0
+    turn = (0.0, -1.0, 0.0, 1.0, 1.0, 0.0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, 0.0, 0.0, 0.0, 1.0)
+    out, log = legacy.align_orientation(f, legacy.Config(dof=1, base_to_world=turn))
+    assert {r["episode_index"]: r["reason"] for r in log.collect()} == {0: None, 1: None, 2: None, 3: "state_too_narrow_for_eef_slice"}
+    assert np.allclose(by_frame(out.filter("episode_index = 0"), "state")[3], [x[3], 1.0, x[3], 1.0, 0, 0, 0.5**0.5, 0.5**0.5])
+    assert legacy.align_orientation(f, legacy.Config(base_to_world=(1.0,)))[1].first()["reason"] == "invalid_base_to_world_transform"
+
+
+def test_pictures_against_the_chain(spark):
+    pose = np.stack([np.linspace(0, 1, 20)], axis=1)
+    f = make(spark, pose).unionByName(make(spark, pose, episode=1)).unionByName(make(spark, pose, episode=2)).unionByName(make(spark, pose, episode=3))
+    looks = [float(x) for x in (1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, 1, 0, 0, 0, 1)]
+    away = [float(x) for x in (1, 0, 0, 0, 0, 1, 0, 0, 0, 0, 1, -9, 0, 0, 0, 1)]
+    cams = spark.createDataFrame([("a", 0, "front", [10.0, 10.0, 5.0, 5.0], looks), ("a", 1, "front", [10.0, 10.0, 5.0, 5.0], away), ("a", 2, "side", [10.0, 10.0, 5.0, 5.0], looks)], "dataset_uid string, episode_index bigint, view string, intrinsics array<double>, extrinsics array<double>")
+    pics = spark.createDataFrame([("a", e, t, "front", 12, 16, [0.0] * 192) for e in range(4) for t in range(20)], "dataset_uid string, episode_index bigint, frame_index bigint, view string, height int, width int, gray array<double>")
+    cfg = legacy.Config(dof=1, urdf=SLIDE, chain_for_pictures=True, has_calibration=True, gripper_radius=0.4)
+    see = lambda seg, cfg=cfg: {r["episode_index"]: r["reason"] for r in legacy.check_pictures(f, pics, cams, cfg, seg).collect()}
+    box = lambda gray, b: geometry.disk((b[0] + b[2]) / 2, (b[1] + b[3]) / 2, (b[2] - b[0]) / 2, *gray.shape)
+    assert see(box) == {0: None, 1: "fk_projection_behind_camera", 2: "camera_calibration_missing_for_view", 3: "camera_calibration_not_available"}
+    assert see(lambda gray, b: np.zeros(gray.shape, bool))[0] == "video_state_inconsistent"
+    assert see(None)[0] == "sam3_service_not_configured"
+    from dataclasses import replace
+
+    assert see(box, replace(cfg, gripper_radius=None))[0] == "gripper_radius_not_configured" and see(box, replace(cfg, dof=2))[0] == "fk_check_not_feasible"
+    assert see(box, replace(cfg, chain_for_pictures=False))[0] == "urdf_not_available" and see(box, replace(cfg, has_calibration=False))[0] == "camera_calibration_not_available"
+    assert spark.range(1).select(legacy.sampled_places(F.lit(20)).alias("p"), legacy.sampled_places(F.lit(3)).alias("q"), legacy.sampled_places(F.lit(0)).alias("r")).first() == ([0, 5, 10, 14, 19], [0, 1, 2], [])
+
+
+def test_all_frames_lost_by_pictures(spark):
+    t = np.linspace(0, 6, 40)
+    f = make(spark, np.stack([np.sin(t), np.cos(t)], axis=1)).unionByName(make(spark, np.stack([np.sin(t), np.cos(t)], axis=1), episode=1))
+    pics = spark.createDataFrame([("a", 0, i, v, 4, 4, [0.0 if v == "x" else 100.0] * 16) for i in range(40) for v in "xy"], "dataset_uid string, episode_index bigint, frame_index bigint, view string, height int, width int, gray array<double>")
+    out, log = legacy.run(f, legacy.Config(dof=1, low=0.0, high=1.0), pictures=pics)
+    got = {(r["episode_index"], r["stage"]): (r["reason"], r["rejected"]) for r in log.collect()}
+    assert got[0, "run_pipeline"] == ("all_frames_dropped", True) and got[1, "check3_video_quality"] == ("no_video_frames", False)
+    assert {r[0] for r in out.select("episode_index").distinct().collect()} == {1}
+    d = legacy.dropped_frames(f, f.filter("episode_index = 1 and frame_index > 1")).orderBy("episode_index").collect()
+    assert [(len(r["dropped_frame_indices"]), r["output_frame_count"]) for r in d] == [(40, 0), (2, 38)]
 
 
 def test_pictures(spark):

@@ -10,25 +10,27 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Parts that a joint's name may lose before names are compared.
-JOINT_PARTS = ("observation", "state", "action", "position", "target", "command", "joint")
+JOINT_PARTS = ("observation", "state", "action", "target", "command", "position", "pos")
 # Parts of a name by which a place of a vector is a gripper's.
 GRIPPER_PARTS = ("gripper", "finger", "jaw")
-# Cameras in the order in which a primary one is chosen.
-FIRST_CAMERAS = ("observation.images.front", "observation.images.top", "observation.images.head", "observation.images.main")
+# Cameras in the order in which a primary one is chosen, and parts of names that come next.
+FIRST_CAMERAS = ("observation.images.front", "front", "external_camera", "cam_high")
+FRONT_PARTS = ("front", "external", "cam_high")
 
 
 def joint_name(name: Column) -> Column:
     """A joint's name for comparison: lower case, common parts and marks removed.
 
-    Null for generic names (state_3, action_3), and where nothing or only digits remain.
+    Null for generic names (state_3, action_3), which say nothing about what they measure, and where nothing or only
+    digits remain.
     """
-    low = F.lower(name)
+    low, marks = F.lower(name), r"[^\p{L}\p{N}]"
     bare = low
     for part in JOINT_PARTS:
         bare = F.replace(bare, F.lit(part), F.lit(""))
-    bare = F.regexp_replace(bare, r"[^\p{L}\p{N}]", "")
-    generic = low.rlike(r"^(state|action)[_.]?\d+$")
-    return F.when(~generic & (F.length(bare) > 0) & ~bare.rlike(r"^\d+$"), bare)
+    bare = F.regexp_replace(bare, marks, "")
+    generic = F.regexp_replace(low, marks, "").rlike(r"^(state(action)?|action)\p{N}+$")
+    return F.when(~generic & (F.length(bare) > 0) & ~bare.rlike(r"^\p{N}+$"), bare)
 
 
 def is_gripper(name: Column) -> Column:
@@ -105,18 +107,19 @@ def natural_key(path: Column) -> Column:
 
 
 def primary_camera(cameras: Column) -> Column:
-    """The camera to show: a well-known one, else a front view, else a colour view, else any but a wrist, else the first."""
-    low = F.lower
-    # a wrist's or a depth view is never preferred by its name
-    rank = lambda c: (
-        F.when(c.isin(*FIRST_CAMERAS), F.array_position(F.lit(list(FIRST_CAMERAS)), c) - 10)
-        .when(low(c).rlike("front|external|cam_high") & ~low(c).rlike("wrist|depth"), 1)
-        .when(low(c).rlike("rgb|image") & ~low(c).rlike("wrist|depth"), 2)
-        .when(~low(c).rlike("wrist"), 3)
-        .otherwise(4)
-    )
-    ranked = F.transform(cameras, lambda c, i: F.struct(rank(c).cast("int").alias("rank"), i.alias("place"), c.alias("camera")))
-    return F.array_min(ranked)["camera"]
+    """The camera to show: a well-known one, else a front view, else a colour view that is neither a wrist's nor of
+    depth, else any but a wrist's, else the first. Letter case is ignored; of equal names the last is taken."""
+    def rank(low: Column) -> Column:
+        known = F.array_position(F.lit(list(FIRST_CAMERAS)), low)
+        colour = ~F.contains(low, F.lit("wrist")) & low.rlike("rgb|image") & ~F.contains(low, F.lit("depth"))
+        front = low.rlike("|".join(FRONT_PARTS))
+        return F.when(known > 0, known - 10).when(front, 1).when(colour, 2).when(~F.contains(low, F.lit("wrist")), 3).otherwise(4).cast("int")
+
+    def entry(c: Column, i: Column) -> Column:
+        r = rank(F.lower(c))
+        return F.struct(r.alias("rank"), F.when(r < 0, -i).otherwise(i).alias("place"), c.alias("camera"))
+
+    return F.array_min(F.transform(cameras, entry))["camera"]
 
 
 def canonical_json_text(value: object) -> str:

@@ -43,10 +43,17 @@ def polynomial_weights(window: int, order: int) -> np.ndarray:
 
 
 def local_polynomial(x: np.ndarray, window: int, order: int) -> np.ndarray:
-    """The local polynomial fit at each frame; the first and last half windows come from the first and last whole ones."""
+    """The local polynomial fit at each frame; the first and last half windows come from the first and last whole ones.
+
+    Weights act on differences to the frame itself, so that a series at rest stays exactly at rest.
+    """
     w, h = polynomial_weights(window, order), window // 2
-    inner = np.lib.stride_tricks.sliding_window_view(x, window, axis=0) @ w[h]
-    return np.concatenate([w[:h] @ x[:window], inner, w[h + 1 :] @ x[-window:]])
+    views = np.lib.stride_tricks.sliding_window_view(x, window, axis=0)
+    fit = lambda view, own, weights: own + (view - own[..., None]) @ weights
+    inner = fit(views, x[h : len(x) - h], w[h])
+    head = [fit(views[0], x[i], w[i])[None] for i in range(h)]
+    tail = [fit(views[-1], x[len(x) - window + i], w[i])[None] for i in range(h + 1, window)]
+    return np.concatenate([*head, inner, *tail])
 
 
 def smooth(x: np.ndarray, medians: Sequence[int] = (5, 5), window: int = 11, degree: int = 3) -> np.ndarray:

@@ -5,12 +5,17 @@ Spark sorts NaN above every number, so `x > limit` is true for NaN; every compar
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once for each row, where it would else be computed at each use."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def finite(x: Column) -> Column:
     """Whether a number is there, not NaN and not infinite; never null."""
     return F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False))

@@ -27,7 +27,8 @@ REASONS = {1: "stage1_sudden_change", 2: "state_action_trend_mismatch", 3: "stag
 class Config:
     """Parameters of the three stages; `exempt` are 0-based places of grippers by vector, None for the last place.
 
-    `samples` has no effect: thresholds come from all frames.
+    `pairs` are comparable places of state and action, the same for all; `positional` allows equal places where neither
+    they nor names tell. `samples` has no effect: thresholds come from all frames.
     """
 
     exclusion: str = "frame"
@@ -44,6 +45,7 @@ class Config:
     fps: float = 30.0
     action_mode: str = "absolute"
     pairs: tuple[tuple[int, int], ...] | None = None
+    positional: bool = False
     exempt: dict[str, tuple[int, ...]] | None = None
     angular: dict[str, tuple[int, ...]] = field(default_factory=dict)
     quaternions: dict[str, tuple[tuple[int, ...], ...]] = field(default_factory=dict)
@@ -104,9 +106,36 @@ def stage1(frames: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
     return {"thresholds": thresholds, "frame_flags": labelled.filter("flagged_frame"), "episode_summary": summary, "episode_filter": filter_, "step_validity": validity}
 
 
-def stage2(frames: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
-    """Trends of state and action over the frames that are valid so far (`valid`): dimension_metrics, episode_flags, episode_filter."""
-    metrics = trend.trends(frames, KEYS, ORDER, "state", "action", cfg.pairs, "valid", cfg.fps, cfg.lag_seconds, cfg.least_active, cfg.agreement, cfg.action_mode == "delta", medians=cfg.medians, window=cfg.window, degree=cfg.degree)
+def _pairs_of(frames: DataFrame, cfg: Config, mapping: DataFrame | None) -> DataFrame | list[tuple[int, int]] | None:
+    """The pairs of stage 2 without grippers; an error where there are none to trust."""
+    gripper = lambda side: [int(i) for i in (cfg.exempt or {}).get(side, ())]
+    if cfg.pairs is not None:
+        wide = frames.agg(F.max(F.size("state")), F.max(F.size("action"))).first()
+        if any(not 0 <= i < (n or 0) for p in cfg.pairs for i, n in zip(p, wide)):
+            raise ValueError("pairs of places lie outside the vectors")
+        trend.fixed_pairs(cfg.pairs)
+        return [(s, a) for s, a in cfg.pairs if s not in gripper("state") and a not in gripper("action")]
+    named = None
+    if mapping is not None:
+        fine = mapping.filter(~F.col("state_dimension").isin(*gripper("state"), -1) & ~F.col("action_dimension").isin(*gripper("action"), -1))
+        named = trend.mapped_pairs(fine, ["dataset_uid"])
+    if not cfg.positional:
+        every = frames.select("dataset_uid").distinct()
+        bare = (every if named is None else every.join(named, "dataset_uid", "left_anti")).limit(5).collect()
+        if bare:
+            raise ValueError(f"no comparable places of state and action in {[r[0] for r in bare]}: give pairs or names, or allow equal places")
+    return named
+
+
+def stage2(frames: DataFrame, cfg: Config = Config(), mapping: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Trends of state and action over the frames that are valid so far (`valid`): dimension_metrics, episode_flags, episode_filter.
+
+    Pairs of places are `cfg.pairs`, else those of `mapping` (dataset_uid, state_dimension, action_dimension, as
+    `trend.match_joints` finds them by name); datasets without any compare equal places if `cfg.positional` allows it,
+    and are an error otherwise, as are pairs outside the vectors or not one-to-one. Grippers (`cfg.exempt`) are left out.
+    """
+    pairs = _pairs_of(frames, cfg, mapping)
+    metrics = trend.trends(frames, KEYS, ORDER, "state", "action", pairs, "valid", cfg.fps, cfg.lag_seconds, cfg.least_active, cfg.agreement, cfg.action_mode == "delta", medians=cfg.medians, window=cfg.window, degree=cfg.degree)
     metrics = cut(metrics)
     flags = trend.trend_verdicts(metrics, KEYS)
     counts = frames.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("num_frames"))
@@ -232,14 +261,14 @@ def view_of(spark: SparkSession, frames: DataFrame, manifest: str | Path | None)
     return with_step_validity(accepted_only(frames, filters), validities)
 
 
-def run(spark: SparkSession, frames: DataFrame, out: str, stages: Sequence[int] = (1, 2, 3), cfg: Config = Config(), embodiments: DataFrame | None = None, parent: str | None = None, overwrite: bool = False) -> str:
+def run(spark: SparkSession, frames: DataFrame, out: str, stages: Sequence[int] = (1, 2, 3), cfg: Config = Config(), embodiments: DataFrame | None = None, parent: str | None = None, overwrite: bool = False, mapping: DataFrame | None = None) -> str:
     """Run stages in turn, each over the view of those before; the last manifest's path.
 
     Label tables are written first, the manifest that names them last, so a manifest is only seen when it is true.
     """
     for n in sorted(stages):
         view = view_of(spark, frames, parent)
-        labels = stage1(view.drop("valid"), cfg) if n == 1 else stage2(view, cfg) if n == 2 else stage3(view, embodiments, cfg)
+        labels = stage1(view.drop("valid"), cfg) if n == 1 else stage2(view, cfg, mapping) if n == 2 else stage3(view, embodiments, cfg)
         base = f"{out}/stage{n}"
         for name, df in labels.items():
             df.write.mode("overwrite" if overwrite else "errorifexists").option("compression", "zstd").parquet(f"{base}/labels/{name}")

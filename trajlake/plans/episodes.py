@@ -12,6 +12,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 Columns = dict[str, np.ndarray]
+#: Bytes of results that a task holds before it hands them on.
+HELD_BYTES = 4 << 20
 
 
 def series(col: pa.ChunkedArray) -> np.ndarray:
@@ -65,8 +67,8 @@ def per_episode(frames: DataFrame, keys: Sequence[str], order: Sequence[str], co
             if out is None:
                 continue
             held.append(pa.RecordBatch.from_arrays([_column(out[f.name], f.type) for f in arrow], schema=arrow))
-            size += held[-1].num_rows
-            if size >= 10_000:
+            size += held[-1].nbytes
+            if size >= HELD_BYTES:
                 yield from pa.Table.from_batches(held).combine_chunks().to_batches()
                 held, size = [], 0
         if held:

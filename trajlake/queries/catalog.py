@@ -152,9 +152,10 @@ def keyset_duration_desc(spark: SparkSession, folder: str) -> DataFrame:
 
 @R.add("""with d as (select * from datasets qualify row_number() over (partition by uid order by scanned_at desc, snapshot_id desc) = 1),
   c as (select uid, unnest(from_json(cameras, '["varchar"]')) as camera, unnest(range(len(from_json(cameras, '["varchar"]')))) as place from d where json_valid(cameras)),
-  k as (select *, case when camera = 'observation.images.front' then -9 when camera = 'observation.images.top' then -8 when camera = 'observation.images.head' then -7 when camera = 'observation.images.main' then -6
-    when regexp_matches(lower(camera), 'front|external|cam_high') and not regexp_matches(lower(camera), 'wrist|depth') then 1 when regexp_matches(lower(camera), 'rgb|image') and not regexp_matches(lower(camera), 'wrist|depth') then 2 when not regexp_matches(lower(camera), 'wrist') then 3 else 4 end as rank from c)
-  select uid, arg_min(camera, (rank, place)) as primary_camera from k group by all""")
+  k as (select *, case lower(camera) when 'observation.images.front' then -4 when 'front' then -3 when 'external_camera' then -2 when 'cam_high' then -1
+    else case when regexp_matches(lower(camera), 'front|external|cam_high') then 1 when not contains(lower(camera), 'wrist') and regexp_matches(lower(camera), 'rgb|image') and not contains(lower(camera), 'depth') then 2
+    when not contains(lower(camera), 'wrist') then 3 else 4 end end as rank from c)
+  select uid, arg_min(camera, (rank, case when rank < 0 then -place else place end)) as primary_camera from k group by all""")
 def primary_camera(spark: SparkSession, folder: str) -> DataFrame:
     d = last_scans(spark, folder).select("uid", F.from_json("cameras", "array<string>").alias("c")).filter(F.size("c") > 0)
     return d.select("uid", scalars.primary_camera(F.col("c")).alias("primary_camera"))
@@ -248,28 +249,6 @@ def series_valid_view(spark: SparkSession, folder: str) -> DataFrame:
     return v.groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.count(F.get("value", F.lit(0))).alias("readings"))
 
 
-@R.add()
-def stage1_flags(spark: SparkSession, folder: str) -> DataFrame:
-    """Frames of sudden changes (smoothing needs numpy; tested against direct sums)."""
-    return curation.stage1(frame_rows(spark, folder))["frame_flags"].select(*KEYS, *ORDER, *(F.array_join(f"failed_{v}_dimensions", ",").alias(f"failed_{v}") for v in curation.VECTORS))
-
-
-@R.add()
-def stage1_episode_filter(spark: SparkSession, folder: str) -> DataFrame:
-    return curation.stage1(frame_rows(spark, folder), curation.Config(exclusion="episode"))["episode_filter"]
-
-
-@R.add()
-def curated_frames(spark: SparkSession, folder: str) -> DataFrame:
-    """Valid frames of each episode after all three stages."""
-    f = frame_rows(spark, folder)
-    one = curation.stage1(f)
-    view = curation.with_step_validity(f, [one["step_validity"]])
-    two = curation.stage2(view)
-    three = curation.stage3(curation.accepted_only(view, [two["episode_filter"]]))
-    return three["episode_summary"]
-
-
 # --- upkeep
 
 @R.add("""select dataset_uid, episode_index from (select distinct dataset_uid, episode_index from episodes) where (dataset_uid, episode_index) not in (select dataset_uid, episode_index from episodes where indexed_at > 1750000000)""")

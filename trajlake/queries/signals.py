@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trajlake.functions.vectors import any_of, beyond, failed_places, finite, masked
+from trajlake.functions.vectors import any_of, finite
 from trajlake.operators import quantiles, runs, signals, stats, trend
+from trajlake.plans import curation
 from trajlake.queries.registry import FRAMES, KEYS, ORDER, PLACES, Registry, frame_rows, table
 
 R = Registry()
@@ -29,27 +30,15 @@ _FINITE = "value is not null and isfinite(value)"
 _BOUNDS = f"select dataset_uid, feature, dimension, quantile_cont(value, 0.01) as q_low, quantile_cont(value, 0.99) as q_high from v where {_FINITE} group by all"
 
 
-def bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return quantiles.quantile_bounds(frame_rows(spark, folder), "dataset_uid", list(FEATURES), alpha=0.1)
+def stage3(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    return curation.stage3(frame_rows(spark, folder).withColumn("valid", F.lit(True)))
 
 
 @R.add(f"""with {PLACES}, b as ({_BOUNDS}) select dataset_uid, feature, dimension, q_low::float as q_low, q_high::float as q_high,
   (q_low - 0.1 * (q_high - q_low))::float as lower, (q_high + 0.1 * (q_high - q_low))::float as upper from b""")
 def stage3_bounds(spark: SparkSession, folder: str) -> DataFrame:
     """Quantile bounds of each dataset's places, widened by a tenth; over all frames."""
-    return bounds(spark, folder).select("dataset_uid", "feature", "dimension", *(F.col(c).cast("float").alias(c) for c in ("q_low", "q_high", "lower", "upper")))
-
-
-def with_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    frames = frame_rows(spark, folder)
-    b = bounds(spark, folder)
-    arrays = b.groupBy("dataset_uid", "feature").agg(F.sort_array(F.collect_list(F.struct("dimension", "lower", "upper"))).alias("b"))
-    wide = arrays.groupBy("dataset_uid").pivot("feature", ["state", "action"]).agg(F.first("b"))
-    wide = wide.select("dataset_uid", *(F.col(f"{n}.{c}").alias(f"{n}_{c}") for n in FEATURES for c in ("lower", "upper")))
-    out = frames.join(wide, "dataset_uid", "left")
-    for n in FEATURES:
-        out = out.withColumn(f"{n}_flags", beyond(F.col(n), F.col(f"{n}_lower"), F.col(f"{n}_upper"), exempt=F.array(F.size(n) - 1)))
-    return out.withColumn("flagged", any_of(F.col("state_flags")) | any_of(F.col("action_flags")))
+    return stage3(spark, folder)["thresholds"].select(F.col("embodiment").alias("dataset_uid"), "feature", "dimension", *(F.col(c).cast("float").alias(c) for c in ("q_low", "q_high", "lower", "upper")))
 
 
 _FLAGS = f"""with {PLACES}, b as ({_BOUNDS}), l as (select dataset_uid, feature, dimension, q_low - 0.1 * (q_high - q_low) as lower, q_high + 0.1 * (q_high - q_low) as upper from b),
@@ -65,14 +54,14 @@ _FLAGS = f"""with {PLACES}, b as ({_BOUNDS}), l as (select dataset_uid, feature,
 @R.add(_FLAGS + " select * from g")
 def stage3_frame_flags(spark: SparkSession, folder: str) -> DataFrame:
     """Frames with places beyond the bounds (the gripper's only if not finite), and which."""
-    x = with_bounds(spark, folder).filter("flagged")
-    return x.select(*KEYS, *ORDER, *(F.coalesce(F.array_join(failed_places(F.col(f"{n}_flags")), ","), F.lit("")).alias(f"failed_{n}_dimensions") for n in FEATURES))
+    x = stage3(spark, folder)["frame_flags"]
+    return x.select(*KEYS, *ORDER, *(F.array_join(F.coalesce(f"failed_{n}_dimensions", F.array().cast("array<int>")), ",").alias(f"failed_{n}_dimensions") for n in FEATURES))
 
 
 @R.add(_FLAGS + """ select dataset_uid, episode_index, count(*) as input_frames, count(g.frame_index) as flagged_frames, count(*) - count(g.frame_index) as output_frames
   from f left join g using (dataset_uid, episode_index, frame_index) group by all""")
 def stage3_episode_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return with_bounds(spark, folder).groupBy(*KEYS).agg(F.count(F.lit(1)).alias("input_frames"), F.count_if("flagged").alias("flagged_frames"), F.count_if(~F.col("flagged")).alias("output_frames"))
+    return stage3(spark, folder)["episode_summary"].select(*KEYS, "input_frames", "flagged_frames", "output_frames")
 
 
 @R.add(f"""with {FRAMES}, n as (select *, row_number() over (partition by dataset_uid order by episode_index, frame_index) - 1 as p, count(*) over (partition by dataset_uid) as total from f)
@@ -261,13 +250,6 @@ def fill_nonfinite(spark: SparkSession, folder: str) -> DataFrame:
     return signals.filled(f, KEYS, ORDER, "x", "force_x").filter(~finite(F.col("x"))).select(*KEYS, *ORDER, F.round("force_x", 6).alias("force_x"))
 
 
-@R.add()
-def stage1_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """Distance to the smooth signal and differences, by episode: medians and local polynomials need numpy (tested against direct sums)."""
-    m = signals.change_metrics(frame_rows(spark, folder).filter("state is not null and action is not null"), KEYS, ORDER, FEATURES)
-    return m.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.max(F.array_max("state_residual")).alias("most_residual"), F.max(F.array_max("action_jerk")).alias("most_jerk"))
-
-
 # --- runs
 
 @R.add(_FLAGS + f""", r as (select *, frame_index - row_number() over {W} as island from g)
@@ -370,35 +352,3 @@ def best_lag_correlation(spark: SparkSession, folder: str) -> DataFrame:
     f = frame_rows(spark, folder).withColumn("p", F.row_number().over(runs.ordered(KEYS, ORDER)))
     p = trend.lag_products(f, KEYS, "p", place("action", 1), place("state", 1), 3).withColumn("correlation", F.round("correlation", 6))
     return trend.best_lag(p, KEYS)
-
-
-@R.add()
-def directional_agreement(spark: SparkSession, folder: str) -> DataFrame:
-    """Lag and agreement of every joint, by run (numpy over whole episodes; tested against direct sums)."""
-    return trend.trends(with_validity(spark, folder).drop("force"), KEYS, ORDER, "state", "action", valid="valid")
-
-
-@R.add()
-def stage2_episode_flags(spark: SparkSession, folder: str) -> DataFrame:
-    return trend.trend_verdicts(directional_agreement(spark, folder), KEYS)
-
-
-@R.add()
-def legacy_trend_alignment(spark: SparkSession, folder: str) -> DataFrame:
-    return trend.legacy_alignment(with_validity(spark, folder).filter("valid"), KEYS, ORDER, "state", "action")
-
-
-@R.add(r"""with n as (select uid, je.key as k, je.value as spec from (select * from datasets where json_valid(schema_json) and json_type(schema_json) = 'OBJECT' qualify row_number() over (partition by uid order by scanned_at desc, snapshot_id desc) = 1) d, json_each(d.schema_json) je),
-  s as (select uid, json_extract_string(spec, '$.names[*]') as names, k from n where k in ('observation.state', 'action') and json_type(spec, '$.names') = 'ARRAY'),
-  u as (select uid, k, unnest(names) as name, cast(unnest(range(len(names))) as int) as dimension from s),
-  j as (select uid, k, dimension, name, regexp_replace(replace(replace(replace(replace(replace(replace(replace(lower(name), 'observation', ''), 'state', ''), 'action', ''), 'position', ''), 'target', ''), 'command', ''), 'joint', ''), '[^a-z0-9]', '', 'g') as joint,
-    regexp_matches(lower(name), '^(state|action)[_.]?\d+$') as generic, regexp_matches(lower(name), 'gripper|finger|jaw') as grip from u),
-  o as (select uid, k, joint, min(dimension) as dimension, bool_or(grip) as grip from j where not generic and joint <> '' and not regexp_matches(joint, '^\d+$') group by all having count(*) = 1)
-  select a.uid, a.joint, a.dimension as state_dimension, b.dimension as action_dimension from o a join o b on a.uid = b.uid and a.joint = b.joint and a.k = 'observation.state' and b.k = 'action' where not a.grip and not b.grip""")
-def unique_name_map(spark: SparkSession, folder: str) -> DataFrame:
-    """Joints matched by name in the last readable scan of each dataset (none where names are only numbered)."""
-    d = table(spark, folder, "datasets").withColumn("v", F.try_parse_json("schema_json")).filter(F.schema_of_variant("v").startswith("OBJECT"))
-    w = Window.partitionBy("uid").orderBy(F.desc("scanned_at"), F.desc("snapshot_id"))
-    last = d.withColumn("n", F.row_number().over(w)).filter("n = 1")
-    side = lambda k: last.select("uid", F.posexplode(F.try_variant_get("v", f"$['{k}'].names", "array<string>")).alias("dimension", "name"))
-    return trend.match_joints(side("observation.state"), side("action"), ["uid"])
