@@ -140,6 +140,23 @@ def test_drifting_files(spark, tmp_path):
     assert read_drifting(spark, str(tmp_path / "none"))[0].count() == 0
 
 
+def test_totals_of_hot_keys_without_a_dictionary(spark, monkeypatch):
+    from trajlake.operators import dense_totals as module
+
+    rng = np.random.default_rng(4)
+    keys = np.where(rng.random(20_000) < 0.4, 0, rng.integers(0, 3000, 20_000))
+    rows = [(f"k{k}", None if v % 17 == 0 else int(v)) for k, v in zip(keys, rng.integers(-(2**40), 2**40, 20_000))]
+    df = spark.createDataFrame(rows, "uid string, n bigint")
+    plain = {r["uid"]: tuple(r)[1:] for r in dense_totals(df, "uid", "n").collect()}
+    monkeypatch.setattr(module, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(module, "PARTS", 64)
+    apart = {r["uid"]: tuple(r)[1:] for r in dense_totals(df, "uid", "n").collect()}
+    assert plain == apart
+    for k in ("k0", "k7", "k2999"):
+        v = [n for u, n in rows if u == k and n is not None]
+        assert apart[k][:3] == (sum(u == k for u, _ in rows), sum(v), float(np.median(v)))
+
+
 def test_dense_totals(spark):
     rng = random.Random(0)
     rows = [(rng.choice(["hot"] * 8 + [f"k{i}" for i in range(40)]), rng.choice([None, rng.randint(-5, 5), rng.randint(0, 10**12), 2**62, -(2**62)])) for _ in range(3000)] + [(None, 1), ("only_null", None), ("", 7), ("one", 3)]

@@ -16,16 +16,17 @@ def hot_keys(rows: DataFrame, keys: list[str], part: float = HOT_PART) -> DataFr
     return counts.join(F.broadcast(total), F.col("n") > F.col("total") * part).select(*keys)
 
 
-def skew_join(rows: DataFrame, side: DataFrame, keys: list[str], part: float = HOT_PART) -> DataFrame:
+def skew_join(rows: DataFrame, side: DataFrame, keys: list[str], part: float = HOT_PART, hot: DataFrame | None = None) -> DataFrame:
     """Left join of `rows` with `side`, which has at most one row for each key.
 
     Rows of hot keys meet a broadcast copy of the few side rows of these keys (at most 1/part of them); all other
     rows are shuffled by key, so no task holds more than about `part` of the rows by a single key. Null keys match
     nothing and stay where they are instead of meeting in one task. `rows` is read once for the counts and once for each
-    of the three parts, so it should be cheap to read.
+    of the three parts, so it should be cheap to read. Where the hot keys are known (`hot`, at most 1/part of them) it is
+    not counted.
     """
     cols = [c for c in side.columns if c not in keys]
-    hot = hot_keys(rows.dropna(subset=keys), keys, part).withColumn("__hot", F.lit(True))
+    hot = (hot_keys(rows.dropna(subset=keys), keys, part) if hot is None else hot.select(*keys)).withColumn("__hot", F.lit(True))
     marked = rows.join(F.broadcast(hot), keys, "left")
     hot_side = side.join(F.broadcast(hot.select(*keys)), keys, "left_semi")
     is_null = F.lit(False)
