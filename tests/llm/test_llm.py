@@ -62,7 +62,7 @@ def test_merged_filters_never_lose_a_repeat():
     parts = np.array_split(np.concatenate([h, h[:300]]), 9)
     bits, rows = 1 << 18, []
     for p in parts:
-        for b in copies._filters(bits)(iter([pa.RecordBatch.from_arrays([pa.array(p)], ["h"])])):
+        for b in copies._filters(bits, bits)(iter([pa.RecordBatch.from_arrays([pa.array(p)], ["h"])])):
             rows += list(zip(*(c.to_pylist() for c in b.columns)))
     rows.sort(key=lambda r: r[0])
     batch = pa.RecordBatch.from_arrays([pa.array(list(x)) for x in zip(*rows)], ["segment", "once", "again"])
@@ -71,11 +71,35 @@ def test_merged_filters_never_lose_a_repeat():
         for seg, again in zip(out.column(0).to_pylist(), out.column(1).to_pylist()):
             whole[seg * copies.SEGMENT // 8 : (seg + 1) * copies.SEGMENT // 8] = np.frombuffer(again, np.uint8)
     bit = np.unpackbits(whole)
-    a, b = copies.probes(h, bits)
+    a, b = copies.probes(h, bits, bits)
     maybe = (bit[a] & bit[b]).astype(bool)
     assert maybe[:300].all() and maybe[300:].mean() < 0.05
 
 
+def test_filters_in_slices_give_the_same_copies(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(None, i, f"word {rng.randint(0, 30_000)}", None, "", "") for i in range(20_000)]
+    df = spark.createDataFrame(rows, RECORDS)
+    whole = sorted(map(tuple, collapse(df).collect()), key=lambda r: r[1])
+    monkeypatch.setattr(copies, "SLICE", 1 << 17)  # four slices instead of one
+    assert sorted(map(tuple, collapse(df).collect()), key=lambda r: r[1]) == whole
+    assert copies.probes(np.arange(1000) * 7**18, 1 << 19, 1 << 17)[0].max() >= 1 << 17
+    one, two = copies.probes(np.random.default_rng(0).integers(-(2**63), 2**63 - 1, 1000), 1 << 19, 1 << 17)
+    assert (one >> 17 == two >> 17).all()
+
+
+def test_every_passage_with_one_edit_is_found():
+    item = [f"w{i}" for i in range(40)]
+    pieces = Pieces([(1, " ".join(item))], 12, 1)
+    for at in range(29):
+        own = item[at : at + 12]
+        assert pieces.find(" ".join(["x", *own, "y"]))[0][1] == 0
+        for k in range(12):
+            for changed in (own[:k] + ["new"] + own[k + 1 :], own[:k] + own[k + 1 :], own[:k] + ["new"] + own[k:]):
+                got = pieces.find(" ".join(["x", *changed, "y"]))
+                assert got and got[0][0] == 1 and got[0][1] <= 1, (at, k, changed)
+
+
 def edit_brute(p, t):
     row = [0] * (len(t) + 1)
     for i, x in enumerate(p, 1):

@@ -17,15 +17,17 @@ from trajlake.functions.text import canonical_json, word_array
 from trajlake.plans.skew import skew_join
 from trajlake.plans.storage import cut
 
-#: Bits of a filter for each record, least and most bits of a filter (32 MB), bits of a segment, hashes put in at once.
-BITS_PER_ROW, LEAST_BITS, MOST_BITS, SEGMENT, AT_ONCE = 16, 1 << 16, 1 << 28, 1 << 16, 1 << 21
+#: Bits of a filter for each record, least bits of a filter, bits of a slice (32 MB: what a task or the driver holds at
+#: once), bits of a segment, hashes put in at once.
+BITS_PER_ROW, LEAST_BITS, SLICE, SEGMENT, AT_ONCE = 16, 1 << 16, 1 << 28, 1 << 16, 1 << 21
 
 
-def probes(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The two places of each 64-bit hash in a filter of `bits` (a power of 2) bits."""
+def probes(h: np.ndarray, bits: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each 64-bit hash in a filter of `bits` bits, both in one slice of `size` bits (powers of 2)."""
     u = h.view(np.uint64)
     second = (u ^ (u >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15)
-    return (u & np.uint64(bits - 1)).astype(np.int64), ((second >> np.uint64(20)) & np.uint64(bits - 1)).astype(np.int64)
+    first, inside = u & np.uint64(bits - 1), np.uint64(size - 1)
+    return first.astype(np.int64), ((first & ~inside) | ((second >> np.uint64(20)) & inside)).astype(np.int64)
 
 
 def _pack(places: np.ndarray) -> bytes:
@@ -45,14 +47,14 @@ def _unpack(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, np.uint8, offset=1)
 
 
-def _filters(bits: int):
+def _filters(bits: int, size: int):
     """For each piece of a split the segments of two filters: hashes seen once in it, and repeatedly."""
 
     def emit(h: np.ndarray) -> pa.RecordBatch:
         own, n = np.unique(h, return_counts=True)
         place: list[np.ndarray] = []
         for some in (own[n == 1], own[n > 1]):
-            place.append(np.unique(np.concatenate(probes(some, bits))) if len(some) else np.empty(0, np.int64))
+            place.append(np.unique(np.concatenate(probes(some, bits, size))) if len(some) else np.empty(0, np.int64))
         seg = np.unique(np.concatenate([p // SEGMENT for p in place]))
         cuts = [np.searchsorted(p, np.r_[seg, seg[-1:] + 1] * SEGMENT) for p in place]
         part = [[_pack(p[c[i] : np.searchsorted(p, (s + 1) * SEGMENT)] % SEGMENT) for i, s in enumerate(seg)] for p, c in zip(place, cuts)]
@@ -89,13 +91,22 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def _may_repeat(shared, bits: int):
+def _may_repeat(slices: list, bits: int, size: int):
+    """Marks hashes that the filter holds; records come sorted by slice, so a task has one slice in memory at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        again = np.frombuffer(shared.value, np.uint8)
+        held, again = -1, np.empty(0, np.uint8)
         bit = lambda p: (again[p >> 3] >> (7 - (p & 7)).astype(np.uint8)) & 1
         for b in batches:
-            one, two = probes(np.asarray(b.column("h")), bits)
-            yield b.append_column("maybe", pa.array((bit(one) & bit(two)).astype(bool)))
+            one, two = probes(np.asarray(b.column("h")), bits, size)
+            at, maybe = one // size, np.zeros(len(one), bool)
+            for n in np.unique(at).tolist():
+                if n != held:
+                    if held >= 0:
+                        vars(slices[held]).pop("_value", None)  # a worker keeps a broadcast's value otherwise
+                    held, again = n, np.frombuffer(slices[n].value, np.uint8)
+                here = at == n
+                maybe[here] = (bit(one[here] - n * size) & bit(two[here] - n * size)).astype(bool)
+            yield b.append_column("maybe", pa.array(maybe))
 
     return run
 
@@ -111,7 +122,8 @@ def collapse_copies(rows: DataFrame, record: Column, exact: Sequence[Column], te
     Two passes read the records' hashes. The first puts them into Bloom filters of what each split sees once and
     repeatedly, and merges these: a hash that two splits have seen once has been seen again. Records outside the merged
     filter are certain to be single and are not shuffled; the others are grouped by a 256-bit digest. The filter has 16
-    bits for each record up to 32 MB; beyond that it lets more single records through, and stays exact.
+    bits for each record, whatever their number. It lies in slices of at most 32 MB, broadcast one by one; tasks sort
+    their records by slice and hold one slice at a time.
     """
     words = word_array(text)
     none = F.size(words) == 0
@@ -121,14 +133,19 @@ def collapse_copies(rows: DataFrame, record: Column, exact: Sequence[Column], te
     plain = rows.select(group.alias("group_key"), record.alias("record_id"), form.alias("form")).filter("record_id is not null")
     hashed = cut(plain.select("group_key", "record_id", F.xxhash64("form").alias("h"), F.unhex(F.sha2("form", 256)).alias("digest")))
     spark, n = hashed.sparkSession, hashed.count()
-    bits = min(MOST_BITS, max(LEAST_BITS, 1 << (BITS_PER_ROW * n - 1).bit_length()))
-    pieces = hashed.select("h").mapInArrow(_filters(bits), "segment bigint, once binary, again binary")
-    merged = pieces.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge, "segment bigint, again binary")
-    whole = np.zeros(bits // 8, np.uint8)
-    for r in merged.collect():  # at most 32 MB, whatever the input
-        whole[r["segment"] * SEGMENT // 8 : (r["segment"] + 1) * SEGMENT // 8] = np.frombuffer(r["again"], np.uint8)
-    shared = spark.sparkContext.broadcast(whole.tobytes())
-    marked = hashed.mapInArrow(_may_repeat(shared, bits), T.StructType([*hashed.schema.fields, T.StructField("maybe", T.BooleanType())]))
+    bits = max(LEAST_BITS, 1 << (BITS_PER_ROW * n - 1).bit_length())
+    size = min(bits, SLICE)
+    pieces = hashed.select("h").mapInArrow(_filters(bits, size), "segment bigint, once binary, again binary")
+    merged = cut(pieces.repartition("segment").sortWithinPartitions("segment").mapInArrow(_merge, "segment bigint, again binary"))
+    slices = []
+    for part in range(bits // size):
+        whole, first = np.zeros(size // 8, np.uint8), part * (size // SEGMENT)
+        for r in merged.filter(F.col("segment").between(first, first + size // SEGMENT - 1)).collect():  # one slice: at most 32 MB
+            at = (r["segment"] - first) * SEGMENT // 8
+            whole[at : at + SEGMENT // 8] = np.frombuffer(r["again"], np.uint8)
+        slices.append(spark.sparkContext.broadcast(whole.tobytes()))
+    by_slice = hashed.sortWithinPartitions(F.shiftright(F.col("h").bitwiseAND(F.lit(bits - 1)), size.bit_length() - 1))
+    marked = by_slice.mapInArrow(_may_repeat(slices, bits, size), T.StructType([*hashed.schema.fields, T.StructField("maybe", T.BooleanType())]))
     single = marked.filter("not maybe").select("group_key", "record_id", F.col("record_id").alias("keep_id"), F.lit(1).cast("bigint").alias("copies"))
     repeats = cut(marked.filter("maybe").select("group_key", "record_id", "digest").distinct())
     groups = repeats.groupBy("digest").agg(F.min("record_id").alias("keep_id"), F.count(F.lit(1)).alias("copies"))
