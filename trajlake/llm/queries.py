@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from trajlake.llm.copies import collapse_copies
 from trajlake.llm.leaks import find_leaks
 from trajlake.llm.mix import mix_sources
-from trajlake.llm.subjects import fit_subjects, score_subjects
+from trajlake.llm.subjects import fit_subjects, score_subjects, tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,9 +104,8 @@ QUARTER = 0.25
 
 
 def document_subjects(spark: SparkSession, folder: str) -> DataFrame:
-    documents = table(spark, folder, "documents")
-    model = fit_subjects(documents, table(spark, folder, "subject_examples"))
-    return score_subjects(documents, model)
+    words = tokens(table(spark, folder, "documents"), "doc_id", "text")
+    return score_subjects(words, fit_subjects(words, table(spark, folder, "subject_examples")))
 
 
 @query

@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
+import copy
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.functions.vectors import bind
 from trajlake.plans.storage import cut
 
-_END = regex.compile(r"[.!?…]+[\"'”)\]]*(?=\s|$)|\n\s*\n|\n(?=\s*(?:[-*•#>]|\d+[.)]|\[\d+\])\s*)")
-_LETTERS = regex.compile(r"\p{L}+")
+#: Where a sentence ends: marks before a blank, empty lines, lines that begin a list. One pattern for Java and regex.
+END = r"[.!?…]+[\"'”)\]]*(?=\s|$)|\n\s*\n|\n(?=\s*(?:[-*•#>]|\d+[.)]|\[\d+\])\s*)"
+_END, _LETTERS = regex.compile(END), regex.compile(r"\p{L}+")
 #: Words of a usual sentence, and words from which a stretch without sentence ends is cut into such pieces.
 USUAL, LONG = 11, 20
 
@@ -24,7 +27,7 @@ USUAL, LONG = 11, 20
 def sentences(text: str | None) -> list[list[str]]:
     """Words (letters only, folded) of each sentence; stretches without marks are cut into pieces of usual length."""
     out = []
-    for part in _END.split(text.casefold()) if text else ():
+    for part in _END.split(text.lower().replace("ß", "ss")) if text else ():
         w = _LETTERS.findall(part)
         if len(w) > LONG:
             n = round(len(w) / USUAL)
@@ -34,6 +37,27 @@ def sentences(text: str | None) -> list[list[str]]:
     return out
 
 
+def sentence_words(text: Column) -> Column:
+    """The same in the JVM: the words of all sentences in a row (`words`), and how many each sentence has (`sizes`)."""
+    def pieces(w: Column) -> Column:
+        n = F.rint(F.size(w) / float(USUAL)).cast("int")
+        size, more = F.floor(F.size(w) / n).cast("int"), F.size(w) % n
+        cut_up = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.slice(w, i * size + F.least(i, more) + 1, size + F.when(i < more, 1).otherwise(0)))
+        return F.when(F.size(w) > LONG, cut_up).otherwise(F.filter(F.array(w), lambda x: F.size(x) > 0))
+
+    folded = F.replace(F.lower(text), F.lit("\u00df"), F.lit("ss"))
+    parts = F.transform(F.split(folded, f"(?U){END}"), lambda x: F.regexp_extract_all(x, F.lit(r"(\p{L}+)"), F.lit(1)))
+    every = F.flatten(F.transform(parts, lambda w: bind(w, pieces)))
+    return bind(every, lambda e: F.struct(F.flatten(e).alias("words"), F.transform(e, F.size).alias("sizes")))
+
+
+def tokens(documents: DataFrame, doc: str | None, text: str) -> DataFrame:
+    """d, words, sizes of every document with a text, written once and read by all passes."""
+    rows = documents.select(*([F.col(f"`{doc}`").alias("d")] if doc else []), F.col(f"`{text}`").alias("t")).filter("t is not null")
+    rows = rows.filter("d is not null") if doc else rows
+    return cut(rows.select(*(["d"] if doc else []), sentence_words(F.col("t")).alias("s")).select(*(["d"] if doc else []), "s.words", "s.sizes"))
+
+
 @dataclass
 class Model:
     """Averaged word and subword embeddings with an independent logistic output for each subject."""
@@ -146,15 +170,13 @@ class Scorer:
                 self.z[n] = self.model.word_scores(word) * a
         return n
 
-    def label(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def label(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document of each sentence, its subject or -1, sentence of each word, number of each word)."""
-        doc, count, at = [], [], []
-        for n, t in enumerate(texts):
-            for s in sentences(t):
-                doc.append(n)
-                count.append(len(s))
-                at.extend(map(self.id, s))
-        doc, count, at = np.array(doc, np.int64), np.array(count, np.int64), np.array(at, np.int64)
+        sizes, words = batch.column("sizes"), batch.column("words").flatten().dictionary_encode()
+        count = np.asarray(sizes.flatten()).astype(np.int64)
+        doc = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(sizes)))
+        own = np.fromiter(map(self.id, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
+        at = own[np.asarray(words.indices)] if len(own) else np.empty(0, np.int64)
         owner = np.repeat(np.arange(len(count)), count)
         if not len(doc):
             return doc, doc, owner, at
@@ -185,10 +207,9 @@ def _word_context(shared, least: float, mass: float):
             return pa.RecordBatch.from_arrays([pa.array([scorer.words[i] for i in n], pa.string()), *(pa.array(held[n, j]) for j in range(k + 1))], ["word", *(f"s{j}" for j in range(k)), "n"])
 
         for b in batches:
-            texts = b.column(0).to_pylist()
-            doc, subject, owner, at = scorer.label(texts)
+            doc, subject, owner, at = scorer.label(b)
             if len(doc):
-                by_doc = _shares(doc, subject, len(texts), k)
+                by_doc = _shares(doc, subject, b.num_rows, k)
                 others = by_doc[doc].astype(float)
                 has = np.flatnonzero(subject >= 0)
                 others[has, subject[has]] -= 1
@@ -214,51 +235,59 @@ _PACKED = ("at", "share", "owner", "labels", "weight")
 _KINDS = ("<i8", "<f4", "<i8", "<f4", "<f4")
 
 
-def _gradient(shared):
+def _local_steps(shared, steps: int, rate: float):
+    """A partition's parameters after some steps from the common ones: of the places it touches, of the outputs, of the bias."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
         for b in batches:
             for i in range(b.num_rows):
+                model = copy.deepcopy(shared.value)
                 at, share, owner, y, w = (np.frombuffer(b.column(c)[i].as_py(), k) for c, k in zip(_PACKED, _KINDS))
-                own, g, out, bias, loss, weight = gradients(model, at, share, owner, y.reshape(len(w), -1), w)
-                yield pa.RecordBatch.from_arrays([pa.array([own.astype("<i8").tobytes()], pa.binary()), pa.array([g.astype("<f4").tobytes()], pa.binary()), pa.array([out.astype("<f4").tobytes()], pa.binary()), pa.array([bias.astype("<f4").tobytes()], pa.binary()), pa.array([loss]), pa.array([weight])], ["own", "g", "out", "bias", "loss", "weight"])
+                y, best = y.reshape(len(w), -1), Adam(model.parameters(), rate)
+                for _ in range(steps):
+                    own, g, out, bias, _, weight = gradients(model, at, share, owner, y, w)
+                    embed = np.zeros_like(model.embed)
+                    embed[own] = g
+                    best.step(model.parameters(), [x / weight for x in (embed, out, bias)])
+                blobs = (own.astype("<i8"), model.embed[own], model.out, model.bias)
+                yield pa.RecordBatch.from_arrays([*(pa.array([x.tobytes()], pa.binary()) for x in blobs), pa.array([weight])], ["own", "embed", "out", "bias", "weight"])
 
     return run
 
 
-def train(model: Model, rows: DataFrame, steps: int, rate: float) -> Model:
-    """Fit by Adam: each step adds up the partitions' gradients at one set of parameters and sends the next set out.
+def train(model: Model, rows: DataFrame, steps: int, rate: float, together: int) -> Model:
+    """Fit by Adam: partitions take `together` steps by the gradients of their rows, then their parameters are averaged.
 
-    rows: a row of packed arrays for each partition. A partition returns at most the model's size.
+    Each place of the embeddings is averaged over the partitions that touch it, all by the weight of their rows; as many
+    rounds as make up `steps` in all. rows: a row of packed arrays for each partition, which returns at most the model's
+    size. A single partition needs no averaging and takes all steps at once.
     """
-    spark, best = rows.sparkSession, Adam(model.parameters(), rate)
-    for _ in range(steps):
+    spark, parts = rows.sparkSession, rows.count()
+    rounds = 1 if parts < 2 else max(1, steps // together)
+    for n in range(rounds if parts else 0):
         shared = spark.sparkContext.broadcast(model)
-        parts = rows.mapInArrow(_gradient(shared), "own binary, g binary, out binary, bias binary, loss double, weight double").collect()
-        total = sum(p["weight"] for p in parts)
-        if not total:
-            break
-        embed, out, bias = (np.zeros_like(p) for p in model.parameters())
-        for p in parts:
-            embed[np.frombuffer(p["own"], "<i8")] += np.frombuffer(p["g"], "<f4").reshape(-1, model.size)
-            out += np.frombuffer(p["out"], "<f4").reshape(out.shape)
-            bias += np.frombuffer(p["bias"], "<f4")
-        best.step(model.parameters(), [embed / total, out / total, bias / total])
+        got = rows.mapInArrow(_local_steps(shared, steps // rounds, rate / (1 + n)), "own binary, embed binary, out binary, bias binary, weight double").collect()
+        embed, at, total = np.zeros(model.embed.shape), np.zeros(len(model.embed)), sum(p["weight"] for p in got)
+        for p in got:
+            own = np.frombuffer(p["own"], "<i8")
+            embed[own] += np.frombuffer(p["embed"], "<f4").reshape(-1, model.size) * p["weight"]
+            at[own] += p["weight"]
+        touched = at > 0
+        model.embed[touched] = embed[touched] / at[touched, None]
+        mean = lambda k, like: (sum(np.frombuffer(p[k], "<f4").reshape(like.shape) * p["weight"] for p in got) / total).astype(np.float32)
+        model.out, model.bias = mean("out", model.out), mean("bias", model.bias)
         shared.destroy()
     return model
 
 
-#: Labelled rows that a fit uses at most: examples (taken in hash order) and words of the corpus (most frequent first).
-EXAMPLES, LEXICON_ROWS = 20_000, 20_000
-#: A word is in the lexicon if it makes up at least this part of all words (so there are at most 200,000), and occurs so often.
-PART, LEAST_N = 5e-6, 10
-PARTITIONS = 4
-
-
 @dataclass(frozen=True)
 class Settings:
     """`least`: probability from which a sentence has its subject. `low`, `high`: a word's largest share of one subject
-    in its documents at which it begins to count, and counts fully. `mass`: counting words that a sentence needs."""
+    in its documents at which it begins to count, and counts fully. `mass`: counting words that a sentence needs.
+
+    `examples` and `lexicon` bound the labelled rows of a fit: examples (taken in hash order) and words of the corpus
+    (most frequent first). A word is in the lexicon if it makes up at least `part` of all words, so there are at most
+    1/part, and occurs `often` times. A fit's rows lie in partitions of `rows`, which take `together` steps at a time.
+    """
 
     steps: int = 40
     rate: float = 0.1
@@ -267,22 +296,28 @@ class Settings:
     high: float = 0.62
     mass: float = 0.9
     rounds: int = 2
+    examples: int = 20_000
+    lexicon: int = 20_000
+    part: float = 5e-6
+    often: int = 10
+    rows: int = 8_000
+    together: int = 10
 
 
 def _row(model: Model, words: Sequence[str], labels: Sequence[float], weight: float) -> Row:
     return (*model.row(words), labels, weight)
 
 
-def _rows(spark, rows: Sequence[Row]) -> DataFrame:
-    """A bounded number of labelled rows, packed for PARTITIONS partitions."""
+def _rows(spark, rows: Sequence[Row], size: int) -> DataFrame:
+    """A bounded number of labelled rows, packed in partitions of at most `size`."""
     some = [r for r in rows if len(r[0])]
-    parts = [packed(some[k::PARTITIONS]) for k in range(PARTITIONS) if some[k::PARTITIONS]]
-    data = [tuple(bytearray(x.astype(k).tobytes()) for x, k in zip(p, _KINDS)) for p in parts]
-    return cut(spark.createDataFrame(data, ", ".join(f"{c} binary" for c in _PACKED)).repartition(max(1, len(data))))
+    n = -(-len(some) // size)
+    data = [tuple(bytearray(x.astype(k).tobytes()) for x, k in zip(packed(some[k::n]), _KINDS)) for k in range(n)]
+    return cut(spark.createDataFrame(data, ", ".join(f"{c} binary" for c in _PACKED)).repartition(max(1, n)))
 
 
 def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings = Settings(), *, text: str = "text", subject: str = "subject") -> Model:
-    """A model of subjects, from few labelled examples and from all documents.
+    """A model of subjects, from few labelled examples and from all documents (with their text, or what `tokens` gives).
 
     First the sentences of the examples train the embeddings and outputs. Then, `rounds` times, all documents are
     labelled by sentence, and for each of their words the subjects of the *other* sentences in its documents are added
@@ -291,7 +326,7 @@ def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings =
     no example has are learned, and words of general remarks are not.
     """
     spark = documents.sparkSession
-    some = examples.filter(F.col(text).isNotNull() & F.col(subject).isNotNull()).select(F.col(text).alias("t"), F.col(subject).alias("s")).distinct().orderBy(F.xxhash64("t"), "s").limit(EXAMPLES).collect()
+    some = examples.filter(F.col(text).isNotNull() & F.col(subject).isNotNull()).select(F.col(text).alias("t"), F.col(subject).alias("s")).distinct().orderBy(F.xxhash64("t"), "s").limit(settings.examples).collect()
     names = sorted({r["s"] for r in some})
     model = Model(names)
     if not names:
@@ -299,25 +334,25 @@ def fit_subjects(documents: DataFrame, examples: DataFrame, settings: Settings =
     hot = np.eye(len(names))
     label = {n: hot[i] for i, n in enumerate(names)}
     told = [(w, label[r["s"]], 1.0) for r in some for w in sentences(r["t"])]
-    train(model, _rows(spark, [_row(model, *x) for x in told]), settings.steps, settings.rate)
-    corpus = documents.filter(F.col(text).isNotNull()).select(F.col(text).alias("t"))
+    train(model, _rows(spark, [_row(model, *x) for x in told], settings.rows), settings.steps, settings.rate, settings.together)
+    corpus = (documents if "sizes" in documents.columns else tokens(documents, None, text)).select("words", "sizes")
     cols = [f"s{j}" for j in range(len(names))]
     for r in range(settings.rounds):
         shared = spark.sparkContext.broadcast(model)
         seen = corpus.mapInArrow(_word_context(shared, settings.least, settings.mass if r else 0.0), "word string, " + ", ".join(f"{c} double" for c in [*cols, "n"])).groupBy("word").agg(*(F.sum(c).alias(c) for c in [*cols, "n"]))
         seen = cut(seen.filter(F.col("n") >= 2))
         every = seen.agg(F.sum("n")).first()[0] or 0
-        words = seen.filter(F.col("n") >= max(LEAST_N, PART * every)).toArrow()  # at most 1 / PART rows
+        words = seen.filter(F.col("n") >= max(settings.often, settings.part * every)).toArrow()  # at most 1 / part rows
         n = np.asarray(words["n"])
         part = np.stack([np.asarray(words[c]) for c in cols], axis=1) / n[:, None]
         share = dict(zip(words["word"].to_pylist(), zip(part, n.tolist())))
         attention = {w: float(np.clip((v.max() - settings.low) / (settings.high - settings.low), 0, 1)) for w, (v, _) in share.items()}
         model = Model(names, attention=attention, unknown=0.2, seed=r + 1)
-        often = sorted(share, key=lambda w: (-share[w][1], w))[:LEXICON_ROWS]
+        often = sorted(share, key=lambda w: (-share[w][1], w))[:settings.lexicon]
         plain = Model(names)  # words are learned without their attention
         lexicon = [([w], hot[int(share[w][0].argmax())] if attention[w] > 0.5 else np.zeros(len(names)), 3.0 if attention[w] > 0.5 else 1.0) for w in often if attention[w] == 0 or attention[w] > 0.5]
-        rows = _rows(spark, [_row(plain, *x) for x in lexicon] + [_row(model, *x) for x in told if any(attention.get(w, 0) > 0.5 for w in x[0])])
-        train(model, rows, settings.steps, settings.rate)
+        rows = _rows(spark, [_row(plain, *x) for x in lexicon] + [_row(model, *x) for x in told if any(attention.get(w, 0) > 0.5 for w in x[0])], settings.rows)
+        train(model, rows, settings.steps, settings.rate, settings.together)
         shared.destroy()
     return model
 
@@ -328,8 +363,8 @@ def _score(shared, settings: Settings, names: Sequence[str]):
         k = len(model.subjects)
         scorer = Scorer(model, settings.least, settings.mass)
         for b in batches:
-            ids = b.column(0)
-            by_doc = _shares(*scorer.label(b.column(1).to_pylist())[:2], b.num_rows, k)
+            ids = b.column("d")
+            by_doc = _shares(*scorer.label(b)[:2], b.num_rows, k)
             doc, subject = np.nonzero(by_doc)
             total = by_doc.sum(axis=1)
             if len(doc):
@@ -344,11 +379,12 @@ def _score(shared, settings: Settings, names: Sequence[str]):
 def score_subjects(documents: DataFrame, model: Model, settings: Settings = Settings(), *, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, subject, sentences, share: every subject of every document, with its part of the sentences that have one.
 
-    Null and empty texts and documents without id have no rows; repeated rows of a document give equal rows once.
+    documents: with their text, or what `tokens` gives. Null and empty texts and documents without id have no rows;
+    repeated rows of a document give equal rows once.
     """
+    rows = documents if "sizes" in documents.columns else tokens(documents, doc, text)
+    kind = rows.schema["d"].dataType.simpleString()
     if not model.subjects:
-        return documents.limit(0).select(F.col(f"`{doc}`").alias(doc), F.lit("").alias("subject"), F.lit(0).cast("bigint").alias("sentences"), F.lit(0.0).alias("share"))
+        return rows.limit(0).select(F.col("d").alias(doc), F.lit("").alias("subject"), F.lit(0).cast("bigint").alias("sentences"), F.lit(0.0).alias("share"))
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    rows = documents.select(F.col(f"`{doc}`").alias("d"), F.col(f"`{text}`").alias("t")).filter("d is not null and t is not null")
-    kind = documents.schema[doc].dataType.simpleString()
-    return rows.mapInArrow(_score(shared, settings, [doc, "subject", "sentences", "share"]), f"`{doc}` {kind}, subject string, sentences bigint, share double").dropDuplicates([doc, "subject", "sentences"])
+    return rows.select("d", "words", "sizes").mapInArrow(_score(shared, settings, [doc, "subject", "sentences", "share"]), f"`{doc}` {kind}, subject string, sentences bigint, share double").dropDuplicates([doc, "subject", "sentences"])
