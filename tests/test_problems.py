@@ -1,11 +1,13 @@
 """Edge cases of the general data problems, against small brute-force versions."""
 
 import random
+from functools import reduce
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import types as T
 
 from trajlake.functions.types import promote, promote_all
 from trajlake.operators import spikes
@@ -17,7 +19,7 @@ from trajlake.operators.spikes import find_spikes
 from trajlake.plans.ordered import previous
 from trajlake.plans.prefix import cumulative
 from trajlake.plans.skew import skew_join
-from trajlake.sources.drifting import read_drifting
+from trajlake.sources.drifting import loses, promote_types, read_drifting
 
 FRAMES = "dataset_uid string, episode_index bigint, frame_index bigint, `observation.state` array<double>, action array<double>, `observation.tcp_force` array<double>, extra string, src string"
 
@@ -126,6 +128,30 @@ def test_schema_changes_follow_time(spark):
 def test_promotion_does_not_depend_on_order(kinds):
     assert promote_all(kinds) == promote_all(reversed(kinds))
     assert promote(kinds[0], kinds[0]) == promote_all(kinds[:1])
+    assert reduce(promote, kinds) == promote_all(kinds) == reduce(lambda x, y: promote(y, x), kinds[::-1])
+    half = len(kinds) // 2
+    assert promote(promote_all(kinds[:half]), promote_all(kinds[half:])) == promote_all(kinds)
+
+
+SPARK_TYPES = [T.NullType(), T.BooleanType(), T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.FloatType(), T.DoubleType(), T.DecimalType(10, 2), T.DecimalType(38, 0), T.StringType(), T.DateType(), T.ArrayType(T.IntegerType()), T.ArrayType(T.DoubleType()), T.MapType(T.StringType(), T.IntegerType()), T.MapType(T.StringType(), T.FloatType()), T.StructType([T.StructField("a", T.IntegerType())]), T.StructType([T.StructField("b", T.LongType()), T.StructField("a", T.DoubleType())])]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(SPARK_TYPES), min_size=1, max_size=5), st.randoms())
+def test_promotion_of_columns_does_not_depend_on_order(kinds, rng):
+    want = reduce(promote_types, kinds)
+    mixed = kinds[:]
+    rng.shuffle(mixed)
+    assert reduce(promote_types, mixed) == want
+    half = len(kinds) // 2
+    assert promote_types(reduce(promote_types, kinds[:half], T.NullType()), reduce(promote_types, kinds[half:], T.NullType())) == want
+
+
+def test_promotion_of_decimals_and_maps():
+    assert promote_types(T.DecimalType(10, 2), T.IntegerType()) == T.DecimalType(12, 2)
+    assert promote_types(T.DecimalType(10, 2), T.DecimalType(6, 4)) == T.DecimalType(12, 4)
+    assert promote_types(T.MapType(T.StringType(), T.IntegerType()), T.MapType(T.StringType(), T.LongType())) == T.MapType(T.StringType(), T.LongType())
+    assert loses(T.LongType(), promote_types(T.LongType(), T.FloatType())) and not loses(T.IntegerType(), T.DoubleType())
 
 
 def test_drifting_files(spark, tmp_path):

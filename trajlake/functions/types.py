@@ -17,26 +17,26 @@ def normal(dtype: str | None) -> str:
 def promote(a: str | None, b: str | None) -> str:
     """The join of two types: '' < bool < numbers < string; what nothing else holds becomes string.
 
-    Commutative, associative over a fold and idempotent: a fold gives the same type in whatever order files come.
+    Commutative, associative and idempotent: a fold gives the same type in whatever order and grouping files come.
     """
     return promote_all([a, b])
 
 
 def promote_all(dtypes: Iterable[str | None]) -> str:
     kinds = sorted({normal(x) for x in dtypes} - {""})
-    if len(kinds) <= 1:
-        return kinds[0] if kinds else ""
-    parsed = [re.fullmatch(r"(bool|u?int|float)(\d*)", k) for k in kinds]
+    numbers = [k for k in kinds if k != "bool"]
+    if len(kinds) <= 1 or len(numbers) == 1 and re.fullmatch(r"(u?int|float)\d*", numbers[0]):
+        return (numbers or kinds or [""])[0]
+    parsed = [re.fullmatch(r"(u?int|float)(\d*)", k) for k in numbers]
     if not all(parsed):
         return "string"
-    of = {"bool": [], "int": [], "uint": [], "float": []}
+    of = {"int": [], "uint": [], "float": []}
     for m in parsed:
-        of[m[1]].append(int(m[2] or (1 if m[1] == "bool" else 64)))
-    of["uint"] += [8] * bool(of["bool"])
+        of[m[1]].append(int(m[2] or 64))
+    # an unsigned number counts as the signed one that holds it, or floats would forget what they were joined with
+    whole = max([*of["int"], *(2 * n for n in of["uint"])], default=0)
     if of["float"]:
-        whole = max([*of["int"], *of["uint"]], default=0)
-        return f"float{min([n for n in (16, 32, 64) if n >= max(of['float']) and _EXACT[n] >= min(whole, 53)])}"
+        return f"float{min(n for n in (16, 32, 64) if n >= max(of['float']) and _EXACT[n] >= min(whole, 53))}"
     if not of["int"]:
         return f"uint{max(of['uint'])}"
-    need = max([*of["int"], *(2 * n for n in of["uint"])])
-    return f"int{need}" if need <= 64 else "float64"
+    return f"int{whole}" if whole <= 64 else "float64"

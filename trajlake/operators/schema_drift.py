@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from trajlake.functions.types import normal, promote_all
 from trajlake.plans.ordered import previous
+from trajlake.plans.skew import skew_join
+from trajlake.plans.storage import cut
 
 FIELD = "struct<name:string,dtype:string,shape:string>"
 FIELDS = f"array<{FIELD}>"
@@ -108,18 +110,38 @@ def _compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[x.split()[0] for x in _OUT.split(", ")])
 
 
+def coded_fields(scans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(scans with `codes`, the numbers of their fields, instead of the lists; the union of all fields by number).
+
+    A number is the 64-bit hash of name, dtype and shape, so that lists of fields travel as short arrays. Repeated rows
+    count once.
+    """
+    code = lambda f: F.xxhash64(f["name"], f["dtype"], f["shape"])
+    fine = scans.filter("fields is not null and entity is not null").select("table_name", "entity", "snapshot_id", F.coalesce("at", F.lit(float("-inf"))).alias("at"), "fields")
+    coded = fine.select("table_name", "entity", "snapshot_id", "at", F.array_sort(F.transform("fields", code)).alias("codes"))
+    once = coded.groupBy("table_name", "entity", "snapshot_id", "at", F.xxhash64("codes").alias("h")).agg(F.first("codes").alias("codes"))
+    union = fine.select(F.explode(F.transform("fields", lambda f: F.struct(code(f).alias("code"), f.alias("field")))).alias("x")).groupBy("x.code").agg(F.first("x.field").alias("field"))
+    return once, union
+
+
 def schema_changes(scans: DataFrame, bucket_seconds: float = DAY) -> DataFrame:
     """Changes between each scan and the one before of its entity.
 
     scans: table_name, entity, snapshot_id, at (seconds) and fields (array of name, dtype, shape sorted by name; null
-    where the scan can't be read). Scans without fields or entity are skipped, repeated rows count once, a null time
-    comes first. Equal times follow the snapshot's number. Only scans whose fields differ from their predecessor's
-    reach Python.
+    where the scan can't be read). All schemas are folded into one union of fields, each scan is cast to the numbers of
+    its fields there, and the differences are read off neighbouring scans. Scans without fields or entity are skipped,
+    repeated rows count once, a null time comes first. Equal times follow the snapshot's number. Only fields that
+    vanish or come get their names back and reach Python, which pairs renamings.
     """
-    rows = scans.filter("fields is not null and entity is not null").select("table_name", "entity", "snapshot_id", F.coalesce("at", F.lit(float("-inf"))).alias("at"), "fields").dropDuplicates(["table_name", "entity", "snapshot_id", "at", "fields"])
+    once, union = coded_fields(scans)
     bucket = F.when(F.col("at") > float("-inf"), F.floor(F.col("at") / bucket_seconds)).otherwise(F.lit(-(1 << 62)))
-    paired = previous(rows, ["table_name", "entity"], ["at", "snapshot_id", "fields"], bucket, "fields", "was")
-    changed = paired.filter("was is not null and was <> fields").select("table_name", "entity", "snapshot_id", "was", "fields")
+    paired = previous(once, ["table_name", "entity"], ["at", "snapshot_id", "codes"], bucket, "codes", "was").filter("was is not null")
+    moved = lambda a, b, now: F.transform(F.array_except(a, b), lambda c: F.struct(c.alias("code"), F.lit(now).alias("now")))
+    scan = ["table_name", "entity", "snapshot_id", "at", "h"]
+    each = cut(paired.select(*scan, F.inline(F.concat(moved("was", "codes", False), moved("codes", "was", True)))))
+    named = skew_join(each, union, ["code"])
+    side = lambda now: F.sort_array(F.collect_list(F.when(F.col("now") == now, F.col("field"))))
+    changed = named.groupBy(*scan).agg(side(False).alias("was"), side(True).alias("fields")).select("table_name", "entity", "snapshot_id", "was", "fields")
     return changed.mapInPandas(_compare, _OUT)
 
 

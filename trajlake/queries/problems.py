@@ -13,6 +13,7 @@ from trajlake.operators.references import Reference, Table, find_orphans
 from trajlake.operators.schema_drift import FIELDS, schema_changes, schema_fields, struct_fields, union_fields
 from trajlake.operators.spikes import find_spikes
 from trajlake.plans.storage import cut
+from trajlake.sources.drifting import read_drifting
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -64,6 +65,24 @@ def p2_fields(spark: SparkSession, folder: str) -> DataFrame:
     return union_fields(all_scans(spark, folder))
 
 
+@query
+def p2_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All files of partitions as one table, whatever their columns: rows of each file's kind, and how many columns each fills."""
+    rows, _ = read_drifting(spark, folder, "*_partitions.parquet")
+    kind = F.when(F.col("filename").isNotNull(), "dexcap").otherwise("roboomni")
+    return rows.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("rows"), *(F.count(c).alias(c) for c in ("name", "components", "fields", "record_count", "release", "all_frame_count", "source_schema", "instruction", "scanned_at")))
+
+
+SQL["p2_files"] = """select case when filename is not null then 'dexcap' else 'roboomni' end as kind, count(*) as rows, count(name) as name, count(components) as components, count(fields) as fields, count(record_count) as record_count, count(release) as release,
+    count(all_frame_count) as all_frame_count, count(source_schema) as source_schema, count(instruction) as instruction, count(scanned_at) as scanned_at from (select * from roboomni_partitions union all by name select * from dexcap_partitions) group by all"""
+
+
+@query
+def p2_file_log(spark: SparkSession, folder: str) -> DataFrame:
+    """How columns change from one of these files to the next."""
+    return read_drifting(spark, folder, "*_partitions.parquet")[1].filter("change <> 'may_lose_digits'").select("field_name", "change")
+
+
 def latest_episodes(spark: SparkSession, folder: str) -> DataFrame:
     """One row for each episode: its latest delivery, and when it was first indexed.
 
