@@ -52,10 +52,11 @@ def sentence_words(text: Column) -> Column:
 
 
 def tokens(documents: DataFrame, doc: str | None, text: str) -> DataFrame:
-    """d, words, sizes of every document with a text, written once and read by all passes."""
+    """d, words (joined by blanks) and sizes of every document with a sentence, written once and read by all passes."""
     rows = documents.select(*([F.col(f"`{doc}`").alias("d")] if doc else []), F.col(f"`{text}`").alias("t")).filter("t is not null")
     rows = rows.filter("d is not null") if doc else rows
-    return cut(rows.select(*(["d"] if doc else []), sentence_words(F.col("t")).alias("s")).select(*(["d"] if doc else []), "s.words", "s.sizes"))
+    own = ["d"] if doc else []
+    return cut(rows.select(*own, F.inline(F.array(sentence_words(F.col("t"))))).filter("size(sizes) > 0").select(*own, F.array_join("words", " ").alias("words"), "sizes"))
 
 
 @dataclass
@@ -172,7 +173,7 @@ class Scorer:
 
     def label(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(document of each sentence, its subject or -1, sentence of each word, number of each word)."""
-        sizes, words = batch.column("sizes"), batch.column("words").flatten().dictionary_encode()
+        sizes, words = batch.column("sizes"), pc.split_pattern(batch.column("words"), " ").flatten().dictionary_encode()
         count = np.asarray(sizes.flatten()).astype(np.int64)
         doc = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(sizes)))
         own = np.fromiter(map(self.id, words.dictionary.to_pylist()), np.int64, len(words.dictionary))
