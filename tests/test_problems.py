@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import types as T
 
 from trajlake.functions.types import promote, promote_all
-from trajlake.operators import spikes
+from trajlake.operators import intervals, spikes
 from trajlake.operators.dense_totals import dense_totals
 from trajlake.operators.intervals import periods_and_gaps
 from trajlake.operators.references import Reference, Table, find_orphans
@@ -224,8 +224,9 @@ def test_periods_and_gaps(spark):
     rows = [(k, e, s, None if s is None or rng.random() < 0.05 else s + rng.choice([0, 0, 1, 3, 40, -2])) for k, e, s, _ in rows]
     rows += [("hot", 0, i * 5, i * 5 + 2) for i in range(2000)] + [("hot", 0, 10, 12)] * 50 + [("hot", 0, 2**40, 2**40)]
     df = spark.createDataFrame([(*r, 1) for r in rows], "uid string, ep bigint, a bigint, b bigint, pos int")
-    got = [tuple(r) for r in periods_and_gaps(df, ["uid", "ep"], "a", "b").collect()]
-    assert len(got) == len(set(got)) and set(got) == brute_periods(rows)
+    for hot_rows in (intervals.HOT_ROWS, 1000, 0):  # no hot entity, one, and many
+        got = [tuple(r) for r in periods_and_gaps(df, ["uid", "ep"], "a", "b", hot_rows=hot_rows).collect()]
+        assert len(got) == len(set(got)) and set(got) == brute_periods(rows)
     assert periods_and_gaps(df.limit(0), ["uid", "ep"], "a", "b").count() == 0
 
 
