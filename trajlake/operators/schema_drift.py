@@ -121,7 +121,7 @@ def coded_fields(scans: DataFrame) -> tuple[DataFrame, DataFrame]:
     coded = fine.select("table_name", "entity", "snapshot_id", "at", F.array_sort(F.transform("fields", code)).alias("codes"))
     once = coded.groupBy("table_name", "entity", "snapshot_id", "at", F.xxhash64("codes").alias("h")).agg(F.first("codes").alias("codes"))
     union = fine.select(F.explode(F.transform("fields", lambda f: F.struct(code(f).alias("code"), f.alias("field")))).alias("x")).groupBy("x.code").agg(F.first("x.field").alias("field"))
-    return once, union
+    return once, cut(union)  # read for hot fields and for others
 
 
 def schema_changes(scans: DataFrame, bucket_seconds: float = DAY) -> DataFrame:
