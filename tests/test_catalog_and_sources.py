@@ -44,8 +44,20 @@ def test_two_rules_of_inheritance(spark, rows, episodes):
 
 def test_search(spark, rows, episodes):
     find = lambda text, **k: sorted(r["episode_index"] for r in C.matching(episodes, rows, C.Search(text, **k)).collect())
-    assert find("MUG pick") == list(range(7)) and find("mug-3") == [3] and find("mu") == [] and find("") == list(range(7)) and find("ä") == [3] and find("%") == []
-    assert find("", stages=(C.StageFilter(1, ("filtered",)),)) == [0] and find("", stages=(C.StageFilter(3, exclude=("pass",)),)) == []
+    assert find("MUG pick") == list(range(7)) and find("mug-3") == [3] and find("mu") == [] and find("") == list(range(7)) and find("3 ä mug") == [3] and find("a") == list(range(7)) and find("%") == []
+    assert find("", stages=(C.StageFilter(1, ("filtered",)),)) == [0] and find("", stages=(C.StageFilter(3, exclude=("pass",)),)) == list(range(1, 7))
+    stage = lambda *a, **k: find("", stages=(C.StageFilter(*a, **k),))
+    assert stage(3, exclude=("pass", "not_generated")) == [] and stage(9) == list(range(7)) and stage(1, low=0.0) == [0] and stage(1, low=0.2) == []
+    assert stage(4, ("upstream_filtered",)) == [0] and stage(4, ("not_generated",)) == list(range(1, 7)) and stage(3, states=("available",)) == [0]
+    assert stage(2, ("pass", "upstream_filtered")) == [0, 1] and stage(1, ("not_generated",), exclude=("not_generated",)) == []
+    assert find("3", stages=(C.StageFilter(1, ("not_generated",)), C.StageFilter(2, ("not_generated",)))) == [3]
+    placeholder = rows.unionByName(spark.createDataFrame([("d", 5, 1, "pass", "not_generated", None, None)], ROWS + ", source_path string"), allowMissingColumns=True)
+    assert [r["episode_index"] for r in C.matching(episodes, placeholder, C.Search(stages=(C.StageFilter(1, ("pass",)),))).collect()] == []
+    out = C.search(episodes, rows, C.Search("pick", size=3), ranges=rows.select("dataset_uid", "episode_index", "stage_id"))
+    items = {r["episode_index"]: r for r in out["items"].collect()}
+    assert (out["total"], out["datasets"], out["tasks"], len(items)) == (7, 1, 4, 3) and out["next_cursor"]
+    assert items[1]["match_reasons"] == ["instruction"] and items[1]["title"] == "\u3010c\u3011Pick a mug 1" and [b["verdict"] for b in items[1]["stage_badges"]][:3] == ["not_generated", "pass", "not_generated"]
+    assert [b["range_count"] for b in items[1]["stage_badges"]][:3] == [0, 1, 0]
     assert find("", datasets=("nope",)) == [] and find("", collections=("c",)) == list(range(7))
     for sort in C.SORTS:  # pages never skip or repeat, also where durations tie or are null
         seen, cursor = [], None
@@ -56,10 +68,25 @@ def test_search(spark, rows, episodes):
                 break
         assert sorted(seen) == list(range(7)), sort
         assert seen == [r["episode_index"] for r in C.matching(episodes, rows, C.Search(sort=sort)).orderBy(*C.order_by(sort)).collect()]
-    assert C.read_cursor("rubbish", "episode") is None and C.read_cursor(C.make_cursor("episode", ["d", 1]), "relevance") is None
+    assert C.read_cursor("rubbish", "episode") is None and C.read_cursor(C.make_cursor("episode", ["c", "d", 1]), "relevance") is None
     assert C.unmatched_selectors(spark.createDataFrame([("d",), ("c",), ("x",)], "selector string"), episodes).collect()[0][0] == "x"
 
 
+def test_list_page_and_placeholders(spark, episodes):
+    known = spark.createDataFrame([("d", 7), ("new", 3), ("none", None)], "dataset_uid string, episodes bigint")
+    page = lambda uid, **k: (lambda p: ([r["episode_index"] for r in p[0].collect()], p[1]))(C.episodes_page(episodes, known, uid, **k))
+    assert page("d", size=3) == ([0, 1, 2], 2) and page("d", size=3, after_index=2) == ([3, 4, 5], 5) and page("d", size=900, after_index=5) == ([6], None)
+    assert page("new", size=2) == ([0, 1], 1) and page("none") == ([], None) and page("other") == ([], None) and page("d", size=0) == ([0], 0)
+
+
+def test_marks_on_letters(spark):
+    from trajlake.functions.text import without_marks
+
+    cases = {"número": "numero", "Würfel": "Wurfel", "e\u0301te\u0301": "ete", "Ǖ": "U", "ß ø 文": "ß ø 文", None: None, "Ελλάδα": "Ελλαδα"}
+    got = spark.createDataFrame([(k,) for k in cases], "t string").select("t", without_marks(F.col("t")).alias("p")).collect()
+    assert {r["t"]: r["p"] for r in got} == cases
+
+
 def test_upkeep(spark):
     old = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
     new = spark.createDataFrame([("b", 3), ("c", 4)], "k string, v int")

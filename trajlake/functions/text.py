@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -22,6 +25,19 @@ def word_array(text: Column) -> Column:
     return F.regexp_extract_all(folded, F.lit(f"({WORD})"), F.lit(1))
 
 
+@lru_cache(maxsize=1)
+def _plain_letters() -> tuple[str, str]:
+    """Letters of the planes in which letters carry marks, and what they are without."""
+    bare = {c: "".join(x for x in unicodedata.normalize("NFD", c) if not unicodedata.combining(x)) for c in map(chr, range(0xC0, 0x2000))}
+    one = {c: b for c, b in bare.items() if b != c and len(b) == 1}
+    return "".join(one), "".join(one.values())
+
+
+def without_marks(text: Column) -> Column:
+    """Letters without their diacritical marks, composed or not."""
+    return F.regexp_replace(F.translate(text, *_plain_letters()), r"\p{Mn}+", "")
+
+
 def canonical_json(text: Column) -> Column:
     """JSON with sorted keys and no layout; what can't be parsed stays as it is, without blanks around it."""
     return F.coalesce(F.to_json(F.try_parse_json(text)), F.trim(text))

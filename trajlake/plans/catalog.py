@@ -6,12 +6,11 @@ import base64
 import json
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from trajlake.functions.text import WORD, word_array
+from trajlake.functions.text import without_marks, word_array
 
 KEYS = ["dataset_uid", "episode_index"]
 STAGES = tuple(range(1, 9))
@@ -82,13 +81,19 @@ def merge_counts(old: DataFrame, new: DataFrame, keys: Sequence[str], counts: Se
 
 @dataclass(frozen=True)
 class StageFilter:
-    """Episodes whose row of a stage has one of the verdicts or states, none of the excluded ones, and a score in range."""
+    """Episodes with a real row of a stage that has one of the verdicts or states, none of the excluded verdicts, and a score
+    in range; or, where that is asked for, without one.
+
+    A missing row is asked for by the verdict or state `upstream_filtered` (an earlier stage rejects) or `not_generated`
+    (none does), and by a filter with neither verdicts, states nor scores, unless `not_generated` is excluded.
+    """
 
     stage: int
     verdicts: Sequence[str] = ()
     exclude: Sequence[str] = ()
     low: float | None = None
     high: float | None = None
+    states: Sequence[str] = ()
 
 
 @dataclass(frozen=True)
@@ -106,12 +111,13 @@ class Search:
 def text_filter(text: Column, query: str) -> Column:
     """Every blank-separated part of the query occurs as a phrase of whole words; an empty query holds always.
 
-    A part without any letter or digit is looked for as it is.
+    Letter case and diacritical marks are ignored. A part without any letter or digit is looked for as it is.
     """
-    out, have = F.lit(True), F.concat(F.lit(" "), F.array_join(word_array(text), " "), F.lit(" "))
+    plain = lambda x: F.concat(F.lit(" "), F.array_join(word_array(without_marks(x)), " "), F.lit(" "))
+    out, have = F.lit(True), plain(text)
     for part in query.split():
-        want = F.array_join(word_array(F.lit(part)), " ")
-        out = out & F.when(want == "", F.coalesce(F.contains(F.lower(text), F.lit(part.lower())), F.lit(False))).otherwise(F.contains(have, F.concat(F.lit(" "), want, F.lit(" "))))
+        want = plain(F.lit(part))
+        out = out & F.when(want == "  ", F.coalesce(F.contains(F.lower(text), F.lit(part.lower())), F.lit(False))).otherwise(F.contains(have, want))
     return out
 
 
@@ -123,18 +129,32 @@ def episode_query(instruction: Column, number: Column, query: str) -> Column:
     return F.coalesce(F.contains(F.lower(instruction), F.lit(query.strip().lower())), F.lit(False))
 
 
-def with_stage(episodes: DataFrame, rows: DataFrame, f: StageFilter) -> DataFrame:
-    """Episodes with a row that matches: a semi-join."""
-    hit = rows.filter(F.col("stage_id") == f.stage)
-    if f.verdicts:
-        hit = hit.filter(F.col("verdict").isin(*f.verdicts) | F.col("artifact_status").isin(*f.verdicts))
-    if f.exclude:
-        hit = hit.filter(~F.col("verdict").isin(*f.exclude))
-    if f.low is not None:
-        hit = hit.filter(F.col("score") >= f.low)
-    if f.high is not None:
-        hit = hit.filter(F.col("score") <= f.high)
-    return episodes.join(hit.select(*KEYS).distinct(), KEYS, "left_semi")
+def with_stages(episodes: DataFrame, rows: DataFrame, filters: Sequence[StageFilter]) -> DataFrame:
+    """Episodes that all filters let through: one aggregation of the stage rows, one join."""
+    if not filters:
+        return episodes
+    source = F.col("source_path") if "source_path" in rows.columns else F.lit("")
+    real = rows.filter(is_real(F.col("artifact_status"), source))
+    needs, found = [], F.lit(True)
+    for n, f in enumerate(filters):
+        own, hit = F.col("stage_id") == f.stage, F.lit(True)
+        if f.verdicts or f.states:
+            hit = hit & (F.col("verdict").isin(*f.verdicts, "") | F.col("artifact_status").isin(*f.states, ""))
+        if f.exclude:
+            hit = hit & ~F.col("verdict").isin(*f.exclude)
+        if f.low is not None:
+            hit = hit & (F.col("score") >= f.low)
+        if f.high is not None:
+            hit = hit & (F.col("score") <= f.high)
+        some = lambda c, name: F.bool_or(F.coalesce(c, F.lit(False))).alias(name)
+        needs += [some(own & hit, f"__hit{n}"), some(own, f"__has{n}"), some((F.col("stage_id") < f.stage) & F.col("verdict").isin(*REJECTING), f"__bad{n}")]
+        asked = {*f.verdicts, *f.states}
+        every = not asked and f.low is None and f.high is None
+        has, bad = (F.coalesce(f"__{x}{n}", F.lit(False)) for x in ("has", "bad"))
+        missing = F.lit(every) | (F.lit("upstream_filtered" in asked) & bad) | (F.lit("not_generated" in asked) & ~bad)
+        found = found & (F.coalesce(f"__hit{n}", F.lit(False)) | (~has & missing & F.lit("not_generated" not in f.exclude)))
+    by_episode = real.groupBy(*KEYS).agg(*needs)
+    return episodes.join(by_episode, KEYS, "left").filter(found).select(*episodes.columns)
 
 
 def missing_stage(episodes: DataFrame, rows: DataFrame, stage: int, upstream: bool | None = None) -> DataFrame:
@@ -155,7 +175,7 @@ def relevance(query: str) -> Column:
 #: Sorts: (column, falling).
 SORTS = {
     "relevance": (("rank", False), ("collection", False), ("task_name", False), ("dataset_uid", False), ("episode_index", False)),
-    "episode": (("dataset_uid", False), ("episode_index", False)),
+    "episode": (("collection", False), ("dataset_uid", False), ("episode_index", False)),
     "duration_asc": (("duration", False), ("dataset_uid", False), ("episode_index", False)),
     "duration_desc": (("duration", True), ("dataset_uid", False), ("episode_index", False)),
 }
@@ -199,7 +219,7 @@ def matching(episodes: DataFrame, rows: DataFrame, s: Search) -> DataFrame:
         out = out.filter(F.col("dataset_uid").isin(*s.datasets, "") | F.col("collection").isin(*s.collections, ""))
     if s.text.strip():
         out = out.filter(text_filter(F.col("normalized_text"), s.text))
-    return reduce(lambda d, f: with_stage(d, rows, f), s.stages, out).withColumn("rank", relevance(s.text))
+    return with_stages(out, rows, s.stages).withColumn("rank", relevance(s.text) if s.text.strip() else F.lit(0))
 
 
 def search_page(episodes: DataFrame, rows: DataFrame, s: Search) -> tuple[DataFrame, str | None]:
@@ -217,6 +237,64 @@ def search_page(episodes: DataFrame, rows: DataFrame, s: Search) -> tuple[DataFr
     return page.limit(size), cursor
 
 
+def totals(found: DataFrame) -> DataFrame:
+    """One row about all that a search finds: episodes, collections, and tasks by name, else by number, within their collection."""
+    task = F.concat(F.col("collection"), F.lit(":"), F.coalesce("task_name", F.col("task_index").cast("string"), F.lit("-1")))
+    return found.agg(F.count(F.lit(1)).alias("total"), F.count_distinct("collection").alias("datasets"), F.count_distinct(task).alias("tasks"))
+
+
+def match_reasons(query: str) -> Column:
+    """Which fields of an episode hold the whole query as it is, without letter case."""
+    q = F.lit(query.strip().lower())
+    fields = {"collection": F.col("collection"), "dataset": F.col("dataset_uid"), "task": F.col("task_name"), "instruction": F.col("instruction"), "episode": F.concat(F.lit("episode "), F.col("episode_index").cast("string"))}
+    hits = [F.when(F.coalesce(F.contains(F.lower(c), q), F.lit(False)), n) for n, c in fields.items()] if query.strip() else []
+    return F.array_compact(F.array(*hits).cast("array<string>"))
+
+
+def title(collection: Column, instruction: Column, task: Column, episode: Column) -> Column:
+    name = F.coalesce(F.nullif(instruction, F.lit("")), F.nullif(task, F.lit("")), F.format_string("Episode %04d", episode))
+    return F.concat(F.lit("\u3010"), collection, F.lit("\u3011"), name)
+
+
+def decorated(page: DataFrame, rows: DataFrame, query: str = "", ranges: DataFrame | None = None) -> DataFrame:
+    """A page's episodes with title, match_reasons and the badges of stages 1 to 8 (status, verdict, score, range_count).
+
+    ranges: rows (keys, stage_id) of anomaly ranges, of which the page's are counted.
+    """
+    source = F.col("source_path") if "source_path" in rows.columns else F.lit("")
+    real = rows.filter(is_real(F.col("artifact_status"), source)).join(page.select(*KEYS), KEYS, "left_semi")
+    marks = badges(page, real).join(real.select(*KEYS, "stage_id", "artifact_status", "score"), [*KEYS, "stage_id"], "left")
+    count = F.lit(0).cast("bigint")
+    if ranges is not None:
+        n = ranges.join(page.select(*KEYS), KEYS, "left_semi").groupBy(*KEYS, "stage_id").agg(F.count(F.lit(1)).alias("range_count"))
+        marks, count = marks.join(n, [*KEYS, "stage_id"], "left"), F.coalesce("range_count", F.lit(0))
+    badge = F.struct("stage_id", F.coalesce("artifact_status", "badge").alias("status"), F.col("badge").alias("verdict"), "score", count.alias("range_count"))
+    nested = marks.groupBy(*KEYS).agg(F.array_sort(F.collect_list(badge)).alias("stage_badges"))
+    named = page.withColumn("title", title(F.col("collection"), F.col("instruction"), F.col("task_name"), F.col("episode_index"))).withColumn("match_reasons", match_reasons(query))
+    return named.join(nested, KEYS, "left")
+
+
+def search(episodes: DataFrame, rows: DataFrame, s: Search, ranges: DataFrame | None = None) -> dict:
+    """A search as one call: items (a page, decorated, in no order of its own: sort by `order_by`), total, datasets, tasks, next_cursor."""
+    page, cursor = search_page(episodes, rows, s)
+    return totals(matching(episodes, rows, s)).first().asDict() | {"items": decorated(page, rows, s.text, ranges), "next_cursor": cursor}
+
+
+def episodes_page(episodes: DataFrame, datasets: DataFrame, uid: str, after_index: int = -1, size: int = 100) -> tuple[DataFrame, int | None]:
+    """(a page of 1 to 500 episodes of a dataset by rising number, the number to go on after or None).
+
+    A dataset without listed episodes shows as many placeholders as its catalog row promises.
+    """
+    size = max(1, min(size, 500))
+    own = episodes.filter(F.col("dataset_uid") == uid).select("dataset_uid", "episode_index", "instruction", F.lit(False).alias("placeholder"))
+    if own.limit(1).count() == 0:
+        promised = datasets.filter(F.col("dataset_uid") == uid).agg(F.max("episodes")).first()[0] or 0
+        own = episodes.sparkSession.range(promised).select(F.lit(uid).alias("dataset_uid"), F.col("id").alias("episode_index"), F.lit(None).cast("string").alias("instruction"), F.lit(True).alias("placeholder"))
+    page = own.filter(F.col("episode_index") > after_index).orderBy("episode_index").limit(size + 1)
+    numbers = [r[0] for r in page.select("episode_index").collect()]
+    return page.limit(size), (numbers[size - 1] if len(numbers) > size else None)
+
+
 def unmatched_selectors(selectors: DataFrame, datasets: DataFrame) -> DataFrame:
     """Selectors that name no dataset and no collection."""
     names = datasets.select(F.col("dataset_uid").alias("selector")).unionByName(datasets.select(F.col("collection").alias("selector"))).distinct()

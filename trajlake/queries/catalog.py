@@ -88,8 +88,9 @@ def dataset_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 @R.add(f"with {_EP} select count(*) as episodes, count(distinct dataset_uid) as datasets, count(distinct collection) as collections, count(distinct concat(collection, ':', coalesce(task_name, cast(task_index as varchar), '-1'))) as tasks from e")
 def distinct_task_count(spark: SparkSession, folder: str) -> DataFrame:
-    task = F.concat(F.col("collection"), F.lit(":"), F.coalesce("task_name", F.col("task_index").cast("string"), F.lit("-1")))
-    return episode_search(spark, folder).agg(F.count(F.lit(1)).alias("episodes"), F.count_distinct("dataset_uid").alias("datasets"), F.count_distinct("collection").alias("collections"), F.count_distinct(task).alias("tasks"))
+    e = episode_search(spark, folder)
+    t = C.totals(e).select(F.col("total").alias("episodes"), F.col("datasets").alias("collections"), "tasks")
+    return t.crossJoin(F.broadcast(e.agg(F.count_distinct("dataset_uid").alias("datasets"))))
 
 
 @R.add("""with d as (select * from datasets qualify row_number() over (partition by uid order by scanned_at desc, snapshot_id desc) = 1)
@@ -114,7 +115,7 @@ def tasks_with_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _TEXT = "lower(concat_ws(' ', collection, dataset_uid, task_name, instruction, concat('episode ', episode_index)))"
-_PHRASES = f"concat(' ', array_to_string(regexp_extract_all(replace({_TEXT}, 'ß', 'ss'), '[\\p{{L}}\\p{{N}}]+'), ' '), ' ')"
+_PHRASES = f"concat(' ', array_to_string(regexp_extract_all(replace(strip_accents({_TEXT}), 'ß', 'ss'), '[\\p{{L}}\\p{{N}}]+'), ' '), ' ')"
 
 
 @R.add(f"with {_EP} select dataset_uid, episode_index from e where contains({_PHRASES}, ' red ') and contains({_PHRASES}, ' place it ')")
@@ -124,15 +125,66 @@ def search_tokens_and(spark: SparkSession, folder: str) -> DataFrame:
     return e.filter(C.text_filter(F.col("normalized_text"), "RED place-it")).select(*KEYS)
 
 
-@R.add(f"with {_EP}, {_S} select dataset_uid, episode_index from e where exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = 1 and verdict in ('anomaly', 'pass') and score >= 0.2) and exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = 3 and verdict <> 'filtered')")
+@R.add(f"with {_EP}, {_S} select dataset_uid, episode_index from e where exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = 1 and verdict in ('anomaly', 'pass') and score >= 0.2) and (exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = 3 and verdict <> 'filtered') or not exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = 3))")
 def search_stage_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """A filter that only excludes lets episodes through that lack the stage."""
     s = C.Search(stages=(C.StageFilter(1, ("anomaly", "pass"), low=0.2), C.StageFilter(3, exclude=("filtered",))))
     return C.matching(episode_search(spark, folder), stage_rows(spark, folder), s).select(*KEYS)
 
 
+_LACKS = "not exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = {0})"
+_UPSTREAM = f"exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id < {{0}} and verdict in {_BAD})"
+_IS = "exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = {0} and verdict = '{1}')"
+
+
+def searched(spark: SparkSession, folder: str, s: C.Search) -> DataFrame:
+    return C.matching(episode_search(spark, folder), stage_rows(spark, folder), s)
+
+
+@R.add(f"with {_EP}, {_S} select dataset_uid, episode_index from e where {_IS.format(4, 'fail')} or {_LACKS.format(4)} and not {_UPSTREAM.format(4)}")
+def search_not_generated(spark: SparkSession, folder: str) -> DataFrame:
+    """Episodes that fail a stage, or lack it though nothing before rejects them."""
+    return searched(spark, folder, C.Search(stages=(C.StageFilter(4, ("fail", "not_generated")),))).select(*KEYS)
+
+
+@R.add(f"with {_EP}, {_S} select dataset_uid, episode_index from e where {_LACKS.format(5)} and {_UPSTREAM.format(5)}")
+def search_upstream(spark: SparkSession, folder: str) -> DataFrame:
+    """Episodes that lack a stage because one before rejects them."""
+    return searched(spark, folder, C.Search(stages=(C.StageFilter(5, states=("upstream_filtered",)),))).select(*KEYS)
+
+
+@R.add(f"with {_EP}, {_S} select dataset_uid, episode_index from e where {_IS.format(1, 'pass')}")
+def search_excluding_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Excluding what is missing keeps episodes with the stage only."""
+    return searched(spark, folder, C.Search(stages=(C.StageFilter(1, exclude=("filtered", "anomaly", "not_generated")),))).select(*KEYS)
+
+
+@R.add(f"with {_EP} select dataset_uid, episode_index from e where contains({_PHRASES}, ' numero ')")
+def search_diacritics(spark: SparkSession, folder: str) -> DataFrame:
+    """Marks on letters are ignored, in the query and in the texts."""
+    return searched(spark, folder, C.Search("NUMËRO")).select(*KEYS)
+
+
+@R.add(f"with {_EP}, {_S} select count(*) as total, count(distinct collection) as datasets, count(distinct concat(collection, ':', coalesce(task_name, cast(task_index as varchar), '-1'))) as tasks from e where contains({_PHRASES}, ' cube ') and {_IS.format(1, 'pass')}")
+def search_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """What a search's heading says."""
+    return C.totals(searched(spark, folder, C.Search("cube", stages=(C.StageFilter(1, ("pass",)),))))
+
+
+@R.add(f"""with {_EP}, {_S}, p as (select * from e where contains({_PHRASES}, ' peg ') order by case when lower(instruction) = 'peg' then 0 when lower(task_name) = 'peg' then 1 when lower(collection) = 'peg' or lower(dataset_uid) = 'peg' then 2 else 3 end, collection nulls first, task_name nulls first, dataset_uid nulls first, episode_index limit 30),
+  g as (select p.*, unnest(range(1, 9)) as stage_id from p), j as (select g.*, r.verdict, r.score, r.artifact_status from g left join r using (dataset_uid, episode_index, stage_id)),
+  b as (select *, last_value(case when verdict is not null then verdict in {_BAD} end ignore nulls) over (partition by dataset_uid, episode_index order by stage_id rows between unbounded preceding and 1 preceding) as bad from j)
+  select dataset_uid, episode_index, concat('【', collection, '】', coalesce(instruction, task_name, printf('Episode %04d', episode_index))) as title, cast(stage_id as int) as stage_id, coalesce(verdict, case when bad then 'upstream_filtered' else 'not_generated' end) as verdict,
+    coalesce(artifact_status, verdict, case when bad then 'upstream_filtered' else 'not_generated' end) as status, score, array_to_string(list_filter([case when contains(lower(collection), 'peg') then 'collection' end, case when contains(lower(dataset_uid), 'peg') then 'dataset' end, case when contains(lower(task_name), 'peg') then 'task' end, case when contains(lower(instruction), 'peg') then 'instruction' end], lambda x: x is not null), ',') as reasons from b""")
+def search_badges(spark: SparkSession, folder: str) -> DataFrame:
+    """The first page of a search with titles, badges of all stages, and why each episode was found."""
+    items = C.search(episode_search(spark, folder), stage_rows(spark, folder), C.Search("Peg"))["items"]
+    return items.select(*KEYS, "title", F.array_join("match_reasons", ",").alias("reasons"), F.inline("stage_badges")).drop("range_count")
+
+
 @R.add(f"with {_EP}, {_S} select dataset_uid, episode_index from e where not exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id = 8) and exists (select 1 from r where r.dataset_uid = e.dataset_uid and r.episode_index = e.episode_index and stage_id < 8 and verdict in {_BAD})")
 def search_missing_stage(spark: SparkSession, folder: str) -> DataFrame:
-    return C.missing_stage(episode_search(spark, folder), stage_rows(spark, folder), 8, upstream=True).select(*KEYS)
+    return searched(spark, folder, C.Search(stages=(C.StageFilter(8, ("upstream_filtered",)),))).select(*KEYS).join(stage_rows(spark, folder).filter("stage_id = 8").select(*KEYS), KEYS, "left_anti")
 
 
 @R.add(f"""with {_EP} select dataset_uid, episode_index from (select *, case when lower(instruction) = 'cube' then 0 when lower(task_name) = 'cube' then 1 when lower(collection) = 'cube' or lower(dataset_uid) = 'cube' then 2 else 3 end as rank from e where contains({_PHRASES}, ' cube '))
