@@ -112,6 +112,19 @@ def test_schema_layouts_and_changes():
 SCANS = "table_name string, entity string, snapshot_id bigint, at double, fields array<struct<name:string,dtype:string,shape:string>>"
 
 
+def test_schema_changes_without_a_broadcast(spark, monkeypatch):
+    from trajlake.operators import schema_drift
+
+    rng = random.Random(6)
+    rows = [("t", f"e{i % 20}", i, float(i * 7000), sorted((f"f{k}", rng.choice(["i", "f"]), "") for k in rng.sample(range(8), 4))) for i in range(400)]
+    scans = spark.createDataFrame(rows, SCANS)
+    want = sorted(map(str, schema_changes(scans).collect()))
+    monkeypatch.setattr(schema_drift, "BROADCAST_BYTES", -1)
+    assert sorted(map(str, schema_changes(scans).collect())) == want and len(want) > 400
+    direct = [(e, c[0], c[1]) for i, (_, e, _, _, now) in enumerate(rows) if i >= 20 for c in compare(rows[i - 20][4], now)]
+    assert sorted(direct) == sorted((r["entity"], r["field_name"], r["change"]) for r in schema_changes(scans).collect())
+
+
 def test_schema_changes_follow_time(spark):
     f = lambda *names: [(n, "f", n) for n in names]
     rows = [("t", "e", 9, 100.0, f("a")), ("t", "e", 3, 1e6, f("a", "b")), ("t", "e", 4, 2e6, None), ("t", "e", 5, 3e6, f("b")), ("t", "e", 5, 3e6, f("b")), ("t", None, 1, 1.0, f("z")), ("t", "one", 1, None, f("z"))]

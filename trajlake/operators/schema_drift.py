@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from trajlake.functions.types import normal, promote_all
 from trajlake.plans.ordered import previous
 from trajlake.plans.skew import skew_join
-from trajlake.plans.storage import cut
+from trajlake.plans.storage import BROADCAST_BYTES, cut
 
 FIELD = "struct<name:string,dtype:string,shape:string>"
 FIELDS = f"array<{FIELD}>"
@@ -138,8 +138,9 @@ def schema_changes(scans: DataFrame, bucket_seconds: float = DAY) -> DataFrame:
     paired = previous(once, ["table_name", "entity"], ["at", "snapshot_id", "codes"], bucket, "codes", "was").filter("was is not null")
     moved = lambda a, b, now: F.transform(F.array_except(a, b), lambda c: F.struct(c.alias("code"), F.lit(now).alias("now")))
     scan = ["table_name", "entity", "snapshot_id", "at", "h"]
-    each = cut(paired.select(*scan, F.inline(F.concat(moved("was", "codes", False), moved("codes", "was", True)))))
-    named = skew_join(each, union, ["code"])
+    each = paired.select(*scan, F.inline(F.concat(moved("was", "codes", False), moved("codes", "was", True))))
+    size = union.agg(F.sum(F.length(F.to_json("field")) + 64)).first()[0] or 0
+    named = each.join(F.broadcast(union), "code") if size <= BROADCAST_BYTES else skew_join(cut(each), union, ["code"])
     side = lambda now: F.sort_array(F.collect_list(F.when(F.col("now") == now, F.col("field"))))
     changed = named.groupBy(*scan).agg(side(False).alias("was"), side(True).alias("fields")).select("table_name", "entity", "snapshot_id", "was", "fields")
     return changed.mapInPandas(_compare, _OUT)
