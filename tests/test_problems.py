@@ -18,6 +18,7 @@ from trajlake.operators.schema_drift import compare, parse_schema, schema_change
 from trajlake.operators.spikes import find_spikes
 from trajlake.plans.ordered import previous
 from trajlake.plans.prefix import cumulative
+from trajlake.plans.ranks import numbered
 from trajlake.plans.skew import skew_join
 from trajlake.sources.drifting import loses, promote_types, read_drifting
 
@@ -256,6 +257,30 @@ def test_cumulative_and_previous(spark):
         assert r["w"] == (max(before)[1] if before else None)
 
 
+def test_positions_in_an_order(spark):
+    rng = random.Random(7)
+    rows = [(rng.choice(["hot"] * 6 + ["a", None]), i, rng.randint(-5, 5)) for i in rng.sample(range(10**6), 700)]
+    df = spark.createDataFrame(rows, "k string, p bigint, v bigint").repartition(5)
+    for keys in ((), ("k",)):
+        got = numbered(df, ["p"], "n", keys, sums={"upto": "v"}).collect()
+        assert len(got) == len(rows)
+        for r in got:
+            before = [v for k, p, v in rows if p < r["p"] and (not keys or k == r["k"])]
+            assert (r["n"], r["upto"]) == (len(before), sum(before))
+    assert [r["p"] for r in numbered(df, ["p"], "n").orderBy("n").collect()] == sorted(p for _, p, _ in rows)
+    assert numbered(df.limit(0), ["p"], "n", ("k",), {"s": "v"}).count() == 0
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from trajlake.plans import storage
+
+    context = SimpleNamespace(_jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False))), master="spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        storage.checkpoint_dir(SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda name, default: default)))
+
+
 def test_skew_join_keeps_all_rows(spark):
     rows = [("hot",)] * 3000 + [(f"k{i % 50}",) for i in range(500)] + [(None,)] * 200
     left = spark.createDataFrame([(k, i) for i, (k,) in enumerate(rows)], "k string, i int")

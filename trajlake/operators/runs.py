@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajlake.plans.ranks import numbered
+
 
 def ordered(keys: Sequence[str], order: Sequence[str]):
     return Window.partitionBy(*keys).orderBy(*order)
@@ -77,7 +79,7 @@ def encode_runs(frames: DataFrame, keys: Sequence[str], order: Sequence[str], va
 def survivor_ranks(episodes: DataFrame, keys: Sequence[str], episode: str, accepted: str) -> DataFrame:
     """The number that each accepted episode gets when the others are gone."""
     kept = episodes.filter(F.coalesce(F.col(accepted), F.lit(False)))
-    return kept.select(*keys, episode, (F.row_number().over(ordered(keys, [episode])) - 1).cast("bigint").alias("final_index"))
+    return numbered(kept.select(*keys, episode), [episode], "final_index", keys)
 
 
 def clamp_intervals(records: DataFrame, frames: str, fps: Column) -> DataFrame:

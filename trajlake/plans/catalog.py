@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.text import without_marks, word_array
+from trajlake.plans.ranks import numbered
 
 KEYS = ["dataset_uid", "episode_index"]
 STAGES = tuple(range(1, 9))
@@ -339,9 +340,9 @@ def rekey(rows: DataFrame, mapping: DataFrame, uid: str = "dataset_uid") -> Data
 
 
 def least_recent(files: DataFrame, bytes_kept: int) -> DataFrame:
-    """Files to delete, oldest first, so that the newest ones of at most `bytes_kept` remain. For one cache's listing."""
-    w = Window.orderBy(F.desc("mtime"), "path").rowsBetween(Window.unboundedPreceding, 0)
-    return files.withColumn("upto", F.sum("size").over(w)).filter(F.col("upto") > bytes_kept).drop("upto")
+    """Files to delete, oldest first, so that the newest ones of at most `bytes_kept` remain."""
+    upto = numbered(files, [F.desc("mtime"), "path"], "__n", sums={"__before": "size"})
+    return upto.filter(F.col("__before") + F.col("size") > bytes_kept).drop("__n", "__before")
 
 
 def latest_manifest(manifests: DataFrame) -> DataFrame:

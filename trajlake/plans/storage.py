@@ -11,12 +11,14 @@ BROADCAST_BYTES = 32 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the session; a temporary one only where the cluster names none."""
+    """The shared folder that the session names; a temporary one only where there is one machine, an error elsewhere."""
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not (context.master == "local" or context.master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     context.setCheckpointDir(named or tempfile.mkdtemp(prefix="trajlake-"))
     return context._jsc.sc().getCheckpointDir().get()
 

@@ -6,9 +6,11 @@ from collections.abc import Iterator, Sequence
 from itertools import accumulate
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from trajlake.plans.ranks import numbered
+
 
 def pack(sizes: Sequence[int], groups: Sequence[object], most_items: int, most_size: int) -> list[int]:
     """Unit of each item when neighbours of one group are packed greedily up to both limits; a larger item goes alone."""
@@ -44,7 +46,7 @@ def whole_groups(groups: DataFrame, partition: str, most_frames: int) -> DataFra
 
 def dispatch_order(work: DataFrame) -> DataFrame:
     """Heaviest first, then by number and key: the order in which workers should take units."""
-    return work.select("*", F.row_number().over(Window.orderBy(F.desc("weight"), "unit", "key")).alias("place"))
+    return numbered(work, [F.desc("weight"), "unit", "key"], "place").withColumn("place", F.col("place") + 1)
 
 
 def in_flight(work: DataFrame, workers: int) -> DataFrame:
@@ -55,15 +57,13 @@ def in_flight(work: DataFrame, workers: int) -> DataFrame:
 
 def global_offsets(parts: DataFrame) -> DataFrame:
     """Add the first episode and frame number of each unit, given its episodes and frames."""
-    w = Window.orderBy("unit").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select("*", *(F.coalesce(F.sum(c).over(w), F.lit(0)).alias(f"first_{c}") for c in ("episodes", "frames")))
+    return numbered(parts, ["unit"], "__n", sums={f"first_{c}": c for c in ("episodes", "frames")}).drop("__n")
 
 
 def first_seen_tasks(episodes: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Tasks numbered in the order in which episodes first name them; their number is small against that of episodes."""
+    """Tasks numbered in the order in which episodes first name them."""
     first = episodes.filter("task is not null").groupBy(*keys, "task").agg(F.min("episode_index").alias("first_episode"))
-    w = (Window.partitionBy(*keys) if keys else Window).orderBy("first_episode", "task")
-    return first.select(*keys, "task", "first_episode", (F.row_number().over(w) - 1).cast("bigint").alias("task_index"))
+    return numbered(first, ["first_episode", "task"], "task_index", keys)
 
 
 def remaining(plan: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -11,12 +11,13 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 from trajlake.functions.scalars import natural_key
+from trajlake.plans.ranks import numbered
 
 
 def read_image_json(spark: SparkSession, root: str, state: str = "state", action: str = "action", image: str = "image") -> DataFrame:
@@ -27,7 +28,8 @@ def read_image_json(spark: SparkSession, root: str, state: str = "state", action
     docs = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "metadata.json").load(root)
     v = F.try_parse_json(F.decode("content", "UTF-8"))
     d = docs.select(F.regexp_extract("path", r"([^/]+)/metadata\.json$", 1).alias("episode"), v.alias("v")).filter("v is not null")
-    d = d.withColumn("episode_index", F.dense_rank().over(Window.orderBy(natural_key(F.col("episode")))) - 1)  # a row for each episode's document
+    number = numbered(d.select("episode").distinct(), [natural_key(F.col("episode")), "episode"], "episode_index")
+    d = d.join(number, "episode")
     f = d.select("episode", "episode_index", F.try_variant_get("v", "$.language_instruction", "string").alias("instruction"), F.try_variant_get("v", "$.fps", "double").alias("fps"), F.posexplode(F.try_variant_get("v", "$.frames", "array<variant>")).alias("frame_index", "f"))
     return f.select("episode", F.col("episode_index").cast("bigint").alias("episode_index"), F.col("frame_index").cast("bigint").alias("frame_index"), "instruction", "fps", F.try_variant_get("f", f"$.{state}", "array<double>").alias("state"), F.try_variant_get("f", f"$.{action}", "array<double>").alias("action"), F.try_variant_get("f", f"$.{image}", "string").alias("image"))
 
@@ -96,7 +98,7 @@ def decode_example(payload: bytes) -> dict[str, list]:
 class RecordFile(DataSource):
     """Format `trajrecords`: path, byte_offset, length and payload of each record; a damaged end is a row without payload.
 
-    Files are cut by `records_per_task`: the driver only reads length headers, never payloads.
+    Files are cut by `bytes_per_task`: the driver only reads length headers, never payloads.
     """
 
     @classmethod
