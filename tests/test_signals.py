@@ -374,11 +374,10 @@ def test_packing_of_both_widths(spark, tmp_path):
 
     rows = [("a", 0, t, t, [float(x) for x in range(1, n + 1)], [2.0 * x for x in range(1, n + 1)], None) for t, n in enumerate((7, 8))]
     spark.createDataFrame(rows, "dataset_uid string, episode_index bigint, frame_index bigint, index bigint, `observation.state` array<double>, action array<double>, `observation.tcp_force` array<double>").write.parquet(str(tmp_path / "frames.parquet"))
-    got = {r["frame_index"]: r[3:] for r in planning.canonical_pack_all(spark, str(tmp_path)).collect()}
+    got = {r["frame_index"]: r[3:] for r in planning.canonical_pack(spark, str(tmp_path)).collect()}
     assert got == {0: (1.0, 6.0, 0.0, 7.0, 128), 1: (1.0, 6.0, 7.0, 8.0, 128)}
-    got = {r["frame_index"]: r[3:] for r in planning.canonical_action_all(spark, str(tmp_path)).collect()}
+    got = {r["frame_index"]: r[3:] for r in planning.canonical_action(spark, str(tmp_path)).collect()}
     assert got == {0: (1.0, 0.0, 0.0, 14.0), 1: (1.0, 7.0, 0.0, 16.0)}
-    assert planning.canonical_pack(spark, str(tmp_path)).count() == planning.canonical_action(spark, str(tmp_path)).count() == 1
 
 
 def test_calibration_counts_all_frames(spark):
@@ -416,11 +415,11 @@ def test_large_readings_count(spark, tmp_path):
 
     rows = [("a", t // 2, t, t, [1e6 + t], [1e6], [-2000.0 - t, 5.0, -1.0]) for t in range(4)] + [("a", 2, 9, 9, [NAN], [1e6], [NAN, 0.0, 0.0])]
     spark.createDataFrame(rows, FRAMES_SCHEMA).write.parquet(str(tmp_path / "frames.parquet"))
-    assert queries.offset_stats_all(spark, str(tmp_path)).first()["m0"] == -2001.5
-    p = queries.pooled_stats_all(spark, str(tmp_path)).filter("feature = 'state'").first()
+    assert queries.offset_stats(spark, str(tmp_path)).first()["m0"] == -2001.5
+    p = queries.pooled_stats(spark, str(tmp_path)).filter("feature = 'state'").first()
     assert (p["n"], p["mean"]) == (4, 1000001.5) and p["std"] == pytest.approx(1.25**0.5)
-    assert planning.psnr_all(spark, str(tmp_path)).first()["psnr"] == pytest.approx(20 * np.log10(255 / np.sqrt(14 / 4)), abs=1e-6)
-    assert catalog.overlay_repairs_all(spark, str(tmp_path)).first()["total"] == pytest.approx(-(2000 + 2001 + 2002 + 2003))
+    assert planning.psnr(spark, str(tmp_path)).first()["psnr"] == pytest.approx(20 * np.log10(255 / np.sqrt(14 / 4)), abs=1e-6)
+    assert catalog.overlay_repairs(spark, str(tmp_path)).first()["total"] == pytest.approx(-(2000 + 2001 + 2002 + 2003))
 
 
 def test_gradients_of_any_place(spark, tmp_path):
@@ -428,5 +427,4 @@ def test_gradients_of_any_place(spark, tmp_path):
 
     rows = [("a", 0, t, t, [0.0, 3.0 * (t == 3)], None, None) for t in range(7)]
     spark.createDataFrame(rows, FRAMES_SCHEMA).write.parquet(str(tmp_path / "frames.parquet"))
-    assert queries.gradient_flags_all(spark, str(tmp_path)).first()["flagged_frames"] == 2
-    assert queries.gradient_flags(spark, str(tmp_path)).first()["flagged_frames"] == 0
+    assert queries.gradient_flags(spark, str(tmp_path)).first()["flagged_frames"] == 2

@@ -169,5 +169,16 @@ def robust_limits(rows: DataFrame, group: str, vectors: Sequence[str], scale: fl
     return rows.sparkSession.createDataFrame(found, f"`{group}` string, feature string, dimension int, threshold double")
 
 
+def offset_statistics(rows: DataFrame, group: str, vector: str) -> DataFrame:
+    """group, medians m0, m1, m2 of a vector's three finite places, their length, and the summed variance, over all rows."""
+    (mid,) = exact_quantiles(rows, group, [vector], [(_plain, (0.5,))])
+    by_group = defaultdict(lambda: [None] * 3)
+    for (g, _, d), x in mid.items():
+        by_group[g][d] = float(x[0]) if x else None
+    found = rows.sparkSession.createDataFrame([(g, *m) for g, m in by_group.items()], f"`{group}` string, m0 double, m1 double, m2 double")
+    spread = rows.groupBy(group).agg(sum((F.var_pop(F.get(vector, F.lit(d))) for d in range(3)), F.lit(0.0)).alias("variance"))
+    return found.join(spread, group).select(group, "m0", "m1", "m2", F.sqrt(F.col("m0") ** 2 + F.col("m1") ** 2 + F.col("m2") ** 2).alias("length"), "variance")
+
+
 def _plain(v: np.ndarray) -> np.ndarray:
     return v

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from trajlake.functions.scalars import canonical_json_text, merge_layers
 from trajlake.functions.vectors import any_of, beyond, failed_places, masked
 from trajlake.operators import quantiles, signals, stats, trend
+from trajlake.operators.intervals import periods_and_gaps
 from trajlake.plans.storage import cut
 
 VECTORS = ("state", "action")
@@ -186,6 +187,19 @@ def with_step_validity(frames: DataFrame, validities: Sequence[DataFrame]) -> Da
     return frames.join(bad, STEP, "left").withColumn("valid", F.col("__bad").isNull()).drop("__bad")
 
 
+def covered(frames: DataFrame, ranges: DataFrame, out: str = "covered") -> DataFrame:
+    """Add whether any range (keys, frame_start, frame_end, both inclusive) covers the frame.
+
+    Ranges are merged to periods first, so that of an episode's periods only the last one that began can cover a frame:
+    one ordered pass over both instead of a row for each covered frame. Ranges without a bound or reversed cover nothing.
+    """
+    periods = periods_and_gaps(ranges, KEYS, "frame_start", "frame_end").filter("kind = 'period'")
+    marks = periods.select(*KEYS, F.col("frame_start").alias("frame_index"), F.col("frame_end").alias("__end"), F.lit(0).alias("__frame"))
+    w = Window.partitionBy(*KEYS).orderBy("frame_index", "__frame").rowsBetween(Window.unboundedPreceding, 0)
+    both = frames.withColumn("__frame", F.lit(1)).unionByName(marks, allowMissingColumns=True).withColumn("__until", F.last("__end", True).over(w))
+    return both.filter("__frame = 1").withColumn(out, F.coalesce(F.col("__until") >= F.col("frame_index"), F.lit(False))).drop("__frame", "__end", "__until")
+
+
 def chain_validity(validities: Sequence[DataFrame]) -> DataFrame:
     """All label tables of a chain as one: a frame is valid if each that has it says so."""
     union = reduce(DataFrame.unionByName, [v.select(*STEP, "valid") for v in validities])

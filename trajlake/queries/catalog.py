@@ -242,22 +242,26 @@ def accepted_semi_join(spark: SparkSession, folder: str) -> DataFrame:
 _MARKS = "b as (select distinct dataset_uid, episode_index, unnest(range(frame_start, frame_end + 1)) as frame_index from annotations where frame_start <= frame_end and status = 'failed')"
 
 
-def failed_frames(spark: SparkSession, folder: str, status: str) -> DataFrame:
-    a = table(spark, folder, "annotations").filter((F.col("frame_start") <= F.col("frame_end")) & (F.col("status") == status))
-    return a.select(*KEYS, F.explode(F.sequence("frame_start", "frame_end")).alias("frame_index")).distinct().withColumn("valid", F.lit(False))
+def labelled(spark: SparkSession, folder: str, status: str) -> DataFrame:
+    """Frames under annotations of a status, as a label table."""
+    a = table(spark, folder, "annotations").filter(F.col("status") == status)
+    f = curation.covered(frame_rows(spark, folder).select(*KEYS, *ORDER), a)
+    return f.filter("covered").select(*KEYS, *ORDER, F.lit(False).alias("valid"))
 
 
 @R.add(f"with {FRAMES}, {_MARKS} select dataset_uid, episode_index, count(*) as frames, count(*) filter (b.frame_index is null) as valid_frames from f left join b using (dataset_uid, episode_index, frame_index) group by all")
 def invalid_anti_join(spark: SparkSession, folder: str) -> DataFrame:
     """Frames that no failed annotation covers."""
-    f = curation.with_step_validity(frame_rows(spark, folder).select(*KEYS, *ORDER), [failed_frames(spark, folder, "failed")])
+    f = curation.with_step_validity(frame_rows(spark, folder).select(*KEYS, *ORDER), [labelled(spark, folder, "failed")])
     return f.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.count_if("valid").alias("valid_frames"))
 
 
-@R.add("""with x as (select distinct dataset_uid, episode_index, unnest(range(frame_start, frame_end + 1)) as frame_index, status <> 'failed' as valid from annotations where frame_start <= frame_end and status in ('failed', 'fixed'))
-  select dataset_uid, count(*) as frames, count(*) filter (ok) as valid_frames from (select dataset_uid, episode_index, frame_index, bool_and(valid) as ok from x group by all) group by all""")
+@R.add(f"""with {FRAMES}, x as (select distinct dataset_uid, episode_index, unnest(range(frame_start, frame_end + 1)) as frame_index, status <> 'failed' as valid from annotations where frame_start <= frame_end and status in ('failed', 'fixed')),
+  y as (select x.* from x semi join f using (dataset_uid, episode_index, frame_index))
+  select dataset_uid, count(*) as frames, count(*) filter (ok) as valid_frames from (select dataset_uid, episode_index, frame_index, bool_and(valid) as ok from y group by all) group by all""")
 def validity_chain_and(spark: SparkSession, folder: str) -> DataFrame:
-    v = curation.chain_validity([failed_frames(spark, folder, "failed"), failed_frames(spark, folder, "fixed").withColumn("valid", F.lit(True))])
+    """Frames under failed or fixed annotations, of which any failed one makes a frame invalid."""
+    v = curation.chain_validity([labelled(spark, folder, "failed"), labelled(spark, folder, "fixed").withColumn("valid", F.lit(True))])
     return v.groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.count_if("valid").alias("valid_frames"))
 
 
@@ -273,32 +277,27 @@ _REPAIRS = f"""{FRAMES}, o as (select dataset_uid, episode_index, frame_index, f
   when force[3] < 0 then list_transform(force, lambda x: case when isfinite(x) then x else 0 end) end as fixed from f where force is not null)"""
 
 
-@R.add(f"with {_REPAIRS} select dataset_uid, count(*) as frames, round(sum(fixed[1]) filter (abs(fixed[1]) < 1000), 3) as total from o where fixed is not null group by all")
-def overlay_repairs(spark: SparkSession, folder: str) -> DataFrame:
-    x = F.get("force", F.lit(0))
-    return repairs(spark, folder).groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.round(F.sum(F.when(F.abs(x) < 1000, x)), 3).alias("total"))
-
-
 @R.add(f"with {_REPAIRS} select dataset_uid, count(*) as frames, (sum(fixed[1]) filter (isfinite(fixed[1])))::float as total from o where fixed is not null group by all")
-def overlay_repairs_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with all finite forces in the sum."""
+def overlay_repairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Repaired frames of two layers, with the sum of their finite forces."""
     x = F.get("force", F.lit(0))
     return repairs(spark, folder).groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.sum(F.when(finite(x), x)).cast("float").alias("total"))
 
 
-@R.add(f"with {_REPAIRS} select dataset_uid, episode_index, frame_index, coalesce(fixed, force)[1] - force[1] as difference from o where isfinite(force[1]) and coalesce(fixed, force)[1] - force[1] <> 0")
+@R.add(f"""with {_REPAIRS}, d as (select dataset_uid, episode_index, frame_index, cast(unnest(range(len(force))) as int) as dimension, unnest(force) as x, unnest(coalesce(fixed, force)) as y from o)
+  select dataset_uid, episode_index, frame_index, dimension, y - x as difference from d where isfinite(x) and y - x <> 0""")
 def series_diff_view(spark: SparkSession, folder: str) -> DataFrame:
-    """What the repairs change in the first place of the force."""
+    """What the repairs change, in every place of the force."""
     f = frame_rows(spark, folder).filter("force is not null")
-    d = curation.series_view(f, "force", "diff", repairs=repairs(spark, folder)).select(*KEYS, *ORDER, F.get("value", F.lit(0)).alias("difference"))
+    d = curation.series_view(f, "force", "diff", repairs=repairs(spark, folder)).select(*KEYS, *ORDER, F.posexplode("value").alias("dimension", "difference"))
     return d.filter(finite(F.col("difference")) & (F.col("difference") != 0))
 
 
-@R.add(f"with {FRAMES}, {_MARKS} select dataset_uid, count(*) as frames, count(case when b.frame_index is null then state[1] end) as readings from f left join b using (dataset_uid, episode_index, frame_index) group by all")
+@R.add(f"with {FRAMES}, {_MARKS} select dataset_uid, count(*) as frames, coalesce(cast(sum(case when b.frame_index is null then len(list_filter(state, lambda x: x is not null)) end) as bigint), 0) as readings from f left join b using (dataset_uid, episode_index, frame_index) group by all")
 def series_valid_view(spark: SparkSession, folder: str) -> DataFrame:
     """States with nulls where a failed annotation covers the frame."""
-    v = curation.series_view(frame_rows(spark, folder), "state", "valid", validity=failed_frames(spark, folder, "failed"))
-    return v.groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.count(F.get("value", F.lit(0))).alias("readings"))
+    v = curation.series_view(frame_rows(spark, folder), "state", "valid", validity=labelled(spark, folder, "failed"))
+    return v.groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.coalesce(F.sum(F.size(F.array_compact("value"))), F.lit(0)).cast("bigint").alias("readings"))
 
 
 # --- upkeep

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trajlake.functions import geometry, scalars
 from trajlake.functions.vectors import finite
+from trajlake.operators.intervals import periods_and_gaps
 from trajlake.plans import catalog, legacy, units
 from trajlake.queries.problems import latest_episodes
 from trajlake.queries.registry import FRAMES, KEYS, ORDER, Registry, frame_rows, table
@@ -26,7 +27,7 @@ def packed_states(f: DataFrame) -> DataFrame:
     assert all(sum(mask) == n for n, (_, mask) in packed.items())
     f = f.withColumn("c", F.when(F.size("state") == 7, packed[7][0]).when(F.size("state") == 8, packed[8][0]))
     b = geometry.bands(F.col("c"))
-    at = lambda v, i: F.get(v, F.lit(i)).cast("float")
+    at = lambda v, i: (F.get(v, F.lit(i)) + 0.0).cast("float")
     return f.select(*KEYS, *ORDER, at(b["arm1_joint"], 0).alias("joint_0"), at(b["arm1_joint"], 5).alias("joint_5"), at(b["arm1_joint"], 6).alias("joint_6"), at(b["arm1_gripper"], 0).alias("gripper"), F.size("c").alias("places"))
 
 
@@ -35,30 +36,18 @@ def packed_actions(f: DataFrame) -> DataFrame:
     packed = {n: geometry.pack_action(F.col("action"), F.col("state"), n, n, n - 1, gripper="parallel_jaw", frame="absolute")[0] for n in (7, 8)}
     f = f.withColumn("c", F.when(F.size("action") == 7, packed[7]).when(F.size("action") == 8, packed[8]))
     b = geometry.bands(F.col("c"), action=True)
-    at = lambda k, i=0: F.get(b[k], F.lit(i)).cast("float")
+    at = lambda k, i=0: (F.get(b[k], F.lit(i)) + 0.0).cast("float")
     return f.select(*KEYS, *ORDER, at("arm1_joint").alias("joint_0"), at("arm1_joint", 6).alias("joint_6"), at("arm1_position").alias("position_0"), at("arm1_gripper").alias("gripper"))
 
 
-@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, state[1]::float as joint_0, state[6]::float as joint_5, 0::float as joint_6, state[7]::float as gripper, 128 as places from f where len(state) = 7""")
+@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, (state[1] + 0)::float as joint_0, (state[6] + 0)::float as joint_5, (case when len(state) = 8 then state[7] + 0 else 0 end)::float as joint_6, (state[len(state)] + 0)::float as gripper, 128 as places from f where len(state) in (7, 8)""")
 def canonical_pack(spark: SparkSession, folder: str) -> DataFrame:
-    """States of six joints and a gripper in the fixed layout of 128 places."""
-    return packed_states(frame_rows(spark, folder).filter("size(state) = 7"))
-
-
-@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, state[1]::float as joint_0, state[6]::float as joint_5, (case when len(state) = 8 then state[7] else 0 end)::float as joint_6, state[len(state)]::float as gripper, 128 as places from f where len(state) in (7, 8)""")
-def canonical_pack_all(spark: SparkSession, folder: str) -> DataFrame:
     """States of six or seven joints and a gripper in the fixed layout of 128 places."""
     return packed_states(frame_rows(spark, folder).filter("size(state) in (7, 8)"))
 
 
-@R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, (action[1] - state[1])::float as joint_0, 0::float as position_0, action[7]::float as gripper from f where len(state) = 7 and len(action) = 7""")
-def canonical_action(spark: SparkSession, folder: str) -> DataFrame:
-    """Absolute joint actions as differences to the state."""
-    return packed_actions(frame_rows(spark, folder).filter("size(state) = 7 and size(action) = 7")).drop("joint_6")
-
-
 @R.add(f"""with {FRAMES} select dataset_uid, episode_index, frame_index, (action[1] - state[1])::float as joint_0, (case when len(action) = 8 then action[7] - state[7] else 0 end)::float as joint_6, 0::float as position_0, action[len(action)]::float as gripper from f where len(state) in (7, 8) and len(action) = len(state)""")
-def canonical_action_all(spark: SparkSession, folder: str) -> DataFrame:
+def canonical_action(spark: SparkSession, folder: str) -> DataFrame:
     """Absolute joint actions of six or seven joints as differences to the state."""
     return packed_actions(frame_rows(spark, folder).filter("size(state) in (7, 8) and size(action) = size(state)"))
 
@@ -70,19 +59,13 @@ def rigid_transform(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "embeddings").select("vec_id", *(F.round(F.get(p, F.lit(i)), 6).alias(f"p{i}") for i in range(3)))
 
 
-@R.add(f"""with {FRAMES}, m as (select dataset_uid, avg((state[1] - action[1]) * (state[1] - action[1])) as mse from f where isfinite(state[1]) and isfinite(action[1]) and abs(state[1]) < 255 and abs(action[1]) < 255 group by all)
+@R.add(f"""with {FRAMES}, x as (select dataset_uid, unnest(state[1:least(len(state), len(action))]) as s, unnest(action[1:least(len(state), len(action))]) as a from f),
+  m as (select dataset_uid, avg((s - a) * (s - a)) as mse from x where isfinite(s) and isfinite(a) group by all)
   select dataset_uid, round(case when mse = 0 then 100 else 20 * log10(255 / sqrt(mse)) end, 6) as psnr from m""")
 def psnr(spark: SparkSession, folder: str) -> DataFrame:
-    """How near the first joint is to its action, in decibels."""
-    f = frame_rows(spark, folder).select("dataset_uid", F.get("state", F.lit(0)).alias("s"), F.get("action", F.lit(0)).alias("a")).filter("abs(s) < 255 and abs(a) < 255 and not isnan(s) and not isnan(a)")
-    return f.groupBy("dataset_uid").agg(F.avg(F.pow(F.col("s") - F.col("a"), 2)).alias("m")).select("dataset_uid", F.round(scalars.psnr(F.col("m")), 6).alias("psnr"))
-
-
-@R.add(f"""with {FRAMES}, m as (select dataset_uid, avg((state[1] - action[1]) * (state[1] - action[1])) as mse from f where isfinite(state[1]) and isfinite(action[1]) group by all)
-  select dataset_uid, round(case when mse = 0 then 100 else 20 * log10(255 / sqrt(mse)) end, 6) as psnr from m""")
-def psnr_all(spark: SparkSession, folder: str) -> DataFrame:
-    """The same over all finite readings."""
-    f = frame_rows(spark, folder).select("dataset_uid", F.get("state", F.lit(0)).alias("s"), F.get("action", F.lit(0)).alias("a")).filter(finite(F.col("s")) & finite(F.col("a")))
+    """How near states are to their actions over all finite readings, in decibels."""
+    n = F.least(F.size("state"), F.size("action"))
+    f = frame_rows(spark, folder).filter("state is not null and action is not null").select("dataset_uid", F.inline(F.arrays_zip(F.slice("state", 1, n).alias("s"), F.slice("action", 1, n).alias("a")))).filter(finite(F.col("s")) & finite(F.col("a")))
     return f.groupBy("dataset_uid").agg(F.avg(F.pow(F.col("s") - F.col("a"), 2)).alias("m")).select("dataset_uid", F.round(scalars.psnr(F.col("m")), 6).alias("psnr"))
 
 
@@ -93,10 +76,15 @@ _COVER = "(select distinct dataset_uid, episode_index, unnest(range(frame_start,
   from a full join b using (dataset_uid, episode_index, t) group by all""")
 def iou(spark: SparkSession, folder: str) -> DataFrame:
     """Overlap of the frames under two labels."""
-    a = table(spark, folder, "annotations").filter("frame_start <= frame_end")
-    cover = lambda kind: a.filter(F.col("label_type") == kind).select(*KEYS, F.explode(F.sequence("frame_start", "frame_end")).alias("t")).distinct().withColumn(kind, F.lit(1))
-    both = cover("anomaly").join(cover("contact"), [*KEYS, "t"], "full").groupBy("dataset_uid").agg(F.count(F.col("anomaly") + F.col("contact")).alias("x"), F.count(F.lit(1)).alias("y"))
-    return both.select("dataset_uid", scalars.iou(F.col("x"), F.col("y")).alias("iou"))
+    a = table(spark, folder, "annotations")
+
+    def frames(name: str, *labels: str) -> DataFrame:
+        p = periods_and_gaps(a.filter(F.col("label_type").isin(*labels)), KEYS, "frame_start", "frame_end").filter("kind = 'period'")
+        return p.groupBy("dataset_uid").agg(F.sum(F.col("frame_end") - F.col("frame_start") + 1).alias(name))
+
+    n = frames("either", "anomaly", "contact").join(frames("one", "anomaly"), "dataset_uid", "left").join(frames("two", "contact"), "dataset_uid", "left")
+    both = F.coalesce("one", F.lit(0)) + F.coalesce("two", F.lit(0)) - F.col("either")
+    return n.select("dataset_uid", scalars.iou(both, F.col("either")).alias("iou"))
 
 
 @R.add("select event_id, case when value = trunc(value) then cast(value as int) end as whole from events")
@@ -160,11 +148,14 @@ def work_units(spark: SparkSession, folder: str) -> DataFrame:
     return units.units(e, "dataset_uid", "task", 20, 5000)
 
 
-@R.add("select 'tasks' as name, count(*) as rows, 'pass' as status from tasks union all select 'eval_items', count(*), 'pass' from eval_items")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "datasets", "tasks", "episodes", "frames", "annotations", "roboomni_records", "roboomni_partitions", "dexcap_partitions", "eval_items", "mix_targets", "subject_examples")
+
+
+@R.add(" union all ".join(f"select '{t}' as name, count(*) as rows, 'pass' as status from {t}" for t in _TABLES))
 def file_inventory(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of files by their footers."""
+    """Rows of all files of a folder by their footers."""
     i = inventory(spark, folder).withColumn("name", F.regexp_extract("path", r"/(\w+)\.parquet", 1))
-    return i.filter(F.col("name").isin("tasks", "eval_items")).groupBy("name").agg(F.sum("rows").alias("rows"), F.max("status").alias("status"))
+    return i.groupBy("name").agg(F.sum("rows").alias("rows"), F.max("status").alias("status"))
 
 
 @R.add("select date_trunc('hour', ts) as window_start, event_type, count(*) as events, round(sum(value), 6) as total from events group by all")

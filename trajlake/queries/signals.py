@@ -101,29 +101,32 @@ def episode_stats(spark: SparkSession, folder: str) -> DataFrame:
     return out.withColumns({c: F.col(c).cast("float") for c in ("q01", "q50", "q99")})
 
 
-@R.add(f"""with {PLACES} select dataset_uid, feature, dimension, cast(count(value) as bigint) as n, min(value) as least, max(value) as most, avg(value) as mean, stddev_pop(value) as std
-  from v where {_FINITE} and abs(value) < 1000 group by all""")
-def pooled_stats(spark: SparkSession, folder: str) -> DataFrame:
-    """Mean and deviation of datasets pooled from those of their episodes, over readings of usual size."""
-    each = stats.episode_statistics(places(spark, folder).filter(finite(F.col("value")) & (F.abs("value") < 1000)), [*KEYS, "feature", "dimension"], "value")
-    return stats.pool_statistics(each, ["dataset_uid", "feature", "dimension"])
-
-
 @R.add(f"""with {PLACES} select dataset_uid, feature, dimension, cast(count(value) as bigint) as n, min(value) as least, max(value) as most, avg(value)::float as mean, stddev_pop(value)::float as std
   from v where {_FINITE} group by all""")
-def pooled_stats_all(spark: SparkSession, folder: str) -> DataFrame:
+def pooled_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Mean and deviation of datasets pooled from those of their episodes, over all finite readings."""
     each = stats.episode_statistics(places(spark, folder).filter(finite(F.col("value"))), [*KEYS, "feature", "dimension"], "value")
     return stats.pool_statistics(each, ["dataset_uid", "feature", "dimension"]).withColumns({c: F.col(c).cast("float") for c in ("mean", "std")})
 
 
-@R.add(f"""with {FRAMES}, p as (select dataset_uid, episode_index, state[1] as a, action[1] as b from f),
-  k as (select dataset_uid, episode_index, count(*) filter (isfinite(a) and isfinite(b)) as pairs from p group by all),
-  c as (select dataset_uid, episode_index, stddev_pop(a) * stddev_pop(b) * count(*) as size, corr(a, b) as r from p where isfinite(a) and isfinite(b) group by all)
-  select dataset_uid, episode_index, pairs, round(case when pairs >= 3 and size > 1e-15 then r else '-inf'::double end, 6) as correlation from k left join c using (dataset_uid, episode_index)""")
+_PAIRS = FRAMES + f""", q as (select dataset_uid, episode_index, frame_index, row_number() over {W} as p, state, action, least(len(state), len(action)) as n from f),
+  p as (select dataset_uid, episode_index, frame_index, p, cast(unnest(range(n)) as int) as dimension, unnest(state[1:n]) as s, unnest(action[1:n]) as a from q where n > 0)"""
+
+
+def place_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Equal places of state and action in long form, with the frame's position in its episode."""
+    n = F.least(F.size("state"), F.size("action"))
+    f = frame_rows(spark, folder).withColumn("p", F.row_number().over(runs.ordered(KEYS, ORDER)))
+    some = lambda c: F.coalesce(F.slice(c, 1, n), F.array().cast("array<double>"))
+    return f.select(*KEYS, *ORDER, "p", F.posexplode(F.arrays_zip(some("state").alias("s"), some("action").alias("a"))).alias("dimension", "z")).select(*KEYS, *ORDER, "p", "dimension", "z.s", "z.a")
+
+
+@R.add(f"""with {_PAIRS}, k as (select dataset_uid, episode_index, dimension, count(*) filter (isfinite(s) and isfinite(a)) as pairs from p group by all),
+  c as (select dataset_uid, episode_index, dimension, stddev_pop(s) * stddev_pop(a) * count(*) as size, corr(s, a) as r from p where isfinite(s) and isfinite(a) group by all)
+  select dataset_uid, episode_index, dimension, pairs, round(case when pairs >= 3 and size > 1e-15 then r else '-inf'::double end, 6) as correlation from k left join c using (dataset_uid, episode_index, dimension)""")
 def pearson_guarded(spark: SparkSession, folder: str) -> DataFrame:
-    pairs = frame_rows(spark, folder).select(*KEYS, place("state", 0).alias("a"), place("action", 0).alias("b"))
-    return stats.guarded_correlation(pairs, KEYS, "a", "b").withColumn("correlation", F.round("correlation", 6))
+    """Correlation of every place of the state with the action's."""
+    return stats.guarded_correlation(place_pairs(spark, folder), [*KEYS, "dimension"], "s", "a").withColumn("correlation", F.round("correlation", 6))
 
 
 _EVENTS = "select user_id, event_id, epoch_us(ts) / 1e6 as t from events"
@@ -147,32 +150,24 @@ def fps_consensus(spark: SparkSession, folder: str) -> DataFrame:
     return stats.fps_consensus(rates, ["dataset_uid"], "fps")
 
 
-@R.add(f"""with {FRAMES}, o as (select dataset_uid, force[1] as x, force[2] as y, force[3] as z from f where isfinite(force[1]) and isfinite(force[2]) and isfinite(force[3]) and abs(force[1]) < 1000 and abs(force[2]) < 1000 and abs(force[3]) < 1000),
-  m as (select dataset_uid, quantile_cont(x, 0.5) as m0, quantile_cont(y, 0.5) as m1, quantile_cont(z, 0.5) as m2, var_pop(x) + var_pop(y) + var_pop(z) as variance from o group by all)
-  select dataset_uid, m0, m1, m2, sqrt(m0 * m0 + m1 * m1 + m2 * m2) as length, variance from m""")
-def offset_stats(spark: SparkSession, folder: str) -> DataFrame:
-    f = frame_rows(spark, folder).select("dataset_uid", *(place("force", d).alias(n) for d, n in enumerate("xyz")))
-    for n in "xyz":
-        f = f.filter(finite(F.col(n)) & (F.abs(n) < 1000))
-    return stats.offset_statistics(f, ["dataset_uid"])
-
-
 @R.add(f"""with {FRAMES}, o as (select dataset_uid, force[1] as x, force[2] as y, force[3] as z from f where isfinite(force[1]) and isfinite(force[2]) and isfinite(force[3])),
   m as (select dataset_uid, quantile_cont(x, 0.5) as m0, quantile_cont(y, 0.5) as m1, quantile_cont(z, 0.5) as m2, var_pop(x) + var_pop(y) + var_pop(z) as variance from o group by all)
   select dataset_uid, m0, m1, m2, sqrt(m0 * m0 + m1 * m1 + m2 * m2) as length, variance::float as variance from m""")
-def offset_stats_all(spark: SparkSession, folder: str) -> DataFrame:
+def offset_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Median forces over all finite readings, whatever a dataset's units."""
-    f = frame_rows(spark, folder).select("dataset_uid", *(place("force", d).alias(n) for d, n in enumerate("xyz")))
-    for n in "xyz":
-        f = f.filter(finite(F.col(n)))
-    return stats.offset_statistics(f, ["dataset_uid"]).withColumn("variance", F.col("variance").cast("float"))
+    fine = F.forall(F.slice("force", 1, 3), finite) & (F.size("force") >= 3)
+    f = frame_rows(spark, folder).filter(fine).select("dataset_uid", F.slice("force", 1, 3).alias("force"))
+    return quantiles.offset_statistics(f, "dataset_uid", "force").withColumn("variance", F.col("variance").cast("float"))
+
+
+_RANGES = {"l_quantity": (1.0, 49.0), "l_discount": (0.01, 0.09), "l_tax": (0.0, 0.07), "l_extendedprice": (1000.0, 100000.0)}
+_LINE = "l_orderkey * 10 + l_linenumber"
 
 
-@R.add("""select 'l_discount' as field, count(*) as violations, min(l_orderkey) as first, arg_min(l_discount, l_orderkey) as value from (select * from lineitem where l_discount > 0.05 qualify row_number() over (partition by l_orderkey order by l_discount) = 1) having count(*) > 0""")
+@R.add(" union all ".join(f"select '{c}' as field, count(*) as violations, min({_LINE}) as first, arg_min({c}::double, {_LINE}) as value from lineitem where {c} < {low} or {c} > {high} having count(*) > 0" for c, (low, high) in _RANGES.items()))
 def range_violations(spark: SparkSession, folder: str) -> DataFrame:
-    """Whether the least discount above 0.05 of an order breaks a bound, and where first."""
-    low = table(spark, folder, "lineitem").filter("l_discount > 0.05").groupBy("l_orderkey").agg(F.min("l_discount").alias("l_discount"))
-    return stats.range_violations(low, {"l_discount": (0.0, 0.05)}, "l_orderkey")
+    """Values beyond the bounds of the numeric columns: how many, and the first by order and line."""
+    return stats.range_violations(table(spark, folder, "lineitem").withColumn("line", F.expr(_LINE)), _RANGES, "line")
 
 
 # --- differences, angles, gaps
@@ -193,38 +188,31 @@ def second_third_diff(spark: SparkSession, folder: str) -> DataFrame:
     return x.groupBy("dataset_uid", "dimension").agg(F.count(ok("acceleration")).alias("n"), F.max(ok("acceleration")).alias("most_acceleration"), F.max(ok("jerk")).alias("most_jerk"), F.count_if(finite(F.col("jerk")) & (F.col("jerk") > 0.5)).alias("jumps"))
 
 
-@R.add(f"""with {PLACES}, g as (select *, case when b is not null and a is not null then (a - b) / 2 when a is not null then a - value when b is not null then value - b end as gradient from
-    (select *, lag(value) over w as b, lead(value) over w as a from v where feature = 'state' and dimension = 0 window w as {W})),
-  h as (select *, case when b is not null and a is not null then (a - b) / 2 when a is not null then a - gradient when b is not null then gradient - b end as gradient2 from
-    (select * exclude (a, b), lag(gradient) over w as b, lead(gradient) over w as a from g window w as {W}))
-  select dataset_uid, episode_index, count(*) as frames, count(*) filter ((isfinite(gradient) and abs(gradient) > 0.5) or (isfinite(gradient2) and abs(gradient2) > 5)) as flagged_frames from h group by all""")
-def gradient_flags(spark: SparkSession, folder: str) -> DataFrame:
-    """The older rule for sudden changes: large central differences of the first joint."""
-    g = signals.gradients(small_state(spark, folder).withColumn("state", F.slice("state", 1, 1)), KEYS, ORDER, "state")
-    big = lambda c, k: finite(place(c, 0)) & (F.abs(place(c, 0)) > k)
-    return g.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.count_if(F.coalesce(big("gradient", 0.5) | big("gradient2", 5), F.lit(False))).alias("flagged_frames"))
-
-
 @R.add(f"""with {PLACES}, g as (select *, case when b is not null and a is not null then (a - b) / 2 when a is not null then a - value when b is not null then value - b end as gradient from
     (select *, lag(value) over w as b, lead(value) over w as a from v where feature = 'state' window w as (partition by dataset_uid, episode_index, dimension order by frame_index))),
   h as (select *, case when b is not null and a is not null then (a - b) / 2 when a is not null then a - gradient when b is not null then gradient - b end as gradient2 from
     (select * exclude (a, b), lag(gradient) over w as b, lead(gradient) over w as a from g window w as (partition by dataset_uid, episode_index, dimension order by frame_index))),
   k as (select dataset_uid, episode_index, frame_index, bool_or(coalesce((isfinite(gradient) and abs(gradient) > 0.5) or (isfinite(gradient2) and abs(gradient2) > 5), false)) as flagged from h group by all)
   select dataset_uid, episode_index, count(*) as frames, count(*) filter (flagged) as flagged_frames from k group by all""")
-def gradient_flags_all(spark: SparkSession, folder: str) -> DataFrame:
+def gradient_flags(spark: SparkSession, folder: str) -> DataFrame:
     """The older rule for sudden changes: large central differences in any place of the state."""
     g = signals.gradients(small_state(spark, folder), KEYS, ORDER, "state")
     big = lambda c, k: any_of(F.transform(c, lambda x: finite(x) & (F.abs(x) > k)))
     return g.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.count_if(big("gradient", 0.5) | big("gradient2", 5)).alias("flagged_frames"))
 
 
-@R.add(f"""with {FRAMES}, s as (select *, x - lag(x) over w as d from (select dataset_uid, episode_index, frame_index, state[1] as x from f where isfinite(state[1])) window w as {W}),
-  c as (select *, case when abs(d) >= pi() then (case when m = -pi() and d > 0 then pi() else m end) - d else 0 end as fix from (select *, (d + pi()) - 2 * pi() * floor((d + pi()) / (2 * pi())) - pi() as m from s))
-  select dataset_uid, episode_index, frame_index, round(x + sum(coalesce(fix, 0)) over (partition by dataset_uid, episode_index order by frame_index rows unbounded preceding), 4) as angle from c""")
+_WV = "(partition by dataset_uid, episode_index, feature, dimension order by frame_index)"
+
+
+@R.add(f"""with {PLACES}, s as (select *, value - lag(value) over {_WV} as d from v where isfinite(value) and feature = 'state'),
+  c as (select *, case when abs(d) >= pi() then (case when m = -pi() and d > 0 then pi() else m end) - d else 0 end as fix from (select *, (d + pi()) - 2 * pi() * floor((d + pi()) / (2 * pi())) - pi() as m from s)),
+  u as (select *, value + sum(coalesce(fix, 0)) over (partition by dataset_uid, episode_index, feature, dimension order by frame_index rows unbounded preceding) as angle from c)
+  select dataset_uid, episode_index, dimension, count(*) as frames, round(min(angle), 3) + 0 as least, round(max(angle), 3) + 0 as most, round(arg_max(angle, frame_index), 3) + 0 as last from u group by all""")
 def unwrap_angle(spark: SparkSession, folder: str) -> DataFrame:
-    """The first joint as an angle in radians."""
-    f = frame_rows(spark, folder).select(*KEYS, *ORDER, place("state", 0).alias("x")).filter(finite(F.col("x")))
-    return signals.unwrapped(f, KEYS, ORDER, "x", "angle").select(*KEYS, *ORDER, F.round("angle", 4).alias("angle"))
+    """Every place of the state as an angle in radians: its range and end without jumps."""
+    v = stats.explode_places(frame_rows(spark, folder), [*KEYS, *ORDER], {"state": "state"}).filter(finite(F.col("value")))
+    u = signals.unwrapped(v, [*KEYS, "feature", "dimension"], ORDER, "value", "angle")
+    return u.groupBy(*KEYS, "dimension").agg(F.count(F.lit(1)).alias("frames"), *((F.round(c, 3) + 0.0).alias(n) for c, n in ((F.min("angle"), "least"), (F.max("angle"), "most"), (F.max_by("angle", "frame_index"), "last"))))
 
 
 @R.add(f"""with {FRAMES}, q as (select dataset_uid, episode_index, frame_index, list_slice(state, 1, 4) as q from f where state is not null),
@@ -240,14 +228,16 @@ def quaternion_signs(spark: SparkSession, folder: str) -> DataFrame:
     return s.groupBy(*KEYS).agg(F.count(F.lit(1)).alias("frames"), F.count_if(odd).alias("flipped"))
 
 
-@R.add(f"""with {FRAMES}, x as (select dataset_uid, episode_index, frame_index, row_number() over w as t, case when isfinite(force[1]) then force[1] end as v from f window w as {W}),
+@R.add(f"""with {PLACES}, every as (select * from v union all select dataset_uid, episode_index, frame_index, 'force', cast(unnest(range(len(force))) as int), unnest(force) from f),
+  x as (select *, row_number() over w as t, case when isfinite(value) then value end as v from every window w as {_WV}),
   n as (select *, last_value(v ignore nulls) over b as a, last_value(case when v is not null then t end ignore nulls) over b as ta, first_value(v ignore nulls) over c as z, first_value(case when v is not null then t end ignore nulls) over c as tz from x
-    window b as (partition by dataset_uid, episode_index order by frame_index rows unbounded preceding), c as (partition by dataset_uid, episode_index order by frame_index rows between current row and unbounded following))
-  select dataset_uid, episode_index, frame_index, round(coalesce(a + (z - a) * (t - ta) / nullif(tz - ta, 0), a, z, 0), 6) as force_x from n where v is null""")
+    window b as (partition by dataset_uid, episode_index, feature, dimension order by frame_index rows unbounded preceding), c as (partition by dataset_uid, episode_index, feature, dimension order by frame_index rows between current row and unbounded following))
+  select dataset_uid, episode_index, frame_index, feature, dimension, round(coalesce(a + (z - a) * (t - ta) / nullif(tz - ta, 0), a, z, 0), 6) as filled from n where v is null""")
 def fill_nonfinite(spark: SparkSession, folder: str) -> DataFrame:
-    """What stands in for missing forces."""
-    f = frame_rows(spark, folder).select(*KEYS, *ORDER, place("force", 0).alias("x"))
-    return signals.filled(f, KEYS, ORDER, "x", "force_x").filter(~finite(F.col("x"))).select(*KEYS, *ORDER, F.round("force_x", 6).alias("force_x"))
+    """What stands in for readings that are not finite, in every place of every vector."""
+    v = stats.explode_places(frame_rows(spark, folder), [*KEYS, *ORDER], {"state": "state", "action": "action", "force": "force"})
+    out = signals.filled(v, [*KEYS, "feature", "dimension"], ORDER, "value", "filled").filter(~finite(F.col("value")))
+    return out.select(*KEYS, *ORDER, "feature", "dimension", F.round("filled", 6).alias("filled"))
 
 
 # --- runs
@@ -291,14 +281,14 @@ def causal_loss_mask(spark: SparkSession, folder: str) -> DataFrame:
     return v.groupBy("dataset_uid").agg(F.sum(F.coalesce(F.size(F.filter(mask, lambda m: m)), F.lit(0)) * F.col("ok").cast("int")).cast("bigint").alias("slots"))
 
 
-_STILL = FRAMES + f""", u as (select dataset_uid, episode_index, frame_index, state[1] as x, state[len(state)] as grip, coalesce(state[1] = lag(state[1]) over {W}, false) as unchanged from f where state is not null),
+_STILL = FRAMES + f""", u as (select dataset_uid, episode_index, frame_index, state[len(state)] as grip, coalesce(state[1:len(state) - 1] = lag(state[1:len(state) - 1]) over {W}, false) as unchanged from f where state is not null),
   c as (select *, case when unchanged = coalesce(lag(unchanged) over {W}, not unchanged) then 0 else 1 end as c from u),
   i as (select *, sum(c) over (partition by dataset_uid, episode_index order by frame_index rows unbounded preceding) as island from c),
   n as (select *, unchanged and count(*) over (partition by dataset_uid, episode_index, island) >= 4 as run from i)"""
 
 
 def with_still(spark: SparkSession, folder: str) -> DataFrame:
-    f = small_state(spark, folder).select(*KEYS, *ORDER, "state", place("state", 0).alias("x"))
+    f = small_state(spark, folder).select(*KEYS, *ORDER, "state", F.slice("state", 1, F.greatest(F.size("state") - 1, F.lit(0))).alias("x"))
     same = F.coalesce(F.col("x") == F.lag("x").over(runs.ordered(KEYS, ORDER)), F.lit(False))
     return f.withColumn("unchanged", same)
 
@@ -338,17 +328,15 @@ def survivor_rank(spark: SparkSession, folder: str) -> DataFrame:
 
 # --- trends
 
-_LAGS = f"""with {FRAMES}, s as (select dataset_uid, episode_index, row_number() over {W} as p, state[2] as s, action[2] as a from f),
-  k as (select unnest(range(-3, 4)) as lag),
-  j as (select x.dataset_uid, x.episode_index, lag, x.a, y.s from s x, k, s y where y.dataset_uid = x.dataset_uid and y.episode_index = x.episode_index and y.p = x.p + lag),
-  c as (select dataset_uid, episode_index, lag, count(*) filter (isfinite(a) and isfinite(s)) as n, corr(a, s) filter (isfinite(a) and isfinite(s)) as r,
+_LAGS = f"""with {_PAIRS}, k as (select unnest(range(-15, 16)) as lag),
+  j as (select x.dataset_uid, x.episode_index, x.dimension, lag, x.a, y.s from p x, k, p y where y.dataset_uid = x.dataset_uid and y.episode_index = x.episode_index and y.dimension = x.dimension and y.p = x.p + lag),
+  c as (select dataset_uid, episode_index, dimension, lag, count(*) filter (isfinite(a) and isfinite(s)) as n, corr(a, s) filter (isfinite(a) and isfinite(s)) as r,
     stddev_pop(a) filter (isfinite(a) and isfinite(s)) * stddev_pop(s) filter (isfinite(a) and isfinite(s)) * count(*) as size from j group by all)"""
 
 
 @R.add(_LAGS + """, v as (select *, round(case when n >= 3 and size > 1e-15 then r else '-inf'::double end, 6) as v from c)
-  select dataset_uid, episode_index, cast(arg_max(lag, (v, lag)) as int) as best_lag, case when max(v) > '-inf'::double then max(v) end as best_correlation from v group by all""")
+  select dataset_uid, episode_index, dimension, cast(arg_max(lag, (v, lag)) as int) as best_lag, case when max(v) > '-inf'::double then max(v) end as best_correlation from v group by all""")
 def best_lag_correlation(spark: SparkSession, folder: str) -> DataFrame:
-    """The lag at which the second joint follows its action best."""
-    f = frame_rows(spark, folder).withColumn("p", F.row_number().over(runs.ordered(KEYS, ORDER)))
-    p = trend.lag_products(f, KEYS, "p", place("action", 1), place("state", 1), 3).withColumn("correlation", F.round("correlation", 6))
-    return trend.best_lag(p, KEYS)
+    """The lag of at most 15 frames at which each place of the state follows its action best."""
+    p = trend.lag_products(place_pairs(spark, folder), [*KEYS, "dimension"], "p", F.col("a"), F.col("s"), 15).withColumn("correlation", F.round("correlation", 6))
+    return trend.best_lag(p, [*KEYS, "dimension"])
