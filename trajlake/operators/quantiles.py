@@ -180,5 +180,33 @@ def offset_statistics(rows: DataFrame, group: str, vector: str) -> DataFrame:
     return found.join(spread, group).select(group, "m0", "m1", "m2", F.sqrt(F.col("m0") ** 2 + F.col("m1") ** 2 + F.col("m2") ** 2).alias("length"), "variance")
 
 
+#: Stands for infinity where infinite values count; results beyond LARGE are infinite.
+_HUGE, LARGE = float(np.finfo(float).max), 1e300
+
+
+def with_infinities(v: np.ndarray) -> np.ndarray:
+    """A view that counts infinite values."""
+    return np.clip(v, -_HUGE, _HUGE)
+
+
+def infinite(x: float | None) -> float | None:
+    """A quantile of that view."""
+    return None if x is None else float(x) if abs(x) < LARGE else float(np.copysign(np.inf, x))
+
+
+def fps_consensus(rates: DataFrame, group: str, fps: str) -> DataFrame:
+    """group and the whole number of frames a second that all its cameras agree on within 2 percent; null where they do not.
+
+    The median is exact over all rows, without a task that holds a group.
+    """
+    rows = rates.select(group, F.array(F.col(fps).cast("double")).alias("fps"))
+    (mid,) = exact_quantiles(rows, group, ["fps"], [(_plain, (0.5,))])
+    found = rates.sparkSession.createDataFrame([(g, float(x[0])) for (g, _, _), x in mid.items() if x], f"`{group}` string, mid double")
+    span = rates.groupBy(group).agg(F.min(fps).alias("least"), F.max(fps).alias("most")).join(found, group)
+    whole = F.rint("mid")
+    agree = (F.col("most") <= F.col("mid") * 1.02) & (F.col("least") >= F.col("mid") * 0.98) & (whole > 0) & (F.abs(F.col("mid") - whole) <= 0.02 * whole)
+    return span.select(group, F.when(agree, whole.cast("int")).alias("fps"))
+
+
 def _plain(v: np.ndarray) -> np.ndarray:
     return v

@@ -128,14 +128,6 @@ def fps_from_timestamps(rows: DataFrame, keys: Sequence[str], time: str, order:
     return s.select(*keys, F.when(problem.isNull(), F.col("unit") / F.col("mid")).alias("fps"), problem.alias("problem"))
 
 
-def fps_consensus(rates: DataFrame, keys: Sequence[str], fps: str) -> DataFrame:
-    """The whole number of frames a second that all cameras agree on within 2 percent; null where they do not."""
-    mid = rates.groupBy(*keys).agg(F.percentile(fps, F.lit(0.5)).alias("mid"), F.min(fps).alias("least"), F.max(fps).alias("most"))
-    whole = F.rint("mid")
-    agree = (F.col("most") <= F.col("mid") * 1.02) & (F.col("least") >= F.col("mid") * 0.98) & (whole > 0) & (F.abs(F.col("mid") - whole) <= 0.02 * whole)
-    return mid.select(*keys, F.when(agree, whole.cast("int")).alias("fps"))
-
-
 def offset_statistics(offsets: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y", z: str = "z") -> DataFrame:
     """Median offset on each axis, its length, and the summed variance of the offsets about it."""
     mid = offsets.groupBy(*keys).agg(*(F.percentile(c, F.lit(0.5)).alias(f"m{n}") for n, c in enumerate((x, y, z))), *(F.var_pop(c).alias(f"v{n}") for n, c in enumerate((x, y, z))))

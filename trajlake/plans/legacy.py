@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from trajlake.functions import geometry, smoothing
 from trajlake.functions.vectors import above, finite
-from trajlake.operators import runs, stats, trend
+from trajlake.operators import quantiles, runs, stats, trend
 from trajlake.plans.episodes import per_episode, series
 from trajlake.plans.storage import cut
 
@@ -124,15 +124,19 @@ def trim(frames: DataFrame, alignment: DataFrame) -> DataFrame:
 
 
 def bounds(frames: DataFrame, cfg: Config = Config()) -> DataFrame:
-    """q_low and q_high of each dataset's places; gripper places have none, and NaN makes a place's bounds NaN."""
-    long = stats.explode_places(frames, ["dataset_uid"], {"state": "state", "action": "action"})
+    """q_low and q_high of each dataset's places; gripper places have none, and NaN makes a place's bounds NaN.
+
+    Quantiles are exact over all frames and infinite values, without a task that holds a dataset.
+    """
+    (found,) = quantiles.exact_quantiles(frames, "dataset_uid", ["state", "action"], [(quantiles.with_infinities, (cfg.low, cfg.high))])
+    rows = [(*k, *(quantiles.infinite(x) for x in q or (None, None))) for k, q in found.items()]
+    q = frames.sparkSession.createDataFrame(rows, "dataset_uid string, feature string, dimension int, q_low double, q_high double")
     for name, places in cfg.gripper.items():
-        long = long.filter(~((F.col("feature") == name) & F.col("dimension").isin(*map(int, places))))
-    q = F.percentile("value", F.array(F.lit(cfg.low), F.lit(cfg.high)))
-    bad = F.coalesce(F.bool_or(F.isnan("value")), F.lit(False))
-    got = long.groupBy("dataset_uid", "feature", "dimension").agg(q.alias("q"), bad.alias("bad"))
-    limit = lambda i: F.when(F.col("bad"), F.lit(float("nan"))).otherwise(F.col("q")[i])
-    return got.select("dataset_uid", "feature", "dimension", limit(0).alias("q_low"), limit(1).alias("q_high"))
+        q = q.filter(~((F.col("feature") == name) & F.col("dimension").isin(*map(int, places), -1)))
+    long = stats.explode_places(frames, ["dataset_uid"], {"state": "state", "action": "action"})
+    bad = long.filter(F.isnan("value")).select("dataset_uid", "feature", "dimension").distinct().withColumn("bad", F.lit(True))
+    limit = lambda c: F.when(F.col("bad"), F.lit(float("nan"))).otherwise(F.col(c)).alias(c)
+    return q.join(bad, ["dataset_uid", "feature", "dimension"], "left").select("dataset_uid", "feature", "dimension", limit("q_low"), limit("q_high"))
 
 
 def drop_extremes(frames: DataFrame, limits: DataFrame) -> DataFrame:

@@ -166,15 +166,10 @@ def hourly_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @R.add(f"""with {FRAMES}, v as (select dataset_uid, 'state' as feature, cast(unnest(range(len(state))) as int) as dimension, unnest(state) as value from f union all select dataset_uid, 'action', cast(unnest(range(len(action))) as int), unnest(action) from f)
-  select dataset_uid, feature, dimension, quantile_cont(value, 0.01)::float as q_low, quantile_cont(value, 0.99)::float as q_high from v group by all having not bool_or(isnan(value)) and max(abs(value)) < 'inf'::double""")
+  select dataset_uid, feature, dimension, case when bool_or(isnan(value)) then 'nan'::float else quantile_cont(value, 0.01)::float end as q_low, case when bool_or(isnan(value)) then 'nan'::float else quantile_cont(value, 0.99)::float end as q_high from v group by all""")
 def legacy_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    """Bounds of the older rule, of the places that are finite throughout."""
-    f = frame_rows(spark, folder)
-    b = legacy.bounds(f)
-    from trajlake.operators import stats
-
-    fine = stats.component_statistics(stats.explode_places(f, ["dataset_uid"], {"state": "state", "action": "action"}), ["dataset_uid", "feature", "dimension"], "value").filter("values = finite")
-    return b.join(fine, ["dataset_uid", "feature", "dimension"]).select("dataset_uid", "feature", "dimension", F.col("q_low").cast("float").alias("q_low"), F.col("q_high").cast("float").alias("q_high"))
+    """Bounds of the older rule; a place with NaN has none."""
+    return legacy.bounds(frame_rows(spark, folder)).select("dataset_uid", "feature", "dimension", F.col("q_low").cast("float").alias("q_low"), F.col("q_high").cast("float").alias("q_high"))
 
 
 @R.add()

@@ -147,7 +147,7 @@ def fps_from_timestamps(spark: SparkSession, folder: str) -> DataFrame:
   select dataset_uid, case when most <= mid * 1.02 and least >= mid * 0.98 and round_even(mid, 0) > 0 and abs(mid - round_even(mid, 0)) <= 0.02 * round_even(mid, 0) then cast(round_even(mid, 0) as int) end as fps from m""")
 def fps_consensus(spark: SparkSession, folder: str) -> DataFrame:
     rates = table(spark, folder, "episodes").filter("duration > 0").select("dataset_uid", (F.col("frames") / F.col("duration")).alias("fps"))
-    return stats.fps_consensus(rates, ["dataset_uid"], "fps")
+    return quantiles.fps_consensus(rates, "dataset_uid", "fps")
 
 
 @R.add(f"""with {FRAMES}, o as (select dataset_uid, force[1] as x, force[2] as y, force[3] as z from f where isfinite(force[1]) and isfinite(force[2]) and isfinite(force[3])),
