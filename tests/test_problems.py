@@ -99,6 +99,40 @@ def test_summary_merges_within_its_bound():
         assert abs(rank - q) < 3 / spikes.POINTS
 
 
+@pytest.mark.parametrize("drift", [0.0, 1e-4])
+def test_summary_keeps_its_bound_over_many_merges(monkeypatch, drift):
+    monkeypatch.setattr(spikes, "RAW", 2048)
+    rng = np.random.default_rng(1)
+    every = rng.normal(size=3_000_000) + drift * np.arange(3_000_000)
+    s = spikes._Summary()
+    for part in np.array_split(every, 1500):
+        s.add(part)
+    assert len(s.levels) == 3 and sum(map(len, s.levels)) < 48  # log_16 of 1465 pressings
+    v, w = spikes._unpack([s.bytes()])
+    every.sort()
+    for q in (0.01, 0.1, 0.25, 0.5, 0.75, 0.99):
+        rank = np.searchsorted(every, spikes.quantile(v, w, q)) / len(every)
+        assert abs(rank - q) <= (2 + 3) / (2 * spikes.POINTS)
+
+
+def test_spike_in_a_dimension_at_rest(spark):
+    x = [5.0] * 300
+    x[40], x[200] = 5.4, 5.0000001  # the second is what a sensor may show
+    assert {f for _, f, *_ in found(find_spikes(frames(spark, x)))} == {40}
+    step = [0.0] * 150 + [1.0] * 150  # a change of level is no spike
+    assert found(find_spikes(frames(spark, step))) == []
+
+
+def test_spikes_by_context(spark):
+    from pyspark.sql import functions as F
+
+    day, night = wave(300, 3), [60 + v for v in wave(300, 4)]
+    day[100] = 60.0  # usual at night only
+    df = frames(spark, day).withColumn("hour", F.lit(12)).unionByName(frames(spark, night, episode=1).withColumn("hour", F.lit(2)))
+    assert (0, 100) not in {(e, f) for e, f, _, _, k in found(find_spikes(df)) if k & 2}
+    assert {(e, f) for e, f, _, _, k in found(find_spikes(df, context=F.col("hour"))) if k & 2} == {(0, 100)}
+
+
 def test_schema_layouts_and_changes():
     a = parse_schema('{"x": {"dtype": "FLOAT32", "shape": [2], "names": null}, "y": {"shape": [1], "dtype": "bool"}}')
     assert a == parse_schema('[{"name": "y", "dtype": "bool", "shape": [1]}, {"name": "x", "shape": [2], "dtype": "float32", "names": ["p", "q"]}]')

@@ -20,8 +20,12 @@ from pyspark.sql import functions as F
 from trajlake.plans.storage import BROADCAST_BYTES
 
 BLOCK, HALO = 4096, 64
-#: Points that a quantile summary keeps, and values that are collected before it is made.
-POINTS, RAW = 512, 1 << 16
+#: Points that a quantile summary keeps, values that are collected before it is made, summaries that become one.
+POINTS, RAW, FAN = 512, 1 << 16, 16
+#: Groups of tasks whose summaries are merged before those of all.
+GROUPS = 32
+#: Part of readings at either end that may differ in a dimension at rest.
+REST = 0.01
 
 
 def summary(values: np.ndarray, weights: np.ndarray | None = None, points: int = POINTS) -> tuple[np.ndarray, np.ndarray]:
@@ -51,32 +55,45 @@ def quantile(values: np.ndarray, weights: np.ndarray, q: float) -> float:
 
 
 class _Summary:
-    """Grows by raw values, keeps a bounded number of points."""
+    """Grows by raw values, keeps a bounded number of points: a tree in which FAN summaries of one level become one of the next.
+
+    Each pressing moves ranks by at most half its weight / POINTS, and a value takes part in one for each level, of which
+    there are log_FAN(n / RAW). So the ranks of n values are off by at most (2 + levels) / (2 * POINTS) of n, whatever
+    their order: less than 0.6 percent for 2**30 values.
+    """
 
     def __init__(self) -> None:
         self.raw: list[np.ndarray] = []
-        self.held, self.parts = 0, []
+        self.held, self.levels = 0, [[]]
 
     def add(self, values: np.ndarray) -> None:
         if len(values):
             self.raw.append(values)
             self.held += len(values)
-            if self.held > RAW:
+            if self.held >= RAW:
                 self._press()
 
     def _press(self) -> None:
         if self.raw:
-            self.parts.append(summary(np.concatenate(self.raw)))
+            self.levels[0].append(summary(np.concatenate(self.raw)))
             self.raw, self.held = [], 0
-        if len(self.parts) > 16:
-            self.parts = [summary(*merged(self.parts))]
+        for n, parts in enumerate(self.levels):
+            if len(parts) == FAN:
+                if n + 1 == len(self.levels):
+                    self.levels.append([])
+                self.levels[n + 1].append(summary(*merged(parts)))
+                parts.clear()
 
     def bytes(self) -> bytes:
         self._press()
-        if not self.parts:
+        parts = [p for level in self.levels for p in level]
+        if not parts:
             return b""
-        v, w = self.parts[0] if len(self.parts) == 1 else summary(*merged(self.parts))
-        return np.concatenate([v, w]).astype("<f8").tobytes()
+        return _bytes(parts[0] if len(parts) == 1 else summary(*merged(parts)))
+
+
+def _bytes(s: tuple[np.ndarray, np.ndarray]) -> bytes:
+    return np.concatenate(s).astype("<f8").tobytes()
 
 
 def _unpack(blobs: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -178,6 +195,12 @@ def _measure(features: int, gripper: tuple[bool, ...]):
     return run
 
 
+def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The summaries of a group of tasks as one, so that no step holds those of all tasks."""
+    one = lambda blobs: b"" if not len((x := _unpack(blobs))[0]) else _bytes(summary(*x))
+    return pd.DataFrame({**{k: [pdf[k].iat[0]] for k in ("src", "ctx", "f", "d")}, "vals": [one(pdf["vals"])], "steps": [one(pdf["steps"])], "still": [pdf["still"].sum()]})
+
+
 def _fences(fence: float, rate: float, moving: float):
     """From the merged summaries of a dimension: fences for its values, and for the height of an excursion."""
 
@@ -185,10 +208,11 @@ def _fences(fence: float, rate: float, moving: float):
         v, w = _unpack(pdf["vals"])
         s, sw = _unpack(pdf["steps"])
         still, moved = float(pdf["still"].sum()), float(sw.sum())
-        q1, q3 = quantile(v, w, 0.25), quantile(v, w, 0.75)
+        low, q1, q3, high = (quantile(v, w, q) for q in (REST, 0.25, 0.75, 1 - REST))
         moves = moved > 0 and moved >= moving * (moved + still)
         usual = quantile(s, sw, max(0.0, (0.5 * (moved + still) - still) / moved) if still < moved else 0.5) if moved else float("nan")
-        reach = (q3 - q1) or usual
+        # where nearly all readings are one number, the only steps are the spikes' own and can't be a measure
+        reach = (q3 - q1) or (abs(q1) * 1e-6 + 1e-9 if low == high and not moves and len(v) >= 1 / REST else usual)
         lo, hi = (q1 - fence * reach, q3 + fence * reach) if reach and np.isfinite(reach) else (-np.inf, np.inf)
         return pd.DataFrame({"src": [pdf["src"].iat[0]], "ctx": [pdf["ctx"].iat[0]], "f": [pdf["f"].iat[0]], "d": [pdf["d"].iat[0]], "lo": [lo], "hi": [hi], "jump": [rate * usual if moves else float("nan")]})
 
@@ -310,7 +334,8 @@ def find_spikes(
     excursion of at most `within` frames that is `rate` times higher than the median change between neighbouring
     frames, 8 part of `stuck` or more equal readings in a dimension that moves in at least `moving` of its steps.
     Quartiles and changes belong to a source, or to a source and a `context` (such as an hour) that is the same for all
-    frames of an episode. The last place of the features in `gripper_last` is never looked at.
+    frames of an episode. In a dimension at rest, all but a hundredth of whose readings at either end are one number,
+    that number with a millionth of it takes the place of the quartiles' range. The last place of the features in `gripper_last` is never looked at.
 
     Rows without source, episode or frame number are left out; null vectors and null elements are no cases; repeated
     rows of a frame count once (of differing ones the first by value); vectors may have any width, also within a source.
@@ -333,7 +358,9 @@ def find_spikes(
     order = ["src", "ctx", "ep", "blk", "fr"]
     placed = rows.select("*", F.explode(blocks).alias("blk")).repartition("src", "ctx", "ep", "blk")
     measured = placed.sortWithinPartitions(*order).mapInArrow(_measure(len(names), gripper), "src string, ctx string, f int, d int, vals binary, steps binary, still bigint")
-    fences = measured.groupBy("src", "ctx", "f", "d").applyInPandas(_fences(fence, rate, moving), "src string, ctx string, f int, d int, lo double, hi double, jump double")
+    kind = ["src", "ctx", "f", "d"]
+    grouped = measured.withColumn("part", F.spark_partition_id() % GROUPS).groupBy(*kind, "part").applyInPandas(_combine, measured.schema)
+    fences = grouped.groupBy(*kind).applyInPandas(_fences(fence, rate, moving), "src string, ctx string, f int, d int, lo double, hi double, jump double")
     packs = fences.groupBy("src", "ctx").applyInPandas(_pack, "src string, ctx string, thr binary")
     side = F.broadcast(packs) if packed <= BROADCAST_BYTES else packs.hint("merge")
     schema = pa.schema([(source, pa.string()), (episode, pa.int64()), (frame, pa.int64()), ("feature", pa.string()), ("dimension", pa.int32()), ("value", pa.float64()), ("kinds", pa.int32())])

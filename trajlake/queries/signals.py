@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trajlake.functions.vectors import any_of, finite
 from trajlake.operators import quantiles, runs, signals, stats, trend
+from trajlake.operators.spikes import find_spikes
 from trajlake.plans import curation
 from trajlake.queries.registry import FRAMES, KEYS, ORDER, PLACES, Registry, frame_rows, table
 
@@ -170,6 +171,16 @@ def range_violations(spark: SparkSession, folder: str) -> DataFrame:
     return stats.range_violations(table(spark, folder, "lineitem").withColumn("line", F.expr(_LINE)), _RANGES, "line")
 
 
+@R.add()
+def spikes_by_hour(spark: SparkSession, folder: str) -> DataFrame:
+    """Implausible values of events, by type and hour of the day (quantile summaries; tested by cases)."""
+    hour = F.unix_timestamp(F.col("ts").cast("timestamp")).cast("bigint").alias("seconds")
+    e = table(spark, folder, "events").select("event_type", "event_id", "value", hour).withColumn("hours", F.floor(F.col("seconds") / 3600))
+    e = e.withColumn("place", F.row_number().over(Window.partitionBy("event_type", "hours").orderBy("seconds", "event_id"))).withColumn("values", F.array("value"))
+    found = find_spikes(e, source="event_type", episode="hours", frame="place", features=("values",), gripper_last=(), context=F.pmod(F.col("hours"), F.lit(24)), fence=3.0, rate=6.0)
+    return found.select("event_type", F.pmod(F.col("hours"), F.lit(24)).alias("hour"), "kinds").groupBy("event_type", "hour", "kinds").agg(F.count(F.lit(1)).alias("events"))
+
+
 # --- differences, angles, gaps
 
 def small_state(spark: SparkSession, folder: str) -> DataFrame:
