@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -122,6 +122,58 @@ def primary_camera(cameras: Column) -> Column:
     return F.array_min(F.transform(cameras, entry))["camera"]
 
 
+def etag(row: Sequence[Column], length: int = 16) -> Column:
+    """A short digest of a row's values, null apart from every text."""
+    return F.substring(F.sha2(F.to_json(F.array(*(c.cast("string") for c in row)), {"ignoreNullFields": "false"}), 256), 1, length)
+
+
+def action_layout(action: Column, base: Column) -> Column:
+    """What an action of two arms (14 places) with a mobile base (2 more) holds: arms, arms_and_base, base_differs or unknown.
+
+    A base that comes apart must equal the last two places, within 1e-6 and a part in 1e5 of the separate one.
+    """
+    near = F.forall(F.zip_with(F.slice(action, 15, 2), base, lambda x, y: close(x, y, rtol=1e-5, atol=1e-6)), lambda x: x)
+    wide = F.when(base.isNull() | near, "arms_and_base").otherwise("base_differs")
+    return F.when(F.size(action) == 14, "arms").when(F.size(action) == 16, wide).otherwise("unknown")
+
+
+def series_fields(names: Column) -> Column:
+    """Numeric fields to plot: states, then actions, the whole vectors before their parts, else by name."""
+    whole = F.array(F.lit("observation.state"), F.lit("action"), F.lit("actions"))
+
+    def side(fits: Callable[[Column], Column]) -> Column:
+        rank = lambda n: F.when(n.isin("observation.state", "action"), 0).when(n == "actions", 1).otherwise(2)
+        ranked = F.array_sort(F.transform(F.filter(names, fits), lambda n: F.struct(rank(n).alias("rank"), n.alias("name"))))
+        return F.transform(ranked, lambda x: x["name"])
+
+    states = side(lambda n: (n == whole[0]) | n.startswith("observation.state."))
+    return F.concat(states, side(lambda n: F.array_contains(F.slice(whole, 2, 2), n) | n.startswith("action.") | n.startswith("actions.")))
+
+
+#: Bytes that stay free on a disk at least, and the part of it.
+RESERVE_BYTES, RESERVE_PART = 200 << 30, 0.15
+
+
+def storage_needs(disk: int, free: int, source: int, output: int, staged: int) -> dict[str, int | bool]:
+    """What a conversion needs at its peak, what must stay free, and whether both fit."""
+    reserve, peak = max(RESERVE_BYTES, int(disk * RESERVE_PART)), source + output + staged
+    return {"reserve": reserve, "peak": peak, "missing": max(0, peak + reserve - free), "fits": peak + reserve <= free}
+
+
+def duration_text(seconds: float | None) -> str:
+    """Hours, minutes and seconds as 1:02:03; unknown ones as --:--."""
+    if seconds is None or seconds != seconds or seconds < 0 or seconds == float("inf"):
+        return "--:--"
+    minutes, s = divmod(int(seconds), 60)
+    hours, m = divmod(minutes, 60)
+    return f"{hours}:{m:02d}:{s:02d}" if hours else f"{m:02d}:{s:02d}"
+
+
+def remaining_seconds(done: float, total: float, elapsed: float) -> float | None:
+    """Time that the rest takes at the rate so far; None before anything is done."""
+    return elapsed * (total - done) / done if done > 0 and elapsed > 0 else None
+
+
 def canonical_json_text(value: object) -> str:
     """Sorted keys, no blanks, no NaN: one text for one value."""
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)

@@ -296,6 +296,17 @@ def episodes_page(episodes: DataFrame, datasets: DataFrame, uid: str, after_inde
     return page.limit(size), (numbers[size - 1] if len(numbers) > size else None)
 
 
+def list_datasets(datasets: DataFrame, text: str = "", version: str | None = None) -> DataFrame:
+    """Datasets whose identifier holds a text, in whatever letter case, of one version."""
+    out = datasets.filter(F.contains(F.lower("uid"), F.lit(text.lower())))
+    return out if version is None else out.filter(F.col("codebase_version") == version)
+
+
+def list_videos(timeline: DataFrame, integrity: str | None = None) -> DataFrame:
+    """Videos of one state, or all, by path."""
+    return (timeline if integrity is None else timeline.filter(F.col("integrity") == integrity)).orderBy("path", *KEYS)
+
+
 def unmatched_selectors(selectors: DataFrame, datasets: DataFrame) -> DataFrame:
     """Selectors that name no dataset and no collection."""
     names = datasets.select(F.col("dataset_uid").alias("selector")).unionByName(datasets.select(F.col("collection").alias("selector"))).distinct()

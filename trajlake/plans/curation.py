@@ -275,6 +275,24 @@ def view_of(spark: SparkSession, frames: DataFrame, manifest: str | Path | None)
     return with_step_validity(accepted_only(frames, filters), validities)
 
 
+def previous_manifest(out: str | Path, stages: Sequence[int]) -> str | None:
+    """The manifest to go on from: of the highest finished stage below the first one to run; None if there is none."""
+    found = [Path(out) / f"stage{n}/manifest.json" for n in range(min(stages) - 1, 0, -1)]
+    return next((str(p) for p in found if p.is_file()), None)
+
+
+def readiness(shapes: DataFrame, mapping: DataFrame) -> DataFrame:
+    """dataset_uid, state_places, action_places, mapped_places and status: ready, stage2_mapping_required or unsupported.
+
+    shapes: dataset_uid, state_places and action_places (null without the vector); mapping as stage 2 takes it.
+    """
+    n = mapping.groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("mapped_places"))
+    out = shapes.join(n, "dataset_uid", "left").withColumn("mapped_places", F.coalesce("mapped_places", F.lit(0)))
+    lacks = F.coalesce(F.least("state_places", "action_places"), F.lit(0)) < 1
+    lacks = lacks | F.col("state_places").isNull() | F.col("action_places").isNull()
+    return out.withColumn("status", F.when(lacks, "unsupported").when(F.col("mapped_places") == 0, "stage2_mapping_required").otherwise("ready"))
+
+
 def run(spark: SparkSession, frames: DataFrame, out: str, stages: Sequence[int] = (1, 2, 3), cfg: Config = Config(), embodiments: DataFrame | None = None, parent: str | None = None, overwrite: bool = False, mapping: DataFrame | None = None) -> str:
     """Run stages in turn, each over the view of those before; the last manifest's path.
 

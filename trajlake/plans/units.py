@@ -66,6 +66,11 @@ def first_seen_tasks(episodes: DataFrame, keys: Sequence[str] = ()) -> DataFrame
     return numbered(first, ["first_episode", "task"], "task_index", keys)
 
 
+def plan_summary(plan: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """Episodes, frames and the sorted distinct tasks of a plan (episode_index, frames, task), for each of the keys."""
+    return plan.groupBy(*keys).agg(F.count(F.lit(1)).alias("episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("frames"), F.array_sort(F.collect_set("task")).alias("tasks"))
+
+
 def remaining(plan: DataFrame, done: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Units whose verified result is not there or belongs to another fingerprint."""
     good = done.filter("status = 'verified'").select(*keys, "fingerprint").distinct()
