@@ -195,10 +195,32 @@ def _measure(features: int, gripper: tuple[bool, ...]):
     return run
 
 
-def _combine(pdf: pd.DataFrame) -> pd.DataFrame:
-    """The summaries of a group of tasks as one, so that no step holds those of all tasks."""
-    one = lambda blobs: b"" if not len((x := _unpack(blobs))[0]) else _bytes(summary(*x))
-    return pd.DataFrame({**{k: [pdf[k].iat[0]] for k in ("src", "ctx", "f", "d")}, "vals": [one(pdf["vals"])], "steps": [one(pdf["steps"])], "still": [pdf["still"].sum()]})
+def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The summaries of a group of tasks as one, so that no step holds those of all tasks; they arrive sorted."""
+    names = ("src", "ctx", "f", "d", "part")
+    at, vals, steps, still = None, [], [], 0
+    one = lambda blobs: blobs[0] if len(blobs) == 1 else b"" if not len((x := _unpack(blobs))[0]) else _bytes(summary(*x))
+
+    def row() -> tuple:
+        return (*at[:4], one(vals), one(steps), still)
+
+    for b in batches:
+        out = []
+        for key, v, s, n in zip(zip(*(b.column(k).to_pylist() for k in names)), b.column("vals").to_pylist(), b.column("steps").to_pylist(), b.column("still").to_pylist()):
+            if key != at:
+                if at is not None:
+                    out.append(row())
+                at, vals, steps, still = key, [], [], 0
+            vals.append(v)
+            steps.append(s)
+            still += n
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _SUMMARIES.types)], schema=_SUMMARIES)
+    if at is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([c], t) for c, t in zip(row(), _SUMMARIES.types)], schema=_SUMMARIES)
+
+
+_SUMMARIES = pa.schema([("src", pa.string()), ("ctx", pa.string()), ("f", pa.int32()), ("d", pa.int32()), ("vals", pa.binary()), ("steps", pa.binary()), ("still", pa.int64())])
 
 
 def _fences(fence: float, rate: float, moving: float):
@@ -359,7 +381,7 @@ def find_spikes(
     placed = rows.select("*", F.explode(blocks).alias("blk")).repartition("src", "ctx", "ep", "blk")
     measured = placed.sortWithinPartitions(*order).mapInArrow(_measure(len(names), gripper), "src string, ctx string, f int, d int, vals binary, steps binary, still bigint")
     kind = ["src", "ctx", "f", "d"]
-    grouped = measured.withColumn("part", F.spark_partition_id() % GROUPS).groupBy(*kind, "part").applyInPandas(_combine, measured.schema)
+    grouped = measured.withColumn("part", F.spark_partition_id() % GROUPS).repartition(*kind, "part").sortWithinPartitions(*kind, "part").mapInArrow(_combine, measured.schema)
     fences = grouped.groupBy(*kind).applyInPandas(_fences(fence, rate, moving), "src string, ctx string, f int, d int, lo double, hi double, jump double")
     packs = fences.groupBy("src", "ctx").applyInPandas(_pack, "src string, ctx string, thr binary")
     side = F.broadcast(packs) if packed <= BROADCAST_BYTES else packs.hint("merge")
