@@ -126,6 +126,85 @@ def test_scalars(spark):
     assert scalars.merge_layers({"a": {"x": 1, "y": 2}}, {"a": {"y": 3}}, {"b": 4}) == {"a": {"x": 1, "y": 3}, "b": 4}
 
 
+def test_small_functions(spark):
+    one = lambda c: spark.range(1).select(c.alias("x")).first()["x"]
+    arr = lambda *v: F.array(*(F.lit(float(x)) for x in v))
+    none = F.lit(None).cast("array<double>")
+    assert [one(scalars.action_layout(arr(*range(n)), none)) for n in (14, 16, 15)] == ["arms", "arms_and_base", "unknown"]
+    assert one(scalars.action_layout(arr(*range(16)), arr(14, 15.0001))) == "arms_and_base" and one(scalars.action_layout(arr(*range(16)), arr(14, 15.1))) == "base_differs"
+    names = F.array(*map(F.lit, ["action.z", "actions", "observation.state.b", "observation.state", "action", "observation.images.x", "observation.state.a"]))
+    assert one(scalars.series_fields(names)) == ["observation.state", "observation.state.a", "observation.state.b", "action", "actions", "action.z"]
+    assert one(scalars.etag([F.lit(None).cast("string")])) != one(scalars.etag([F.lit("")])) and len(one(scalars.etag([F.lit("x")], 8))) == 8
+    need = scalars.storage_needs(1 << 40, 300 << 30, 40 << 30, 50 << 30, 20 << 30)
+    assert need["reserve"] == 200 << 30 and need["missing"] == 10 << 30 and not need["fits"] and scalars.storage_needs(10 << 40, 0, 0, 0, 0)["reserve"] == int((10 << 40) * 0.15)
+    assert [scalars.duration_text(x) for x in (None, 5, 3723.9, -1)] == ["--:--", "00:05", "1:02:03", "--:--"]
+    assert scalars.remaining_seconds(0, 5, 1) is None and scalars.remaining_seconds(2, 6, 3) == 6
+
+
+def test_lists_and_readiness(spark):
+    d = spark.createDataFrame([("A/x", "v3.0"), ("b/X", "v2.1")], "uid string, codebase_version string")
+    assert C.list_datasets(d, "X").count() == 2 and [r["uid"] for r in C.list_datasets(d, "x", "v2.1").collect()] == ["b/X"]
+    from trajlake.plans import curation
+
+    shapes = spark.createDataFrame([("a", 7, 7), ("b", 7, 7), ("c", None, 7), ("d", 0, 7)], "dataset_uid string, state_places int, action_places int")
+    named = spark.createDataFrame([("a", 0, 0)], "dataset_uid string, state_dimension int, action_dimension int")
+    got = {r["dataset_uid"]: r["status"] for r in curation.readiness(shapes, named).collect()}
+    assert got == {"a": "ready", "b": "stage2_mapping_required", "c": "unsupported", "d": "unsupported"}
+
+
+def test_previous_manifest(tmp_path):
+    from trajlake.plans import curation
+
+    assert curation.previous_manifest(tmp_path, (2, 3)) is None
+    curation.write_json(tmp_path / "stage1/manifest.json", {})
+    assert curation.previous_manifest(tmp_path, (3,)) == curation.previous_manifest(tmp_path, (2,)) == str(tmp_path / "stage1/manifest.json")
+    assert curation.previous_manifest(tmp_path, (1,)) is None
+
+
+def test_outputs_are_committed_in_steps(spark, tmp_path):
+    at = sinks.begin_output(tmp_path / "out")
+    assert (at / sinks.INCOMPLETE).is_file()
+    with pytest.raises(FileExistsError):
+        sinks.begin_output(at)
+    sinks.finish_output(at)
+    assert (at / sinks.SUCCESS).is_file() and not (at / sinks.INCOMPLETE).exists()
+    with pytest.raises(FileNotFoundError):
+        sinks.finish_output(tmp_path)
+    staged, target = tmp_path / "staged", tmp_path / "target"
+    spark.range(5).coalesce(1).write.parquet(str(staged / "data"))
+    (staged / "big.bin").write_bytes(bytes(range(256)) * 2000)
+    want = sinks.commit_unit(staged, target, "u1")
+    assert want == sinks.commit_unit(staged, target, "u1") and {v["rows"] for v in want["files"].values()} >= {5, None}
+    (staged / "x.bin").write_bytes(b"abc")
+    (staged / "y.bin").write_bytes(b"def")
+    curation_like = {"unit": "u2", "files": {n: sinks.evidence(staged / n) for n in ("x.bin", "y.bin")}}
+    from trajlake.plans.curation import write_json
+
+    write_json(target / "commits/u2.intent.json", curation_like)  # broken off after the first file
+    (staged / "x.bin").rename(target / "x.bin")
+    assert set(sinks.commit_unit(staged, target, "u2")["files"]) == {"x.bin", "y.bin"}
+    (staged / "z.bin").write_bytes(b"1")
+    write_json(target / "commits/u3.intent.json", {"unit": "u3", "files": {"z.bin": {"bytes": 2, "sha256": [], "rows": None}}})
+    with pytest.raises(ValueError, match="to be published"):
+        sinks.commit_unit(staged, target, "u3")
+    rows = spark.createDataFrame([(0, "pass"), (1, "fail")], "episode_index bigint, verdict string")
+    with pytest.raises(ValueError, match="complete"):
+        sinks.publish_catalog(spark, rows, str(tmp_path / "s"), 1, 2, False)
+    with pytest.raises(ValueError, match="not 3"):
+        sinks.publish_catalog(spark, rows, str(tmp_path / "s"), 1, 3, True)
+    assert sinks.publish_catalog(spark, rows, str(tmp_path / "s"), 1, 2, True)["shards"][0]["rows"] == 2
+
+
+def test_state_of_a_stream_in_buckets(spark, tmp_path):
+    table, rows = str(tmp_path / "t"), lambda *r: spark.createDataFrame(list(r), ingest.STAGE_ROWS)
+    for n in range(4):  # every batch touches few buckets
+        ingest.apply_batch(spark, table, rows(*[("d", e, 1, f"v{n}", n, False) for e in range(n, n + 2)]), n)
+    now = {r["episode_index"]: r["verdict"] for r in ingest.current(spark, table).collect()}
+    assert now == {0: "v0", 1: "v1", 2: "v2", 3: "v3", 4: "v3"}
+    kept = {p for p in json.loads((tmp_path / "t/current.json").read_text())["buckets"].values()}
+    assert len(kept) <= 5 and all((__import__("pathlib").Path(p)).is_dir() for p in kept)
+
+
 def test_planning(spark):
     assert units.pack([5, 5, 5, 100, 1, 1], ["a", "a", "a", "a", "a", "b"], 2, 12) == [0, 0, 1, 2, 3, 4]
     e = spark.createDataFrame([("p", i, "t" if i < 4 else "u", 10) for i in range(6)], "part string, episode_index bigint, task string, frames bigint")

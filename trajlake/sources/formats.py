@@ -98,7 +98,7 @@ def decode_example(payload: bytes) -> dict[str, list]:
 class RecordFile(DataSource):
     """Format `trajrecords`: path, byte_offset, length and payload of each record; a damaged end is a row without payload.
 
-    Files are cut by `bytes_per_task`: the driver only reads length headers, never payloads.
+    One task reads one file; `read_records` also cuts large files.
     """
 
     @classmethod
@@ -106,15 +106,18 @@ class RecordFile(DataSource):
         return "trajrecords"
 
     def schema(self) -> str:
-        return "path string, byte_offset bigint, length bigint, payload binary, status string"
+        return _RECORD
 
     def reader(self, schema: StructType) -> DataSourceReader:
         return _RecordReader(self.options)
 
 
+_RECORD = "path string, byte_offset bigint, length bigint, payload binary, status string"
+
+
 class _Piece(InputPartition):
-    def __init__(self, path: str, start: int, stop: int) -> None:
-        self.path, self.start, self.stop = path, start, stop
+    def __init__(self, path: str) -> None:
+        self.path = path
 
 
 class _RecordReader(DataSourceReader):
@@ -122,34 +125,44 @@ class _RecordReader(DataSourceReader):
         import glob
 
         self.paths = sorted(glob.glob(options.get("path", "")))
-        self.bytes = int(options.get("bytes_per_task", str(64 << 20)))
 
     def partitions(self) -> Sequence[InputPartition]:
-        out = []
-        for p in self.paths:
-            starts = [0]
-            with open(p, "rb") as f:
-                while len(head := f.read(12)) == 12:
-                    f.seek(struct.unpack("<Q", head[:8])[0] + 4, io.SEEK_CUR)
-                    if f.tell() - starts[-1] >= self.bytes:
-                        starts.append(f.tell())
-                end = f.seek(0, io.SEEK_END)
-            out += [_Piece(p, a, b) for a, b in zip(starts, [*starts[1:], end]) if a < b]
-        return out or [_Piece("", 0, 0)]
+        return [_Piece(p) for p in self.paths] or [_Piece("")]
 
     def read(self, piece: _Piece) -> Iterator[tuple]:
-        if not piece.path:
+        if piece.path:
+            with open(piece.path, "rb") as f:
+                yield from _records(f, piece.path, 0, None)
+
+
+def _records(f: io.IOBase, path: str, start: int, stop: int | None) -> Iterator[tuple]:
+    """Records of an open file that begin in a stretch of it."""
+    end = f.seek(0, io.SEEK_END)
+    at = f.seek(start)
+    while at < (end if stop is None else stop):
+        head = f.read(12)
+        n = struct.unpack("<Q", head[:8])[0] if len(head) == 12 else -1
+        if n < 0 or at + 16 + n > end:
+            yield path, at, max(min(n, end), 0), None, "truncated"
             return
-        with open(piece.path, "rb") as f:
-            f.seek(piece.start)
-            while (at := f.tell()) < piece.stop:
-                head = f.read(12)
-                n = struct.unpack("<Q", head[:8])[0] if len(head) == 12 else -1
-                body = f.read(n) if n >= 0 else b""
-                if n < 0 or len(body) < n or len(f.read(4)) < 4:
-                    yield piece.path, at, max(n, 0), None, "truncated"
-                    return
-                yield piece.path, at, n, body, "pass"
+        body = f.read(n)
+        at = f.seek(at + 16 + n)
+        yield path, at - 16 - n, n, body, "pass"
+
+
+def _open(path: str):
+    from pyarrow import fs
+
+    system, at = fs.FileSystem.from_uri(path)
+    return system.open_input_file(at)
+
+
+def _files(spark: SparkSession, path: str) -> DataFrame:
+    """A listing of files; a pattern that nothing matches gives none."""
+    folder, _, pattern = path.rpartition("/")
+    if any(c in pattern for c in "*?["):
+        return spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return spark.read.format("binaryFile").load(path)
 
 
 def write_records(path: str, payloads: Sequence[bytes]) -> None:
@@ -160,36 +173,81 @@ def write_records(path: str, payloads: Sequence[bytes]) -> None:
 
 
 def read_records(spark: SparkSession, path: str, bytes_per_task: int = 64 << 20) -> DataFrame:
-    spark.dataSource.register(RecordFile)
-    return spark.read.format("trajrecords").option("path", path).option("bytes_per_task", str(bytes_per_task)).load()
+    """Records of all files: tasks walk the files' length headers in parallel, cut them into pieces of about `bytes_per_task`
+    at records' ends, and read the pieces; the driver only lists files."""
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p, size in zip(pdf["path"], pdf["length"]):
+                starts, at = [0], 0
+                with _open(p) as f:
+                    while at + 12 <= size:
+                        f.seek(at)
+                        at += 16 + struct.unpack("<Q", f.read(8))[0]
+                        if at < size and at - starts[-1] >= bytes_per_task:
+                            starts.append(at)
+                yield pd.DataFrame({"path": p, "start": starts, "stop": [*starts[1:], size]})
+
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for p, start, stop in zip(pdf["path"], pdf["start"], pdf["stop"]):
+                rows, held = [], 0
+                with _open(p) as f:
+                    for r in _records(f, p, start, stop):
+                        rows.append(r)
+                        held += r[2] + 64
+                        if held >= 8 << 20:
+                            yield pd.DataFrame(rows, columns=["path", "byte_offset", "length", "payload", "status"])
+                            rows, held = [], 0
+                yield pd.DataFrame(rows, columns=["path", "byte_offset", "length", "payload", "status"])
+
+    files = _files(spark, path).select("path", "length").repartition("path")
+    pieces = files.mapInPandas(walk, "path string, start bigint, stop bigint")
+    return pieces.repartition("path", "start").mapInPandas(read, _RECORD)
 
 
 # --- archives and raw arrays
 
-_MEMBERS = "path string, member string, size bigint, content binary, error string"
+_MEMBERS = "path string, member string, size bigint, part int, content binary, error string"
 
 
 def _members(batches: Iterator[pd.DataFrame], wanted: str, most: int) -> Iterator[pd.DataFrame]:
     import fnmatch
 
-    for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
-            rows = []
-            try:
-                if zipfile.is_zipfile(io.BytesIO(content)):
-                    with zipfile.ZipFile(io.BytesIO(content)) as z:
-                        rows = [(path, m.filename, m.file_size, z.read(m) if m.file_size <= most else None, None) for m in z.infolist() if not m.is_dir() and fnmatch.fnmatch(m.filename, wanted)]
+    columns = ["path", "member", "size", "part", "content", "error"]
+
+    def pieces(path: str, name: str, size: int, f) -> Iterator[tuple]:
+        for n in range(max(1, -(-size // most))):
+            yield path, name, size, n, f.read(most), None
+
+    def rows(path: str) -> Iterator[tuple]:
+        try:
+            with _open(path) as raw:
+                f = io.BufferedReader(raw) if not raw.seekable() else raw
+                if zipfile.is_zipfile(f):
+                    with zipfile.ZipFile(f) as z:
+                        for m in z.infolist():
+                            if not m.is_dir() and fnmatch.fnmatch(m.filename, wanted):
+                                with z.open(m) as inner:
+                                    yield from pieces(path, m.filename, m.file_size, inner)
                 else:
-                    with tarfile.open(fileobj=io.BytesIO(content)) as t:
-                        rows = [(path, m.name, m.size, t.extractfile(m).read() if m.size <= most else None, None) for m in t if m.isfile() and fnmatch.fnmatch(m.name, wanted)]
-            except Exception as e:  # an unreadable archive is a row
-                rows = [(path, None, None, None, str(e)[:200])]
-            yield pd.DataFrame(rows, columns=["path", "member", "size", "content", "error"])
+                    f.seek(0)
+                    with tarfile.open(fileobj=f) as t:
+                        for m in t:
+                            if m.isfile() and fnmatch.fnmatch(m.name, wanted):
+                                yield from pieces(path, m.name, m.size, t.extractfile(m))
+        except Exception as e:  # an unreadable archive is a row
+            yield path, None, None, None, None, str(e)[:200]
+
+    for pdf in batches:
+        for path in pdf["path"]:
+            for r in rows(path):
+                yield pd.DataFrame([r], columns=columns)
 
 
 def read_archives(spark: SparkSession, path: str, wanted: str = "*", most: int = 64 << 20) -> DataFrame:
-    """Members of tar and zip files; those beyond `most` bytes are listed without content. Nothing is written to disk."""
-    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    """Members of tar and zip files in parts of at most `most` bytes, numbered from 0; archives are read as streams, nothing is
+    written to disk, and no row holds more than a part."""
+    files = _files(spark, path).select("path").repartition("path")
     return files.mapInPandas(lambda b: _members(b, wanted, most), _MEMBERS)
 
 

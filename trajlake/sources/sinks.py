@@ -36,8 +36,11 @@ def publish_snapshot(spark: SparkSession, payloads: DataFrame, out: str, stage:
     if touched:
         before = spark.read.parquet(*touched)
         gone = [r[0] for r in catalog.tombstones(before, payloads, ["episode_index"]).orderBy("episode_index").collect()]  # of changed shards only
-    for k in write:
-        payloads.filter(F.floor(F.col("episode_index") / size) == k).select("episode_index", "payload_json").orderBy("episode_index").coalesce(1).write.mode("overwrite").parquet(name(k))
+    if write:  # one job for all changed shards; a name has the content's fingerprint, so a repetition writes the same
+        marks = F.broadcast(spark.createDataFrame([(k, name(k).rsplit("=", 1)[1]) for k in write], "__k bigint, shard string"))
+        rows = payloads.withColumn("__k", F.floor(F.col("episode_index") / size)).join(marks, "__k").select("shard", "episode_index", "payload_json")
+        rows = rows.repartition("shard").sortWithinPartitions("shard", "episode_index")
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("shard").parquet(f"{out}/shards")
     shards = [{k2: s[k2] for k2 in ("shard", "rows", "min_episode", "max_episode", "fingerprint")} | {"path": name(k) if k in write else was[k]["path"]} for k, s in sorted(now.items())]
     manifest = {"schema_version": 1, "stage_id": stage, "shard_size": size, "shards": shards, "generation": fingerprint([[s["shard"], s["fingerprint"]] for s in shards]), "changes": {"upsert_shards": write, "removed_shards": removed, "tombstones": gone}}
     if manifest["generation"] != old["generation"]:
@@ -46,6 +49,79 @@ def publish_snapshot(spark: SparkSession, payloads: DataFrame, out: str, stage:
     return manifest
 
 
+def publish_catalog(spark: SparkSession, rows: DataFrame, out: str, stage: int, expected: int, complete: bool) -> dict:
+    """Backfill a stage's snapshot from catalog rows (episode_index and what is to be the payload), if their run is complete
+    and there are exactly as many as expected."""
+    if not complete:
+        raise ValueError("the run of this stage is not complete")
+    payloads = rows.select("episode_index", F.to_json(F.struct(*sorted(c for c in rows.columns if c != "episode_index"))).alias("payload_json"))
+    have = payloads.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("episode_index").alias("d")).first()
+    if have["n"] != expected or have["d"] != expected:
+        raise ValueError(f"{have['n']} rows of {have['d']} episodes, not {expected}")
+    return publish_snapshot(spark, payloads, out, stage)
+
+
+# Files that say how far an output is.
+INCOMPLETE, SUCCESS = "_INCOMPLETE", "_SUCCESS"
+
+
+def begin_output(out: str | Path) -> Path:
+    """A new folder that is marked as incomplete; one with content is an error."""
+    at = Path(out)
+    if at.exists() and any(at.iterdir()):
+        raise FileExistsError(out)
+    at.mkdir(parents=True, exist_ok=True)
+    (at / INCOMPLETE).write_text(json.dumps({"started_at": time.time()}))
+    return at
+
+
+def finish_output(out: str | Path) -> None:
+    """Mark a folder as finished: the mark of success comes before the other one goes."""
+    at = Path(out)
+    if not (at / INCOMPLETE).is_file():
+        raise FileNotFoundError(f"{out} was not begun")
+    (at / SUCCESS).write_text(json.dumps({"finished_at": time.time()}))
+    (at / INCOMPLETE).unlink()
+
+
+def evidence(path: str | Path, span: int = 1 << 16) -> dict:
+    """Size of a file and digests of its begin, middle and end; for Parquet also its rows."""
+    import hashlib
+
+    import pyarrow.parquet as pq
+
+    size = os.path.getsize(path)
+    with open(path, "rb") as f:
+        digests = []
+        for at in (0, max(0, size // 2 - span // 2), max(0, size - span)):
+            f.seek(at)
+            digests.append(hashlib.sha256(f.read(span)).hexdigest())
+    return {"bytes": size, "sha256": digests, "rows": pq.read_metadata(path).num_rows if str(path).endswith(".parquet") else None}
+
+
+def commit_unit(staged: str | Path, target: str | Path, unit: str) -> dict:
+    """Publish a unit's files in two steps: the intent with evidence of every file is written first, the files are moved one by
+    one, then the commit. A repetition after a break goes on where it ended; a file that does not match is an error."""
+    staged, target = Path(staged), Path(target)
+    intent, done = target / f"commits/{unit}.intent.json", target / f"commits/{unit}.json"
+    if done.is_file():
+        return json.loads(done.read_text())
+    if intent.is_file():
+        want = json.loads(intent.read_text())
+    else:
+        want = {"unit": unit, "files": {str(p.relative_to(staged)): evidence(p) for p in sorted(staged.rglob("*")) if p.is_file()}}
+        write_json(intent, want)
+    for name, proof in want["files"].items():
+        at = target / name
+        if not at.is_file():
+            at.parent.mkdir(parents=True, exist_ok=True)
+            os.replace(staged / name, at)
+        if evidence(at) != proof:
+            raise ValueError(f"{at} is not what was to be published")
+    os.replace(intent, done)
+    return want
+
+
 def snapshot_from_folders(spark: SparkSession, folders: Sequence[str], out: str, stage: int) -> dict:
     """Backfill from JSON files named by episode; of equal episodes the last folder's holds."""
     parts = None

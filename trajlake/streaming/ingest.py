@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -19,33 +20,48 @@ STAGE_ROWS = "dataset_uid string, episode_index bigint, stage_id int, verdict st
 KEYS = ["dataset_uid", "episode_index", "stage_id"]
 
 
-def current(spark: SparkSession, table: str) -> DataFrame:
-    """The rows that hold now: the folder that the pointer names; empty before the first batch."""
-    pointer = Path(table) / "current.json"
-    if not pointer.is_file():
-        return spark.createDataFrame([], STAGE_ROWS)
-    return spark.read.schema(STAGE_ROWS).parquet(json.loads(pointer.read_text())["path"])
+#: Parts of a state by the hash of its keys; a batch rewrites only those that it touches.
+BUCKETS = 64
+
+
+def _pointer(table: str) -> dict:
+    path = Path(table) / "current.json"
+    return json.loads(path.read_text()) if path.is_file() else {"batch": -1, "buckets": {}}
+
+
+def current(spark: SparkSession, table: str, buckets: list[int] | None = None) -> DataFrame:
+    """The rows that hold now, of all or some buckets: the folders that the pointer names; empty before the first batch."""
+    have = {int(k): p for k, p in _pointer(table)["buckets"].items()}
+    paths = sorted(p for k, p in have.items() if buckets is None or k in buckets)
+    return spark.read.schema(STAGE_ROWS).parquet(*paths) if paths else spark.createDataFrame([], STAGE_ROWS)
 
 
 def apply_batch(spark: SparkSession, table: str, batch: DataFrame, batch_id: int) -> None:
     """Replace rows by newer versions and drop those taken back; a batch that was applied before changes nothing.
 
-    The new state goes to a folder of its own, and a pointer is swapped last, so readers see whole batches. A tombstone
-    stays in the state as a deleted row, so that an older version that comes late cannot return.
+    Only the buckets of the batch's keys are read and written anew, and a pointer is swapped last, so readers see whole
+    batches; what neither the new nor the last pointer names is removed. A tombstone stays in the state as a deleted
+    row, so that an older version that comes late cannot return.
     """
-    pointer = Path(table) / "current.json"
-    done = json.loads(pointer.read_text())["batch"] if pointer.is_file() else -1
-    if batch_id <= done:
+    was = _pointer(table)
+    if batch_id <= was["batch"]:
         return
-    newest = batch.groupBy(*KEYS).agg(F.max_by(F.struct("verdict", "version", "deleted"), F.struct("version", F.coalesce("deleted", F.lit(False)), "verdict")).alias("r")).select(*KEYS, "r.*")
-    old = current(spark, table)
+    bucket = F.pmod(F.xxhash64(*KEYS), F.lit(BUCKETS)).cast("int")
+    newest = batch.groupBy(*KEYS).agg(F.max_by(F.struct("verdict", "version", "deleted"), F.struct("version", F.coalesce("deleted", F.lit(False)), "verdict")).alias("r")).select(*KEYS, "r.*").persist()
+    touched = sorted(r[0] for r in newest.select(bucket).distinct().collect())  # at most BUCKETS
+    old = current(spark, table, touched)
     fresh = newest.join(old.select(*KEYS, F.col("version").alias("__v")), KEYS, "left").filter(F.col("__v").isNull() | (F.col("version") >= F.col("__v"))).drop("__v")
     path = f"{table}/state-{batch_id:010d}"
-    upsert(old, fresh, KEYS).write.mode("overwrite").parquet(path)
+    upsert(old, fresh, KEYS).withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
+    newest.unpersist()
     Path(table).mkdir(parents=True, exist_ok=True)
-    new = pointer.with_suffix(".new")
-    new.write_text(json.dumps({"batch": batch_id, "path": path}))
-    os.replace(new, pointer)
+    now = {"batch": batch_id, "buckets": {**was["buckets"], **{str(k): f"{path}/bucket={k}" for k in touched}}, "last": was["buckets"]}
+    new = Path(table) / "current.new"
+    new.write_text(json.dumps(now))
+    os.replace(new, Path(table) / "current.json")
+    kept = {*now["buckets"].values(), *was["buckets"].values()}
+    for p in set(was.get("last", {}).values()) - kept:
+        shutil.rmtree(p, ignore_errors=True)
 
 
 def visible(rows: DataFrame) -> DataFrame:
