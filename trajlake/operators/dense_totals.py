@@ -21,11 +21,13 @@ from trajlake.plans.storage import BROADCAST_BYTES, cut
 
 #: Keys in a block of the arrays, blocks that a task holds, groups of the first sum, parts into which a range is cut.
 BLOCK, HELD, GROUPS, PARTS = 1024, 1024, 32, 4096
+#: Bytes of a key's two ranges in a broadcast.
+RANGE_BYTES = 256
 _ARRAYS = ("rows", "numbers", "low", "high", "least", "most")
 
 
-def _number_keys(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(code and value of each row, key of each code)."""
+def _number_keys(rows: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """(code and value of each row, key of each code, number of keys)."""
     keys = cut(rows.select("key").distinct())
     spark, pid = rows.sparkSession, F.spark_partition_id()
     sizes = keys.groupBy(pid.alias("pid")).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("key")).alias("bytes")).orderBy("pid").collect()  # a row for each partition
@@ -46,7 +48,7 @@ def _number_keys(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         coded = rows.join(F.broadcast(codes), "key")
     else:
         coded = skew_join(rows, codes, ["key"])
-    return cut(coded.select("code", "value")), codes
+    return cut(coded.select("code", "value")), codes, n
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,21 +145,24 @@ def _narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column("code"), b.column("side"), pa.array(back(start)), pa.array(back(end)), b.column("rank")], ["code", "side", "low", "high", "rank"])
 
 
-def _medians(coded: DataFrame, totals: DataFrame) -> DataFrame:
+def _medians(coded: DataFrame, totals: DataFrame, keys: int) -> DataFrame:
     """code, median: the two middle ranks are searched by cutting each key's range into PARTS parts again and again.
 
-    Values meet the range of their key by `skew_join`: hot keys, known from their totals, by broadcast, others by shuffle.
+    Values meet the range of their key by broadcast as long as all ranges are small enough for that, else by `skew_join`:
+    those of hot keys, known from their totals, by broadcast, others by shuffle.
     """
+    small = keys * RANGE_BYTES <= BROADCAST_BYTES
     has = totals.filter("numbers > 0")
     every = F.broadcast(has.agg(F.sum("numbers").alias("every")))
-    hot = cut(has.join(every, F.col("numbers") > F.col("every") * HOT_PART).select("code"))  # at most 1/HOT_PART keys
+    hot = None if small else cut(has.join(every, F.col("numbers") > F.col("every") * HOT_PART).select("code"))  # at most 1/HOT_PART keys
     ranges = has.select("code", F.explode(F.array(F.lit(0), F.lit(1))).alias("side"), F.col("least").alias("low"), F.col("most").alias("high"), "numbers")
     ranges = cut(ranges.select("code", "side", "low", "high", F.expr("case when side = 0 then (numbers - 1) div 2 else numbers div 2 end").alias("rank")))
     values = coded.filter("value is not null")
     while ranges.filter("low < high").limit(1).count():  # at most 6 times: a range shrinks by PARTS each time
         open_ = ranges.filter("low < high")
         sides = open_.groupBy("code").agg(F.collect_list(F.struct("side", "low", "high")).alias("sides"))  # two at most
-        inside = skew_join(values, sides, ["code"], hot=hot).select("code", "value", F.inline("sides")).filter("value between low and high")
+        met = values.join(F.broadcast(sides), "code") if small else skew_join(values, sides, ["code"], hot=hot)
+        inside = met.select("code", "value", F.inline("sides")).filter("value between low and high")
         counts = inside.mapInArrow(_spread, "code bigint, side int, part int, n bigint").groupBy("code", "side", "part").agg(F.sum("n").alias("n"))
         upto = counts.withColumn("upto", F.sum("n").over(Window.partitionBy("code", "side").orderBy("part")))
         hit = upto.join(open_.select("code", "side", "rank"), ["code", "side"]).filter("upto > rank and upto - n <= rank").select("code", "side", "part", (F.col("rank") - (F.col("upto") - F.col("n"))).alias("rank"))
@@ -173,11 +178,11 @@ def dense_totals(rows: DataFrame, key: str, value: str) -> DataFrame:
     median. Sums wrap beyond 64 bits. An empty table gives an empty result; ties need no order.
     """
     plain = rows.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{value}`").cast("bigint").alias("value")).filter("key is not null")
-    coded, codes = _number_keys(plain)
+    coded, codes, n = _number_keys(plain)
     schema = "block bigint, part int, " + ", ".join(f"{k} binary" for k in _ARRAYS)
     blocks = coded.mapInArrow(_add_up, "block bigint, " + ", ".join(f"{k} binary" for k in _ARRAYS)).withColumn("part", F.spark_partition_id() % GROUPS)
     blocks = blocks.groupBy("block", "part").applyInPandas(_sum_blocks, schema).groupBy("block").applyInPandas(_sum_blocks, schema)
     totals = cut(blocks.mapInArrow(_open, "code bigint, rows bigint, numbers bigint, total bigint, least bigint, most bigint"))
-    out = totals.join(_medians(coded, totals), "code", "left").join(codes, "code")
+    out = totals.join(_medians(coded, totals, n), "code", "left").join(codes, "code")
     some = F.col("numbers") > 0
     return out.select(F.col("key").alias(key), "rows", *(F.when(some, F.col(c)).alias(c) for c in ("total", "median", "least", "most")))
