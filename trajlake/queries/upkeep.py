@@ -13,6 +13,7 @@ from trajlake.queries import stages
 from trajlake.queries.catalog import _BAD, _EP, _S, episode_search, last_scans, stage_rows
 from trajlake.queries.registry import FRAMES, KEYS, ORDER, Registry, frame_rows, table
 from trajlake.queries.signals import _FLAGS, W, stage3
+from trajlake.sources import containers
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
@@ -314,3 +315,38 @@ def aligned_poses(spark: SparkSession, folder: str) -> DataFrame:
     pose = geometry.align_pose(F.concat("point", "q"), geometry.rotation_matrix([[0, -1, 0], [1, 0, 0], [0, 0, 1]]), (1.0, 2.0, 3.0))
     p = poses(spark, folder).withColumn("p", pose).filter("p is not null")
     return p.select("vec_id", *(F.round(F.get("p", F.lit(i)), 6).alias(n) for i, n in enumerate(("px", "py", "pz", "qx", "qy", "qz", "qw"))))
+
+
+# --- what readers share
+
+@R.add("""with s as (select distinct name, scanned_at, snapshot_id, unnest(source_schema) as f from dexcap_partitions), c as (select distinct name, f.path as component, scanned_at, snapshot_id, lower(f.dtype) as dtype from s),
+  o as (select name, component, scanned_at, snapshot_id, min(dtype) as dtype from c group by all), p as (select *, row_number() over w - 1 as p, case when dtype is not distinct from lag(dtype) over w and row_number() over w > 1 then 0 else 1 end as s from o window w as (partition by name, component order by scanned_at, snapshot_id)),
+  r as (select *, sum(s) over (partition by name, component order by p rows unbounded preceding) - 1 as run from p) select name, component, cast(run as bigint) as run, any_value(dtype) as dtype, min(p) as start, max(p) + 1 as stop from r group by name, component, run""")
+def dtype_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches of scans in which a field of a partition keeps its type."""
+    d = table(spark, folder, "dexcap_partitions").select("name", "scanned_at", "snapshot_id", F.inline("source_schema"))
+    one = d.groupBy("name", F.col("path").alias("component"), "scanned_at", "snapshot_id").agg(F.min(F.lower("dtype")).alias("dtype"))
+    return containers.dtype_runs(one, ["name", "component"], ["scanned_at", "snapshot_id"])
+
+
+@R.add("""with r as (select source_file, byte_offset, max(task_index) as task_index from roboomni_records where byte_offset is not null group by all), p as (select *, row_number() over w - 1 as p, case when row_number() over w > 1 and task_index is not distinct from lag(task_index) over w then 0 else 1 end as s from r window w as (partition by source_file order by byte_offset)),
+  i as (select *, sum(s) over (partition by source_file order by p rows unbounded preceding) - 1 as e from p) select source_file, cast(e as bigint) as episode_index, any_value(task_index) as task_index, min(p) as first, max(p) as last, count(*) as frames from i group by source_file, e""")
+def episodes_of_segments(spark: SparkSession, folder: str) -> DataFrame:
+    """Records of a file with one task in a row as episodes."""
+    r = table(spark, folder, "roboomni_records").filter("byte_offset is not null").groupBy("source_file", "byte_offset").agg(F.max("task_index").alias("task_index"))
+    return containers.episodes_of_segments(r, ["source_file"], "byte_offset", "task_index")
+
+
+@R.add(f"""with {FRAMES}, n as (select dataset_uid, episode_index, frame_index, action as a, lead(state) over {W} as s from f), d as (select *, case when len(a) = len(s) then list_max(list_transform(range(1, len(a) + 1), lambda i: abs(a[i] - s[i]))) else 'inf'::double end as difference from n where s is not null)
+  select dataset_uid, count(*) as frames from d where not (coalesce(difference, 'inf'::double) <= 0.5) group by all""")
+def next_frame_targets(spark: SparkSession, folder: str) -> DataFrame:
+    """Frames whose action is not what the next frame's state shows."""
+    return containers.next_frame_targets(frame_rows(spark, folder), KEYS, tolerance=0.5).groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"))
+
+
+@R.add("""with r as (select component, count(*) as states from roboomni_records where task_index is not null group by all), p as (select component, count(*) as actions from (select unnest(components) as component from roboomni_partitions) group by all)
+  select component, coalesce(states, 0) as states, coalesce(actions, 0) as actions, coalesce(states, 0) = coalesce(actions, 0) as paired from r full join p using (component)""")
+def linked_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Records and partitions of each component, which need not be as many."""
+    r = table(spark, folder, "roboomni_records").filter("task_index is not null").select("component")
+    return containers.linked_parts(r, table(spark, folder, "roboomni_partitions").select(F.explode("components").alias("component")), "component")
