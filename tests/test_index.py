@@ -39,10 +39,119 @@ def test_refresh(spark):
 def test_identifiers_stay(spark):
     c = spark.createDataFrame([("/x", "u"), ("/y", "u"), ("/z", "v")], "root string, candidate string")
     one = {r["root"]: r["uid"] for r in index.unique_uids(c).collect()}
-    assert one["/z"] == "v" and one["/x"] != one["/y"] and one["/x"].startswith("u-")
+    assert one["/z"] == "v" and one["/x"] == "u" and one["/y"].startswith("u--") and len(one["/y"]) == 11
     more = c.unionAll(spark.createDataFrame([("/w", "v")], c.schema))
     two = {r["root"]: r["uid"] for r in index.unique_uids(more, spark.createDataFrame(list(one.items()), "root string, uid string")).collect()}
-    assert {k: two[k] for k in one} == one and two["/w"].startswith("v-")
+    assert {k: two[k] for k in one} == one and two["/w"].startswith("v--")
+    import hashlib
+
+    h = hashlib.sha256(b"/n").hexdigest()  # the short end is taken by another root
+    taken = spark.createDataFrame([("/a", "w"), ("/b", f"w--{h[:8]}")], "root string, uid string")
+    three = {r["root"]: r["uid"] for r in index.unique_uids(spark.createDataFrame([("/n", "w")], c.schema), taken).collect()}
+    assert three == {"/n": f"w--{h[:12]}"}
+
+
+def test_snapshots_are_trusted_with_their_source(tmp_path):
+    import hashlib
+
+    (tmp_path / "m.json").write_text("{}")
+    m = {"schema_version": 1, "stage_id": 1, "generation": "g", "shards": [], "source_manifest": {"path": "m.json", "fingerprint": hashlib.sha256(b"{}").hexdigest()}}
+    assert index.refresh_decision(m, None, str(tmp_path)) == "all"
+    (tmp_path / "m.json").write_text("{ }")
+    assert index.refresh_decision(m, None, str(tmp_path)) == "files"
+    with pytest.raises(ValueError):
+        index.refresh_decision(m | {"source_manifest": {"path": "../x", "fingerprint": ""}}, None, str(tmp_path))
+
+
+def test_jobs(spark):
+    from trajlake.plans import jobs
+
+    tries = []
+
+    def work(s, n):
+        tries.append(n)
+        if len(tries) < 2:
+            raise OSError("once")
+        return s.range(n).count()
+
+    job = jobs.Job(spark, "count", work, 5, retries=2).start().wait(60)
+    assert (job.state, job.result, job.attempts, tries) == ("done", 5, 2, [5, 5]) and job.progress()["state"] == "done"
+    failed = jobs.Job(spark, "fails", lambda s: 1 / 0).start().wait(60)
+    assert failed.state == "failed" and isinstance(failed.error, ZeroDivisionError)
+    import time
+
+    slow = jobs.Job(spark, "slow", lambda s: s.range(0, 10**12, 1, 4).selectExpr("sum(id * id % 7)").collect()).start()
+    time.sleep(3)
+    slow.cancel()
+    assert slow.wait(60).state == "cancelled" and not slow._thread.is_alive()
+
+    class Even:
+        def validate(self, frames):
+            if "frame_index" not in frames.columns:
+                raise ValueError("no frames")
+
+        def process(self, frames):
+            return frames.withColumn("label", F.col("frame_index") % 2 == 0)
+
+        def aggregate(self, labels):
+            return labels.agg(F.count_if("label").alias("even"))
+
+    assert jobs.run_stage(Even(), spark.range(5).withColumnRenamed("id", "frame_index"))[1].first()["even"] == 3
+    with pytest.raises(ValueError):
+        jobs.run_stage(Even(), spark.range(5))
+
+
+def test_keys_of_services(monkeypatch):
+    from trajlake.plans import legacy
+
+    assert legacy.service_key(None, None) is None
+    for variable in (None, "TRAJLAKE_NO_SUCH_KEY"):
+        with pytest.raises(RuntimeError, match="not set"):
+            legacy.service_key("http://x", variable)
+    monkeypatch.setenv("TRAJLAKE_KEY", "k")
+    assert legacy.service_key("http://x", "TRAJLAKE_KEY") == "k"
+
+
+def test_annotations_are_added_and_reviewed(spark):
+    from trajlake.plans import catalog as C
+
+    kind = "annotation_id string, dataset_uid string, episode_index bigint, review_status string, reviewer string, created_at double"
+    a = spark.createDataFrame([("1", "d", 0, "pending", None, 2.0), ("2", "d", 1, "pending", None, 1.0)], kind)
+    a = C.add_annotation(a, spark.createDataFrame([("3", "d", 0, "pending", 0.5)], "annotation_id string, dataset_uid string, episode_index bigint, review_status string, created_at double"))
+    assert [r["annotation_id"] for r in C.list_annotations(a, "d").collect()] == ["3", "2", "1"] and [r["annotation_id"] for r in C.list_annotations(a, "d", 0).collect()] == ["3", "1"]
+    b = C.review(a, "1", "accepted", "me", 9.0)
+    assert b.count() == 4 and {r["annotation_id"]: r["review_status"] for r in C.list_annotations(b, "d").collect()} == {"1": "accepted", "2": "pending", "3": "pending"}
+
+
+def test_series_of_episodes(spark):
+    from trajlake.plans import curation
+
+    f = spark.createDataFrame([("d", e, t, [float(t)], [0.0]) for e in range(2) for t in range(5)], "dataset_uid string, episode_index bigint, frame_index bigint, state array<double>, action array<double>")
+    s = curation.episode_series(f, ["state"], 10.0, episode=("d", 1), limit=3).collect()
+    assert [(r["frame_index"], r["episode_time"], r["state"]) for r in s] == [(0, 0.0, [0.0]), (1, 0.1, [1.0]), (2, 0.2, [2.0])]
+    bad = f.filter("frame_index = 1").select("dataset_uid", "episode_index", "frame_index", F.lit(False).alias("valid"))
+    assert [r["state"] for r in curation.episode_series(f, ["state"], 10.0, "valid", validity=bad, episode=("d", 0), limit=2).collect()] == [[0.0], [None]]
+
+
+def test_discovery_at_the_staging_root(tmp_path):
+    from trajlake.sources import datasets
+
+    for d in ("a", "b/c", "d/e/f/g/h"):
+        (tmp_path / d / "meta").mkdir(parents=True)
+        (tmp_path / d / "meta/info.json").write_text("{}")
+    assert [p.name for p in datasets.discover(tmp_path)] == ["a", "c"] and [p.name for p in datasets.discover(tmp_path, staging=tmp_path)] == ["a"]
+    import numpy as np
+
+    assert datasets.picture_bytes(np.array([[[0.0, 1.2]], [[0.5, -1.0]]])).tolist() == [[[0, 128], [255, 0]]]
+
+
+def test_values_of_any_type_are_close(spark):
+    from trajlake.functions.scalars import close_values
+
+    kind = "a struct<x:array<double>,n:int>, b struct<x:array<double>,n:int>"
+    cases = [((([1.0, float("nan")], 1), ([1.0 + 1e-9, float("nan")], 1)), True), ((([1.0], 1), ([1.0, 2.0], 1)), False), ((([1.0], 1), ([1.0], 2)), False), ((None, None), True), ((([1.0], 1), None), False), (((None, 1), (None, 1)), True), ((([], 1), (None, 1)), False), ((([1.0, None], None), ([1.0, None], None)), True)]
+    df = spark.createDataFrame([c for c, _ in cases], kind)
+    assert [r["c"] for r in df.select(close_values(F.col("a"), F.col("b"), df.schema["a"].dataType).alias("c")).collect()] == [w for _, w in cases]
 
 
 def test_small_parts(spark):

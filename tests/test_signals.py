@@ -115,7 +115,9 @@ def test_runs_and_masks(spark):
     got = runs.merge_ranges(spark.createDataFrame([("a", x) for x in (3, 1, 2, 2, 7, 9, 8, None)], "k string, frame_index bigint"), ["k"])
     assert sorted((r["frame_start"], r["frame_end"]) for r in got.collect()) == [(1, 3), (7, 9)]
     clamp = spark.createDataFrame([(5, None, None, 1.0, 2.0), (5, -3, 2, None, None), (5, 9, 12, None, None)], "n bigint, frame_start bigint, frame_end bigint, time_start double, time_end double")
-    assert [(r["frame_start"], r["frame_end"]) for r in runs.clamp_intervals(clamp, "n", F.lit(2.0)).collect()] == [(2, 4), (0, 2)]
+    assert [(r["frame_start"], r["frame_end"]) for r in runs.clamp_intervals(clamp, "n", F.lit(2.0)).collect()] == [(2, 4), (0, 2), (4, 4)]
+    more = spark.createDataFrame([("e", 10, 3, 5, None, None, 0), ("e", 10, 6, 6, None, None, 0), ("e", 10, None, None, 0.0, 0.5, 0), ("e", 10, 108, 200, None, None, 100), ("e", 10, None, None, None, None, 0), ("e", 10, 5, 1, None, None, 0)], "k string, n bigint, frame_start bigint, frame_end bigint, time_start double, time_end double, offset bigint")
+    assert sorted((r["frame_start"], r["frame_end"]) for r in runs.stage_intervals(more, ["k"], "n", F.lit(2.0)).collect()) == [(0, 1), (3, 6), (8, 9)]
 
 
 def test_delta_actions_are_added_up_before_the_mask():

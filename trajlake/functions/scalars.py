@@ -8,6 +8,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, StructType
 
 # Parts that a joint's name may lose before names are compared.
 JOINT_PARTS = ("observation", "state", "action", "target", "command", "position", "pos")
@@ -90,6 +91,21 @@ def close(a: Column, b: Column, rtol: float = 1e-6, atol: float = 1e-8) -> Colum
     return F.coalesce(both | near, a.isNull() & b.isNull())
 
 
+def close_values(a: Column, b: Column, kind: DataType, rtol: float = 1e-6, atol: float = 1e-8) -> Column:
+    """The same for values of any type: floats within tolerances, arrays and structs part by part, all else equal; null equals null."""
+    if isinstance(kind, (FloatType, DoubleType)):
+        return close(a, b, rtol, atol)
+    if isinstance(kind, ArrayType):
+        parts = F.forall(F.arrays_zip(a.alias("a"), b.alias("b")), lambda x: close_values(x["a"], x["b"], kind.elementType, rtol, atol))
+        return F.coalesce((F.size(a) == F.size(b)) & parts, a.isNull() & b.isNull())
+    if isinstance(kind, StructType):
+        out = a.isNull() == b.isNull()
+        for f in kind:
+            out = out & (a.isNull() | close_values(a[f.name], b[f.name], f.dataType, rtol, atol))
+        return out
+    return a.eqNullSafe(b)
+
+
 def psnr(mean_square: Column) -> Column:
     """Decibels for pixel values to 255; 100 where nothing differs."""
     return F.when(mean_square == 0, F.lit(100.0)).otherwise(20 * F.log10(F.lit(255.0) / F.sqrt(mean_square)))

@@ -83,9 +83,25 @@ def survivor_ranks(episodes: DataFrame, keys: Sequence[str], episode: str, accep
 
 
 def clamp_intervals(records: DataFrame, frames: str, fps: Column) -> DataFrame:
-    """Ranges of mixed records on a timeline of `frames` frames: `frame_start`/`frame_end`, or seconds, cut to the timeline."""
-    last = F.col(frames) - 1
+    """Ranges of mixed records on a timeline of `frames` frames: `frame_start`/`frame_end`, else seconds `time_start`/`time_end`.
+
+    A range without an end is its start, one without a start, or without a timeline, is left out. Ends are drawn to the
+    timeline, so that a range beside it becomes its first or last frame, and one that is reversed its start. `offset`,
+    where the records have it, is the timeline's first frame in their numbers.
+    """
+    last = F.greatest(F.col(frames) - 1, F.lit(0))
+    offset = F.coalesce("offset", F.lit(0)) if "offset" in records.columns else F.lit(0)
     start = F.coalesce(F.col("frame_start"), F.floor(F.col("time_start") * fps))
-    end = F.coalesce(F.col("frame_end"), F.ceil(F.col("time_end") * fps), start)
-    out = records.withColumn("frame_start", F.greatest(F.lit(0), start).cast("bigint")).withColumn("frame_end", F.least(last, end).cast("bigint"))
-    return out.filter("frame_start <= frame_end")
+    end = F.coalesce(F.col("frame_end"), F.col("frame_start"), F.ceil(F.col("time_end") * fps), start)
+    rows = records.filter(start.isNotNull() & F.col(frames).isNotNull())
+    rows = rows.withColumns({"frame_start": (start - offset).cast("bigint"), "frame_end": (end - offset).cast("bigint")})
+    rows = rows.withColumn("frame_start", F.least(F.greatest("frame_start", F.lit(0)), last).cast("bigint"))
+    return rows.withColumn("frame_end", F.least(F.greatest("frame_end", "frame_start"), last).cast("bigint"))
+
+
+def stage_intervals(records: DataFrame, keys: Sequence[str], frames: str, fps: Column) -> DataFrame:
+    """The records' ranges on their timelines, overlapping and neighbouring ones merged: keys, frame_start, frame_end."""
+    from trajlake.operators.intervals import periods_and_gaps
+
+    merged = periods_and_gaps(clamp_intervals(records, frames, fps), keys, "frame_start", "frame_end")
+    return merged.filter("kind = 'period'").drop("kind")

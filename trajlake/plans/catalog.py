@@ -389,6 +389,25 @@ def outcome_counts(log: DataFrame, unverified: Sequence[str] = ()) -> DataFrame:
     return rejected.unionByName(reasons)
 
 
+def add_annotation(annotations: DataFrame, rows: DataFrame) -> DataFrame:
+    """Annotations with new rows; columns that they lack are null."""
+    return annotations.unionByName(rows, allowMissingColumns=True)
+
+
+def list_annotations(annotations: DataFrame, uid: str, episode: int | None = None) -> DataFrame:
+    """The last state of a dataset's or an episode's annotations, in the order of their making."""
+    own = annotations.filter(F.col("dataset_uid") == uid)
+    own = own if episode is None else own.filter(F.col("episode_index") == episode)
+    return latest_reviews(own).orderBy("created_at", "annotation_id")
+
+
+def review(annotations: DataFrame, annotation_id: str, status: str, reviewer: str, at: float) -> DataFrame:
+    """Annotations with a row more: the named one under its review. The old row stays."""
+    old = latest_reviews(annotations.filter(F.col("annotation_id") == annotation_id))
+    new = old.withColumns({"review_status": F.lit(status), "reviewer": F.lit(reviewer), "created_at": F.lit(float(at))})
+    return annotations.unionByName(new)
+
+
 def latest_reviews(annotations: DataFrame) -> DataFrame:
     """One row for each annotation: the one with the last review (accepted or rejected before pending), else the last written."""
     done = (F.col("review_status") != "pending").cast("int")

@@ -225,6 +225,21 @@ def series_view(frames: DataFrame, column: str, view: str, validity: DataFrame |
     return out
 
 
+def episode_series(frames: DataFrame, columns: Sequence[str], fps: float, view: str = "raw", validity: DataFrame | None = None, repairs: DataFrame | None = None, episode: tuple[str, int] | None = None, limit: int | None = None) -> DataFrame:
+    """Vectors of episodes in a view, with `episode_time` in seconds: by frame number, or by position where there is none.
+
+    The filter on one episode reaches the scans of all tables, so that files and row groups without it are not read;
+    `limit` takes the first frames in order.
+    """
+    only = (lambda d: d) if episode is None else (lambda d: d.filter((F.col("dataset_uid") == episode[0]) & (F.col("episode_index") == episode[1])))
+    f = only(frames)
+    out = f.select(*STEP, (F.coalesce("frame_index", F.row_number().over(Window.partitionBy(*KEYS).orderBy(*ORDER)) - 1) / float(fps)).alias("episode_time"))
+    for c in columns:
+        part = series_view(f, c, view, None if validity is None else only(validity), None if repairs is None else only(repairs))
+        out = out.join(part.withColumnRenamed("value", c), STEP)
+    return out if limit is None else out.orderBy(*STEP).limit(limit)
+
+
 def order_violations(frames: DataFrame) -> DataFrame:
     """Frames whose global number does not rise with episode and frame, by dataset."""
     w = Window.partitionBy(*KEYS).orderBy(*ORDER)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -60,15 +61,23 @@ def refresh(old: DataFrame, new: DataFrame, changes: DataFrame, source: str) ->
     return old.join(keep, source, "left_semi").unionByName(new.join(read, source, "left_semi"))
 
 
-def refresh_decision(manifest: dict | None, known: dict | None) -> str:
+def refresh_decision(manifest: dict | None, known: dict | None, root: str | None = None) -> str:
     """What a stage's index needs: nothing, its changed shards, all of it, or its single files.
 
-    Shards are trusted if the manifest has a generation, the stage and the layout's version that are known.
+    Shards are trusted if the manifest has a generation, the stage and the layout's version that are known, and if the
+    manifest that it was made from, where it names one (path below `root` and fingerprint), is still the same.
     """
     if manifest is None:
         return "files"
     if manifest.get("schema_version") != 1 or "generation" not in manifest or any({"path", "fingerprint", "rows"} - s.keys() for s in manifest.get("shards", [])):
         raise ValueError("the snapshot's manifest is not valid")
+    source = manifest.get("source_manifest")
+    if source is not None and root is not None:
+        from trajlake.sources.datasets import inside
+
+        at = inside(root, source["path"])
+        if not at.is_file() or hashlib.sha256(at.read_bytes()).hexdigest() != source["fingerprint"]:
+            return "files"
     if known is None or known.get("stage_id") != manifest.get("stage_id"):
         return "all"
     return "nothing" if known.get("generation") == manifest["generation"] else "shards"
@@ -79,10 +88,15 @@ def without_placeholders(rows: DataFrame) -> DataFrame:
     return rows.filter(catalog.is_real(F.col("artifact_status"), F.col("source_path")))
 
 
+#: Characters of a root's hash that a colliding identifier may end in, and of the identifier that stay.
+HASH_LENGTHS, LONGEST = (8, 12, 16, 32, 64), 180
+
+
 def unique_uids(candidates: DataFrame, assigned: DataFrame | None = None) -> DataFrame:
-    """(root, uid): the candidate, or with a piece of the root's hash where several roots have it; once given, a uid stays.
+    """(root, uid): the candidate; where several roots have it, or it is taken, the first root by name keeps a free one and
+    the others end in a piece of their root's hash, as long as needed. Once given, an identifier stays.
 
-    candidates: root, candidate. The piece has 8 characters; 64 where even these collide.
+    candidates: root, candidate; assigned: root, uid.
     """
     c = candidates.select("root", "candidate").dropDuplicates(["root"])
     if assigned is not None:
@@ -92,11 +106,20 @@ def unique_uids(candidates: DataFrame, assigned: DataFrame | None = None) -> Dat
     else:
         c = c.withColumn("__old", F.lit(None).cast("string")).withColumn("__taken", F.lit(None).cast("boolean"))
     new = c.filter("__old is null")
-    n = F.count(F.lit(1)).over(Window.partitionBy("candidate"))
-    short = F.concat("candidate", F.lit("-"), F.substring(F.sha2("root", 256), 1, 8))
-    new = new.withColumn("__n", n).withColumn("uid", F.when((F.col("__n") == 1) & F.col("__taken").isNull(), F.col("candidate")).otherwise(short))
-    new = new.withColumn("__m", F.count(F.lit(1)).over(Window.partitionBy("uid"))).withColumn("uid", F.when(F.col("__m") > 1, F.concat("candidate", F.lit("-"), F.sha2("root", 256))).otherwise(F.col("uid")))
-    return c.filter("__old is not null").select("root", F.col("__old").alias("uid")).unionByName(new.select("root", "uid"))
+    first = new.groupBy("candidate").agg(F.min("root").alias("__first"))
+    new = new.join(first, "candidate").withColumn("__free", F.col("__taken").isNull() & (F.col("root") == F.col("__first")))
+    base = F.coalesce(F.nullif(F.regexp_replace(F.substring("candidate", 1, LONGEST), r"[-._]+$", ""), F.lit("")), F.lit("dataset"))
+    ends = F.array(*(F.concat(base, F.lit("--"), F.substring(F.sha2("root", 256), 1, n)) for n in HASH_LENGTHS))
+    new = new.withColumn("__ends", F.when(~F.col("__free"), ends))
+    # an end is good if no other root wants it and none has it
+    wanted = new.select("root", F.posexplode("__ends").alias("__n", "uid"))
+    once = wanted.groupBy("uid").agg(F.count(F.lit(1)).alias("__c"))
+    fine = wanted.join(once.filter("__c = 1").select("uid"), "uid", "left_semi")
+    if assigned is not None:
+        fine = fine.join(assigned.select("uid").distinct(), "uid", "left_anti")
+    short = fine.groupBy("root").agg(F.min_by("uid", "__n").alias("__short"))
+    uid = F.when(F.col("__free"), F.col("candidate")).otherwise(F.col("__short"))
+    return c.filter("__old is not null").select("root", F.col("__old").alias("uid")).unionByName(new.join(short, "root", "left").select("root", uid.alias("uid")))
 
 
 def sample_places(total: Column, most: int = 5) -> Column:

@@ -5,6 +5,7 @@ Its rules are not those of the masks in `curation`; the two must not be mixed.
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -335,6 +336,18 @@ def null_client(reason: str) -> Client:
     return run
 
 
+def service_key(service: str | None, variable: str | None) -> str | None:
+    """The key of a configured service, from the environment variable that is named for it; None without a service.
+
+    A service that is configured without a key is an error: it must not silently become the null client.
+    """
+    if not service:
+        return None
+    if not variable or not os.environ.get(variable):
+        raise RuntimeError(f"{service!r} is configured, but its key's variable {variable!r} is not set")
+    return os.environ[variable]
+
+
 def retrying(client: Client, attempts: int = 3, wait: float = 1.0) -> Client:
     """Tries again after 1, 2, 4 seconds; then passes everything as unverified."""
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

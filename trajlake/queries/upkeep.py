@@ -78,8 +78,8 @@ def refreshed_index(spark: SparkSession, folder: str) -> DataFrame:
     return index.refresh(old, new, index.source_changes(new, old, ["uid"], ["frames"]), "uid")
 
 
-@R.add("""with r as (select distinct root, split_part(uid, '/', 1) as candidate from datasets), n as (select *, count(*) over (partition by candidate) as n from r)
-  select root, case when n = 1 then candidate else concat(candidate, '-', left(sha256(root), 8)) end as uid from n""")
+@R.add("""with r as (select distinct root, split_part(uid, '/', 1) as candidate from datasets), n as (select *, min(root) over (partition by candidate) as keeper from r)
+  select root, case when root = keeper then candidate else concat(candidate, '--', left(sha256(root), 8)) end as uid from n""")
 def unique_uids(spark: SparkSession, folder: str) -> DataFrame:
     """Identifiers of roots whose names collide."""
     d = table(spark, folder, "datasets").select("root", F.split_part("uid", F.lit("/"), F.lit(1)).alias("candidate")).distinct()
@@ -149,13 +149,27 @@ def list_videos(spark: SparkSession, folder: str) -> DataFrame:
     return C.list_videos(timeline(spark, folder), "duration_mismatch").select(*KEYS, "path")
 
 
-@R.add(f"""with {_EP} select annotation_id, created_at, greatest(0, coalesce(frame_start, 0)) as frame_start, least(frames - 1, coalesce(frame_end, coalesce(frame_start, 0))) as frame_end from annotations a join e using (dataset_uid, episode_index)
-  where greatest(0, coalesce(frame_start, 0)) <= least(frames - 1, coalesce(frame_end, coalesce(frame_start, 0)))""")
-def clamp_intervals(spark: SparkSession, folder: str) -> DataFrame:
-    """Ranges of annotations on their episodes' timelines; without a begin they start at the first frame's second 0."""
+_CLAMP = f"""{_EP}, c as (select a.*, least(greatest(coalesce(frame_start, 0), 0), greatest(frames - 1, 0)) as s, greatest(frames - 1, 0) as last from annotations a join e using (dataset_uid, episode_index) where frames is not null),
+  cl as (select dataset_uid, episode_index, annotation_id, created_at, s as frame_start, least(greatest(coalesce(frame_end, frame_start, s), s), last) as frame_end from c)"""
+
+
+def on_timelines(spark: SparkSession, folder: str) -> DataFrame:
     a = table(spark, folder, "annotations").select("annotation_id", "created_at", *KEYS, "frame_start", "frame_end").withColumn("time_start", F.lit(0.0)).withColumn("time_end", F.lit(None).cast("double"))
-    both = a.join(episode_search(spark, folder).select(*KEYS, "frames"), KEYS)
-    return runs.clamp_intervals(both, "frames", F.lit(30.0)).select("annotation_id", "created_at", "frame_start", "frame_end")
+    return a.join(episode_search(spark, folder).select(*KEYS, "frames"), KEYS)
+
+
+@R.add(f"with {_CLAMP} select annotation_id, created_at, frame_start, frame_end from cl")
+def clamp_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """Ranges of annotations on their episodes' timelines; without a begin they start at second 0."""
+    return runs.clamp_intervals(on_timelines(spark, folder), "frames", F.lit(30.0)).select("annotation_id", "created_at", "frame_start", "frame_end")
+
+
+@R.add(f"""with {_CLAMP}, o as (select *, max(frame_end) over (partition by dataset_uid, episode_index order by frame_start, frame_end rows between unbounded preceding and 1 preceding) as before from cl),
+  n as (select *, sum(case when before is null or frame_start > before + 1 then 1 else 0 end) over (partition by dataset_uid, episode_index order by frame_start, frame_end rows unbounded preceding) as island from o)
+  select dataset_uid, episode_index, min(frame_start) as frame_start, max(frame_end) as frame_end from n group by dataset_uid, episode_index, island""")
+def stage_intervals(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, merged."""
+    return runs.stage_intervals(on_timelines(spark, folder), KEYS, "frames", F.lit(30.0))
 
 
 @R.add("""select dataset_uid, episode_index, array_to_string(case when frames <= 0 then [] when frames <= 5 then range(frames) else list_transform(range(5), lambda i: cast(round_even(i * (frames - 1) / 4, 0) as bigint)) end, ',') as places from (select distinct dataset_uid, episode_index, frames from episodes where frames is not null)""")
@@ -350,3 +364,18 @@ def linked_parts(spark: SparkSession, folder: str) -> DataFrame:
     """Records and partitions of each component, which need not be as many."""
     r = table(spark, folder, "roboomni_records").filter("task_index is not null").select("component")
     return containers.linked_parts(r, table(spark, folder, "roboomni_partitions").select(F.explode("components").alias("component")), "component")
+
+
+@R.add(f"with {FRAMES} select dataset_uid, episode_index, frame_index, round(frame_index / 30, 6) as episode_time, len(state) as state_places, len(action) as action_places from f")
+def episode_series(spark: SparkSession, folder: str) -> DataFrame:
+    """Vectors with their times, as a plot reads them."""
+    s = curation.episode_series(frame_rows(spark, folder), ["state", "action"], 30.0)
+    return s.select(*KEYS, *ORDER, F.round("episode_time", 6).alias("episode_time"), F.size("state").alias("state_places"), F.size("action").alias("action_places"))
+
+
+@R.add(f"""with {FRAMES} select dataset_uid, count(*) as frames, count(*) filter (state is null and action is null or coalesce(len(state) = len(action), false) and len(list_filter(range(1, len(state) + 1), lambda i: case when isnan(state[i]) or isnan(action[i]) then isnan(state[i]) and isnan(action[i]) else state[i] = action[i] or abs(state[i] - action[i]) <= 1e-8 + 0.01 * abs(action[i]) end)) = len(state)) as alike from f group by all""")
+def vectors_close(spark: SparkSession, folder: str) -> DataFrame:
+    """Frames whose action equals the state within a hundredth, in every place."""
+    f = frame_rows(spark, folder)
+    alike = scalars.close_values(F.col("state"), F.col("action"), f.schema["state"].dataType, rtol=0.01)
+    return f.groupBy("dataset_uid").agg(F.count(F.lit(1)).alias("frames"), F.count_if(alike).alias("alike"))

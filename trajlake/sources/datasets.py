@@ -9,6 +9,7 @@ from collections.abc import Iterator, Sequence
 from functools import reduce
 from pathlib import Path
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,8 @@ VIDEO_SUFFIXES = (".mp4", ".mkv", ".avi", ".mov", ".webm")
 TASK_NAMES = ("__index_level_0__", "task", "instruction")
 
 
-def discover(root: str | Path, depth: int = 4) -> list[Path]:
-    """Folders with dataset metadata, by path. Hidden, unfinished and payload folders are not entered, nor datasets."""
+def discover(root: str | Path, depth: int | None = None, staging: str | Path | None = None) -> list[Path]:
+    """Folders with dataset metadata, by path: at most four levels down, or one at the staging root. Hidden, unfinished and payload folders are not entered, nor datasets."""
     out: list[Path] = []
 
     def visit(at: Path, left: int) -> None:
@@ -35,6 +36,8 @@ def discover(root: str | Path, depth: int = 4) -> list[Path]:
             for d in sorted(p for p in at.iterdir() if p.is_dir() and not p.name.startswith(".") and not p.name.endswith(".incomplete") and p.name not in SKIPPED):
                 visit(d, left - 1)
 
+    if depth is None:
+        depth = 1 if staging is not None and Path(root).resolve() == Path(staging).resolve() else 4
     if Path(root).is_dir():
         visit(Path(root), depth)
     return sorted({p.resolve(): p for p in out}.values())
@@ -207,6 +210,11 @@ def inside(root: str | Path, path: str | Path) -> Path:
     return at
 
 
+def picture_bytes(picture: np.ndarray) -> np.ndarray:
+    """[channels, height, width] of 0 to 1 as [height, width, channels] of bytes, rounded and cut."""
+    return np.clip(np.rint(np.moveaxis(np.asarray(picture, float), 0, -1) * 255), 0, 255).astype(np.uint8)
+
+
 def constant_per_episode(frames: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Episodes in which a column that must not change does, or is only partly there."""
     out = None
