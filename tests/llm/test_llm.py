@@ -262,3 +262,16 @@ def test_one_wrong_word_is_found_wherever_it_is():
         for wrong in range(12):
             text = [*item[start : start + wrong], "other", *item[start + wrong + 1 : start + 12]]
             assert [x[:2] for x in pieces.find(" ".join(text))] == [(1, 1)], (start, wrong)
+
+
+def test_mix_does_not_depend_on_the_ranges(spark, monkeypatch):
+    from trajlake.llm import mix
+
+    df = spark.createDataFrame([(i, "word " * (1 + i % 7), "ab"[i % 5 == 0]) for i in range(600)], "doc_id bigint, text string, source string")
+    goal = spark.createDataFrame([("a", 0.5, 3), ("b", 0.5, 3)], "source string, target_share double, max_repeats int")
+    take = lambda: sorted(map(tuple, mix_sources(df, goal, total_tokens=1500)[0].collect()))
+    want = take()
+    for bits, rows in ((1, 1 << 16), (2, 20), (20, 1)):
+        monkeypatch.setattr(mix, "RANGE_BITS", bits)
+        monkeypatch.setattr(mix, "RANGE_ROWS", rows)
+        assert take() == want

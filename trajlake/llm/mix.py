@@ -16,6 +16,8 @@ from trajlake.plans.storage import cut
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Hash ranges of a source; only the one range in which a cut lies is ever sorted.
 RANGE_BITS = 12
+#: Documents from which a range is cut finer.
+RANGE_ROWS = 1 << 16
 #: Sources that a mix may have; their targets and the sums of their ranges are sent to every task.
 SOURCES = 1024
 
@@ -60,8 +62,8 @@ def mix_sources(documents: DataFrame, targets: DataFrame, *, doc: str = "doc_id"
     those of the sources that have tokens; a source without any is reported with 0.
 
     Documents get a hash-random key by `seed`. A source's budget is spent on whole epochs, then on its documents in
-    order of keys as far as they fit: prefix sums over 2**12 hash ranges find the range in which the budget ends, and
-    only that range is sorted. So a source may hold any part of all rows. Each source ends less than one document below
+    order of keys as far as they fit: prefix sums over 2**12 hash ranges, more where a range would hold many
+    documents, find the range in which the budget ends, and only that range is sorted. So a source may hold any part of all rows. Each source ends less than one document below
     its budget. Null and unnamed sources, those without a target, and documents without id are not in the mix; empty
     texts have no tokens and count nowhere; repeated rows of a document are further documents. More than SOURCES targets
     are an error.
@@ -74,7 +76,8 @@ def mix_sources(documents: DataFrame, targets: DataFrame, *, doc: str = "doc_id"
     named = named.join(F.broadcast(goal.select("source")), "source", "left_semi").select("doc", "source", "key", "text")
     kind = documents.schema[doc].dataType.simpleString()
     counted = cut(named.mapInArrow(_count(tokenizer, pattern), f"doc {kind}, source string, key bigint, tokens bigint").filter("tokens > 0"))
-    ranged = counted.withColumn("range", F.shiftrightunsigned("key", 64 - RANGE_BITS))
+    bits = max(RANGE_BITS, (counted.count() // RANGE_ROWS).bit_length())
+    ranged = counted.withColumn("range", F.shiftrightunsigned("key", 64 - bits))
 
     # a row for each source with a target
     have = goal.join(counted.groupBy("source").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("docs")), "source", "left").fillna(0, ["tokens", "docs"])
@@ -86,9 +89,11 @@ def mix_sources(documents: DataFrame, targets: DataFrame, *, doc: str = "doc_id"
 
     sums = ranged.groupBy("source", "range").agg(F.sum("tokens").alias("n"))
     before = sums.withColumn("before", F.sum("n").over(Window.partitionBy("source").orderBy("range")) - F.col("n")).join(F.broadcast(plan.select("source", "epochs", "rest")), "source")
-    # at most 2**12 rows for each source with a target
-    fate = before.select("source", "range", "epochs", F.when(F.col("before") + F.col("n") <= F.col("rest"), F.lit(1)).when(F.col("before") >= F.col("rest"), F.lit(0)).alias("all"), (F.col("rest") - F.col("before")).alias("left_over"))
-    placed = ranged.join(F.broadcast(fate), ["source", "range"])
+    # a row for each source with a target: ranges that are taken whole come first, then at most one in which the budget ends
+    ends = (F.col("before") < F.col("rest")) & (F.col("before") + F.col("n") > F.col("rest"))
+    fate = before.groupBy("source", "epochs").agg(F.max(F.when(F.col("before") + F.col("n") <= F.col("rest"), F.col("range"))).alias("whole"), F.max(F.when(ends, F.struct("range", (F.col("rest") - F.col("before")).alias("left_over")))).alias("edge"))
+    placed = ranged.join(F.broadcast(fate), "source").withColumn("left_over", F.col("edge.left_over"))
+    placed = placed.withColumn("all", F.when(F.col("range") <= F.col("whole"), 1).when(F.col("range") == F.col("edge.range"), F.lit(None)).otherwise(0)).drop("whole", "edge")
     whole = placed.filter("all is not null").withColumn("copies", F.col("epochs") + F.col("all"))
     upto = F.sum("tokens").over(Window.partitionBy("source", "range").orderBy("key", "doc", "tokens").rowsBetween(Window.unboundedPreceding, 0))
     edge = placed.filter("all is null").withColumn("copies", F.col("epochs") + (upto <= F.col("left_over")).cast("int"))
