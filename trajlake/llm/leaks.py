@@ -7,10 +7,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from trajlake.functions.text import words
+from trajlake.functions.text import word_array, words
 
 #: Bytes of item text that are looked for at once; more items take further passes over the documents.
 ITEM_BYTES = 8 << 20
@@ -40,9 +41,9 @@ def myers(pattern: Sequence[int], text: Sequence[int]) -> int:
 
 
 class Pieces:
-    """The items' pieces, for exact search."""
+    """The items' pieces, for exact search. Items are (id, words), or (id, text)."""
 
-    def __init__(self, items: Sequence[tuple[int, str]], passage: int, edits: int) -> None:
+    def __init__(self, items: Sequence[tuple[int, Sequence[str] | str]], passage: int, edits: int) -> None:
         self.passage, self.edits = passage, edits
         # so short that a passage with `edits` wrong words still holds one of edits + 1 whole pieces, wherever it begins
         self.size = (passage + 1) // (edits + 2)
@@ -51,8 +52,8 @@ class Pieces:
         self.ids: dict[str, int] = {}
         self.items: list[tuple[int, list[int]]] = []
         at = defaultdict(list)
-        for item, text in items:
-            w = [self.ids.setdefault(x, len(self.ids) + 1) for x in words(text)]
+        for item, own in items:
+            w = [self.ids.setdefault(x, len(self.ids) + 1) for x in (words(own) if isinstance(own, str) else own)]
             if len(w) < passage:
                 continue
             for i in range(0, len(w) - self.size + 1, self.size):
@@ -67,19 +68,40 @@ class Pieces:
             out = (out ^ grams[:, k]) * _MIX + (out >> np.uint64(31))
         return out
 
+    def numbers(self, distinct: Sequence[str]) -> np.ndarray:
+        """The items' number of each word, 0 for words that no item has."""
+        return np.fromiter((self.ids.get(x, 0) for x in distinct), np.int64, len(distinct))
+
+    def hits(self, w: np.ndarray, owner: np.ndarray) -> np.ndarray:
+        """Where in the words of many texts, one behind the other, a piece of an item stands (or words with its code)."""
+        n = len(w) - self.size + 1
+        if n < 1 or not len(self.codes):
+            return np.empty(0, np.int64)
+        whole = owner[:n] == owner[self.size - 1 :]
+        for k in range(self.size):
+            whole &= w[k : k + n] > 0
+        at = np.flatnonzero(whole)
+        code = self.code(np.lib.stride_tricks.sliding_window_view(w.astype(np.uint64), self.size)[at])
+        return at[self.codes[np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)] == code]
+
+    def find_all(self, w: np.ndarray, owner: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(text, item, edits, words of its longest exact run, place of that run's first word) of each item found in each text."""
+        hit = self.hits(w, owner)
+        out = []
+        for text, at in zip(*_parts(owner[hit], hit)) if len(hit) else ():
+            begin, end = np.searchsorted(owner, [text, text + 1])
+            out += [(int(text), *x) for x in self._verified(w[begin:end].tolist(), (at - begin).tolist())]
+        return out
+
     def find(self, text: str | None) -> list[tuple[int, int, int, int]]:
-        """(item, edits, words of its longest exact run, place of that run's first word) of each item found in a text."""
-        w = [self.ids.get(x, 0) for x in words(text)]
-        if len(w) < min(self.size, self.passage) or not len(self.codes):
-            return []
-        a = np.array(w, np.uint64)
-        grams = np.lib.stride_tricks.sliding_window_view(a, self.size)
-        known = np.flatnonzero(grams.all(axis=1))
-        code = self.code(grams[known])
-        hit = known[self.codes[np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)] == code]
+        """The same for one text."""
+        own = self.numbers(words(text))
+        return [x[1:] for x in self.find_all(own, np.zeros(len(own), np.int64))]
+
+    def _verified(self, w: list[int], hit: list[int]) -> list[tuple[int, int, int, int]]:
         best: dict[int, tuple[int, int, int]] = {}
         done: dict[tuple[int, int], int] = {}
-        for j in hit.tolist():
+        for j in hit:
             for n, i in self.at.get(tuple(w[j : j + self.size]), ()):
                 if done.get((n, j - i), -1) >= j:
                     continue  # within a run on the same diagonal that is known already
@@ -105,6 +127,12 @@ class Pieces:
         return found if found <= self.edits else None
 
 
+def _parts(owner: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The owners in order, and the values of each."""
+    first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+    return owner[first], np.split(values, first[1:])
+
+
 def find_leaks(documents: DataFrame, items: DataFrame, *, doc: str = "doc_id", item: str = "item_id", text: str = "text", passage: int = 12, edits: int = 1) -> DataFrame:
     """doc_id, item_id, edits, run_words, at_word: documents that hold a passage of an item with at most `edits` words changed.
 
@@ -118,21 +146,25 @@ def find_leaks(documents: DataFrame, items: DataFrame, *, doc: str = "doc_id", i
     pass over all documents, and no document leaves its task.
     """
     names = [doc, item, "edits", "run_words", "at_word"]
-    clean = items.filter(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("bigint").alias("i"), F.col(text).alias("t"))
-    size = clean.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    clean = items.filter(F.col(item).isNotNull() & F.col(text).isNotNull()).select(F.col(item).cast("bigint").alias("i"), word_array(F.col(text)).alias("w"), F.octet_length(text).alias("n"))
+    size = clean.agg(F.sum("n")).first()[0] or 0
     blocks = size // ITEM_BYTES + 1
     spark, out = documents.sparkSession, None
-    source = documents.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).cast("bigint").alias("d"), F.col(text).alias("t"))
+    source = documents.filter(F.col(doc).isNotNull() & F.col(text).isNotNull()).select(F.col(doc).cast("bigint").alias("d"), F.array_join(word_array(F.col(text)), " ").alias("t"))
     for n in range(blocks):
         part = clean.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == n).collect() if blocks > 1 else clean.collect()  # bounded: about ITEM_BYTES
-        shared = spark.sparkContext.broadcast(Pieces([(r["i"], r["t"]) for r in part], passage, edits))
+        shared = spark.sparkContext.broadcast(Pieces([(r["i"], r["w"]) for r in part], passage, edits))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             pieces = shared.value
             for b in batches:
-                rows = [(d, *x) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for x in pieces.find(t)]
+                w = pc.split_pattern(b.column(1), " ")
+                coded = w.flatten().dictionary_encode()
+                numbers = pieces.numbers(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
+                rows = pieces.find_all(numbers, np.repeat(np.arange(b.num_rows), np.asarray(pc.list_value_length(w))))
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names)
+                    row, *cols = zip(*rows)
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(row)), *(pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32())))], names)
 
         found = source.mapInArrow(run, f"`{doc}` bigint, `{item}` bigint, edits int, run_words int, at_word int")
         out = found if out is None else out.unionByName(found)
