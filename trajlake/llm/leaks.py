@@ -120,8 +120,13 @@ class Pieces:
 
     def _edits(self, p: list[int], w: list[int], i: int, j: int) -> int | None:
         """Least edits, if few enough, of a passage that holds the piece at i against the words around j."""
-        found = self.edits + 1
-        for s in range(max(0, i + self.size - self.passage), min(i, len(p) - self.passage) + 1):
+        found, first, last = self.edits + 1, max(0, i + self.size - self.passage), min(i, len(p) - self.passage)
+        # a passage with so few edits has nearly all its words nearby; most hits of a piece do not
+        near = set(w[max(0, j - (i - first) - self.edits) : j - (i - last) + self.passage + self.edits])
+        there = [x in near for x in p[first : last + self.passage]]
+        for s in range(first, last + 1):
+            if sum(there[s - first : s - first + self.passage]) < self.passage - self.edits:
+                continue
             a = max(0, j - (i - s) - self.edits)
             found = min(found, myers(p[s : s + self.passage], w[a : j - (i - s) + self.passage + self.edits]))
         return found if found <= self.edits else None
