@@ -1,8 +1,9 @@
 """Exact quantiles of the places of vectors over all rows, without bringing a group's rows together.
 
-Doubles become whole numbers in the same order. A first pass counts their upper bits by group and place, a second the
-whole numbers below the upper bits that hold a wanted rank. Counts are summed in shuffles; the driver gets one row for
-each group, place and rank.
+Doubles become whole numbers in the same order. A first pass counts their upper bits by group and place, the next ones
+further bits below the upper bits that hold a wanted rank, the last all bits. So the counts of a place are at most 2**16 in
+the first pass, 2**24 for each rank in the second, and few in the last. Counts are summed in shuffles; the driver gets one
+row for each group, place and rank.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 
 from trajlake.plans.storage import cut
 
-#: Bits left out by the first pass: sign, exponent and 8 bits of the mantissa are counted.
-LOWER = 44
+#: Bits left out by each pass; the first counts sign, exponent and 4 bits of the mantissa.
+SHIFTS = (48, 24, 0)
 #: Counts that a task holds before it merges them.
 HELD = 1 << 20
 _KEY = ["view", "grp", "feature", "dimension"]
@@ -38,7 +39,7 @@ def _value(u: int) -> float:
     return float((b ^ ((b >> 63) & np.int64(0x7FFFFFFFFFFFFFFF))).view(np.float64)[0])
 
 
-def _counter(names: Sequence[str], views: Sequence[Callable | dict], open_: dict | None) -> Callable:
+def _counter(names: Sequence[str], views: Sequence[Callable | dict], open_: dict | None, above: int, shift: int) -> Callable:
     """Counts of the parts of a split; views are functions of the values, or {key: centre} for distances to a centre."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: dict[tuple, int] = {}
@@ -53,10 +54,10 @@ def _counter(names: Sequence[str], views: Sequence[Callable | dict], open_: dict
             return np.column_stack([a[first, :2], np.add.reduceat(a[:, 2], first)])
 
         def batch_of(a: np.ndarray) -> pa.RecordBatch:
-            back = list(keys)
-            of = [back[k] for k in a[:, 0].tolist()]
-            view, grp, feature, dimension = zip(*of)
-            return pa.RecordBatch.from_arrays([pa.array(view, pa.int32()), pa.array(grp, pa.string()), pa.array(feature, pa.string()), pa.array(dimension, pa.int32()), pa.array(a[:, 1]), pa.array(a[:, 2])], [*_KEY, "part", "n"])
+            view, grp, feature, dimension = zip(*keys)
+            own = pa.array(a[:, 0])
+            named = [pa.array(c, k).take(own) for c, k in ((view, pa.int32()), (grp, pa.string()), (feature, pa.string()), (dimension, pa.int32()))]
+            return pa.RecordBatch.from_arrays([*named, pa.array(a[:, 1]), pa.array(a[:, 2])], [*_KEY, "part", "n"])
 
         for b in batches:
             if not b.num_rows:
@@ -83,9 +84,11 @@ def _counter(names: Sequence[str], views: Sequence[Callable | dict], open_: dict
                     ok = np.isfinite(x)
                     u, at = _ladder(x[ok]), local[ok]
                     if open_ is None:
-                        u = u >> LOWER
+                        # place and upper bits as one number, counted at once
+                        bits = 64 - shift
+                        pair, n = np.unique((at << bits) | ((u >> shift) + (1 << (bits - 1))), return_counts=True)
                         seen = np.unique(local)  # a place without finite values is known as well
-                        u, at, n = np.r_[u, np.zeros(len(seen), np.int64)], np.r_[at, seen], np.r_[np.ones(len(u), np.int64), np.zeros(len(seen), np.int64)]
+                        u, at, n = np.r_[(pair & ((1 << bits) - 1)) - (1 << (bits - 1)), np.zeros(len(seen), np.int64)], np.r_[pair >> bits, seen], np.r_[n, np.zeros(len(seen), np.int64)]
                     else:
                         wanted = [open_.get((i, g, name, d), ()) for g in groups for d in range(width)]
                         most = max(map(len, wanted))
@@ -95,8 +98,8 @@ def _counter(names: Sequence[str], views: Sequence[Callable | dict], open_: dict
                         table = np.array([[*w, *[none] * (most - len(w))] for w in wanted], np.int64)
                         hit = np.zeros(len(u), bool)
                         for r in range(most):
-                            hit |= (u >> LOWER) == table[at, r]
-                        u, at = u[hit], at[hit]
+                            hit |= (u >> above) == table[at, r]
+                        u, at = u[hit] >> shift, at[hit]
                         n = np.ones(len(u), np.int64)
                     if not len(u):
                         continue
@@ -119,30 +122,31 @@ def exact_quantiles(rows: DataFrame, group: str, vectors: Sequence[str], views:
     """For each view, {(group, vector, place): its quantiles}, exact and interpolated, over the finite values of all rows.
 
     A view is what to make of the values, with its probabilities: a numpy function, or {key: centre} for distances to a
-    centre. Places without finite values have None; null vectors have no places. `rows` is read twice.
+    centre. Places without finite values have None; null vectors have no places. `rows` is read once for each pass.
     """
     source = rows.select(F.col(group).cast("string"), *(F.col(v).cast("array<double>") for v in vectors))
     made = [v for v, _ in views]
-    count = lambda open_: cut(source.mapInArrow(_counter(vectors, made, open_), _COUNTS).groupBy(*_KEY, "part").agg(F.sum("n").alias("n")))
-    counts = count(None)
+    count = lambda open_, above, shift: cut(source.mapInArrow(_counter(vectors, made, open_, above, shift), _COUNTS).groupBy(*_KEY, "part").agg(F.sum("n").alias("n")))
+    counts = count(None, 64, SHIFTS[0])
     totals = {tuple(r[k] for k in _KEY): r["n"] for r in counts.groupBy(*_KEY).agg(F.sum("n").alias("n")).collect()}  # a row for each place
     place = lambda k, n: [float(p) * (n - 1) for p in views[k[0]][1]]
-    ranks = {(*k, r) for k, n in totals.items() if n for x in place(k, n) for r in (int(np.floor(x)), int(np.ceil(x)))}
+    wanted = [(*k, 0, r, r) for k, n in totals.items() if n for r in sorted({i for x in place(k, n) for i in (int(np.floor(x)), int(np.ceil(x)))})]
     by_rank: dict[tuple, int] = {}
-    if ranks:
-        spark = rows.sparkSession
-        schema = "view int, grp string, feature string, dimension int, rank bigint"
-        same = lambda a, b, names: [a[c].eqNullSafe(b[c]) for c in names]
-        parts, wanted = counts.filter("n > 0").withColumn("upto", F.sum("n").over(Window.partitionBy(*_KEY).orderBy("part"))), F.broadcast(spark.createDataFrame(sorted(ranks, key=repr), schema))
-        upper = parts.join(wanted, same(parts, wanted, _KEY)).filter("upto > rank and upto - n <= rank").select(*(parts[c] for c in _KEY), "part", "rank", (F.col("upto") - F.col("n")).alias("before")).collect()
-        open_ = defaultdict(set)
-        for r in upper:
-            open_[tuple(r[k] for k in _KEY)].add(r["part"])
-        lower = count({k: sorted(p) for k, p in open_.items()}).withColumn("upper", F.shiftright("part", LOWER))
-        parts = lower.withColumn("upto", F.sum("n").over(Window.partitionBy(*_KEY, "upper").orderBy("part")))
-        wanted = F.broadcast(spark.createDataFrame([(*(r[k] for k in _KEY), r["part"], r["rank"], r["rank"] - r["before"]) for r in upper], "view int, grp string, feature string, dimension int, upper bigint, rank bigint, inside bigint"))
-        hit = parts.join(wanted, same(parts, wanted, [*_KEY, "upper"])).filter("upto > inside and upto - n <= inside").select(*(parts[c] for c in _KEY), "rank", "part").collect()
-        by_rank = {(*(r[k] for k in _KEY), r["rank"]): _value(r["part"]) for r in hit}
+    spark = rows.sparkSession
+    same = lambda a, b, names: [a[c].eqNullSafe(b[c]) for c in names]
+    for level, shift in enumerate(SHIFTS if wanted else ()):
+        if level:
+            open_: dict = defaultdict(set)
+            for r in wanted:
+                open_[r[:4]].add(r[4])
+            counts = count({k: sorted(p) for k, p in open_.items()}, SHIFTS[level - 1], shift)
+        # ranks are looked for within the part that holds them
+        upper = F.shiftright("part", SHIFTS[level - 1] - shift) if level else F.lit(0).cast("bigint")
+        parts = counts.filter("n > 0").withColumn("upper", upper).withColumn("upto", F.sum("n").over(Window.partitionBy(*_KEY, "upper").orderBy("part")))
+        seek = F.broadcast(spark.createDataFrame(wanted, "view int, grp string, feature string, dimension int, upper bigint, rank bigint, inside bigint"))  # a row for each place and rank
+        hit = parts.join(seek, same(parts, seek, [*_KEY, "upper"])).filter("upto > inside and upto - n <= inside").select(*(parts[c] for c in _KEY), "part", "rank", (F.col("inside") - (F.col("upto") - F.col("n"))).alias("inside")).collect()
+        wanted = [(*(r[k] for k in _KEY), r["part"], r["rank"], r["inside"]) for r in hit]
+    by_rank = {(*r[:4], r[5]): _value(r[4]) for r in wanted}
     out: list[dict[Key, list[float] | None]] = [{} for _ in views]
     for k, n in totals.items():
         out[k[0]][k[1:]] = [_between(by_rank, k, x) for x in place(k, n)] if n else None
@@ -161,9 +165,16 @@ def quantile_bounds(rows: DataFrame, group: str, vectors: Sequence[str], low: fl
     return rows.sparkSession.createDataFrame(found, f"`{group}` string, feature string, dimension int, q_low double, q_high double, lower double, upper double")
 
 
-def robust_limits(rows: DataFrame, group: str, vectors: Sequence[str], scale: float = 8.0, floor: float = 0.999) -> DataFrame:
-    """`stats.robust_thresholds` of the places of whole vectors over all rows: group, feature, dimension, threshold."""
-    q, size = exact_quantiles(rows, group, vectors, [(_plain, (0.5, floor)), (np.abs, (0.99,))])
+def robust_limits(rows: DataFrame, group: str, vectors: Sequence[str], scale: float = 8.0, floor: float = 0.999, positive: bool = False) -> DataFrame:
+    """`stats.robust_thresholds` of the places of whole vectors over all rows: group, feature, dimension, threshold.
+
+    Values that are `positive` are their own sizes and need to be counted once only.
+    """
+    if positive:
+        (q,) = exact_quantiles(rows, group, vectors, [(_plain, (0.5, floor, 0.99))])
+        size = {k: x and x[2:] for k, x in q.items()}
+    else:
+        q, size = exact_quantiles(rows, group, vectors, [(_plain, (0.5, floor)), (np.abs, (0.99,))])
     (mad,) = exact_quantiles(rows, group, vectors, [({k: x[0] for k, x in q.items() if x}, (0.5,))])
     found = [(*k, float(max(x[0] + scale * 1.4826 * mad[k][0], x[1], max(size[k][0], 1.0) * 1e-10)) if x else None) for k, x in q.items()]
     return rows.sparkSession.createDataFrame(found, f"`{group}` string, feature string, dimension int, threshold double")

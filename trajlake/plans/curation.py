@@ -88,7 +88,7 @@ def stage1(frames: DataFrame, cfg: Config = Config()) -> dict[str, DataFrame]:
     metrics = signals.change_metrics(both, KEYS, ORDER, {v: v for v in VECTORS}, carry=["index"], angular=cfg.angular, quaternions=cfg.quaternions, medians=cfg.medians, window=cfg.window, degree=cfg.degree)
     names = [f"{v}_{m}" for v in VECTORS for m in ("residual", "acceleration", "jerk")]
     metrics = cut(metrics)
-    thresholds = quantiles.robust_limits(metrics, "dataset_uid", names, cfg.mad_scale, cfg.quantile_floor)
+    thresholds = quantiles.robust_limits(metrics, "dataset_uid", names, cfg.mad_scale, cfg.quantile_floor, positive=True)
     limits = _limits(thresholds, "dataset_uid", ["threshold"], names).select("dataset_uid", *(F.col(n).alias(f"{n}_limit") for n in names))
     flags = signals.sudden_changes(metrics, limits, "dataset_uid", VECTORS)
     flagged = flags.withColumn("flagged_frame", any_of(F.col("state_flags")) | any_of(F.col("action_flags")))
