@@ -18,7 +18,7 @@ from trajlake.functions.scalars import canonical_json_text, merge_layers
 from trajlake.functions.vectors import any_of, beyond, failed_places, masked
 from trajlake.operators import quantiles, signals, stats, trend
 from trajlake.operators.intervals import periods_and_gaps
-from trajlake.plans.storage import cut
+from trajlake.plans.storage import cut, exists, read_text, write_text
 
 VECTORS = ("state", "action")
 REASONS = {1: "stage1_sudden_change", 2: "state_action_trend_mismatch", 3: "stage3_extreme_value"}
@@ -253,8 +253,7 @@ def order_violations(frames: DataFrame) -> DataFrame:
 # --- runs with manifests
 
 def write_json(path: str | Path, value: object) -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_text(json.dumps(value, sort_keys=True, indent=1, ensure_ascii=False))
+    write_text(path, json.dumps(value, sort_keys=True, indent=1, ensure_ascii=False))
 
 
 def publish(staged: str | Path, target: str | Path, overwrite: bool = False) -> None:
@@ -274,7 +273,7 @@ def read_chain(manifest: str | Path) -> list[dict]:
         if at in seen:
             raise ValueError(f"circle of manifests at {at}")
         seen.add(at)
-        m = json.loads(Path(at).read_text())
+        m = json.loads(read_text(at))
         if m.get("format") == "overlay":
             raise ValueError(f"{at} rewrites data: rerun the preceding stages")
         chain.insert(0, m | {"path": at})
@@ -292,8 +291,8 @@ def view_of(spark: SparkSession, frames: DataFrame, manifest: str | Path | None)
 
 def previous_manifest(out: str | Path, stages: Sequence[int]) -> str | None:
     """The manifest to go on from: of the highest finished stage below the first one to run; None if there is none."""
-    found = [Path(out) / f"stage{n}/manifest.json" for n in range(min(stages) - 1, 0, -1)]
-    return next((str(p) for p in found if p.is_file()), None)
+    found = [f"{out}/stage{n}/manifest.json" for n in range(min(stages) - 1, 0, -1)]
+    return next((p for p in found if exists(p)), None)
 
 
 def readiness(shapes: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from trajlake.functions.scalars import fingerprint
 from trajlake.plans import catalog
 from trajlake.plans.curation import publish, write_json
+from trajlake.plans.storage import exists, read_text
 
 SHARD = 1000
 
@@ -24,8 +25,8 @@ def publish_snapshot(spark: SparkSession, payloads: DataFrame, out: str, stage:
     The manifest comes last and names the shards, the ones removed, and the episodes that are gone. A repeated call with
     equal payloads writes nothing and keeps the generation.
     """
-    path = Path(out) / "manifest.json"
-    old = json.loads(path.read_text()) if path.is_file() else {"shards": [], "generation": None}
+    path = f"{out}/manifest.json"
+    old = json.loads(read_text(path)) if exists(path) else {"shards": [], "generation": None}
     now = {r["shard"]: r.asDict() for r in catalog.shard_fingerprints(payloads, size).collect()}  # a row for each shard
     was = {s["shard"]: s for s in old["shards"]}
     write = sorted(k for k, s in now.items() if k not in was or was[k]["fingerprint"] != s["fingerprint"])
@@ -44,8 +45,7 @@ def publish_snapshot(spark: SparkSession, payloads: DataFrame, out: str, stage:
     shards = [{k2: s[k2] for k2 in ("shard", "rows", "min_episode", "max_episode", "fingerprint")} | {"path": name(k) if k in write else was[k]["path"]} for k, s in sorted(now.items())]
     manifest = {"schema_version": 1, "stage_id": stage, "shard_size": size, "shards": shards, "generation": fingerprint([[s["shard"], s["fingerprint"]] for s in shards]), "changes": {"upsert_shards": write, "removed_shards": removed, "tombstones": gone}}
     if manifest["generation"] != old["generation"]:
-        write_json(str(path) + ".new", manifest)
-        os.replace(str(path) + ".new", path)
+        write_json(path, manifest)
     return manifest
 
 

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 from collections.abc import Iterator
-from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from trajlake.plans.catalog import upsert
+from trajlake.plans.storage import exists, read_text, remove, write_text
 
 #: Rows of a stage: keys, verdict, a version that rises, and whether the row is taken back.
 STAGE_ROWS = "dataset_uid string, episode_index bigint, stage_id int, verdict string, version bigint, deleted boolean"
@@ -25,8 +23,8 @@ BUCKETS = 64
 
 
 def _pointer(table: str) -> dict:
-    path = Path(table) / "current.json"
-    return json.loads(path.read_text()) if path.is_file() else {"batch": -1, "buckets": {}}
+    path = f"{table}/current.json"
+    return json.loads(read_text(path)) if exists(path) else {"batch": -1, "buckets": {}}
 
 
 def current(spark: SparkSession, table: str, buckets: list[int] | None = None) -> DataFrame:
@@ -54,14 +52,11 @@ def apply_batch(spark: SparkSession, table: str, batch: DataFrame, batch_id: int
     path = f"{table}/state-{batch_id:010d}"
     upsert(old, fresh, KEYS).withColumn("bucket", bucket).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
     newest.unpersist()
-    Path(table).mkdir(parents=True, exist_ok=True)
     now = {"batch": batch_id, "buckets": {**was["buckets"], **{str(k): f"{path}/bucket={k}" for k in touched}}, "last": was["buckets"]}
-    new = Path(table) / "current.new"
-    new.write_text(json.dumps(now))
-    os.replace(new, Path(table) / "current.json")
+    write_text(f"{table}/current.json", json.dumps(now))
     kept = {*now["buckets"].values(), *was["buckets"].values()}
     for p in set(was.get("last", {}).values()) - kept:
-        shutil.rmtree(p, ignore_errors=True)
+        remove(p)
 
 
 def visible(rows: DataFrame) -> DataFrame:
