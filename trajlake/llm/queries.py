@@ -78,6 +78,27 @@ def p7_near(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "eval_items"))
 
 
+@query
+def p7_near_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and items of the same, with the edits of the nearest passage."""
+    return p7_near(spark, folder).select("doc_id", "item_id", "edits")
+
+
+# a word changed: equal but for one place; a word lost: eleven words are left; a word added: thirteen without one
+SQL["p7_near_pairs"] = r"""with w as (select doc_id, regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[\p{L}\p{N}]+') as w from documents),
+  v as (select item_id, regexp_extract_all(replace(lower(text), 'ß', 'ss'), '[\p{L}\p{N}]+') as w from eval_items),
+  d as (select distinct doc_id, w[i:i+11] as g from (select doc_id, w, unnest(range(1, len(w) - 10)) as i from w)),
+  l as (select distinct doc_id, w[i:i+10] as g from (select doc_id, w, unnest(range(1, len(w) - 9)) as i from w)),
+  m as (select distinct doc_id, w[i:i+12] as g from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from w)),
+  e as (select distinct item_id, w[i:i+11] as g from (select item_id, w, unnest(range(1, len(w) - 10)) as i from v)),
+  k as (select unnest(range(1, 14)) as k),
+  x as (select doc_id, item_id, 0 as edits from d join e using (g)
+    union all select doc_id, item_id, 1 from (select doc_id, k, list_concat(g[1:k-1], ['*'], g[k+1:12]) as h from d, k where k <= 12) join (select item_id, k, list_concat(g[1:k-1], ['*'], g[k+1:12]) as h from e, k where k <= 12) using (k, h)
+    union all select doc_id, item_id, 1 from l join (select item_id, list_concat(g[1:k-1], g[k+1:12]) as g from e, k where k <= 12) using (g)
+    union all select doc_id, item_id, 1 from (select doc_id, list_concat(g[1:k-1], g[k+1:13]) as g from m, k) join e using (g))
+select doc_id, item_id, cast(min(edits) as int) as edits from x group by all"""
+
+
 @query
 def p7_items(spark: SparkSession, folder: str) -> DataFrame:
     """Which items leaked, and into how many documents."""
