@@ -201,7 +201,7 @@ def test_statistics(spark):
     f = make(spark, np.zeros((100, 1))).unionByName(make(spark, np.zeros((50, 1)), episode=7))
     assert sorted((r["episode_index"], r["frame_index"]) for r in stats.stride_sample(f, "dataset_uid", "episode_index", ORDER, 10).collect()) == [(0, x) for x in range(0, 100, 15)] + [(7, 5), (7, 20), (7, 35)]
     times = spark.createDataFrame([("s", i, i / 30) for i in range(20)] + [("ms", i, i * 20.0) for i in range(20)] + [("back", 0, 1.0), ("back", 1, 0.5), ("one", 0, 0.0)], "k string, i int, t double")
-    got = {r["k"]: (r["fps"], r["problem"]) for r in stats.fps_from_timestamps(times, ["k"], "t", "i").collect()}
+    got = {r["k"]: (r["fps"], r["problem"]) for r in quantiles.fps_from_timestamps(times, "k", "t", "i").collect()}
     assert got["s"][0] == pytest.approx(30) and got["ms"][0] == pytest.approx(50) and got["back"][1] == "not_rising" and got["one"][1] == "too_few"
 
 

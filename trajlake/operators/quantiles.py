@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from trajlake.plans.ordered import previous
 from trajlake.plans.storage import cut
 
 #: Bits left out by each pass; the first counts sign, exponent and 4 bits of the mantissa.
@@ -205,6 +206,28 @@ def infinite(x: float | None) -> float | None:
     return None if x is None else float(x) if abs(x) < LARGE else float(np.copysign(np.inf, x))
 
 
+def fps_from_timestamps(rows: DataFrame, group: str, time: str, order: str) -> DataFrame:
+    """Frames a second from rising times in s, ms, us or ns: the unit in which the median step gives 1 to 240 of them.
+
+    fps is null, and `problem` says why, for fewer than two times, times that do not rise, an implausible step, or steps
+    whose 95th percentile differs from the median by more than a tenth. `order` is a whole number without ties; steps are
+    taken within blocks of it and quantiles over all rows, so a group may hold any part of them.
+    """
+    named = rows.select(F.col(group).cast("string").alias("g"), F.col(order).cast("bigint").alias("o"), F.col(time).cast("double").alias("t"))
+    steps = cut(previous(named, ["g"], ["o"], F.shiftright("o", 12), "t", "before").select("g", F.array(F.col("t") - F.col("before")).alias("d")).filter("d[0] is not null"))
+    (mid,) = exact_quantiles(steps, "g", ["d"], [(_plain, (0.5,))])
+    (late,) = exact_quantiles(steps, "g", ["d"], [({k: x[0] for k, x in mid.items() if x}, (0.95,))]) if mid else ({},)
+    found = rows.sparkSession.createDataFrame([(k[0], float(x[0]), float(late[k][0])) for k, x in mid.items() if x], "g string, mid double, jitter double")
+    each = steps.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min(F.col("d")[0]).alias("least"))
+    s = named.select("g").distinct().join(each, "g", "left").join(found, "g", "left")
+    unit = F.lit(None).cast("double")
+    for u in (1.0, 1e3, 1e6, 1e9):
+        unit = F.coalesce(unit, F.when(F.try_divide(F.lit(u), F.col("mid")).between(1, 240), F.lit(u)))
+    s = s.withColumn("unit", F.when(F.col("mid") > 0, unit))
+    problem = F.when(F.coalesce("n", F.lit(0)) < 1, "too_few").when(F.col("least") <= 0, "not_rising").when(F.col("unit").isNull(), "implausible").when(F.col("jitter") > 0.1 * F.col("mid"), "jitter")
+    return s.select(F.col("g").cast(rows.schema[group].dataType).alias(group), F.when(problem.isNull(), F.col("unit") / F.col("mid")).alias("fps"), problem.alias("problem"))
+
+
 def fps_consensus(rates: DataFrame, group: str, fps: str) -> DataFrame:
     """group and the whole number of frames a second that all its cameras agree on within 2 percent; null where they do not.
 

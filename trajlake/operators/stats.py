@@ -110,24 +110,6 @@ def guarded_correlation(pairs: DataFrame, keys: Sequence[str], a: str, b: str) -
     return every.join(sums, [*keys], "left").select(*keys, F.coalesce("pairs", F.lit(0)).alias("pairs"), F.coalesce(value, F.lit(float("-inf"))).alias("correlation"))
 
 
-def fps_from_timestamps(rows: DataFrame, keys: Sequence[str], time: str, order: str) -> DataFrame:
-    """Frames a second from rising times in s, ms, us or ns: the unit in which the median step gives 1 to 240 of them.
-
-    fps is null, and `problem` says why, for fewer than two times, times that do not rise, an implausible step, or steps
-    whose 95th percentile differs from the median by more than a tenth.
-    """
-    step = rows.withColumn("__d", F.col(time).cast("double") - F.lag(F.col(time).cast("double")).over(Window.partitionBy(*keys).orderBy(order)))
-    s = step.groupBy(*keys).agg(F.count("__d").alias("n"), F.min("__d").alias("least"), F.percentile("__d", F.lit(0.5)).alias("mid"))
-    late = step.join(s.select(*keys, "mid"), [*keys]).groupBy(*keys).agg(F.percentile(F.abs(F.col("__d") - F.col("mid")), F.lit(0.95)).alias("jitter"))
-    s = s.join(late, [*keys])
-    unit = F.lit(None).cast("double")
-    for u in (1.0, 1e3, 1e6, 1e9):
-        unit = F.coalesce(unit, F.when((F.lit(u) / F.col("mid")).between(1, 240), F.lit(u)))
-    s = s.withColumn("unit", F.when(F.col("mid") > 0, unit))
-    problem = F.when(F.col("n") < 1, "too_few").when(F.col("least") <= 0, "not_rising").when(F.col("unit").isNull(), "implausible").when(F.col("jitter") > 0.1 * F.col("mid"), "jitter")
-    return s.select(*keys, F.when(problem.isNull(), F.col("unit") / F.col("mid")).alias("fps"), problem.alias("problem"))
-
-
 def offset_statistics(offsets: DataFrame, keys: Sequence[str], x: str = "x", y: str = "y", z: str = "z") -> DataFrame:
     """Median offset on each axis, its length, and the summed variance of the offsets about it."""
     mid = offsets.groupBy(*keys).agg(*(F.percentile(c, F.lit(0.5)).alias(f"m{n}") for n, c in enumerate((x, y, z))), *(F.var_pop(c).alias(f"v{n}") for n, c in enumerate((x, y, z))))

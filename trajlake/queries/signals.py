@@ -140,7 +140,7 @@ _EVENTS = "select user_id, event_id, epoch_us(ts) / 1e6 as t from events"
   select user_id, case when problem is null then unit / mid end as fps, problem from (select *, case when n < 1 then 'too_few' when least <= 0 then 'not_rising' when unit is null then 'implausible' when jitter > 0.1 * mid then 'jitter' end as problem from u)""")
 def fps_from_timestamps(spark: SparkSession, folder: str) -> DataFrame:
     e = table(spark, folder, "events").select("user_id", "event_id", (F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).alias("t"))
-    return stats.fps_from_timestamps(e, ["user_id"], "t", "event_id")
+    return quantiles.fps_from_timestamps(e, "user_id", "t", "event_id")
 
 
 @R.add("""with r as (select e_uid as dataset_uid, fps from (select dataset_uid as e_uid, frames / nullif(duration, 0) as fps from episodes where duration > 0)),
