@@ -209,6 +209,11 @@ def test_planning(spark):
     assert units.pack([5, 5, 5, 100, 1, 1], ["a", "a", "a", "a", "a", "b"], 2, 12) == [0, 0, 1, 2, 3, 4]
     e = spark.createDataFrame([("p", i, "t" if i < 4 else "u", 10) for i in range(6)], "part string, episode_index bigint, task string, frames bigint")
     assert [r["unit"] for r in units.units(e, "part", "task", 3, 1000).orderBy("episode_index").collect()] == [0, 0, 0, 1, 2, 2]
+    many = [(p, i, "tu"[i // 7 % 2], 1 + i * 37 % 50) for p in "pqr" for i in range(300)]
+    big = units.units(spark.createDataFrame(many, e.schema), "part", "task", 4, 100).collect()
+    for p in "pqr":
+        own = [(i, t, n) for q, i, t, n in many if q == p]
+        assert [r["unit"] for r in sorted(big, key=lambda r: r["episode_index"]) if r["part"] == p] == units.pack([n for *_, n in own], [t for _, t, _ in own], 4, 100)
     g = spark.createDataFrame([("p", i, n) for i, n in enumerate([60, 30, 20, 200])], "part string, group_index bigint, frames bigint")
     assert [r["unit"] for r in units.whole_groups(g, "part", 100).orderBy("group_index").collect()] == [0, 0, 1, 2]
     plan = spark.createDataFrame([("u1", "f"), ("u2", "f"), ("u3", "f")], "unit string, fingerprint string")

@@ -23,25 +23,37 @@ def pack(sizes: Sequence[int], groups: Sequence[object], most_items: int, most_s
     return out
 
 
+def _packed(plan: DataFrame, partition: str, order: str, group: str | None, most_items: float, most_size: int) -> DataFrame:
+    """Add `unit` by `pack` within each partition, as rows arrive in order: a task holds a batch and where it is."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at = kind = None
+        unit = items = size = 0
+        for pdf in batches:
+            out = []
+            for p, g, s in zip(pdf[partition].tolist(), pdf[group].tolist() if group else [0] * len(pdf), pdf["frames"].tolist()):
+                if p != at or at is None:
+                    at, kind, unit, items, size = p, g, 0, 0, 0
+                elif g != kind or items + 1 > most_items or size + s > most_size:
+                    kind, unit, items, size = g, unit + 1, 0, 0
+                out.append(unit)
+                items, size = items + 1, size + s
+            yield pdf.assign(unit=pd.array(out, "int32"))
+
+    rows = plan.repartition(partition).sortWithinPartitions(partition, order)
+    return rows.mapInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plan.schema) + ", unit int")
+
+
 def units(episodes: DataFrame, partition: str, group: str, most_episodes: int, most_frames: int) -> DataFrame:
     """Add `unit` to a plan's episodes (partition, episode_index, group, frames): greedy packing in the order of episodes.
 
-    Packing is sequential within a partition, whose plan has a row for each episode; partitions are planned side by side.
+    Packing follows one order within a partition, as a stream; partitions are planned side by side.
     """
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("episode_index", kind="stable")
-        return pdf.assign(unit=pack(pdf["frames"].tolist(), pdf[group].tolist(), most_episodes, most_frames))
-
-    return episodes.groupBy(partition).applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in episodes.schema) + ", unit int")
+    return _packed(episodes, partition, "episode_index", group, most_episodes, most_frames)
 
 
 def whole_groups(groups: DataFrame, partition: str, most_frames: int) -> DataFrame:
     """Add `unit` to phase groups (partition, group_index, frames): whole groups are packed up to a limit."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("group_index", kind="stable")
-        return pdf.assign(unit=pack(pdf["frames"].tolist(), [0] * len(pdf), len(pdf) + 1, most_frames))
-
-    return groups.groupBy(partition).applyInPandas(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in groups.schema) + ", unit int")
+    return _packed(groups, partition, "group_index", None, float("inf"), most_frames)
 
 
 def dispatch_order(work: DataFrame) -> DataFrame:
