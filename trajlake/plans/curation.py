@@ -18,6 +18,7 @@ from trajlake.functions.scalars import canonical_json_text, merge_layers
 from trajlake.functions.vectors import any_of, beyond, failed_places, masked
 from trajlake.operators import quantiles, signals, stats, trend
 from trajlake.operators.intervals import periods_and_gaps
+from trajlake.plans.ordered import previous
 from trajlake.plans.storage import cut, exists, read_text, write_text
 
 VECTORS = ("state", "action")
@@ -245,8 +246,8 @@ def order_violations(frames: DataFrame) -> DataFrame:
     w = Window.partitionBy(*KEYS).orderBy(*ORDER)
     inside = frames.withColumn("__p", F.lag("index").over(w)).filter(F.col("__p") >= F.col("index")).select(*STEP, "index")
     edges = frames.groupBy(*KEYS).agg(F.min("index").alias("a"), F.max("index").alias("b"))
-    w = Window.partitionBy("dataset_uid").orderBy("episode_index")
-    between = edges.withColumn("__p", F.lag("b").over(w)).filter(F.col("__p") >= F.col("a")).select(*KEYS, F.lit(0).cast("bigint").alias("frame_index"), F.col("a").alias("index"))
+    edges = previous(edges, ["dataset_uid"], ["episode_index"], F.shiftright(F.col("episode_index").cast("bigint"), 12), "b", "__p")
+    between = edges.filter(F.col("__p") >= F.col("a")).select(*KEYS, F.lit(0).cast("bigint").alias("frame_index"), F.col("a").alias("index"))
     return inside.unionByName(between)
 
 
