@@ -59,6 +59,31 @@ def p2_changes(spark: SparkSession, folder: str) -> DataFrame:
     return schema_changes(all_scans(spark, folder))
 
 
+@query
+def p2_moves(spark: SparkSession, folder: str) -> DataFrame:
+    """Fields that vanish, come or change type from scan to scan, before renamings are paired."""
+    c = schema_changes(all_scans(spark, folder))
+    old = F.when(F.col("change").isin("renamed", "removed"), F.struct(F.col("field_name").alias("field"), F.lit("gone").alias("move")))
+    new = F.when(F.col("change") == "renamed", F.struct(F.col("new_name").alias("field"), F.lit("come").alias("move"))).when(F.col("change") == "added", F.struct(F.col("field_name").alias("field"), F.lit("come").alias("move")))
+    kept = F.when(F.col("change") == "retyped", F.struct(F.col("field_name").alias("field"), F.lit("retyped").alias("move")))
+    return c.select("table_name", "entity", "snapshot_id", F.inline(F.array_compact(F.array(old, new, kept))))
+
+
+SQL["p2_moves"] = r"""with j as (select 'datasets' as t, uid as entity, snapshot_id, scanned_at as tm, case when json_valid(schema_json) then schema_json::json end as d from datasets),
+  k as (select *, case when json_type(d) = 'OBJECT' and len(json_keys(d)) = 1 then json_keys(d)[1] end as one_key from j where d is not null),
+  b as (select t, entity, snapshot_id, tm, case when one_key in ('features', 'fields') and json_type(d, '$.' || one_key) in ('OBJECT', 'ARRAY') then json_extract(d, '$.' || one_key) else d end as s from k),
+  e as (select b.t, b.entity, b.snapshot_id, b.tm, case when json_type(b.s) = 'OBJECT' then je.key else coalesce(json_extract_string(je.value, '$.name'), json_extract_string(je.value, '$.source_key'), json_extract_string(je.value, '$.path')) end as name, je.value as spec from b, json_each(b.s) je where json_type(b.s) in ('OBJECT', 'ARRAY')),
+  n as (select t, entity, snapshot_id, tm, name, regexp_replace(lower(coalesce(case when json_type(spec) = 'OBJECT' then json_extract_string(spec, '$.dtype') else json_extract_string(spec, '$') end, '')), '\s+', '', 'g') as dtype,
+      case when json_type(spec) = 'OBJECT' and json_type(spec, '$.shape') = 'ARRAY' then array_to_string(json_extract_string(spec, '$.shape[*]'), ',') when json_type(spec) = 'OBJECT' then coalesce(json_extract_string(spec, '$.shape'), '') else '' end as shape from e where name is not null
+    union all select 'roboomni_partitions', name, snapshot_id, scanned_at, f.source_key, regexp_replace(lower(coalesce(f.dtype, '')), '\s+', '', 'g'), coalesce(array_to_string(f.shape, ','), '') from (select name, snapshot_id, scanned_at, unnest(fields) as f from roboomni_partitions) where f.source_key is not null
+    union all select 'dexcap_partitions', name, snapshot_id, scanned_at, f.path, regexp_replace(lower(coalesce(f.dtype, '')), '\s+', '', 'g'), coalesce(array_to_string(f.shape, ','), '') from (select name, snapshot_id, scanned_at, unnest(source_schema) as f from dexcap_partitions) where f.path is not null),
+  u as (select distinct * from n where entity is not null), o as (select *, dense_rank() over (partition by t, entity order by tm, snapshot_id) as r from u),
+  f as (select t as table_name, entity, r, snapshot_id, name as field, dtype, shape from o), sn as (select distinct table_name, entity, r, snapshot_id from f)
+select f.table_name, f.entity, sn.snapshot_id, f.field, 'gone' as move from f join sn on sn.table_name = f.table_name and sn.entity = f.entity and sn.r = f.r + 1 where not exists (select 1 from f g where g.table_name = f.table_name and g.entity = f.entity and g.r = f.r + 1 and g.field = f.field)
+union all select table_name, entity, f.snapshot_id, f.field, 'come' from f where r > 1 and not exists (select 1 from f g where g.table_name = f.table_name and g.entity = f.entity and g.r = f.r - 1 and g.field = f.field)
+union all select f.table_name, f.entity, f.snapshot_id, f.field, 'retyped' from f join f g on g.table_name = f.table_name and g.entity = f.entity and g.r = f.r - 1 and g.field = f.field where f.dtype <> g.dtype or f.shape <> g.shape"""
+
+
 @query
 def p2_fields(spark: SparkSession, folder: str) -> DataFrame:
     """One consistent list of fields for each dataset and partition."""
