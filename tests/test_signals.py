@@ -430,3 +430,73 @@ def test_gradients_of_any_place(spark, tmp_path):
     rows = [("a", 0, t, t, [0.0, 3.0 * (t == 3)], None, None) for t in range(7)]
     spark.createDataFrame(rows, FRAMES_SCHEMA).write.parquet(str(tmp_path / "frames.parquet"))
     assert queries.gradient_flags(spark, str(tmp_path)).first()["flagged_frames"] == 2
+
+
+def best_lags_one_by_one(rows, longest, digits):
+    """Each pair of frames at each lag, for non-null keys; repeated frames once, null frames last."""
+    episodes = {}
+    for uid, episode, frame, _, state, action, _ in rows:
+        if uid is not None and episode is not None:
+            episodes.setdefault((uid, episode), {}).setdefault((frame is None, frame or 0), (state, action))
+    out = {}
+    for key, frames in episodes.items():
+        vectors = [frames[f] for f in sorted(frames)]
+        wide = [min((len(v) for v in pair if v is not None), default=0) for pair in vectors]
+        for d in range(max(wide)):
+            place = lambda v, d=d: NAN if v is None or v[d] is None else v[d]
+            best = None
+            for lag in range(-longest, longest + 1):
+                pairs = [(place(vectors[p][1]), place(vectors[p + lag][0])) for p in range(len(vectors)) if 0 <= p + lag < len(vectors) and d < min(wide[p], wide[p + lag])]
+                if not pairs:
+                    continue
+                z = np.array([p for p in pairs if np.isfinite(p).all()]).reshape(-1, 2)
+                value = -np.inf
+                if len(z) >= 3 and (np.ptp(z, axis=0) > 0).all():
+                    x, y = (z - z.mean(axis=0)).T
+                    value = round(float(x @ y / np.sqrt((x @ x) * (y @ y))), digits)
+                best = (value, lag) if best is None else max(best, (value, lag))
+            out[(*key, d)] = (best[1], None if best[0] == -np.inf else pytest.approx(best[0], abs=2e-6))
+    return out
+
+
+def test_best_lags_of_odd_episodes_in_many_tasks(spark):
+    r = np.random.default_rng(5)
+    walk = (np.round(r.normal(size=(330, 2)).cumsum(axis=0) * 8) / 8).tolist()
+    rows = [("a", 0, 3 * t, t, [*walk[t], 1.0], [*walk[t + 7], 0.1], None) for t in range(320)]  # seven frames late, the last place at rest
+    rows += rows[30:60] + [("a", 0, None, 0, [1e9, 2.0, 3.0], [1e9, 0.0, 0.1], None)]
+    rows += [("a", 1, t, t, [0.1 + 5.2 * (t == 0), 1.0], [float(t % 5), 2.0], None) for t in range(20)]  # at rest without its first frame
+    rows += [("b", n, t, t, [float(x) for x in r.integers(0, 3, n % 3 + 1)], [float(x) for x in r.integers(0, 3, 2)], None) for n in range(1, 25) for t in range(n)]
+    odd = [None, [], [NAN, 1.0], [None, 2.0], [float("inf"), 3.0], [4.0], [1.0, 2.0, 3.0], [-1e9, 0.5]]
+    rows += [("c", 0, t, t, odd[r.integers(8)], odd[r.integers(8)], None) for t in range(60)] + [("c", 1, t, t, None, None, None) for t in range(3)]
+    rows += [(None, 0, t, t, [float(t)], [float(t)], None) for t in range(9)] + [("c", None, t, t, [float(t)], [float(t)], None) for t in range(9)]
+    frames = spark.createDataFrame([rows[i] for i in r.permutation(len(rows))], FRAMES_SCHEMA.replace("`observation.state`", "state"))
+    want = best_lags_one_by_one(rows, 15, 6)
+    assert (want["a", 0, 0][0], want["a", 0, 1][0], want["a", 0, 2]) == (0, 7, (15, None))  # the last frame's 1e9 outweighs the first place
+    for tasks, batch, adaptive in ((40, 7, "false"), (3, 10000, "false"), (4, 100, "true")):
+        old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.adaptive.enabled")}
+        try:
+            for k, v in zip(old, (tasks, batch, adaptive)):
+                spark.conf.set(k, v)
+            got = {tuple(x)[:3]: tuple(x)[3:] for x in trend.best_lags(frames, KEYS, ORDER, "state", "action", 15, 6).collect()}
+        finally:
+            for k, v in old.items():
+                spark.conf.set(k, v)
+        assert got == want
+
+
+def test_best_lag_shuffles_frames_and_not_their_pairs(spark, tmp_path):
+    from trajlake.queries import signals as queries
+
+    r = np.random.default_rng(2)
+    rows = [("a", e, t, t, r.normal(size=7).tolist(), r.normal(size=7).tolist(), None) for e in range(20) for t in range(100)]
+    spark.createDataFrame(rows, FRAMES_SCHEMA).coalesce(1).write.parquet(str(tmp_path / "frames.parquet"))
+    size = sum(p.stat().st_size for p in (tmp_path / "frames.parquet").glob("*.parquet"))
+    context = spark.sparkContext._jsc.sc()
+
+    def shuffled():
+        context.listenerBus().waitUntilEmpty(30_000)
+        return context.statusStore().executorSummary("driver").totalShuffleWrite()
+
+    before = shuffled()
+    assert len(queries.best_lag_correlation(spark, str(tmp_path)).collect()) == 140
+    assert 0 < shuffled() - before < 4 * size

@@ -29,6 +29,17 @@ def series(col: pa.ChunkedArray) -> np.ndarray:
     return out
 
 
+def changes(table: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """Whether a row's keys differ from those of the row before; null equals null."""
+    new = np.zeros(table.num_rows, bool)
+    for k in keys:
+        code = table[k].combine_chunks()
+        code = code.dictionary_encode() if not isinstance(code, pa.ChunkedArray) else pa.concat_arrays(code.chunks).dictionary_encode()
+        n = np.asarray(pa.compute.fill_null(code.indices, -1))
+        new[1:] |= n[1:] != n[:-1]
+    return new
+
+
 def _groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
     rest: pa.Table | None = None
     for batch in batches:
@@ -36,13 +47,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[
             continue
         table = pa.Table.from_batches([batch])
         table = table if rest is None else pa.concat_tables([rest, table])
-        new = np.zeros(table.num_rows, bool)
-        for k in keys:
-            code = table[k].combine_chunks()
-            code = code.dictionary_encode() if not isinstance(code, pa.ChunkedArray) else pa.concat_arrays(code.chunks).dictionary_encode()
-            n = np.asarray(pa.compute.fill_null(code.indices, -1))
-            new[1:] |= n[1:] != n[:-1]
-        cuts = [0, *np.flatnonzero(new), table.num_rows]
+        cuts = [0, *np.flatnonzero(changes(table, keys)), table.num_rows]
         for a, b in zip(cuts[:-2], cuts[1:-1]):
             yield table.slice(a, b - a)
         rest = table.slice(cuts[-2])

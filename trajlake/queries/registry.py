@@ -34,11 +34,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 KEYS, ORDER = ["dataset_uid", "episode_index"], ["frame_index"]
 
 
-def frame_rows(spark: SparkSession, folder: str) -> DataFrame:
-    """Frames once each, with short names for their vectors."""
+def frame_copies(spark: SparkSession, folder: str) -> DataFrame:
+    """Frames as often as they are stored, with short names for their vectors."""
     f = table(spark, folder, "frames")
-    named = f.select(*KEYS, *ORDER, "index", F.col("`observation.state`").alias("state"), "action", F.col("`observation.tcp_force`").alias("force"))
-    return named.dropDuplicates([*KEYS, *ORDER])
+    return f.select(*KEYS, *ORDER, "index", F.col("`observation.state`").alias("state"), "action", F.col("`observation.tcp_force`").alias("force"))
+
+
+def frame_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The same once each."""
+    return frame_copies(spark, folder).dropDuplicates([*KEYS, *ORDER])
 
 
 #: The same in SQL, as the CTE f.

@@ -9,7 +9,7 @@ from trajlake.functions.vectors import any_of, finite
 from trajlake.operators import quantiles, runs, signals, stats, trend
 from trajlake.operators.spikes import find_spikes
 from trajlake.plans import curation
-from trajlake.queries.registry import FRAMES, KEYS, ORDER, PLACES, Registry, frame_rows, table
+from trajlake.queries.registry import FRAMES, KEYS, ORDER, PLACES, Registry, frame_copies, frame_rows, table
 
 R = Registry()
 QUERIES, SQL = R.queries, R.sql
@@ -349,5 +349,4 @@ _LAGS = f"""with {_PAIRS}, k as (select unnest(range(-15, 16)) as lag),
   select dataset_uid, episode_index, dimension, cast(arg_max(lag, (v, lag)) as int) as best_lag, case when max(v) > '-inf'::double then max(v) end as best_correlation from v group by all""")
 def best_lag_correlation(spark: SparkSession, folder: str) -> DataFrame:
     """The lag of at most 15 frames at which each place of the state follows its action best."""
-    p = trend.lag_products(place_pairs(spark, folder), [*KEYS, "dimension"], "p", F.col("a"), F.col("s"), 15).withColumn("correlation", F.round("correlation", 6))
-    return trend.best_lag(p, [*KEYS, "dimension"])
+    return trend.best_lags(frame_copies(spark, folder), KEYS, ORDER, "state", "action", 15, 6)
